@@ -13,6 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.windows import DEFAULT_BLOCK_ROWS, group_row_number, trailing_frame
 from tidemark.functions.exprs import (
     ERROR_TEXT_LIMIT, TERMINAL_STATUSES, cut, duration_seconds, minus_interval,
     month_day, ts_lit,
@@ -128,7 +129,8 @@ def recent_for_pipeline(runs: DataFrame, pipeline_id, n: int = RECENT_RUNS_LIMIT
 def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
                    lower_pct: int = VOLUME_LOWER_PCT,
                    thresholds: DataFrame | None = None,
-                   history: int = VOLUME_HISTORY_RUNS) -> DataFrame:
+                   history: int = VOLUME_HISTORY_RUNS, skew_safe: bool = True,
+                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Flag each complete run whose row count is outside the band around the
     mean of the previous ``history`` complete runs of its pipeline.
 
@@ -136,14 +138,25 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
     row counts count as 0 in the mean. No history, or a mean <= 0, is never
     flagged. ``thresholds`` (id, volume_alert_upper_pct,
     volume_alert_lower_pct) overrides the bounds per pipeline.
+
+    ``skew_safe`` (default) numbers each pipeline's runs with
+    ``group_row_number`` and evaluates the trailing frame in blocks, so a
+    pipeline holding most runs is spread over many tasks; without it a
+    plain window partitioned by pipeline is used.
     """
     done = runs.where(F.col("status") == "complete").select(
         "run_id", "pipeline_id", "started_at", "rows_loaded")
-    w = (Window.partitionBy("pipeline_id").orderBy("started_at", "run_id")
-         .rowsBetween(-history, -1))
     rows0 = F.coalesce(F.col("rows_loaded"), F.lit(0))
-    scored = (done.withColumn("history_runs", F.count(F.lit(1)).over(w))
-              .withColumn("avg_prev", F.avg(rows0).over(w)))
+    aggs = {"history_runs": F.count(F.lit(1)), "avg_prev": F.avg(rows0)}
+    if skew_safe:
+        numbered = group_row_number(done, "pipeline_id", ["started_at", "run_id"])
+        scored = trailing_frame(numbered, "pipeline_id", "rn", history, aggs, block_rows).drop("rn")
+    else:
+        w = (Window.partitionBy("pipeline_id").orderBy("started_at", "run_id")
+             .rowsBetween(-history, -1))
+        scored = done
+        for name, agg in aggs.items():
+            scored = scored.withColumn(name, agg.over(w))
     if thresholds is not None:
         th = thresholds.select(F.col("id").alias("pipeline_id"),
                                F.col("volume_alert_upper_pct").alias("_up"),

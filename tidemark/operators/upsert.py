@@ -96,7 +96,8 @@ def upsert_last_wins(target: DataFrame, batch: DataFrame, key: str | Sequence[st
     inserted. Null-keyed rows on either side never conflict and are kept.
     """
     latest = dedup_last_wins(batch, key, order_cols)
-    kept = match_keys(target, distinct_keys(latest, key), key, "left_anti")
+    # deduplication keeps the key set, so keys come straight from the batch
+    kept = match_keys(target, distinct_keys(batch, key), key, "left_anti")
     return kept.unionByName(latest, allowMissingColumns=True)
 
 

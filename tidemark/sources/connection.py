@@ -60,6 +60,12 @@ class Connection:
             return f"jdbc:oracle:thin:@//{self.host}:{self.port or 1521}/{self.db_name}"
         raise ValueError(f"no JDBC URL for connection type {t!r}")
 
+    def quote(self, identifier: str) -> str:
+        """Identifier quoted for this database (names keep their case)."""
+        if self.db_type == "mysql":
+            return "`" + identifier.replace("`", "``") + "`"
+        return '"' + identifier.replace('"', '""') + '"'
+
     def jdbc_options(self, fetchsize: int = DEFAULT_FETCHSIZE) -> dict[str, str]:
         opts = {"url": self.jdbc_url(), "fetchsize": str(fetchsize)}
         drv = self.driver or _DRIVERS.get(self.db_type)
