@@ -88,3 +88,68 @@ def test_run_load_last_wins_and_failure(spark, tmp):
         pass
     st = run_state(spark.read.parquet(log)).first()
     assert st["status"] == "failed" and st["error_message"]
+
+
+def test_max_seen_mark_and_pending_not_relogged(spark, tmp):
+    from tidemark.operators.runs import run_state as fold
+    src_root = os.path.join(tmp, "src")
+    log = os.path.join(tmp, "log")
+    drift_path = os.path.join(tmp, "drift")
+    write_source(spark, src_root, [(1, "a", T0), (2, "b", T0 + dt.timedelta(hours=2))])
+    spec = LoadSpec(pipeline_id=3, source=ParquetSource(src_root), source_table="items",
+                    target_path=os.path.join(tmp, "t"), mark="max_seen")
+    as_of = T0 + dt.timedelta(days=1)
+    r1 = run_load(spark, spec, as_of, run_id=1, run_log=log)
+    assert r1.max_seen.startswith("2024-01-01 02:00")
+    # source drops NAME and gains nothing; a row at the mark and one before it
+    spark.createDataFrame([(2, T0 + dt.timedelta(hours=2)), (5, T0 + dt.timedelta(hours=1))],
+                          "id long, updated_at timestamp_ntz") \
+        .write.mode("overwrite").parquet(os.path.join(src_root, "items.parquet"))
+    runs = fold(spark.read.parquet(log)).withColumn("pipeline_id", F.lit(3).cast("bigint"))
+    r2 = run_load(spark, spec, as_of, run_id=2, runs=runs, run_log=log, drift_log_path=drift_path)
+    assert r2.rows_loaded == 1  # only the row at the max seen value
+    assert r2.n_pending == 1 and r2.drift[0]["change_type"] == "column_dropped"
+    r3 = run_load(spark, spec, as_of, run_id=3, runs=runs, run_log=log, drift_log_path=drift_path)
+    assert r3.n_pending == 1
+    assert spark.read.parquet(drift_path).count() == 1  # still pending: logged once
+
+
+def test_resolve_drift_and_schema_cache(spark, tmp):
+    from tidemark.operators.schema import drift_state
+    from tidemark.plans.load import resolve_drift
+    from tidemark.plans.schema_cache import SchemaCache, cached_schema
+    vt = VersionedTable(spark, os.path.join(tmp, "t"))
+    vt.write(spark.createDataFrame([("1",), ("x",)], "AMOUNT string"), 0)
+    log = spark.createDataFrame(
+        [(1, 1, T0, "AMOUNT", "type_changed", "TEXT", "INTEGER", "pending_review"),
+         (2, 1, T0, "B", "column_dropped", "TEXT", None, "pending_review")],
+        "id long, pipeline_id long, detected_at timestamp_ntz, column_name string, "
+        "change_type string, old_definition string, new_definition string, status string")
+    res_path = os.path.join(tmp, "res")
+    resolve_drift(spark, log, 1, "apply_type_change", 9, T0, vt.root, res_path)
+    assert [r[0] for r in vt.read().collect()] == [1, None]
+    try:
+        resolve_drift(spark, log, 2, "apply_type_change", 9, T0)
+        raise AssertionError("expected ValueError")
+    except ValueError:
+        pass
+    resolve_drift(spark, log, 2, "dismiss", 9, T0, resolutions_path=res_path)
+    st = drift_state(log, spark.read.parquet(res_path))
+    assert {r["status"] for r in st.collect()} == {"resolved"}
+
+    cache = SchemaCache(spark, os.path.join(tmp, "cache"))
+    calls = []
+
+    def discover(rows):
+        def f():
+            calls.append(1)
+            return spark.createDataFrame(rows, "table_name string, column_name string, "
+                                               "ordinal_position int, data_type string")
+        return f
+    a = cached_schema(cache, 1, discover([("t", "updated_at", 1, "timestamp without time zone")]))
+    b = cached_schema(cache, 2, discover([("u", "id", 1, "integer")]))
+    assert a.count() == 1 and b.count() == 1 and len(calls) == 2
+    assert cached_schema(cache, 1, discover([])).first()["is_suggested_watermark"] is True
+    assert len(calls) == 2  # served from the cache
+    cached_schema(cache, 1, discover([("t", "x", 1, "text"), ("t", "y", 2, "text")]), refresh=True)
+    assert cache.read(1).count() == 2 and cache.read(2).count() == 1  # other connection kept

@@ -3,7 +3,7 @@ and the pipeline overview with last-run figures."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import DEFAULT_CRON, DEFAULT_MERGE_KEY, DEFAULT_WATERMARK_COLUMN, first_nonblank, target_name
@@ -14,6 +14,11 @@ SECRET_COLUMNS = ("db_user", "db_password")
 WAREHOUSE_TYPE = "snowflake"
 
 
+def active_only(df: DataFrame) -> DataFrame:
+    """Rows not soft-deleted (F2)."""
+    return df.where(F.col("is_active"))
+
+
 def list_connections(connections: DataFrame) -> DataFrame:
     """Connections without credentials (soft-deleted ones included, with
     their ``is_active``)."""
@@ -133,7 +138,7 @@ def pipeline_overview(pipelines: DataFrame, connections: DataFrame, schedules: D
                              F.col("db_type").alias("destination_db_type"))
     last = latest_runs(runs).drop("last_run_id")
     lists = dependency_lists(deps)
-    p = pipelines.where(F.col("is_active"))
+    p = active_only(pipelines)
     return (p.join(src, "connection_id", "left")
             .join(dst, "destination_connection_id", "left")
             .join(latest_schedules(schedules).withColumnRenamed("pipeline_id", "id"), "id", "left")
@@ -146,4 +151,4 @@ def pipeline_overview(pipelines: DataFrame, connections: DataFrame, schedules: D
 def recent_pipelines(pipelines: DataFrame, n: int = 6) -> DataFrame:
     """Newest ``n`` active pipelines (dashboard list)."""
     w = [F.col("created_at").desc(), F.col("id").desc()]
-    return pipelines.where(F.col("is_active")).orderBy(*w).limit(n)
+    return active_only(pipelines).orderBy(*w).limit(n)

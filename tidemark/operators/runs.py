@@ -58,6 +58,14 @@ def filter_runs(runs: DataFrame, pipeline_id=None, status: str | None = None) ->
     return runs
 
 
+def outside_band(rows: Column, mean: Column, lower: Column, upper: Column) -> Column:
+    """True when rows / mean * 100 is below ``lower`` or above ``upper``
+    percent; false when there is no positive mean (F11)."""
+    has_mean = mean.isNotNull() & (mean > 0)
+    pct = F.when(has_mean, rows / mean * F.lit(100.0))
+    return F.coalesce(has_mean & ((pct < lower) | (pct > upper)), F.lit(False))
+
+
 def anomalies_or_failures(runs: DataFrame) -> DataFrame:
     return runs.where(F.coalesce(F.col("volume_anomaly_flag"), F.lit(False))
                       | (F.col("status") == "failed"))
@@ -170,7 +178,8 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
     pct = F.when(has_mean, F.col("rows_loaded") / F.col("avg_prev") * F.lit(100.0))
     out = scored.withColumn("pct", pct).withColumn(
         "volume_anomaly_flag",
-        F.coalesce(has_mean & ((F.col("pct") < lo) | (F.col("pct") > up)), F.lit(False)))
+        outside_band(F.col("rows_loaded"), F.when(F.col("history_runs") > 0, F.col("avg_prev")),
+                     lo, up))
     return out.select("run_id", "pipeline_id", "started_at", "rows_loaded", "history_runs",
                       "avg_prev", "pct", "volume_anomaly_flag")
 
@@ -287,7 +296,7 @@ def run_durations(runs: DataFrame) -> DataFrame:
 # ------------------------------------------------------ run record fold (K7)
 
 _PATCH_FIELDS = ("status", "rows_loaded", "error_message", "volume_anomaly_flag",
-                 "phase_completed")
+                 "phase_completed", "max_seen")
 
 
 def run_state(patches: DataFrame, id_col: str = "run_id", seq_col: str = "seq",
@@ -300,7 +309,7 @@ def run_state(patches: DataFrame, id_col: str = "run_id", seq_col: str = "seq",
     aggregate: every field is a ``max_by`` over the patches that set it.
     """
     seq = F.col(seq_col)
-    fields = [f for f in _PATCH_FIELDS if f in patches.columns]
+    fields = [f for f in ("pipeline_id", *_PATCH_FIELDS) if f in patches.columns]
     aggs = [F.min(at_col).alias("started_at"), F.count(F.lit(1)).alias("n_patches")]
     for f in fields:
         aggs.append(F.max_by(F.col(f), F.when(F.col(f).isNotNull(), seq)).alias(f))

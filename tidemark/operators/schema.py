@@ -274,3 +274,24 @@ def pending_drift(state: DataFrame, pipelines: DataFrame) -> DataFrame:
     names = pipelines.select(F.col("id").alias("pipeline_id"), F.col("name").alias("pipeline_name"))
     return (state.where(F.col("status") == "pending_review")
             .join(names, "pipeline_id", "inner"))
+
+
+def drift_counts(events: DataFrame) -> DataFrame:
+    """Number of drift events per change type and status."""
+    return events.groupBy("change_type", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+RESOLVE_ACTIONS = ("dismiss", "apply_type_change")
+RESOLUTION_SCHEMA = T.StructType([
+    T.StructField("drift_id", T.LongType()),
+    T.StructField("resolved_at", T.TimestampNTZType()),
+    T.StructField("resolved_by", T.LongType()),
+    T.StructField("action", T.StringType()),
+])
+
+
+def resolution_event(spark: SparkSession, drift_id: int, action: str, resolved_by, as_of) -> DataFrame:
+    """The append-only record of one resolution (D5); ``drift_state`` folds it."""
+    if action not in RESOLVE_ACTIONS:
+        raise ValueError(f"unknown action {action!r}")
+    return spark.createDataFrame([(int(drift_id), as_of, resolved_by, action)], RESOLUTION_SCHEMA)

@@ -60,6 +60,7 @@ class LoadSpec:
     col_defs: tuple[tuple[str, str], ...] | None = None
     jdbc_partitions: int = 8
     upper_case: bool = True
+    mark: str = "run_end"              # or "max_seen": highest watermark value loaded
 
 
 @dataclass
@@ -73,6 +74,16 @@ class LoadResult:
     version: int | None
     drift: list[dict] = field(default_factory=list)
     error_message: str | None = None
+    max_seen: str | None = None
+
+    @property
+    def n_added(self) -> int:
+        return sum(1 for d in self.drift if d["change_type"] == "column_added"
+                   and d["status"] == "auto_resolved")
+
+    @property
+    def n_pending(self) -> int:
+        return sum(1 for d in self.drift if d["status"] == "pending_review")
 
 
 PATCH_SCHEMA = T.StructType([
@@ -82,34 +93,42 @@ PATCH_SCHEMA = T.StructType([
     T.StructField("error_message", T.StringType()),
     T.StructField("volume_anomaly_flag", T.BooleanType()),
     T.StructField("phase_completed", T.IntegerType()),
+    T.StructField("max_seen", T.StringType()),
 ])
 
 
+def _patch_row(run_id: int, seq: int, at: _dt.datetime, pipeline_id: int, fields: dict) -> tuple:
+    err = fields.get("error_message")
+    if err is not None:
+        err = err[:ERROR_TEXT_LIMIT]
+    return (run_id, seq, at, pipeline_id, fields.get("status"), fields.get("rows_loaded"), err,
+            fields.get("volume_anomaly_flag"), fields.get("phase_completed"),
+            fields.get("max_seen"))
+
+
 def record_patch(spark: SparkSession, log_path: str | None, run_id: int, seq: int,
                  at: _dt.datetime, pipeline_id: int, **fields) -> None:
     """Append one run-record patch (K7 input); only given fields are set."""
-    if not log_path:
-        return
-    err = fields.get("error_message")
-    if err is not None:
-        fields["error_message"] = err[:ERROR_TEXT_LIMIT]
-    row = (run_id, seq, at, pipeline_id, fields.get("status"), fields.get("rows_loaded"),
-           fields.get("error_message"), fields.get("volume_anomaly_flag"),
-           fields.get("phase_completed"))
-    spark.createDataFrame([row], PATCH_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
+    if log_path:
+        write_patches(spark, log_path, [_patch_row(run_id, seq, at, pipeline_id, fields)])
+
+
+def write_patches(spark: SparkSession, log_path: str, rows: list[tuple]) -> None:
+    if rows:
+        (spark.createDataFrame(rows, PATCH_SCHEMA).coalesce(1)
+         .write.mode("append").parquet(log_path))
 
 
 def _source_defs(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, source_type_name(f.dataType)) for f in df.schema.fields]
 
 
-def _read_source(spark: SparkSession, spec: LoadSpec, since) -> DataFrame:
-    wm = spec.watermark_column if spec.mode == "incremental" else None
+def _read_source(spark: SparkSession, spec: LoadSpec) -> DataFrame:
+    """The source table, unfiltered (filters are added lazily and pushed down)."""
     if isinstance(spec.source, Connection) and spec.merge_key:
         return read_partitioned(spark, spec.source, spec.source_table, spec.merge_key,
-                                spec.jdbc_partitions, wm_col=wm, since=since)
-    base = read_table(spark, spec.source, spec.source_table)
-    return read_incremental(spark, spec.source, spec.source_table, wm, since, df=base)
+                                spec.jdbc_partitions)
+    return read_table(spark, spec.source, spec.source_table)
 
 
 def volume_check(runs: DataFrame | None, pipeline_id: int, rows: int,
@@ -134,30 +153,45 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
     """Run one load. ``runs`` is the run history used for the mark and the
     volume check; ``run_log`` (optional) receives run patches and
     ``drift_log_path`` drift events."""
-    seq = 0
+    # The opening patch is written at once (the run shows as running); the
+    # phase patches are kept and written with the closing one, in one file.
+    pending: list[tuple] = []
 
     def patch(**kw):
-        nonlocal seq
-        record_patch(spark, run_log, run_id, seq, as_of, spec.pipeline_id, **kw)
-        seq += 1
+        pending.append(_patch_row(run_id, len(pending), as_of, spec.pipeline_id, kw))
+
+    def flush():
+        if run_log:
+            write_patches(spark, run_log, pending[flushed[0]:])
+        flushed[0] = len(pending)
 
+    flushed = [0]
     patch(status="running", phase_completed=0)
+    flush()
     try:
         # phase 1: high-water mark (A3)
+        base = _read_source(spark, spec)
+        wm = spec.watermark_column if spec.mode == "incremental" else None
         since = None
         if spec.mode == "incremental":
             default = as_of - _dt.timedelta(days=R.WATERMARK_LOOKBACK_DAYS)
             since = default
             if runs is not None:
-                row = (runs.where((F.col("pipeline_id") == spec.pipeline_id)
+                done = runs.where((F.col("pipeline_id") == spec.pipeline_id)
                                   & (F.col("status") == "complete"))
-                       .agg(F.max("ended_at").alias("m")).first())
+                if (spec.mark == "max_seen" and "max_seen" in runs.columns
+                        and wm in base.columns):
+                    # values were stored as text; compare them in the column's type
+                    row = done.agg(F.max(F.col("max_seen").try_cast(base.schema[wm].dataType))
+                                   .alias("m")).first()
+                else:
+                    row = done.agg(F.max("ended_at").alias("m")).first()
                 if row is not None and row["m"] is not None:
                     since = row["m"]
         patch(phase_completed=1)
 
         # extract, project, cast, stage once
-        src = _read_source(spark, spec, since)
+        src = read_incremental(spark, spec.source, spec.source_table, wm, since, df=base)
         defs = list(spec.col_defs) if spec.col_defs else _source_defs(src)
         batch = cast_to_target(src, defs)
         if spec.upper_case:
@@ -165,8 +199,15 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
         stage = os.path.join(checkpoint_dir(spark), "stage",
                              f"pipeline={spec.pipeline_id}", f"run={run_id}")
         obs = Observation(f"extract_{spec.pipeline_id}_{run_id}")
-        batch.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(stage)
-        rows = int(obs.get.get("rows", 0))
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        wm_out = None
+        if spec.watermark_column and spec.watermark_column in src.columns:
+            wm_out = spec.watermark_column.upper() if spec.upper_case else spec.watermark_column
+            metrics.append(F.max(F.col(wm_out)).cast("string").alias("max_seen"))
+        batch.observe(obs, *metrics).write.mode("overwrite").parquet(stage)
+        got = obs.get
+        rows = int(got.get("rows", 0))
+        max_seen = got.get("max_seen")
         patch(phase_completed=2)
 
         version = None
@@ -175,8 +216,9 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
             staged = spark.read.parquet(stage)
             key = spec.merge_key.upper() if (spec.merge_key and spec.upper_case) else spec.merge_key
             vt = VersionedTable(spark, spec.target_path)
-            if vt.exists():
-                current = vt.read()
+            latest = vt.latest_version()
+            if latest is not None:
+                current = vt.read(latest)
                 tname = spec.source_table
                 src_cols = spark.createDataFrame(
                     [(tname, (n.upper() if spec.upper_case else n), i + 1, t)
@@ -185,13 +227,16 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
                 # bounded by the schema width, not by the data
                 drift_rows = [r.asDict() for r in drift.collect()]
                 if drift_log_path and drift_rows:
-                    (drift.withColumn("pipeline_id", F.lit(spec.pipeline_id).cast("bigint"))
-                     .withColumn("detected_at", ts_lit(as_of))
-                     .write.mode("append").parquet(drift_log_path))
+                    events = (drift.withColumn("pipeline_id", F.lit(spec.pipeline_id).cast("bigint"))
+                              .withColumn("detected_at", ts_lit(as_of))
+                              .withColumn("id", F.lit(run_id).cast("bigint") * 10000
+                                          + F.monotonically_increasing_id()))
+                    events = _only_new_drift(spark, events, drift_log_path, spec.pipeline_id)
+                    events.write.mode("append").parquet(drift_log_path)
                 current, staged = S.heal_and_align(current, staged)
             else:
-                vt.ensure(staged.schema, as_of)  # K1
-                current = vt.read()
+                # K1: the first load creates the table with the batch's schema
+                current = spark.createDataFrame([], staged.schema)
             if spec.upsert == "append" or not key or key not in staged.columns:
                 merged = U.append(current, staged)
             elif spec.upsert == "last_wins":
@@ -199,16 +244,57 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
                 merged = U.upsert_last_wins(current, staged, key, order)
             else:
                 merged = U.upsert_delete_insert(current, staged, key)
-            version = vt.write(merged, max(vt.next_version(), run_id), None, as_of)
+            nxt = 0 if latest is None else max(latest + 1, run_id)
+            version = vt.write(merged, nxt, None, as_of, check=False)
 
         anomaly, pct = volume_check(runs, spec.pipeline_id, rows, spec.upper_pct, spec.lower_pct)
         patch(status="complete", phase_completed=3, rows_loaded=rows,
-              volume_anomaly_flag=anomaly)
-        return LoadResult(run_id, "complete", rows, anomaly, pct, since, version, drift_rows)
+              volume_anomaly_flag=anomaly, max_seen=max_seen)
+        flush()
+        return LoadResult(run_id, "complete", rows, anomaly, pct, since, version, drift_rows,
+                          max_seen=max_seen)
     except Exception as e:  # recorded, then raised as the reference does
         patch(status="failed", error_message=str(e))
+        flush()
         raise
 
 
+def _only_new_drift(spark: SparkSession, events: DataFrame, log_path: str,
+                    pipeline_id: int) -> DataFrame:
+    """Drop events already pending for the same column and change (Q11)."""
+    from pyspark.errors import AnalysisException
+    try:
+        logged = spark.read.parquet(log_path).where(F.col("pipeline_id") == pipeline_id)
+    except AnalysisException:
+        return events
+    return S.new_drift_events(events, logged)
+
+
+def resolve_drift(spark: SparkSession, state: DataFrame, drift_id: int, action: str,
+                  resolved_by, as_of: _dt.datetime, target_path: str | None = None,
+                  resolutions_path: str | None = None) -> DataFrame:
+    """Resolve one drift event (D5): ``dismiss``, or ``apply_type_change``
+    (type changes only), which rewrites the target column as a new version
+    first. The resolution is appended to ``resolutions_path`` and returned."""
+    ev = state.where(F.col("id") == drift_id).select("change_type", "column_name",
+                                                      "new_definition").first()
+    if ev is None:
+        raise KeyError(f"drift event {drift_id} not found")
+    res = S.resolution_event(spark, drift_id, action, resolved_by, as_of)
+    if action == "apply_type_change":
+        if ev["change_type"] != "type_changed":
+            raise ValueError("apply_type_change is only valid for type_changed events")
+        if target_path:
+            vt = VersionedTable(spark, target_path)
+            cur = vt.read()
+            col = next((c for c in cur.columns if c.upper() == ev["column_name"].upper()),
+                       ev["column_name"])
+            vt.write(S.apply_type_change(cur, col, ev["new_definition"]), vt.next_version(),
+                     None, as_of)
+    if resolutions_path:
+        res.write.mode("append").parquet(resolutions_path)
+    return res
+
+
 def watermark_default(as_of: _dt.datetime) -> F.Column:
     return minus_interval(ts_lit(as_of), days=R.WATERMARK_LOOKBACK_DAYS)

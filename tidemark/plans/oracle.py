@@ -506,4 +506,15 @@ FROM (
 WHERE is_active ORDER BY created_at DESC, id DESC LIMIT 6""",
 
     "stream_upsert": _dedup(),
+
+    "run_load": _with(LOAD_TARGET, LOAD_BATCH, """m AS (
+  SELECT * FROM load_target t
+  WHERE NOT EXISTS (SELECT 1 FROM load_batch b WHERE b.o_orderkey = t.o_orderkey)
+  UNION ALL SELECT * FROM load_batch)""") + "SELECT " + ", ".join(
+        f'{c} AS "{c.upper()}"' for c in
+        ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+        + " FROM m",
+
+    "cached_schema": _with(SCHEMA_COLS) + """SELECT table_name, column_name, ordinal_position,
+       data_type, is_suggested_watermark, CAST(1 AS BIGINT) AS connection_id FROM sw""",
 }

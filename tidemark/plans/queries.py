@@ -275,6 +275,42 @@ def recent_pipelines(spark, sf):
     return cfg.recent_pipelines(_pipelines(spark, sf)).select("id", "name", "created_at")
 
 
+def run_load_q(spark, sf):
+    """Two scheduled loads of one pipeline, end to end: a full first load
+    of the orders known before 2000, then an incremental load of all
+    orders (status changed) from the mark the first run left."""
+    import dataclasses
+    import os
+    import uuid
+    from tidemark.plans.load import LoadSpec, run_load
+    from tidemark.plans.tables import VersionedTable
+    from tidemark.session import scratch_path
+    root = scratch_path(spark, os.path.join("run_load", uuid.uuid4().hex))
+    orders = _t(spark, sf, "orders")
+    first, later = os.path.join(root, "src1"), os.path.join(root, "src2")
+    V.load_target(orders).write.parquet(os.path.join(first, "orders.parquet"))
+    orders.withColumn("o_orderstatus", F.lit(V.BATCH_STATUS)) \
+        .write.parquet(os.path.join(later, "orders.parquet"))
+    target, log = os.path.join(root, "target"), os.path.join(root, "runs")
+    spec = LoadSpec(pipeline_id=1, source=ParquetSource(first), source_table="orders",
+                    target_path=target, watermark_column="o_orderdate",
+                    merge_key="o_orderkey", mode="full")
+    run_load(spark, spec, V.BATCH_SINCE, run_id=1, run_log=log)
+    history = R.run_state(spark.read.parquet(log))
+    run_load(spark, dataclasses.replace(spec, source=ParquetSource(later), mode="incremental"),
+             V.AS_OF, run_id=2, runs=history, run_log=log)
+    return VersionedTable(spark, target).read()
+
+
+def cached_schema_q(spark, sf):
+    import os
+    import uuid
+    from tidemark.plans.schema_cache import SchemaCache, cached_schema
+    from tidemark.session import scratch_path
+    cache = SchemaCache(spark, scratch_path(spark, os.path.join("schema_cache", uuid.uuid4().hex)))
+    return cached_schema(cache, 1, lambda: _schema_cols(spark, sf))
+
+
 def stream_upsert(spark, sf):
     from tidemark.streaming.upsert_stream import stream_upsert_table
     return stream_upsert_table(spark, sf)
@@ -323,4 +359,6 @@ QUERIES: dict[str, Query] = {
     "target_names": target_names,
     "recent_pipelines": recent_pipelines,
     "stream_upsert": stream_upsert,
+    "run_load": run_load_q,
+    "cached_schema": cached_schema_q,
 }

@@ -70,10 +70,11 @@ class VersionedTable:
         return 0 if v is None else v + 1
 
     def write(self, df: DataFrame, version: int, rows: int | None = None,
-              committed_at: _dt.datetime | None = None) -> int:
+              committed_at: _dt.datetime | None = None, check: bool = True) -> int:
         """Write ``df`` as ``version`` and commit it. Re-running a version
-        that never committed overwrites its folder."""
-        if self.committed(version):
+        that never committed overwrites its folder. ``check=False`` skips
+        the lookup when the caller already knows the latest version."""
+        if check and self.committed(version):
             raise ValueError(f"version {version} of {self.root} is already committed")
         df.write.mode("overwrite").parquet(self.version_path(version))
         entry = self.spark.createDataFrame(
