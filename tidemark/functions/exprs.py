@@ -40,10 +40,13 @@ def target_name(*cols: Column | str, default: str = DEFAULT_SCHEMA) -> Column:
 
 
 def ts_lit(value: _dt.datetime | str) -> Column:
-    """Timestamp literal without zone (matches timestamp_ntz columns)."""
-    if isinstance(value, str):
-        value = _dt.datetime.fromisoformat(value)
-    return F.lit(value).cast("timestamp_ntz")
+    """Timestamp literal without zone (matches timestamp_ntz columns).
+
+    Built from text, so neither the driver's nor the session's time zone
+    can shift it."""
+    if isinstance(value, _dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp_ntz")
 
 
 def minus_interval(ts: Column, days: int = 0, hours: int = 0, seconds: int = 0) -> Column:
@@ -57,7 +60,8 @@ def plus_seconds(ts: Column, seconds: Column) -> Column:
 def duration_seconds(start: Column | str, end: Column | str) -> Column:
     """Whole seconds between two timestamps; null unless both are set, and a
     zero duration shows as null (as the monitor does)."""
-    micros = F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))
+    # zone-free difference: no session-zone conversion of timestamp_ntz values
+    micros = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
     secs = F.round(micros / F.lit(1_000_000.0)).cast("bigint")
     return F.nullif(secs, F.lit(0).cast("bigint"))
 
