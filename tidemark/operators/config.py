@@ -150,5 +150,5 @@ def pipeline_overview(pipelines: DataFrame, connections: DataFrame, schedules: D
 
 def recent_pipelines(pipelines: DataFrame, n: int = 6) -> DataFrame:
     """Newest ``n`` active pipelines (dashboard list)."""
-    w = [F.col("created_at").desc(), F.col("id").desc()]
+    w = [F.col("created_at").desc_nulls_first(), F.col("id").desc_nulls_first()]
     return active_only(pipelines).orderBy(*w).limit(n)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_dir
+from tidemark.session import fresh_scratch, materialize
 
 
 def dependency_edges(deps: DataFrame, pipelines: DataFrame) -> DataFrame:
@@ -36,29 +38,32 @@ def dependency_levels(pipelines: DataFrame, deps: DataFrame, max_iter: int = 64)
     its highest prerequisite (the longest chain above it).
 
     Layers are peeled as in Kahn's algorithm: a pipeline gets its level once
-    all its prerequisites have one. Each round is a join of the edges with
-    the levels found so far plus one aggregate; the frontier is checkpointed
-    to the shared checkpoint folder so the lineage stays short. Pipelines on
-    or below a cycle never qualify; they are returned with a null level and
-    ``in_cycle`` true. ``max_iter`` bounds the rounds (deeper chains also
-    come back unresolved).
+    all its prerequisites have one. Each round is one join of the edges with
+    the levels found so far plus one aggregate, and appends the new layer to
+    a table in the shared checkpoint folder (the lineage never grows; the
+    layer's size is observed during that write, so a round is one job).
+    Pipelines on or below a cycle never qualify; they are returned with a
+    null level and ``in_cycle`` true. ``max_iter`` bounds the rounds
+    (deeper chains also come back unresolved).
     """
     spark = pipelines.sparkSession
-    checkpoint_dir(spark)
     nodes = pipelines.select(F.col("id").alias("pipeline_id"))
     # edges whose either end is not a pipeline are ignored
     edges = (deps.select("pipeline_id", "depends_on_id").distinct()
              .join(nodes, "pipeline_id", "left_semi")
              .join(nodes.withColumnRenamed("pipeline_id", "depends_on_id"),
                    "depends_on_id", "left_semi"))
-    need = edges.groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("n_prereq"))
-    known = (nodes.join(need, "pipeline_id", "left_anti")
-             .select("pipeline_id", F.lit(0).alias("level"))).checkpoint()
+    edges = materialize(edges, fresh_scratch(spark, "edges"))
+    need = materialize(edges.groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("n_prereq")),
+                       fresh_scratch(spark, "need"))
+    path = fresh_scratch(spark, "levels")
+    roots = nodes.join(need, "pipeline_id", "left_anti").select("pipeline_id", F.lit(0).alias("level"))
+    _, placed = materialize(roots, path, count=True)
     total = nodes.count()
-    placed = known.count()
-    for _ in range(max_iter):
+    for i in range(max_iter):
         if placed >= total:
             break
+        known = spark.read.parquet(path)
         reached = (edges.join(known.withColumnRenamed("pipeline_id", "depends_on_id"),
                               "depends_on_id", "inner")
                    .groupBy("pipeline_id")
@@ -67,10 +72,11 @@ def dependency_levels(pipelines: DataFrame, deps: DataFrame, max_iter: int = 64)
                  .where(F.col("n_done") == F.col("n_prereq"))
                  .join(known, "pipeline_id", "left_anti")
                  .select("pipeline_id", (F.col("top") + 1).alias("level")))
-        known = known.unionByName(fresh).checkpoint()
-        now = known.count()
-        if now == placed:
+        obs = Observation(f"levels-{os.path.basename(path)}-{i}")
+        fresh.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+        n = int(obs.get.get("n", 0))
+        if n == 0:
             break
-        placed = now
-    return (nodes.join(known, "pipeline_id", "left")
+        placed += n
+    return (nodes.join(spark.read.parquet(path), "pipeline_id", "left")
             .withColumn("in_cycle", F.col("level").isNull()))

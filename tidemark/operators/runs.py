@@ -31,7 +31,9 @@ ANOMALY_FEED_SIZE = 6
 # --- end of fixed values -----------------------------------------------------
 
 def _newest() -> list[Column]:
-    return [F.col("started_at").desc(), F.col("run_id").desc()]
+    """Newest first, as the run history is listed: nulls first, like a
+    descending order in the reference's database."""
+    return [F.col("started_at").desc_nulls_first(), F.col("run_id").desc_nulls_first()]
 
 
 def _as_of(as_of: _dt.datetime | str | Column) -> Column:

@@ -266,7 +266,7 @@ def drift_log(state: DataFrame, pipeline_id=None, status: str | None = None) ->
         state = state.where(F.col("pipeline_id") == F.lit(pipeline_id))
     if status:
         state = state.where(F.col("status") == F.lit(status))
-    return state.orderBy(F.col("detected_at").desc(), F.col("id").desc())
+    return state.orderBy(F.col("detected_at").desc_nulls_first(), F.col("id").desc_nulls_first())
 
 
 def pending_drift(state: DataFrame, pipelines: DataFrame) -> DataFrame:

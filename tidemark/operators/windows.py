@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_dir
+from tidemark.session import fresh_scratch, materialize
 
 DEFAULT_BLOCK_ROWS = 100_000
 
@@ -36,13 +36,12 @@ def group_row_number(df: DataFrame, group: str, order: Sequence[str],
     """``df`` with ``out`` = 0-based position of each row in its group by
     ``order`` (ascending; the order must be unique within a group)."""
     spark = df.sparkSession
-    checkpoint_dir(spark)
     keys = [group, *order]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint())
+    ranged = materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()),
+                         fresh_scratch(spark, "rownum"))
     segs = (ranged.groupBy("_pid", group)
             .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
     # one row per (partition, group): at most #partitions + #groups rows

@@ -387,7 +387,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, CAST(NULL AS DOUBLE) AS o_totalpric
     "pending_drift": _with(PIPELINES, DRIFT) + """SELECT ds.*, p.name AS pipeline_name
 FROM ds JOIN pipelines p ON p.id = ds.pipeline_id WHERE ds.status = 'pending_review'""",
 
-    "drift_log": _with(DRIFT) + "SELECT * FROM ds WHERE status = 'resolved' ORDER BY detected_at DESC, id DESC",
+    "drift_log": _with(DRIFT) + "SELECT * FROM ds WHERE status = 'resolved' ORDER BY detected_at DESC NULLS FIRST, id DESC NULLS FIRST",
 
     "run_state": _RUN_STATE,
 
@@ -396,9 +396,10 @@ FROM ds JOIN pipelines p ON p.id = ds.pipeline_id WHERE ds.status = 'pending_rev
     "recent_runs": _with(RUNS, PIPELINES) + """SELECT r.run_id, r.pipeline_id, r.status, r.started_at,
        r.ended_at, r.rows_loaded, p.name AS pipeline_name
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY pipeline_id
-                                   ORDER BY started_at DESC, run_id DESC) AS rn FROM runs) r
+                                   ORDER BY started_at DESC NULLS FIRST, run_id DESC NULLS FIRST)
+        AS rn FROM runs) r
 JOIN pipelines p ON p.id = r.pipeline_id WHERE r.rn <= 100
-ORDER BY r.started_at DESC, r.run_id DESC""",
+ORDER BY r.started_at DESC NULLS FIRST, r.run_id DESC NULLS FIRST""",
 
     "volume_anomaly": _with(RUNS, PIPELINES, _va(True)) + "SELECT * FROM va",
 
@@ -427,10 +428,11 @@ FROM (SELECT *, CAST(GREATEST(MAX(COALESCE(rows_loaded, 0)) OVER (PARTITION BY p
 FROM rf GROUP BY pipeline_id""",
 
     "anomaly_feed": _with(RUNS, _va(False), RF) + """SELECT * FROM rf
-WHERE volume_anomaly_flag OR status = 'failed' ORDER BY started_at DESC, run_id DESC LIMIT 6""",
+WHERE volume_anomaly_flag OR status = 'failed'
+ORDER BY started_at DESC NULLS FIRST, run_id DESC NULLS FIRST LIMIT 6""",
 
     "run_page": _with(RUNS) + """SELECT * FROM runs WHERE status = 'failed'
-ORDER BY started_at DESC, run_id DESC LIMIT 10 OFFSET 20""",
+ORDER BY started_at DESC NULLS FIRST, run_id DESC NULLS FIRST LIMIT 10 OFFSET 20""",
 
     "run_durations": _with(RUNS) + """SELECT run_id, pipeline_id, status, started_at, ended_at,
        d AS duration_s,
@@ -503,7 +505,7 @@ FROM (
   FROM pipelines p LEFT JOIN connections c ON c.id = p.destination_connection_id)""",
 
     "recent_pipelines": _with(PIPELINES) + """SELECT id, name, created_at FROM pipelines
-WHERE is_active ORDER BY created_at DESC, id DESC LIMIT 6""",
+WHERE is_active ORDER BY created_at DESC NULLS FIRST, id DESC NULLS FIRST LIMIT 6""",
 
     "stream_upsert": _dedup(),
 

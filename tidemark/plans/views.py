@@ -35,7 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def all_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: table(spark, sf_dir, t) for t in TABLES}
+    """All test tables; opened concurrently (each open lists files and
+    reads a footer for the schema, which is latency, not work)."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(16, len(TABLES))) as pool:
+        dfs = list(pool.map(lambda t: table(spark, sf_dir, t), TABLES))
+    return dict(zip(TABLES, dfs))
 
 
 def runs(events: DataFrame) -> DataFrame:

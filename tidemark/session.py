@@ -64,3 +64,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def fresh_scratch(spark: SparkSession, prefix: str) -> str:
+    """A new, unique folder below the shared checkpoint folder."""
+    import uuid
+    return scratch_path(spark, f"{prefix}-{uuid.uuid4().hex}")
+
+
+def materialize(df, path: str, count: bool = False):
+    """Write ``df`` to ``path`` and read it back: the lineage is cut at a
+    table in the shared folder, which survives lost executors and is
+    computed once (an eager ``checkpoint()`` computes its input twice).
+    With ``count`` the row count, observed during the write, is returned too.
+    """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    spark = df.sparkSession
+    if count:
+        obs = Observation(f"materialize-{os.path.basename(path)}")
+        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path), int(obs.get.get("n", 0))
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
