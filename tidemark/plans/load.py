@@ -61,6 +61,7 @@ class LoadSpec:
     jdbc_partitions: int = 8
     upper_case: bool = True
     mark: str = "run_end"              # or "max_seen": highest watermark value loaded
+    compact_every: int = 8             # fold layers into a new base after this many
 
 
 @dataclass
@@ -212,13 +213,14 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
 
         version = None
         drift_rows: list[dict] = []
-        if rows > 0:
+        vt = VersionedTable(spark, spec.target_path)
+        tag = f"run:{run_id}"
+        if rows > 0 and not vt.has_tag(tag):   # a replayed run is not applied twice
             staged = spark.read.parquet(stage)
             key = spec.merge_key.upper() if (spec.merge_key and spec.upper_case) else spec.merge_key
-            vt = VersionedTable(spark, spec.target_path)
             latest = vt.latest_version()
             if latest is not None:
-                current = vt.read(latest)
+                current = vt.read()  # lazy: only its schema is used here
                 tname = spec.source_table
                 src_cols = spark.createDataFrame(
                     [(tname, (n.upper() if spec.upper_case else n), i + 1, t)
@@ -233,19 +235,23 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
                                           + F.monotonically_increasing_id()))
                     events = _only_new_drift(spark, events, drift_log_path, spec.pipeline_id)
                     events.write.mode("append").parquet(drift_log_path)
-                current, staged = S.heal_and_align(current, staged)
-            else:
-                # K1: the first load creates the table with the batch's schema
-                current = spark.createDataFrame([], staged.schema)
-            if spec.upsert == "append" or not key or key not in staged.columns:
-                merged = U.append(current, staged)
-            elif spec.upsert == "last_wins":
+                # Dropped columns become null, existing types are kept,
+                # added columns travel with the batch (read unions by name)
+                staged = S.align_batch(staged, current)
+            keyed = spec.upsert != "append" and bool(key) and key in staged.columns
+            if keyed and spec.upsert == "last_wins":
                 order = [c.upper() if spec.upper_case else c for c in spec.order_cols] or [key]
-                merged = U.upsert_last_wins(current, staged, key, order)
-            else:
-                merged = U.upsert_delete_insert(current, staged, key)
+                staged = U.dedup_last_wins(staged, key, order)
             nxt = 0 if latest is None else max(latest + 1, run_id)
-            version = vt.write(merged, nxt, None, as_of, check=False)
+            if latest is None:
+                # K1: the first load creates the table with the batch's schema
+                version = vt.write(staged, nxt, rows, as_of, check=False, tag=tag)
+            else:
+                # K3/K4/K5: only the batch is written; reads resolve the keys
+                version = vt.write_layer(staged, nxt, key if keyed else None, rows, as_of,
+                                         check=False, tag=tag)
+                if spec.compact_every and vt.layers_since_base() >= spec.compact_every:
+                    vt.compact(committed_at=as_of)
 
         anomaly, pct = volume_check(runs, spec.pipeline_id, rows, spec.upper_pct, spec.lower_pct)
         patch(status="complete", phase_completed=3, rows_loaded=rows,

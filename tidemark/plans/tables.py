@@ -1,20 +1,41 @@
-"""A Parquet target with atomic replacement by versions.
+"""A Parquet target with atomic commits and merge-on-read upserts.
 
 Spark cannot overwrite a Parquet table that the same plan reads, and plain
-Parquet has no MERGE. Each load therefore writes a complete new version
-folder ``<root>/v=<n>``; only after that write has committed is ``n``
-appended to the commit log ``<root>/_commits``. Readers take the highest
-committed version, so they never see a half-written load, and a load that
-dies (or an executor lost mid-write, which Spark retries) leaves at most
-an uncommitted folder that the next attempt overwrites. Everything goes
-through Spark's own readers and writers, so the root can be any shared
-file system the cluster uses.
+Parquet has no MERGE. A target is therefore a series of versions under
+``<root>/v=<n>``, each made visible only by a row appended to the commit
+log ``<root>/_commits`` after its files are written. Readers see committed
+versions only; a write that dies (or an executor lost mid-write, which
+Spark retries) leaves at most an uncommitted folder that the next attempt
+overwrites.
+
+A version is either
+
+* a **base**: the whole table (the first load, or a compaction), or
+* a **layer**: one load's batch plus the key it upserts on.
+
+A load writes only its batch (a layer), so its cost follows the batch,
+not the target. Reading resolves the layers written since the last base:
+
+* a base row survives unless a later keyed layer holds its key;
+* a layer row survives unless a later keyed layer holds its key.
+
+With ``last`` = the highest layer holding each key (an aggregate over the
+layers only, small next to the base) that is one anti join for the base
+and one left join plus filter for the layers, however many layers there
+are; AQE broadcasts ``last`` when its measured size allows. Null keys
+never match, so null-keyed rows always survive. ``compact`` folds the
+layers into a new base; ``run_load`` does so every ``compact_every``
+layers. Unkeyed layers are plain appends.
+
+Everything goes through Spark's own readers and writers, so the root can be
+any shared file system the cluster uses. One writer per table at a time.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import os
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +43,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COMMITS = "_commits"
+BASE, LAYER = "base", "layer"
 COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("rows", T.LongType()),
     T.StructField("committed_at", T.TimestampNTZType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("key_cols", T.StringType()),
+    T.StructField("tag", T.StringType()),
 ])
+SEQ = "_tm_seq"
+LAST = "_tm_last"
+
+
+def _keys(key) -> list[str]:
+    if key is None:
+        return []
+    return [key] if isinstance(key, str) else list(key)
 
 
 class VersionedTable:
@@ -34,12 +67,24 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    # ------------------------------------------------------------ commit log
     def _commits(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).parquet(os.path.join(self.root, COMMITS))
         except AnalysisException:
             return None
 
+    def _active(self) -> list:
+        """Commit rows of the latest base and the layers after it (one small
+        read of the log; the list is bounded by the compaction interval)."""
+        log = self._commits()
+        if log is None:
+            return []
+        base = log.where(F.col("kind") == BASE).agg(F.max("version").alias("b")).first()["b"]
+        if base is not None:
+            log = log.where(F.col("version") >= base)
+        return sorted(log.collect(), key=lambda r: r["version"])
+
     def version_path(self, version: int) -> str:
         return os.path.join(self.root, f"v={int(version)}")
 
@@ -59,29 +104,104 @@ class VersionedTable:
             return False
         return log.where(F.col("version") == version).limit(1).count() > 0
 
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.latest_version() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        return self.spark.read.parquet(self.version_path(v))
+    def has_tag(self, tag: str) -> bool:
+        """Whether a commit carries ``tag`` (a run or micro-batch id), so a
+        replayed load can be recognised and skipped."""
+        log = self._commits()
+        if log is None:
+            return False
+        return log.where(F.col("tag") == tag).limit(1).count() > 0
 
     def next_version(self) -> int:
         v = self.latest_version()
         return 0 if v is None else v + 1
 
+    def layers_since_base(self) -> int:
+        return sum(1 for r in self._active() if r["kind"] == LAYER)
+
+    # ------------------------------------------------------------------ read
+    def read(self, version: int | None = None) -> DataFrame:
+        """The table as of the latest commit (or as one stored version when
+        ``version`` is given)."""
+        if version is not None:
+            return self.spark.read.parquet(self.version_path(version))
+        active = self._active()
+        if not active:
+            raise FileNotFoundError(f"no committed version under {self.root}")
+        base = [r for r in active if r["kind"] == BASE]
+        layers = [r for r in active if r["kind"] == LAYER]
+        base_df = self.spark.read.parquet(self.version_path(base[0]["version"])) if base else None
+        if not layers:
+            return base_df
+        return self._resolve(base_df, layers)
+
+    def _resolve(self, base_df: DataFrame | None, layers: list) -> DataFrame:
+        keysets = {r["key_cols"] for r in layers if r["key_cols"]}
+        if len(keysets) > 1:
+            raise ValueError(f"layers of {self.root} use different keys: {sorted(keysets)}")
+        ks = keysets.pop().split(",") if keysets else []
+        parts = [self.spark.read.parquet(self.version_path(r["version"]))
+                 .withColumn(SEQ, F.lit(int(r["version"])).cast("bigint")) for r in layers]
+        stacked = parts[0]
+        for p in parts[1:]:
+            stacked = stacked.unionByName(p, allowMissingColumns=True)
+        if base_df is not None:
+            cols = list(base_df.columns) + [c for c in stacked.columns
+                                            if c not in base_df.columns and c != SEQ]
+        else:
+            cols = [c for c in stacked.columns if c != SEQ]
+        if not ks:  # appends only
+            out = stacked.drop(SEQ)
+            return (base_df.unionByName(out, allowMissingColumns=True) if base_df is not None
+                    else out).select(*cols)
+        keyed = {int(r["version"]) for r in layers if r["key_cols"]}
+        not_null = F.lit(True)
+        for k in ks:
+            not_null = not_null & F.col(k).isNotNull()
+        last = (stacked.where(F.col(SEQ).isin(*keyed) & not_null)
+                .groupBy(*ks).agg(F.max(SEQ).alias(LAST)))
+        kept_layers = (stacked.join(last, ks, "left")
+                       .where(F.col(LAST).isNull() | (F.col(LAST) <= F.col(SEQ)))
+                       .drop(SEQ, LAST))
+        if base_df is None:
+            return kept_layers.select(*cols)
+        kept_base = base_df.join(last.select(*ks), ks, "left_anti")
+        return kept_base.unionByName(kept_layers, allowMissingColumns=True).select(*cols)
+
+    # ----------------------------------------------------------------- write
+    def _commit(self, version: int, rows, committed_at, kind: str, key_cols,
+                tag: str | None = None) -> None:
+        entry = self.spark.createDataFrame(
+            [(int(version), rows, committed_at, kind, key_cols, tag)], COMMIT_SCHEMA)
+        entry.coalesce(1).write.mode("append").parquet(os.path.join(self.root, COMMITS))
+
     def write(self, df: DataFrame, version: int, rows: int | None = None,
-              committed_at: _dt.datetime | None = None, check: bool = True) -> int:
-        """Write ``df`` as ``version`` and commit it. Re-running a version
-        that never committed overwrites its folder. ``check=False`` skips
-        the lookup when the caller already knows the latest version."""
+              committed_at: _dt.datetime | None = None, check: bool = True,
+              tag: str | None = None) -> int:
+        """Write ``df`` as the whole table (a base) at ``version``."""
         if check and self.committed(version):
             raise ValueError(f"version {version} of {self.root} is already committed")
         df.write.mode("overwrite").parquet(self.version_path(version))
-        entry = self.spark.createDataFrame(
-            [(int(version), rows, committed_at)], COMMIT_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(os.path.join(self.root, COMMITS))
+        self._commit(version, rows, committed_at, BASE, None, tag)
         return version
 
+    def write_layer(self, batch: DataFrame, version: int, key: str | Sequence[str] | None,
+                    rows: int | None = None, committed_at: _dt.datetime | None = None,
+                    check: bool = True, tag: str | None = None) -> int:
+        """Upsert ``batch`` as a layer: later reads drop earlier rows whose
+        key it holds (``key=None``: a plain append)."""
+        if check and self.committed(version):
+            raise ValueError(f"version {version} of {self.root} is already committed")
+        batch.write.mode("overwrite").parquet(self.version_path(version))
+        ks = _keys(key)
+        self._commit(version, rows, committed_at, LAYER, ",".join(ks) if ks else None, tag)
+        return version
+
+    def compact(self, version: int | None = None, committed_at: _dt.datetime | None = None) -> int:
+        """Fold the layers into a new base (the resolved table)."""
+        v = self.next_version() if version is None else version
+        return self.write(self.read(), v, None, committed_at, check=False)
+
     def ensure(self, schema: T.StructType, committed_at: _dt.datetime | None = None) -> None:
         """Create the table empty with ``schema`` if it has no version (K1)."""
         if not self.exists():

@@ -16,25 +16,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.operators.upsert import upsert_last_wins
+from tidemark.operators.upsert import dedup_last_wins
 from tidemark.plans.tables import VersionedTable
 from tidemark.session import checkpoint_dir
 
 
 def upsert_batch(spark: SparkSession, target_root: str, key: str | Sequence[str],
-                 order_cols: Sequence[str]):
-    """The ``foreachBatch`` function: idempotent per batch id."""
+                 order_cols: Sequence[str], compact_every: int = 8):
+    """The ``foreachBatch`` function: idempotent per batch id.
+
+    Each micro-batch is deduplicated (last wins) and written as one layer
+    of the target, so its cost follows the micro-batch, not the table."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         vt = VersionedTable(spark, target_root)
-        version = int(batch_id) + 1
-        if vt.committed(version):
+        tag = f"batch:{int(batch_id)}"
+        if vt.has_tag(tag):
             return  # replayed micro-batch, already applied
-        if vt.exists():
-            current = vt.read()
-        else:
-            current = spark.createDataFrame([], batch.schema)
-        vt.write(upsert_last_wins(current, batch, key, order_cols), version)
+        latest = vt.latest_version()
+        layer = dedup_last_wins(batch, key, order_cols)
+        if latest is None:
+            vt.write(layer, 0, check=False, tag=tag)
+            return
+        vt.write_layer(layer, latest + 1, key, check=False, tag=tag)
+        if compact_every and vt.layers_since_base() >= compact_every:
+            vt.compact()
 
     return apply
 
