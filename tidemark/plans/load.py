@@ -1,8 +1,8 @@
 """One load of one pipeline, end to end.
 
 high-water mark -> incremental read -> project, upper-case, cast ->
-stage the batch once -> detect and heal drift -> upsert into a new
-target version -> volume check -> run record.
+stage the batch once -> detect and heal drift -> upsert the batch as a new
+layer of the target -> volume check -> run record.
 
 The source is read exactly once: the batch is written to a staging folder
 under the shared checkpoint directory (counted by an ``Observation`` on
