@@ -48,17 +48,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting is used as given. Only when it is unset (local
-    tests) do we make a folder of our own and register it.
+    tests) do we make a folder of our own and register it. Works on a
+    classic session and on a Spark Connect session (no SparkContext there).
     """
-    sc = spark.sparkContext
-    configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        sc = None
+    configured = sc.getCheckpointDir() if sc is not None else None
     if not configured:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    if not sc.getCheckpointDir():
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:
+            pass
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
