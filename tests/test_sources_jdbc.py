@@ -51,3 +51,11 @@ def test_connection_urls_and_warehouse_options():
     assert o["sfDatabase"] == "ANALYTICS" and o["dbtable"] == "ORDERS" and o["sfWarehouse"] == "WH"
     with pytest.raises(ValueError):
         Connection("snowflake").jdbc_url()
+
+
+def test_catalog_queries_per_database():
+    assert "table_schema = 'public'" in RD.catalog_query(Connection("postgresql"))
+    assert "table_schema = 'dbo'" in RD.catalog_query(Connection("sqlserver"))
+    assert "table_schema = 'shop'" in RD.catalog_query(Connection("mysql", db_name="shop"))
+    assert "owner = 'APP'" in RD.catalog_query(Connection("oracle", user="app"))
+    assert "table_schema = 'x''y'" in RD.catalog_query(Connection("postgresql"), "x'y")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,7 +27,7 @@ from tidemark.operators import runs as R
 from tidemark.operators import schema as S
 from tidemark.operators import upsert as U
 from tidemark.plans.tables import VersionedTable
-from tidemark.session import checkpoint_dir
+from tidemark.session import checkpoint_dir, path_exists
 from tidemark.sources.connection import Connection
 from tidemark.sources.readers import (
     ParquetSource, read_incremental, read_partitioned, read_table,
@@ -150,16 +150,19 @@ def volume_check(runs: DataFrame | None, pipeline_id: int, rows: int,
 
 def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: int,
              runs: DataFrame | None = None, run_log: str | None = None,
-             drift_log_path: str | None = None) -> LoadResult:
+             drift_log_path: str | None = None,
+             clock: Callable[[], _dt.datetime] | None = None) -> LoadResult:
     """Run one load. ``runs`` is the run history used for the mark and the
     volume check; ``run_log`` (optional) receives run patches and
-    ``drift_log_path`` drift events."""
+    ``drift_log_path`` drift events. Run events are stamped with ``clock()``
+    when given, else with ``as_of`` (deterministic)."""
     # The opening patch is written at once (the run shows as running); the
     # phase patches are kept and written with the closing one, in one file.
     pending: list[tuple] = []
 
     def patch(**kw):
-        pending.append(_patch_row(run_id, len(pending), as_of, spec.pipeline_id, kw))
+        at = clock() if clock is not None else as_of
+        pending.append(_patch_row(run_id, len(pending), at, spec.pipeline_id, kw))
 
     def flush():
         if run_log:
@@ -269,6 +272,8 @@ def _only_new_drift(spark: SparkSession, events: DataFrame, log_path: str,
                     pipeline_id: int) -> DataFrame:
     """Drop events already pending for the same column and change (Q11)."""
     from pyspark.errors import AnalysisException
+    if path_exists(spark, log_path) is False:
+        return events
     try:
         logged = spark.read.parquet(log_path).where(F.col("pipeline_id") == pipeline_id)
     except AnalysisException:

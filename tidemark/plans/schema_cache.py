@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.schema import suggest_watermark
+from tidemark.session import path_exists
 
 CACHE_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -34,9 +35,13 @@ class SchemaCache:
 
     def read(self, connection_id: int) -> DataFrame:
         """One connection's cached columns, by table then column name."""
-        try:
-            df = self.spark.read.schema(CACHE_SCHEMA).parquet(self.path)
-        except AnalysisException:
+        df = None
+        if path_exists(self.spark, self.path) is not False:
+            try:
+                df = self.spark.read.schema(CACHE_SCHEMA).parquet(self.path)
+            except AnalysisException:
+                df = None
+        if df is None:
             df = self.spark.createDataFrame([], CACHE_SCHEMA)
         return (df.where(F.col("connection_id") == F.lit(connection_id).cast("bigint"))
                 .orderBy("table_name", "column_name"))

@@ -42,6 +42,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import path_exists
+
 COMMITS = "_commits"
 BASE, LAYER = "base", "layer"
 COMMIT_SCHEMA = T.StructType([
@@ -69,8 +71,11 @@ class VersionedTable:
 
     # ------------------------------------------------------------ commit log
     def _commits(self) -> DataFrame | None:
+        path = os.path.join(self.root, COMMITS)
+        if path_exists(self.spark, path) is False:
+            return None
         try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(os.path.join(self.root, COMMITS))
+            return self.spark.read.schema(COMMIT_SCHEMA).parquet(path)
         except AnalysisException:
             return None
 

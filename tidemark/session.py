@@ -98,3 +98,16 @@ def materialize(df, path: str, count: bool = False):
         return spark.read.parquet(path), int(obs.get.get("n", 0))
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists on the cluster's file system (any Hadoop
+    file system: HDFS, object stores, local). None when it cannot be asked
+    (Spark Connect); callers then try the read."""
+    try:
+        jvm = spark._jvm  # classic sessions only
+        conf = spark._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(conf).exists(p))
+    except Exception:
+        return None
