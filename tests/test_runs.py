@@ -145,3 +145,20 @@ def test_platform_stats_counts(spark):
     r = R.platform_stats(pipes, conns, runs, drift, as_of).first().asDict()
     assert r == {"total_pipelines": 1, "total_connections": 1, "runs_today": 1,
                  "failed_today": 1, "anomalies_7d": 2, "drift_pending": 1}
+
+
+def test_auto_mode_switches_on_large_groups(spark):
+    counts = {1: [10] * 60, 2: [10, 20, 30]}
+    runs = mk_runs(spark, counts)
+    small = R.volume_anomaly(runs, max_group_rows=50, block_rows=20)   # 60 > 50: skew-safe
+    plain = R.volume_anomaly(runs)                                      # far below: window
+    assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "_blk" in plan or "rn" in plan
+
+
+def test_dedup_is_reduced_before_the_shuffle(spark):
+    from tidemark.operators.upsert import dedup_last_wins
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id AS seq")
+    plan = dedup_last_wins(df, "k", ["seq"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan

@@ -30,6 +30,11 @@ PAGE_SIZE = 10
 ANOMALY_FEED_SIZE = 6
 # --- end of fixed values -----------------------------------------------------
 
+# Above this many complete runs in one pipeline the volume check switches to
+# the skew-safe plan (a task sorting a million short rows is still cheap).
+MAX_GROUP_ROWS = 1_000_000
+
+
 def _newest() -> list[Column]:
     """Newest first, as the run history is listed: nulls first, like a
     descending order in the reference's database."""
@@ -139,8 +144,9 @@ def recent_for_pipeline(runs: DataFrame, pipeline_id, n: int = RECENT_RUNS_LIMIT
 def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
                    lower_pct: int = VOLUME_LOWER_PCT,
                    thresholds: DataFrame | None = None,
-                   history: int = VOLUME_HISTORY_RUNS, skew_safe: bool = True,
-                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                   history: int = VOLUME_HISTORY_RUNS, skew_safe: bool | str = "auto",
+                   block_rows: int = DEFAULT_BLOCK_ROWS,
+                   max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Flag each complete run whose row count is outside the band around the
     mean of the previous ``history`` complete runs of its pipeline.
 
@@ -149,15 +155,21 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
     flagged. ``thresholds`` (id, volume_alert_upper_pct,
     volume_alert_lower_pct) overrides the bounds per pipeline.
 
-    ``skew_safe`` (default) numbers each pipeline's runs with
+    ``skew_safe=True`` numbers each pipeline's runs with
     ``group_row_number`` and evaluates the trailing frame in blocks, so a
-    pipeline holding most runs is spread over many tasks; without it a
-    plain window partitioned by pipeline is used.
+    pipeline holding most runs is spread over many tasks; ``False`` uses a
+    plain window partitioned by pipeline. ``"auto"`` (default) counts the
+    complete runs per pipeline first (one partial aggregate over two
+    columns) and takes the skew-safe path when any pipeline has more than
+    ``max_group_rows`` of them, i.e. when one task would hold too much.
     """
     done = runs.where(F.col("status") == "complete").select(
         "run_id", "pipeline_id", "started_at", "rows_loaded")
     rows0 = F.coalesce(F.col("rows_loaded"), F.lit(0))
     aggs = {"history_runs": F.count(F.lit(1)), "avg_prev": F.avg(rows0)}
+    if skew_safe == "auto":
+        top = done.groupBy("pipeline_id").count().agg(F.max("count").alias("m")).first()["m"]
+        skew_safe = top is not None and top > max_group_rows
     if skew_safe:
         numbered = group_row_number(done, "pipeline_id", ["started_at", "run_id"])
         scored = trailing_frame(numbered, "pipeline_id", "rn", history, aggs, block_rows).drop("rn")

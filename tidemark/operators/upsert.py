@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -65,28 +65,21 @@ def dedup_last_wins(batch: DataFrame, key: str | Sequence[str],
     """One row per non-null key: the row that sorts first by ``order_cols``
     descending (nulls last). Rows with a null key are all kept.
 
-    Written as a grouped ``max`` of a struct (order columns first) instead of
-    a window: the aggregate combines map-side, so a key holding a third of
-    the batch is reduced in every map task before anything is shuffled.
+    ``row_number() = 1`` lets Catalyst put a partial WindowGroupLimit in
+    front of the shuffle: every map task keeps one row per key, so a key
+    holding a third of the batch is reduced before anything is exchanged.
     The order must be unique within a key for the result to be deterministic.
     """
     ks = _keys(key)
-    payload = [c for c in batch.columns if c not in ks]
-    order = [_order_col(c) for c in order_cols]
+    order = [_order_col(c).desc_nulls_last() for c in order_cols]
     not_null = None
     for k in ks:
         c = F.col(k).isNotNull()
         not_null = c if not_null is None else not_null & c
-    with_key = batch.where(not_null)
-    best = F.max(F.struct(
-        F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("ord"),
-        F.struct(*[F.col(c) for c in payload]).alias("row"),
-    )).alias("best")
-    deduped = (with_key.groupBy(*ks).agg(best)
-               .select(*ks, *[F.col(f"best.row.{c}").alias(c) for c in payload])
-               .select(*batch.columns))
-    null_keyed = batch.where(~not_null)
-    return deduped.unionByName(null_keyed)
+    w = Window.partitionBy(*ks).orderBy(*order)
+    deduped = (batch.where(not_null).withColumn("_tm_rn", F.row_number().over(w))
+               .where(F.col("_tm_rn") == 1).drop("_tm_rn"))
+    return deduped.unionByName(batch.where(~not_null))
 
 
 def upsert_last_wins(target: DataFrame, batch: DataFrame, key: str | Sequence[str],
