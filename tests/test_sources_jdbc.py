@@ -59,3 +59,29 @@ def test_catalog_queries_per_database():
     assert "table_schema = 'shop'" in RD.catalog_query(Connection("mysql", db_name="shop"))
     assert "owner = 'APP'" in RD.catalog_query(Connection("oracle", user="app"))
     assert "table_schema = 'x''y'" in RD.catalog_query(Connection("postgresql"), "x'y")
+
+
+def test_run_load_from_jdbc_source(spark, derby, tmp):
+    import os
+    from tidemark.operators.runs import run_state
+    from tidemark.plans.load import LoadSpec, run_load
+    from tidemark.plans.tables import VersionedTable
+    target, log = os.path.join(tmp, "target"), os.path.join(tmp, "log")
+    spec = LoadSpec(pipeline_id=4, source=derby, source_table="SRC", target_path=target,
+                    watermark_column="updated_at", merge_key="id", mode="full")
+    r1 = run_load(spark, spec, T0 + dt.timedelta(hours=48), run_id=1, run_log=log)
+    assert r1.rows_loaded == 100
+    # the source changes: ids 95..100 updated, 101 added
+    changed = spark.createDataFrame(
+        [(i, f"new{i}", T0 + dt.timedelta(hours=200)) for i in range(95, 102)],
+        "id int, name string, updated_at timestamp")
+    (changed.write.format("jdbc").options(**derby.jdbc_options()).option("dbtable", "SRC")
+     .mode("append").save())
+    import dataclasses
+    hist = run_state(spark.read.parquet(log))
+    r2 = run_load(spark, dataclasses.replace(spec, mode="incremental", upsert="last_wins",
+                                             order_cols=("updated_at",)),
+                  T0 + dt.timedelta(hours=300), run_id=2, runs=hist, run_log=log)
+    assert r2.rows_loaded == 53 + 7  # ids 48..100 at or after the mark, plus the 7 new rows
+    out = {r["ID"]: r["NAME"] for r in VersionedTable(spark, target).read().collect()}
+    assert len(out) == 101 and out[101] == "new101" and out[95] == "new95" and out[1] == "n1"
