@@ -517,6 +517,29 @@ WHERE is_active ORDER BY created_at DESC NULLS FIRST, id DESC NULLS FIRST LIMIT
         ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
         + " FROM m",
 
+    "dependency_lists": _with(DEPS) + """SELECT pipeline_id, CAST(COUNT(*) AS INTEGER) AS n_prerequisites,
+       string_agg(CAST(depends_on_id AS VARCHAR), ',' ORDER BY depends_on_id) AS depends_on
+FROM deps GROUP BY pipeline_id""",
+
+    "drift_counts": _with(DRIFT) + """SELECT change_type, status, COUNT(*) AS n FROM ds
+GROUP BY change_type, status""",
+
+    "missing_connections": _with(PIPELINES, CONNECTIONS, SCHEDULES, TARGET_CONNECTIONS,
+                                 f"ex AS ({_EXPORT})") + """SELECT DISTINCT name FROM (
+  SELECT source_connection_name AS name FROM ex
+  UNION ALL SELECT destination_connection_name FROM ex) n
+WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM tconn)""",
+
+    "run_page_count": _with(RUNS) + """SELECT CAST(ceil(COUNT(*) / 10) AS BIGINT) AS total_pages
+FROM runs WHERE status = 'failed'""",
+
+    "run_totals": _with(RUNS, _va(False), RF) + """SELECT COUNT(*) AS total,
+       COUNT(*) FILTER (WHERE status = 'complete') AS complete,
+       COUNT(*) FILTER (WHERE status = 'failed') AS failed,
+       COUNT(*) FILTER (WHERE status = 'running') AS running,
+       COUNT(*) FILTER (WHERE volume_anomaly_flag) AS anomalies
+FROM rf""",
+
     "cached_schema": _with(SCHEMA_COLS) + """SELECT table_name, column_name, ordinal_position,
        data_type, is_suggested_watermark, CAST(1 AS BIGINT) AS connection_id FROM sw""",
 }

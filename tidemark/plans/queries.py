@@ -311,6 +311,30 @@ def cached_schema_q(spark, sf):
     return cached_schema(cache, 1, lambda: _schema_cols(spark, sf))
 
 
+def dependency_lists(spark, sf):
+    lists = graph.dependency_lists(_deps(spark, sf))
+    return lists.select("pipeline_id", F.size("depends_on").alias("n_prerequisites"),
+                        F.array_join(F.col("depends_on").cast("array<string>"), ",")
+                        .alias("depends_on"))
+
+
+def drift_counts(spark, sf):
+    return S.drift_counts(_drift_state(spark, sf))
+
+
+def missing_connections(spark, sf):
+    return cfg.missing_connection_names(export_pipelines(spark, sf),
+                                        V.target_connections(_t(spark, sf, "nation")))
+
+
+def run_page_count(spark, sf):
+    return R.page_count(_runs(spark, sf), status="failed")
+
+
+def run_totals(spark, sf):
+    return R.run_status_totals(_flagged(spark, sf))
+
+
 def stream_upsert(spark, sf):
     from tidemark.streaming.upsert_stream import stream_upsert_table
     return stream_upsert_table(spark, sf)
@@ -360,5 +384,10 @@ QUERIES: dict[str, Query] = {
     "recent_pipelines": recent_pipelines,
     "stream_upsert": stream_upsert,
     "run_load": run_load_q,
+    "dependency_lists": dependency_lists,
+    "drift_counts": drift_counts,
+    "missing_connections": missing_connections,
+    "run_page_count": run_page_count,
+    "run_totals": run_totals,
     "cached_schema": cached_schema_q,
 }
