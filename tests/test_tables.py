@@ -74,3 +74,17 @@ def test_random_layer_sequences(spark, batches, last_wins):
             eager = U.upsert_delete_insert(eager, b, "id")
         vt.write_layer(layer, i, "id")
     assert rows(vt.read()) == rows(eager)
+
+
+def test_compaction_policy(spark, tmp):
+    vt = VersionedTable(spark, os.path.join(tmp, "t"))
+    vt.write(spark.range(100).selectExpr("id", "'a' AS v", "0 AS seq"), 0)
+    assert not vt.should_compact()
+    vt.write_layer(spark.range(10).selectExpr("id", "'b' AS v", "1 AS seq"), 1, "id")
+    assert not vt.should_compact(ratio=0.25)            # 10 rows of 100
+    vt.write_layer(spark.range(20).selectExpr("id", "'c' AS v", "2 AS seq"), 2, "id")
+    assert vt.should_compact(ratio=0.25)                # 30 rows of 100
+    assert not vt.should_compact(max_layers=5, ratio=0.5)
+    assert vt.should_compact(max_layers=1, ratio=0.5)
+    vt.compact()
+    assert not vt.should_compact() and vt.read().count() == 100

@@ -61,7 +61,8 @@ class LoadSpec:
     jdbc_partitions: int = 8
     upper_case: bool = True
     mark: str = "run_end"              # or "max_seen": highest watermark value loaded
-    compact_every: int = 8             # fold layers into a new base after this many
+    compact_max_layers: int = 32       # fold layers into a new base after this many,
+    compact_ratio: float = 0.25        # or once they hold this share of the base's rows
 
 
 @dataclass
@@ -253,7 +254,7 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
                 # K3/K4/K5: only the batch is written; reads resolve the keys
                 version = vt.write_layer(staged, nxt, key if keyed else None, rows, as_of,
                                          check=False, tag=tag)
-                if spec.compact_every and vt.layers_since_base() >= spec.compact_every:
+                if vt.should_compact(spec.compact_max_layers, spec.compact_ratio):
                     vt.compact(committed_at=as_of)
 
         anomaly, pct = volume_check(runs, spec.pipeline_id, rows, spec.upper_pct, spec.lower_pct)

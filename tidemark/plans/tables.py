@@ -24,8 +24,9 @@ layers only, small next to the base) that is one anti join for the base
 and one left join plus filter for the layers, however many layers there
 are; AQE broadcasts ``last`` when its measured size allows. Null keys
 never match, so null-keyed rows always survive. ``compact`` folds the
-layers into a new base; ``run_load`` does so every ``compact_every``
-layers. Unkeyed layers are plain appends.
+layers into a new base; ``should_compact`` asks for it once the layers
+hold a quarter of the base's rows or number more than 32. Unkeyed layers
+are plain appends.
 
 Everything goes through Spark's own readers and writers, so the root can be
 any shared file system the cluster uses. One writer per table at a time.
@@ -37,8 +38,10 @@ import datetime as _dt
 import os
 from collections.abc import Sequence
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,6 +127,24 @@ class VersionedTable:
     def layers_since_base(self) -> int:
         return sum(1 for r in self._active() if r["kind"] == LAYER)
 
+    def should_compact(self, max_layers: int = 32, ratio: float = 0.25) -> bool:
+        """Compaction policy: the layers hold at least ``ratio`` of the base's
+        rows (reads pay for every layered row), or there are more than
+        ``max_layers`` layers. A rewrite is thus amortised over loads
+        worth a quarter of the table, whatever its size."""
+        active = self._active()
+        layers = [r for r in active if r["kind"] == LAYER]
+        if not layers:
+            return False
+        if len(layers) > max_layers:
+            return True
+        base = [r for r in active if r["kind"] == BASE]
+        base_rows = base[0]["rows"] if base else 0
+        layer_rows = [r["rows"] for r in layers]
+        if base_rows is None or any(n is None for n in layer_rows):
+            return False
+        return sum(layer_rows) >= ratio * max(base_rows, 1)
+
     # ------------------------------------------------------------------ read
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of the latest commit (or as one stored version when
@@ -186,10 +207,20 @@ class VersionedTable:
         """Write ``df`` as the whole table (a base) at ``version``."""
         if check and self.committed(version):
             raise ValueError(f"version {version} of {self.root} is already committed")
-        df.write.mode("overwrite").parquet(self.version_path(version))
+        rows = self._write_counted(df, version, rows)
         self._commit(version, rows, committed_at, BASE, None, tag)
         return version
 
+    def _write_counted(self, df: DataFrame, version: int, rows: int | None) -> int:
+        """Write a version's files; the row count is observed in the same pass."""
+        if rows is not None:
+            df.write.mode("overwrite").parquet(self.version_path(version))
+            return rows
+        obs = Observation(f"rows-{os.path.basename(self.root)}-{int(version)}-{uuid.uuid4().hex[:8]}")
+        (df.observe(obs, F.count(F.lit(1)).alias("n"))
+         .write.mode("overwrite").parquet(self.version_path(version)))
+        return int(obs.get.get("n", 0))
+
     def write_layer(self, batch: DataFrame, version: int, key: str | Sequence[str] | None,
                     rows: int | None = None, committed_at: _dt.datetime | None = None,
                     check: bool = True, tag: str | None = None) -> int:
@@ -197,7 +228,7 @@ class VersionedTable:
         key it holds (``key=None``: a plain append)."""
         if check and self.committed(version):
             raise ValueError(f"version {version} of {self.root} is already committed")
-        batch.write.mode("overwrite").parquet(self.version_path(version))
+        rows = self._write_counted(batch, version, rows)
         ks = _keys(key)
         self._commit(version, rows, committed_at, LAYER, ",".join(ks) if ks else None, tag)
         return version

@@ -22,7 +22,8 @@ from tidemark.session import checkpoint_dir
 
 
 def upsert_batch(spark: SparkSession, target_root: str, key: str | Sequence[str],
-                 order_cols: Sequence[str], compact_every: int = 8):
+                 order_cols: Sequence[str], compact_max_layers: int = 32,
+                 compact_ratio: float = 0.25):
     """The ``foreachBatch`` function: idempotent per batch id.
 
     Each micro-batch is deduplicated (last wins) and written as one layer
@@ -39,7 +40,7 @@ def upsert_batch(spark: SparkSession, target_root: str, key: str | Sequence[str]
             vt.write(layer, 0, check=False, tag=tag)
             return
         vt.write_layer(layer, latest + 1, key, check=False, tag=tag)
-        if compact_every and vt.layers_since_base() >= compact_every:
+        if vt.should_compact(compact_max_layers, compact_ratio):
             vt.compact()
 
     return apply
