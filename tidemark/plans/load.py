@@ -14,10 +14,11 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,7 +204,7 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
             batch = upper_columns(batch)
         stage = os.path.join(checkpoint_dir(spark), "stage",
                              f"pipeline={spec.pipeline_id}", f"run={run_id}")
-        obs = Observation(f"extract_{spec.pipeline_id}_{run_id}")
+        obs = Observation(f"extract_{spec.pipeline_id}_{run_id}_{uuid.uuid4().hex[:8]}")
         metrics = [F.count(F.lit(1)).alias("rows")]
         wm_out = None
         if spec.watermark_column and spec.watermark_column in src.columns:
@@ -236,23 +237,26 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
                     events = (drift.withColumn("pipeline_id", F.lit(spec.pipeline_id).cast("bigint"))
                               .withColumn("detected_at", ts_lit(as_of))
                               .withColumn("id", F.lit(run_id).cast("bigint") * 10000
-                                          + F.monotonically_increasing_id()))
+                                          + F.row_number().over(
+                                              Window.orderBy("column_name", "change_type"))))
                     events = _only_new_drift(spark, events, drift_log_path, spec.pipeline_id)
                     events.write.mode("append").parquet(drift_log_path)
                 # Dropped columns become null, existing types are kept,
                 # added columns travel with the batch (read unions by name)
                 staged = S.align_batch(staged, current)
             keyed = spec.upsert != "append" and bool(key) and key in staged.columns
+            layer_rows = rows
             if keyed and spec.upsert == "last_wins":
                 order = [c.upper() if spec.upper_case else c for c in spec.order_cols] or [key]
                 staged = U.dedup_last_wins(staged, key, order)
+                layer_rows = None  # counted while the deduplicated layer is written
             nxt = 0 if latest is None else max(latest + 1, run_id)
             if latest is None:
                 # K1: the first load creates the table with the batch's schema
-                version = vt.write(staged, nxt, rows, as_of, check=False, tag=tag)
+                version = vt.write(staged, nxt, layer_rows, as_of, check=False, tag=tag)
             else:
                 # K3/K4/K5: only the batch is written; reads resolve the keys
-                version = vt.write_layer(staged, nxt, key if keyed else None, rows, as_of,
+                version = vt.write_layer(staged, nxt, key if keyed else None, layer_rows, as_of,
                                          check=False, tag=tag)
                 if vt.should_compact(spec.compact_max_layers, spec.compact_ratio):
                     vt.compact(committed_at=as_of)
