@@ -153,3 +153,23 @@ def test_resolve_drift_and_schema_cache(spark, tmp):
     assert len(calls) == 2  # served from the cache
     cached_schema(cache, 1, discover([("t", "x", 1, "text"), ("t", "y", 2, "text")]), refresh=True)
     assert cache.read(1).count() == 2 and cache.read(2).count() == 1  # other connection kept
+
+
+def test_cast_issues_reported_in_the_same_pass(spark, tmp):
+    src_root = os.path.join(tmp, "src")
+    spark.createDataFrame([(1, 1e20, "x" * 501), (2, 1.5, "ok")], "id long, amount double, name string") \
+        .write.parquet(os.path.join(src_root, "items.parquet"))
+    defs = (("id", "bigint"), ("amount", "numeric"), ("name", "character varying"))
+    spec = LoadSpec(pipeline_id=1, source=ParquetSource(src_root), source_table="items",
+                    target_path=os.path.join(tmp, "t"), mode="full", col_defs=defs)
+    r = run_load(spark, spec, T0, run_id=1)
+    assert r.cast_issues == {"amount": {"n_failed": 1, "n_too_long": 0},
+                             "name": {"n_failed": 0, "n_too_long": 1}}
+    import dataclasses
+    strict = dataclasses.replace(spec, target_path=os.path.join(tmp, "t2"), on_cast_error="fail")
+    try:
+        run_load(spark, strict, T0, run_id=2)
+        raise AssertionError("expected failure")
+    except ValueError:
+        pass
+    assert not VersionedTable(spark, strict.target_path).exists()

@@ -159,6 +159,21 @@ def cast_to_target(df: DataFrame, col_defs: Iterable[tuple[str, str]]) -> DataFr
     return df.select(*[cast_column(df, n, target_type_for(t)) for n, t in col_defs])
 
 
+def cast_metrics(df: DataFrame, col_defs: Iterable[tuple[str, str]]) -> list[Column]:
+    """Aggregates counting, per column, values the target type cannot hold
+    (``<col>__f``) and over-long VARCHAR values (``<col>__l``); usable in
+    ``agg`` or in an ``Observation`` riding along another pass."""
+    out = []
+    for n, t in col_defs:
+        target = target_type_for(t)
+        present = F.col(n).isNotNull()
+        out.append(F.count_if(present & cast_column(df, n, target).isNull()).alias(f"{n}__f"))
+        if target.startswith("VARCHAR"):
+            out.append(F.count_if(F.char_length(F.col(n).cast("string")) > VARCHAR_LIMIT)
+                       .alias(f"{n}__l"))
+    return out
+
+
 def cast_report(df: DataFrame, col_defs: Iterable[tuple[str, str]]) -> DataFrame:
     """Per column: values present, values the target type cannot hold, and
     VARCHAR values longer than the limit. One scan, one partial aggregate.

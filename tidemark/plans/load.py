@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.exprs import ERROR_TEXT_LIMIT, minus_interval, ts_lit
-from tidemark.functions.types import cast_to_target, source_type_name
+from tidemark.functions.types import cast_metrics, cast_to_target, source_type_name
 from tidemark.operators import runs as R
 from tidemark.operators import schema as S
 from tidemark.operators import upsert as U
@@ -64,6 +64,7 @@ class LoadSpec:
     mark: str = "run_end"              # or "max_seen": highest watermark value loaded
     compact_max_layers: int = 32       # fold layers into a new base after this many,
     compact_ratio: float = 0.25        # or once they hold this share of the base's rows
+    on_cast_error: str = "null"        # "null": report and load null; "fail": stop before the target
 
 
 @dataclass
@@ -78,6 +79,7 @@ class LoadResult:
     drift: list[dict] = field(default_factory=list)
     error_message: str | None = None
     max_seen: str | None = None
+    cast_issues: dict = field(default_factory=dict)
 
     @property
     def n_added(self) -> int:
@@ -196,24 +198,30 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
                     since = row["m"]
         patch(phase_completed=1)
 
-        # extract, project, cast, stage once
+        # extract, project, cast, stage once (S2 P1 P2 P3 K10); the row count,
+        # the highest watermark value and the values the target types cannot
+        # hold are all observed in that same single pass
         src = read_incremental(spark, spec.source, spec.source_table, wm, since, df=base)
         defs = list(spec.col_defs) if spec.col_defs else _source_defs(src)
-        batch = cast_to_target(src, defs)
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if spec.watermark_column and spec.watermark_column in src.columns:
+            metrics.append(F.max(F.col(spec.watermark_column)).cast("string").alias("max_seen"))
+        metrics += cast_metrics(src, defs)
+        obs = Observation(f"extract_{spec.pipeline_id}_{run_id}_{uuid.uuid4().hex[:8]}")
+        batch = cast_to_target(src.observe(obs, *metrics), defs)
         if spec.upper_case:
             batch = upper_columns(batch)
         stage = os.path.join(checkpoint_dir(spark), "stage",
                              f"pipeline={spec.pipeline_id}", f"run={run_id}")
-        obs = Observation(f"extract_{spec.pipeline_id}_{run_id}_{uuid.uuid4().hex[:8]}")
-        metrics = [F.count(F.lit(1)).alias("rows")]
-        wm_out = None
-        if spec.watermark_column and spec.watermark_column in src.columns:
-            wm_out = spec.watermark_column.upper() if spec.upper_case else spec.watermark_column
-            metrics.append(F.max(F.col(wm_out)).cast("string").alias("max_seen"))
-        batch.observe(obs, *metrics).write.mode("overwrite").parquet(stage)
+        batch.write.mode("overwrite").parquet(stage)
         got = obs.get
         rows = int(got.get("rows", 0))
         max_seen = got.get("max_seen")
+        issues = {n: {"n_failed": int(got.get(f"{n}__f", 0)), "n_too_long": int(got.get(f"{n}__l", 0))}
+                  for n, _ in defs
+                  if got.get(f"{n}__f", 0) or got.get(f"{n}__l", 0)}
+        if issues and spec.on_cast_error == "fail":
+            raise ValueError(f"values the target types cannot hold: {issues}")
         patch(phase_completed=2)
 
         version = None
@@ -266,7 +274,7 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
               volume_anomaly_flag=anomaly, max_seen=max_seen)
         flush()
         return LoadResult(run_id, "complete", rows, anomaly, pct, since, version, drift_rows,
-                          max_seen=max_seen)
+                          max_seen=max_seen, cast_issues=issues)
     except Exception as e:  # recorded, then raised as the reference does
         patch(status="failed", error_message=str(e))
         flush()
