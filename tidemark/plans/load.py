@@ -62,8 +62,8 @@ class LoadSpec:
     jdbc_partitions: int = 8
     upper_case: bool = True
     mark: str = "run_end"              # or "max_seen": highest watermark value loaded
-    compact_max_layers: int = 32       # fold layers into a new base after this many,
-    compact_ratio: float = 0.25        # or once they hold this share of the base's rows
+    compact_max_layers: int = 16       # fold layers into a new base after this many,
+    compact_ratio: float = 0.1         # or once they hold this share of the base's rows
     on_cast_error: str = "null"        # "null": report and load null; "fail": stop before the target
 
 

@@ -20,12 +20,14 @@ not the target. Reading resolves the layers written since the last base:
 * a layer row survives unless a later keyed layer holds its key.
 
 With ``last`` = the highest layer holding each key (an aggregate over the
-layers only, small next to the base) that is one anti join for the base
-and one left join plus filter for the layers, however many layers there
-are; AQE broadcasts ``last`` when its measured size allows. Null keys
+layers only, small next to the base) and the base numbered below every
+layer, that is one left join plus a filter over base and layers together,
+however many layers there are. ``last`` is broadcast when the commit log's
+row counts prove it small; otherwise AQE plans the join from measured
+sizes. Null keys
 never match, so null-keyed rows always survive. ``compact`` folds the
 layers into a new base; ``should_compact`` asks for it once the layers
-hold a quarter of the base's rows or number more than 32. Unkeyed layers
+hold a tenth of the base's rows or number more than 16. Unkeyed layers
 are plain appends.
 
 Everything goes through Spark's own readers and writers, so the root can be
@@ -59,6 +61,10 @@ COMMIT_SCHEMA = T.StructType([
 ])
 SEQ = "_tm_seq"
 LAST = "_tm_last"
+# The layers' key set is broadcast to the base's anti join when the commit
+# log proves it has at most this many rows (a hashed relation of ~2M keys is
+# tens of MB); beyond that AQE plans the join from measured sizes.
+BROADCAST_KEY_ROWS = 2_000_000
 
 
 def _keys(key) -> list[str]:
@@ -68,9 +74,11 @@ def _keys(key) -> list[str]:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str,
+                 broadcast_key_rows: int = BROADCAST_KEY_ROWS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.broadcast_key_rows = broadcast_key_rows
 
     # ------------------------------------------------------------ commit log
     def _commits(self) -> DataFrame | None:
@@ -127,11 +135,11 @@ class VersionedTable:
     def layers_since_base(self) -> int:
         return sum(1 for r in self._active() if r["kind"] == LAYER)
 
-    def should_compact(self, max_layers: int = 32, ratio: float = 0.25) -> bool:
+    def should_compact(self, max_layers: int = 16, ratio: float = 0.1) -> bool:
         """Compaction policy: the layers hold at least ``ratio`` of the base's
         rows (reads pay for every layered row), or there are more than
         ``max_layers`` layers. A rewrite is thus amortised over loads
-        worth a quarter of the table, whatever its size."""
+        worth a tenth of the table, whatever its size."""
         active = self._active()
         layers = [r for r in active if r["kind"] == LAYER]
         if not layers:
@@ -186,13 +194,16 @@ class VersionedTable:
             not_null = not_null & F.col(k).isNotNull()
         last = (stacked.where(F.col(SEQ).isin(*keyed) & not_null)
                 .groupBy(*ks).agg(F.max(SEQ).alias(LAST)))
-        kept_layers = (stacked.join(last, ks, "left")
-                       .where(F.col(LAST).isNull() | (F.col(LAST) <= F.col(SEQ)))
-                       .drop(SEQ, LAST))
-        if base_df is None:
-            return kept_layers.select(*cols)
-        kept_base = base_df.join(last.select(*ks), ks, "left_anti")
-        return kept_base.unionByName(kept_layers, allowMissingColumns=True).select(*cols)
+        counted = [r["rows"] for r in layers if r["key_cols"]]
+        if all(n is not None for n in counted) and sum(counted) <= self.broadcast_key_rows:
+            last = F.broadcast(last)  # size proven by the commit log: nothing else is shuffled
+        if base_df is not None:
+            # the base sorts before every layer, so one join resolves all rows
+            stacked = base_df.withColumn(SEQ, F.lit(-1).cast("bigint")).unionByName(
+                stacked, allowMissingColumns=True)
+        return (stacked.join(last, ks, "left")
+                .where(F.col(LAST).isNull() | (F.col(LAST) <= F.col(SEQ)))
+                .select(*cols))
 
     # ----------------------------------------------------------------- write
     def _commit(self, version: int, rows, committed_at, kind: str, key_cols,

@@ -22,8 +22,8 @@ from tidemark.session import checkpoint_dir
 
 
 def upsert_batch(spark: SparkSession, target_root: str, key: str | Sequence[str],
-                 order_cols: Sequence[str], compact_max_layers: int = 32,
-                 compact_ratio: float = 0.25):
+                 order_cols: Sequence[str], compact_max_layers: int = 16,
+                 compact_ratio: float = 0.1):
     """The ``foreachBatch`` function: idempotent per batch id.
 
     Each micro-batch is deduplicated (last wins) and written as one layer
