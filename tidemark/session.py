@@ -47,9 +47,10 @@ def get_session(master: str | None = None, app: str = "tidemark",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is used as given. Only when it is unset (local
-    tests) do we make a folder of our own and register it. Works on a
-    classic session and on a Spark Connect session (no SparkContext there).
+    The cluster's setting is used as given. Only when it is unset and the
+    session runs in local mode (tests) do we make a folder of our own; on a
+    cluster an unset setting is an error, never a machine-local folder.
+    Works on a classic session and on a Spark Connect session.
     """
     try:
         sc = spark.sparkContext
@@ -61,6 +62,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+        if not master.startswith("local"):
+            # executors could not see a folder on the driver's disk
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", configured)
