@@ -86,5 +86,8 @@ def test_compaction_policy(spark, tmp):
     assert vt.should_compact(ratio=0.25)                # 30 rows of 100
     assert not vt.should_compact(max_layers=5, ratio=0.5)
     assert vt.should_compact(max_layers=1, ratio=0.5)
-    vt.compact()
+    v = vt.compact()
     assert not vt.should_compact() and vt.read().count() == 100
+    # the compaction opened a new epoch; readers see only its one commit
+    assert vt._epochs() == [0, v] and [r["kind"] for r in vt._active()] == ["base"]
+    assert vt.committed(1) and vt.has_tag("nope") is False

@@ -4,7 +4,8 @@ Spark cannot overwrite a Parquet table that the same plan reads, and plain
 Parquet has no MERGE. A target is therefore a series of versions under
 ``<root>/v=<n>``, each made visible only by a row appended to the commit
 log ``<root>/_commits`` after its files are written. Readers see committed
-versions only; a write that dies (or an executor lost mid-write, which
+versions only (the log is kept in epochs, one per base, and a reader
+reads only the newest); a write that dies (or an executor lost mid-write, which
 Spark retries) leaves at most an uncommitted folder that the next attempt
 overwrites.
 
@@ -47,7 +48,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import path_exists
+from tidemark.session import list_subdirs
 
 COMMITS = "_commits"
 BASE, LAYER = "base", "layer"
@@ -81,52 +82,71 @@ class VersionedTable:
         self.broadcast_key_rows = broadcast_key_rows
 
     # ------------------------------------------------------------ commit log
-    def _commits(self) -> DataFrame | None:
-        path = os.path.join(self.root, COMMITS)
-        if path_exists(self.spark, path) is False:
-            return None
+    # The log is split into epochs, ``_commits/epoch=<n>``: a base starts a new
+    # epoch (n = its version), layers join the latest one. A reader lists the
+    # epoch folders once and reads only the newest, which holds at most one
+    # base and the layers written since (bounded by the compaction policy),
+    # so the log a reader touches does not grow with the table's history.
+
+    def _log_root(self) -> str:
+        return os.path.join(self.root, COMMITS)
+
+    def _epochs(self) -> list[int]:
+        names = list_subdirs(self.spark, self._log_root())
+        if names is None:  # cannot list (Spark Connect): discover from the files
+            try:
+                df = self.spark.read.parquet(self._log_root())
+                return sorted(int(r[0]) for r in df.select("epoch").distinct().collect())
+            except AnalysisException:
+                return []
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("epoch="))
+
+    def _epoch_rows(self, epoch: int) -> list:
+        path = os.path.join(self._log_root(), f"epoch={int(epoch)}")
         try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(path)
+            rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(path).collect()
         except AnalysisException:
-            return None
+            return []
+        return sorted(rows, key=lambda r: r["version"])
 
     def _active(self) -> list:
-        """Commit rows of the latest base and the layers after it (one small
-        read of the log; the list is bounded by the compaction interval)."""
-        log = self._commits()
-        if log is None:
-            return []
-        base = log.where(F.col("kind") == BASE).agg(F.max("version").alias("b")).first()["b"]
-        if base is not None:
-            log = log.where(F.col("version") >= base)
-        return sorted(log.collect(), key=lambda r: r["version"])
+        """Commit rows of the newest epoch: its base (if any) and the layers
+        written since, in version order."""
+        epochs = self._epochs()
+        return self._epoch_rows(epochs[-1]) if epochs else []
+
+    def _commits(self) -> DataFrame | None:
+        """The whole log (all epochs); for audits, not on the read path."""
+        if not self._epochs():
+            return None
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(
+            *[os.path.join(self._log_root(), f"epoch={e}") for e in self._epochs()])
 
     def version_path(self, version: int) -> str:
         return os.path.join(self.root, f"v={int(version)}")
 
     def latest_version(self) -> int | None:
-        log = self._commits()
-        if log is None:
-            return None
-        row = log.agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        rows = self._active()
+        return int(rows[-1]["version"]) if rows else None
 
     def exists(self) -> bool:
         return self.latest_version() is not None
 
     def committed(self, version: int) -> bool:
-        log = self._commits()
-        if log is None:
+        epochs = self._epochs()
+        older = [e for e in epochs if e <= version]
+        if not older:
             return False
-        return log.where(F.col("version") == version).limit(1).count() > 0
+        return any(r["version"] == version for r in self._epoch_rows(older[-1]))
 
-    def has_tag(self, tag: str) -> bool:
-        """Whether a commit carries ``tag`` (a run or micro-batch id), so a
-        replayed load can be recognised and skipped."""
-        log = self._commits()
-        if log is None:
-            return False
-        return log.where(F.col("tag") == tag).limit(1).count() > 0
+    def has_tag(self, tag: str, epochs_back: int = 2) -> bool:
+        """Whether a recent commit carries ``tag`` (a run or micro-batch id),
+        so a replayed load can be recognised and skipped. A replay follows
+        its failure closely, so the newest epochs are searched."""
+        for e in self._epochs()[-epochs_back:]:
+            if any(r["tag"] == tag for r in self._epoch_rows(e)):
+                return True
+        return False
 
     def next_version(self) -> int:
         v = self.latest_version()
@@ -208,9 +228,15 @@ class VersionedTable:
     # ----------------------------------------------------------------- write
     def _commit(self, version: int, rows, committed_at, kind: str, key_cols,
                 tag: str | None = None) -> None:
+        if kind == BASE:
+            epoch = int(version)
+        else:
+            epochs = self._epochs()
+            epoch = epochs[-1] if epochs else int(version)
         entry = self.spark.createDataFrame(
             [(int(version), rows, committed_at, kind, key_cols, tag)], COMMIT_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(os.path.join(self.root, COMMITS))
+        (entry.coalesce(1).write.mode("append")
+         .parquet(os.path.join(self._log_root(), f"epoch={epoch}")))
 
     def write(self, df: DataFrame, version: int, rows: int | None = None,
               committed_at: _dt.datetime | None = None, check: bool = True,

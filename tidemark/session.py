@@ -116,3 +116,19 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
         return bool(p.getFileSystem(conf).exists(p))
     except Exception:
         return None
+
+
+def list_subdirs(spark: SparkSession, path: str) -> list[str] | None:
+    """Names of the folders directly under ``path`` (one listing call, not
+    recursive); [] when ``path`` is missing, None when it cannot be asked
+    (Spark Connect)."""
+    try:
+        jvm = spark._jvm
+        conf = spark._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    except Exception:
+        return None
