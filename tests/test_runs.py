@@ -162,3 +162,16 @@ def test_dedup_is_reduced_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 3 AS k", "id AS seq")
     plan = dedup_last_wins(df, "k", ["seq"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_seeded_demo_runs_flag_only_the_zero_row_run(spark):
+    # the reference's seeded run history: pipeline 2's fourth run failed
+    seeded = {1: [980, 1020, 995, 1050, 1010, 0, 1025],
+              2: [4980, 5120, 4950, 0, 5010, 5200, 4890],
+              3: [450, 460, 445, 470, 455, 462, 448]}
+    runs = mk_runs(spark, seeded, statuses={(2, 3): "failed"})
+    flagged = [(r["pipeline_id"], r["rows_loaded"]) for r in R.volume_anomaly(runs).collect()
+               if r["volume_anomaly_flag"]]
+    assert flagged == [(1, 0)]
+    wm = {r["pipeline_id"]: r["watermark"] for r in R.resolve_watermark(runs, as_of=T0).collect()}
+    assert wm[2] == T0 + dt.timedelta(hours=6, minutes=5)  # last complete run, not the failed one
