@@ -85,3 +85,40 @@ def test_run_load_from_jdbc_source(spark, derby, tmp):
     assert r2.rows_loaded == 53 + 7  # ids 48..100 at or after the mark, plus the 7 new rows
     out = {r["ID"]: r["NAME"] for r in VersionedTable(spark, target).read().collect()}
     assert len(out) == 101 and out[101] == "new101" and out[95] == "new95" and out[1] == "n1"
+
+
+def test_mock_source_orders_load_types_and_updates(spark, tmp):
+    """The reference's mock `orders` source, loaded and then updated."""
+    import dataclasses
+    import os
+    from decimal import Decimal
+    from tidemark.operators.runs import run_state
+    from tidemark.plans.load import LoadSpec, run_load
+    from tidemark.plans.tables import VersionedTable
+    c = Connection("derby", url=f"jdbc:derby:memory:m{uuid.uuid4().hex[:8]};create=true")
+    schema = ("id int, customer_id int, product_id int, amount decimal(10,2), status string, "
+              "order_date date, updated_at timestamp_ntz, created_at timestamp_ntz")
+    rows = [(i, 100 + i % 10, 200 + i % 10, Decimal(f"{i * 10}.50"), "pending",
+             dt.date(2024, 1, i), T0 + dt.timedelta(days=i), T0) for i in range(1, 16)]
+    (spark.createDataFrame(rows, schema).write.format("jdbc").options(**c.jdbc_options())
+     .option("dbtable", "ORDERS").option("createTableColumnTypes", "status VARCHAR(20)").save())
+    target, log = os.path.join(tmp, "t"), os.path.join(tmp, "log")
+    spec = LoadSpec(pipeline_id=2, source=c, source_table="ORDERS", target_path=target,
+                    watermark_column="updated_at", merge_key="id", mode="full")
+    run_load(spark, spec, T0 + dt.timedelta(days=20), run_id=1, run_log=log)
+    got = VersionedTable(spark, target).read()
+    types = dict(got.dtypes)
+    assert types["AMOUNT"] == "decimal(18,4)" and types["ORDER_DATE"] == "date"
+    assert types["UPDATED_AT"] == "timestamp_ntz" and types["ID"] == "int"
+    # two orders change status; the next run picks up only rows at or after the mark
+    upd = [(3, "shipped", T0 + dt.timedelta(days=25)), (7, "cancelled", T0 + dt.timedelta(days=26))]
+    from tidemark.plans.sinks import execute_jdbc
+    execute_jdbc(spark, c, ['UPDATE ORDERS SET "status" = \'%s\', "updated_at" = '
+                            "TIMESTAMP('%s') WHERE \"id\" = %d" % (s, f"{t:%Y-%m-%d %H:%M:%S}", i)
+                            for i, s, t in upd])
+    hist = run_state(spark.read.parquet(log))
+    r2 = run_load(spark, dataclasses.replace(spec, mode="incremental"), T0 + dt.timedelta(days=30),
+                  run_id=2, runs=hist, run_log=log)
+    assert r2.rows_loaded == 2
+    out = {r["ID"]: r["STATUS"] for r in VersionedTable(spark, target).read().collect()}
+    assert len(out) == 15 and out[3] == "shipped" and out[7] == "cancelled" and out[1] == "pending"

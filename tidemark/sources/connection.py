@@ -75,9 +75,9 @@ class Connection:
             opts["user"] = self.user
         if self.password is not None:
             opts["password"] = self.password
-        if self.db_type == "postgresql":
-            # timestamps without zone stay without zone
-            opts["preferTimestampNTZ"] = "true"
+        # TIMESTAMP columns without a zone are read as timestamp_ntz (those
+        # WITH TIME ZONE stay zoned), on every database
+        opts["preferTimestampNTZ"] = "true"
         opts.update({k: str(v) for k, v in self.extra.items()})
         return opts
 
