@@ -121,8 +121,9 @@ def resolve_connections(exported: DataFrame, target_connections: DataFrame) -> D
 
 def missing_connection_names(exported: DataFrame, target_connections: DataFrame) -> DataFrame:
     """Distinct connection names the other environment lacks."""
-    names = (exported.select(F.col("source_connection_name").alias("name"))
-             .union(exported.select(F.col("destination_connection_name").alias("name")))
+    # both name columns from one pass over the export
+    names = (exported.select(F.explode(F.array("source_connection_name",
+                                                "destination_connection_name")).alias("name"))
              .where(F.col("name").isNotNull()).distinct())
     return names.join(target_connections.select("name"), "name", "left_anti")
 

@@ -72,14 +72,17 @@ def dedup_last_wins(batch: DataFrame, key: str | Sequence[str],
     """
     ks = _keys(key)
     order = [_order_col(c).desc_nulls_last() for c in order_cols]
-    not_null = None
+    any_null = None
     for k in ks:
-        c = F.col(k).isNotNull()
-        not_null = c if not_null is None else not_null & c
-    w = Window.partitionBy(*ks).orderBy(*order)
-    deduped = (batch.where(not_null).withColumn("_tm_rn", F.row_number().over(w))
-               .where(F.col("_tm_rn") == 1).drop("_tm_rn"))
-    return deduped.unionByName(batch.where(~not_null))
+        c = F.col(k).isNull()
+        any_null = c if any_null is None else any_null | c
+    # a null-keyed row gets a window of its own (so it is always kept) and
+    # the whole batch goes through one window pass, not a second scan
+    solo = F.when(any_null, F.monotonically_increasing_id())
+    w = Window.partitionBy(*ks, "_tm_solo").orderBy(*order)
+    return (batch.withColumn("_tm_solo", solo)
+            .withColumn("_tm_rn", F.row_number().over(w))
+            .where(F.col("_tm_rn") == 1).drop("_tm_rn", "_tm_solo"))
 
 
 def upsert_last_wins(target: DataFrame, batch: DataFrame, key: str | Sequence[str],
