@@ -84,7 +84,7 @@ TARGET_CONNECTIONS = _connections("tconn", "WHERE n_regionkey <> 2", 100)
 
 SCHEDULES = """schedules AS (
   SELECT c_custkey AS id, c_custkey AS pipeline_id,
-         CASE WHEN c_custkey % 4 = 0 THEN '0 2 * * *' ELSE '30 * * * *' END AS cron_expression,
+         '0 2 * * *' AS cron_expression,
          TIMESTAMP '2023-06-01 00:00:00' + to_seconds(c_custkey * 60) AS created_at
   FROM customer WHERE c_custkey % 2 = 0),
 latest_sched AS (

@@ -131,8 +131,7 @@ def schedules(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     return (customer.where(k % 2 == 0)
             .select(k.alias("id"), k.alias("pipeline_id"),
-                    F.when(k % 4 == 0, F.lit("0 2 * * *")).otherwise(F.lit("30 * * * *"))
-                    .alias("cron_expression"),
+                    F.lit("0 2 * * *").alias("cron_expression"),
                     plus_seconds(ts_lit("2023-06-01 00:00:00"), (k * 60).cast("int")).alias("created_at")))
 
 
