@@ -173,3 +173,19 @@ def test_cast_issues_reported_in_the_same_pass(spark, tmp):
     except ValueError:
         pass
     assert not VersionedTable(spark, strict.target_path).exists()
+
+
+def test_retried_run_id_supersedes_failed_attempt(spark, tmp):
+    from tidemark.operators.runs import run_state
+    src_root = os.path.join(tmp, "src")
+    log = os.path.join(tmp, "log")
+    spec = LoadSpec(pipeline_id=1, source=ParquetSource(src_root), source_table="items",
+                    target_path=os.path.join(tmp, "t"), mode="full")
+    try:  # first attempt: the source is not there yet
+        run_load(spark, spec, T0, run_id=7, run_log=log)
+    except Exception:
+        pass
+    write_source(spark, src_root, [(1, "a", T0)])
+    run_load(spark, spec, T0, run_id=7, run_log=log)
+    st = run_state(spark.read.parquet(log)).first()
+    assert st["status"] == "complete" and st["rows_loaded"] == 1

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -124,6 +125,17 @@ def write_patches(spark: SparkSession, log_path: str, rows: list[tuple]) -> None
          .write.mode("append").parquet(log_path))
 
 
+_last_seq = [0]
+
+
+def _next_seq() -> int:
+    """Patch order: microseconds since the epoch, strictly increasing in this
+    process, so a retried run's patches sort after its earlier attempt's."""
+    now = time.time_ns() // 1000
+    _last_seq[0] = max(now, _last_seq[0] + 1)
+    return _last_seq[0]
+
+
 def _source_defs(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, source_type_name(f.dataType)) for f in df.schema.fields]
 
@@ -166,7 +178,7 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
 
     def patch(**kw):
         at = clock() if clock is not None else as_of
-        pending.append(_patch_row(run_id, len(pending), at, spec.pipeline_id, kw))
+        pending.append(_patch_row(run_id, _next_seq(), at, spec.pipeline_id, kw))
 
     def flush():
         if run_log:
