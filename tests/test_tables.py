@@ -91,3 +91,15 @@ def test_compaction_policy(spark, tmp):
     # the compaction opened a new epoch; readers see only its one commit
     assert vt._epochs() == [0, v] and [r["kind"] for r in vt._active()] == ["base"]
     assert vt.committed(1) and vt.has_tag("nope") is False
+
+
+def test_obsolete_paths_lists_versions_before_the_kept_bases(spark, tmp):
+    vt = VersionedTable(spark, os.path.join(tmp, "t"))
+    vt.write(spark.range(5).selectExpr("id", "'a' AS v", "0 AS seq"), 0)
+    vt.write_layer(spark.range(2).selectExpr("id", "'b' AS v", "1 AS seq"), 1, "id")
+    vt.compact()                                   # base 2
+    vt.write_layer(spark.range(1).selectExpr("id", "'c' AS v", "2 AS seq"), 3, "id")
+    vt.compact()                                   # base 4
+    assert vt.obsolete_paths(keep_bases=2) == [vt.version_path(0), vt.version_path(1)]
+    assert vt.obsolete_paths(keep_bases=1) == [vt.version_path(v) for v in (0, 1, 2, 3)]
+    assert vt.read().count() == 5

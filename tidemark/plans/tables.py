@@ -270,6 +270,19 @@ class VersionedTable:
         self._commit(version, rows, committed_at, LAYER, ",".join(ks) if ks else None, tag)
         return version
 
+    def obsolete_paths(self, keep_bases: int = 2) -> list[str]:
+        """Version folders that no reader needs: everything before the
+        ``keep_bases``-th newest base (older bases stay for time travel and
+        for readers still on them). Nothing is deleted here; the list is for
+        the operator's own retention tooling."""
+        epochs = self._epochs()
+        if len(epochs) < keep_bases:
+            return []
+        cutoff = epochs[-keep_bases]
+        old = [e for e in epochs if e < cutoff]
+        versions = sorted({int(r["version"]) for e in old for r in self._epoch_rows(e)})
+        return [self.version_path(v) for v in versions]
+
     def compact(self, version: int | None = None, committed_at: _dt.datetime | None = None) -> int:
         """Fold the layers into a new base (the resolved table)."""
         v = self.next_version() if version is None else version
