@@ -10,9 +10,10 @@ partition:
   is split across many partitions, takes per-partition positions from
   ``monotonically_increasing_id`` (consecutive within a sorted partition)
   and adds the count of the group's rows in earlier partitions, from a
-  small per-(partition, group) table. The numbered rows are checkpointed
-  to the shared checkpoint folder, so both uses see the same partitions
-  and a lost executor does not re-sample the ranges.
+  small per-(partition, group) table. The partitioned rows are written
+  once to a table in the shared checkpoint folder, so both uses see the
+  same partitions (a second sampling could draw other ranges) and a lost
+  executor re-reads files instead of re-sampling.
 * ``trailing_frame`` cuts every group into blocks of ``block_rows``
   consecutive rows and copies the last ``k`` rows of each block into the
   next one, so a frame of the ``k`` previous rows is a window partitioned
