@@ -175,3 +175,17 @@ def test_seeded_demo_runs_flag_only_the_zero_row_run(spark):
     assert flagged == [(1, 0)]
     wm = {r["pipeline_id"]: r["watermark"] for r in R.resolve_watermark(runs, as_of=T0).collect()}
     assert wm[2] == T0 + dt.timedelta(hours=6, minutes=5)  # last complete run, not the failed one
+
+
+def test_incremental_read_prunes_partitions(spark, tmp):
+    import os
+    from tidemark.sources.readers import ParquetSource, read_incremental
+    root = os.path.join(tmp, "src")
+    df = spark.createDataFrame([(i, dt.date(2024, 1, 1 + i % 5)) for i in range(50)],
+                               "id long, load_date date")
+    df.write.partitionBy("load_date").parquet(os.path.join(root, "events.parquet"))
+    src = ParquetSource(root)
+    inc = read_incremental(spark, src, "events", "load_date", F.lit(dt.date(2024, 1, 4)))
+    plan = inc._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_date" in plan and "2024-01-04" in plan
+    assert inc.count() == 20
