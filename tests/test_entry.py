@@ -36,3 +36,18 @@ def test_query_matches_oracle(spark, con, name):
     dcols, drows = canon([d[0] for d in cur.description], cur.fetchall())
     assert scols == dcols
     assert srows == drows
+
+
+def test_time_queries_do_not_depend_on_the_session_zone(spark, con):
+    import tidemark.plans.queries as Q
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        for name in ("run_durations", "volume_history", "platform_stats", "resolve_watermark",
+                     "run_state", "anomaly_feed"):
+            df = Q.QUERIES[name](spark, SF)  # without the entry's UTC setting
+            cur = con.execute(E.oracle_sql()[name])
+            assert canon(df.columns, df.collect()) == canon([d[0] for d in cur.description],
+                                                            cur.fetchall()), name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
