@@ -146,7 +146,8 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
                    thresholds: DataFrame | None = None,
                    history: int = VOLUME_HISTORY_RUNS, skew_safe: bool | str = "auto",
                    block_rows: int = DEFAULT_BLOCK_ROWS,
-                   max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                   max_group_rows: int = MAX_GROUP_ROWS,
+                   keep: list[str] | None = None) -> DataFrame:
     """Flag each complete run whose row count is outside the band around the
     mean of the previous ``history`` complete runs of its pipeline.
 
@@ -163,8 +164,9 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
     columns) and takes the skew-safe path when any pipeline has more than
     ``max_group_rows`` of them, i.e. when one task would hold too much.
     """
-    done = runs.where(F.col("status") == "complete").select(
-        "run_id", "pipeline_id", "started_at", "rows_loaded")
+    base_cols = ["run_id", "pipeline_id", "started_at", "rows_loaded"]
+    carried = base_cols + [c for c in (keep or []) if c not in base_cols]
+    done = runs.where(F.col("status") == "complete").select(*carried)
     rows0 = F.coalesce(F.col("rows_loaded"), F.lit(0))
     aggs = {"history_runs": F.count(F.lit(1)), "avg_prev": F.avg(rows0)}
     if skew_safe == "auto":
@@ -194,16 +196,22 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
         "volume_anomaly_flag",
         outside_band(F.col("rows_loaded"), F.when(F.col("history_runs") > 0, F.col("avg_prev")),
                      lo, up))
-    return out.select("run_id", "pipeline_id", "started_at", "rows_loaded", "history_runs",
-                      "avg_prev", "pct", "volume_anomaly_flag")
+    extra = [c for c in carried if c not in base_cols]
+    return out.select(*base_cols, "history_runs", "avg_prev", "pct", "volume_anomaly_flag",
+                      *extra)
 
 
 def with_anomaly_flags(runs: DataFrame, **kwargs) -> DataFrame:
-    """Runs with ``volume_anomaly_flag`` (false for runs that are not complete)."""
-    flags = volume_anomaly(runs, **kwargs).select("run_id", "volume_anomaly_flag")
-    return (runs.join(flags, "run_id", "left")
-            .withColumn("volume_anomaly_flag",
-                        F.coalesce(F.col("volume_anomaly_flag"), F.lit(False))))
+    """Runs with ``volume_anomaly_flag`` (false for runs that are not complete).
+
+    Complete runs carry all their columns through the check and the others
+    are added back with a false flag: a union, not a join back on run id."""
+    cols = [c for c in runs.columns if c != "volume_anomaly_flag"]
+    scored = volume_anomaly(runs.select(*cols), keep=cols, **kwargs).select(
+        *cols, "volume_anomaly_flag")
+    rest = (runs.select(*cols).where(~F.coalesce(F.col("status") == "complete", F.lit(False)))
+            .withColumn("volume_anomaly_flag", F.lit(False)))
+    return scored.unionByName(rest)
 
 
 # ----------------------------------------------------- daily volume (A2 A10)
