@@ -533,6 +533,13 @@ WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM tconn)""",
     "run_page_count": _with(RUNS) + """SELECT CAST(ceil(COUNT(*) / 10) AS BIGINT) AS total_pages
 FROM runs WHERE status = 'failed'""",
 
+    "volume_totals": _with(RUNS, _va(False), RF) + f"""SELECT CAST(started_at AS DATE) AS run_date,
+       CAST(SUM(rows_loaded) AS BIGINT) AS rows_loaded, COUNT(*) AS run_count,
+       MAX(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS had_failure,
+       MAX(CASE WHEN volume_anomaly_flag THEN 1 ELSE 0 END) AS had_anomaly
+FROM rf WHERE started_at >= {AS_OF} - INTERVAL 30 DAY
+GROUP BY CAST(started_at AS DATE)""",
+
     "run_totals": _with(RUNS, _va(False), RF) + """SELECT COUNT(*) AS total,
        COUNT(*) FILTER (WHERE status = 'complete') AS complete,
        COUNT(*) FILTER (WHERE status = 'failed') AS failed,

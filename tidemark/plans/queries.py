@@ -331,6 +331,11 @@ def run_page_count(spark, sf):
     return R.page_count(_runs(spark, sf), status="failed")
 
 
+def volume_totals(spark, sf):
+    """Daily volume of all pipelines together (the monitor's "all" view)."""
+    return R.volume_history(_flagged(spark, sf), V.AS_OF, by_pipeline=False)
+
+
 def run_totals(spark, sf):
     return R.run_status_totals(_flagged(spark, sf))
 
@@ -389,5 +394,6 @@ QUERIES: dict[str, Query] = {
     "missing_connections": missing_connections,
     "run_page_count": run_page_count,
     "run_totals": run_totals,
+    "volume_totals": volume_totals,
     "cached_schema": cached_schema_q,
 }
