@@ -134,3 +134,40 @@ def test_drift_state_and_pending(spark):
     detected = spark.createDataFrame([(10, "B", "column_dropped"), (10, "A", "type_changed")],
                                      "pipeline_id long, column_name string, change_type string")
     assert [r["column_name"] for r in S.new_drift_events(detected, state).collect()] == ["A"]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_SRC_TYPES = ["integer", "bigint", "text", "character varying", "numeric", "date",
+              "timestamp without time zone", "double precision", "json", "boolean"]
+_TGT_TYPES = ["INTEGER", "BIGINT", "TEXT", "VARCHAR(500)", "VARCHAR(16777216)", "NUMERIC(18,4)",
+              "NUMBER(38,0)", "DATE", "TIMESTAMP", "FLOAT", "BOOLEAN"]
+
+
+def _model(src, tgt):
+    """Brute-force drift on dicts: name -> mapped type vs name -> reported type."""
+    smap = {n.upper(): TY.TYPE_MAP.get(t, "TEXT") for n, t in src}
+    tmap = {n.upper(): t.upper() for n, t in tgt}
+    base = lambda t: t.split("(")[0].strip().upper()
+    out = []
+    for n, t in smap.items():
+        if n not in tmap:
+            out.append((n, "column_added", None, t, "auto_resolved"))
+        elif base(tmap[n]) != base(t):
+            out.append((n, "type_changed", tmap[n], t, "pending_review"))
+    for n, t in tmap.items():
+        if n not in smap:
+            out.append((n, "column_dropped", t, None, "pending_review"))
+    return sorted(out, key=repr)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.dictionaries(st.sampled_from(list("abcdefg")), st.sampled_from(_SRC_TYPES), max_size=6),
+       st.dictionaries(st.sampled_from(list("ABCDEFG")), st.sampled_from(_TGT_TYPES), min_size=1,
+                       max_size=6))
+def test_drift_matches_brute_force(spark, src, tgt):
+    s = cols(spark, [("t", n, i + 1, t) for i, (n, t) in enumerate(src.items())])
+    g = cols(spark, [("t", n, i + 1, t) for i, (n, t) in enumerate(tgt.items())])
+    got = sorted(((r["column_name"], r["change_type"], r["old_definition"], r["new_definition"],
+                   r["status"]) for r in S.detect_drift(s, g, fold_synonyms=False).collect()), key=repr)
+    assert got == _model(list(src.items()), list(tgt.items()))
