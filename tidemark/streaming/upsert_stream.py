@@ -50,7 +50,8 @@ def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType,
                   target_root: str, key: str | Sequence[str], order_cols: Sequence[str],
                   checkpoint_location: str | None = None, available_now: bool = True,
                   processing_time: str | None = None, glob_filter: str | None = None,
-                  max_files_per_trigger: int | None = None):
+                  max_files_per_trigger: int | None = None, compact_max_layers: int = 16,
+                  compact_ratio: float = 0.1):
     """Start the stream. With ``available_now`` it processes what is there
     and stops (a scheduled run); otherwise it triggers every
     ``processing_time``. Returns the StreamingQuery."""
@@ -62,7 +63,8 @@ def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     reader = reader.parquet(source_path)
-    writer = (reader.writeStream.foreachBatch(upsert_batch(spark, target_root, key, order_cols))
+    apply = upsert_batch(spark, target_root, key, order_cols, compact_max_layers, compact_ratio)
+    writer = (reader.writeStream.foreachBatch(apply)
               .option("checkpointLocation", ckpt))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time or "1 minute"))
