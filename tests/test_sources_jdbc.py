@@ -122,3 +122,17 @@ def test_mock_source_orders_load_types_and_updates(spark, tmp):
     assert r2.rows_loaded == 2
     out = {r["ID"]: r["STATUS"] for r in VersionedTable(spark, target).read().collect()}
     assert len(out) == 15 and out[3] == "shipped" and out[7] == "cancelled" and out[1] == "pending"
+
+
+def test_mod_split_is_even_for_clustered_keys(spark):
+    c = Connection("derby", url=f"jdbc:derby:memory:k{uuid.uuid4().hex[:8]};create=true")
+    # 900 keys packed near 1, 100 spread up to 1e6: ranges would be uneven
+    ids = list(range(1, 901)) + [10_007 * i for i in range(1, 101)] + [None]
+    (spark.createDataFrame([(i, T0) for i in ids], "id int, updated_at timestamp")
+     .write.format("jdbc").options(**c.jdbc_options()).option("dbtable", "K").save())
+    rng = RD.read_partitioned(spark, c, "K", "id", 8)
+    mod = RD.read_partitioned(spark, c, "K", "id", 8, split="mod")
+    sizes = lambda df: [len(p) for p in df.rdd.glom().collect()]
+    assert max(sizes(rng)) > 800          # one range holds the cluster
+    assert max(sizes(mod)) <= 130 and sum(sizes(mod)) == 1001
+    assert mod.where("id IS NULL").count() == 1

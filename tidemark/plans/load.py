@@ -61,6 +61,7 @@ class LoadSpec:
     lower_pct: int = R.VOLUME_LOWER_PCT
     col_defs: tuple[tuple[str, str], ...] | None = None
     jdbc_partitions: int = 8
+    jdbc_split: str = "range"          # or "mod": even splits for clustered keys
     upper_case: bool = True
     mark: str = "run_end"              # or "max_seen": highest watermark value loaded
     compact_max_layers: int = 16       # fold layers into a new base after this many,
@@ -144,7 +145,7 @@ def _read_source(spark: SparkSession, spec: LoadSpec) -> DataFrame:
     """The source table, unfiltered (filters are added lazily and pushed down)."""
     if isinstance(spec.source, Connection) and spec.merge_key:
         return read_partitioned(spark, spec.source, spec.source_table, spec.merge_key,
-                                spec.jdbc_partitions)
+                                spec.jdbc_partitions, split=spec.jdbc_split)
     return read_table(spark, spec.source, spec.source_table)
 
 
