@@ -136,3 +136,46 @@ def test_mod_split_is_even_for_clustered_keys(spark):
     assert max(sizes(rng)) > 800          # one range holds the cluster
     assert max(sizes(mod)) <= 130 and sum(sizes(mod)) == 1001
     assert mod.where("id IS NULL").count() == 1
+
+
+def test_load_into_a_database_target_with_drift_heal(spark, tmp):
+    import dataclasses
+    import os
+    from decimal import Decimal
+    from tidemark.operators.runs import run_state
+    from tidemark.plans.load import LoadSpec, run_load
+    from tidemark.plans.sinks import execute_jdbc
+    src = Connection("derby", url=f"jdbc:derby:memory:s{uuid.uuid4().hex[:8]};create=true")
+    dst = Connection("derby", url=f"jdbc:derby:memory:d{uuid.uuid4().hex[:8]};create=true")
+    rows = [(i, Decimal(f"{i}.25"), "new", T0 + dt.timedelta(hours=i)) for i in range(1, 11)]
+    (spark.createDataFrame(rows, "id int, amount decimal(10,2), status string, updated_at timestamp_ntz")
+     .write.format("jdbc").options(**src.jdbc_options()).option("dbtable", "ORDERS")
+     .option("createTableColumnTypes", "status VARCHAR(20)").save())
+    log, drift = os.path.join(tmp, "log"), os.path.join(tmp, "drift")
+    spec = LoadSpec(pipeline_id=9, source=src, source_table="ORDERS", target_connection=dst,
+                    target_table="ORDERS_T", watermark_column="updated_at", merge_key="id",
+                    mode="full", upsert="last_wins", order_cols=("updated_at",))
+    r1 = run_load(spark, spec, T0 + dt.timedelta(days=1), run_id=1, run_log=log)
+    assert r1.rows_loaded == 10 and r1.drift == []
+    tgt = spark.read.format("jdbc").options(**dst.jdbc_options()).option("dbtable", "ORDERS_T")
+    t1 = tgt.load()
+    assert dict(t1.dtypes)["AMOUNT"] == "decimal(18,4)" and t1.count() == 10
+    # the source gains a column and two rows change
+    execute_jdbc(spark, src, ['ALTER TABLE ORDERS ADD COLUMN "coupon" VARCHAR(10)',
+                              'UPDATE ORDERS SET "status" = \'paid\', "coupon" = \'X\', '
+                              "\"updated_at\" = TIMESTAMP('2024-01-05 00:00:00') WHERE \"id\" IN (2, 3)"])
+    hist = run_state(spark.read.parquet(log))
+    r2 = run_load(spark, dataclasses.replace(spec, mode="incremental"), T0 + dt.timedelta(days=10),
+                  run_id=2, runs=hist, run_log=log, drift_log_path=drift)
+    assert r2.rows_loaded == 2
+    assert [(d["column_name"], d["change_type"], d["status"]) for d in r2.drift] == [
+        ("COUPON", "column_added", "auto_resolved")]
+    out = {r["ID"]: (r["STATUS"], r["COUPON"]) for r in tgt.load().collect()}
+    assert len(out) == 10 and out[2] == ("paid", "X") and out[1] == ("new", None)
+    assert spark.read.parquet(drift).count() == 1
+
+
+def test_heal_status_text():
+    from tidemark.operators.schema import heal_status
+    assert heal_status(None) == "auto_resolved"
+    assert heal_status("x" * 300) == "error: " + "x" * 200

@@ -130,6 +130,7 @@ def schema_summary(columns: DataFrame) -> DataFrame:
 
 DRIFT_COLUMNS = ["table_name", "column_name", "change_type", "old_definition",
                  "new_definition", "status"]
+DRIFT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in DRIFT_COLUMNS])
 
 
 def detect_drift(source_cols: DataFrame, target_cols: DataFrame,

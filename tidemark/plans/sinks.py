@@ -51,11 +51,31 @@ def upsert_statements(target: str, staging: str, key: str, columns: Sequence[str
     ]
 
 
+def column_types_option(conn: Connection, types: dict[str, str]) -> str:
+    """``createTableColumnTypes`` value: each column with its mapped type in
+    the database's DDL spelling."""
+    return ", ".join(f"`{c}` {conn.ddl_type(t)}" for c, t in types.items())
+
+
+def jdbc_table_schema(spark, conn: Connection, table: str):
+    """The table's schema, or None when it does not exist (no rows read)."""
+    try:
+        return (spark.read.format("jdbc").options(**conn.jdbc_options())
+                .option("query", f"SELECT * FROM {table} WHERE 1 = 0").load().schema)
+    except Exception:
+        return None
+
+
 def write_jdbc_staging(df: DataFrame, conn: Connection, staging_table: str,
-                       batchsize: int = 10000, num_partitions: int | None = None) -> None:
-    """Replace the staging table with the batch (parallel inserts)."""
+                       batchsize: int = 10000, num_partitions: int | None = None,
+                       column_types: dict[str, str] | None = None) -> None:
+    """Replace the staging table with the batch (parallel inserts). It is
+    recreated each time, with the target's column types when given."""
     opts = conn.jdbc_options()
-    opts.update({"dbtable": staging_table, "batchsize": str(batchsize), "truncate": "true"})
+    opts.update({"dbtable": staging_table, "batchsize": str(batchsize), "truncate": "false"})
+    if column_types:
+        opts["createTableColumnTypes"] = column_types_option(
+            conn, {c: t for c, t in column_types.items() if c in df.columns})
     if num_partitions:
         opts["numPartitions"] = str(num_partitions)
     df.write.format("jdbc").options(**opts).mode("overwrite").save()
@@ -112,7 +132,8 @@ def execute_jdbc(spark, conn: Connection, statements: Sequence[str]) -> list[int
 
 def jdbc_upsert(df: DataFrame, conn: Connection, table: str, key: str | None,
                 staging_table: str | None = None, mode: str = "delete_insert",
-                order_cols: Sequence[str] = (), num_partitions: int | None = None) -> dict:
+                order_cols: Sequence[str] = (), num_partitions: int | None = None,
+                column_types: dict[str, str] | None = None) -> dict:
     """Upsert a batch into a JDBC table.
 
     The batch goes to a staging table (parallel inserts); then one
@@ -123,23 +144,21 @@ def jdbc_upsert(df: DataFrame, conn: Connection, table: str, key: str | None,
     """
     spark = df.sparkSession
     opts = conn.jdbc_options()
-    exists = True
-    try:
-        (spark.read.format("jdbc").options(**opts)
-         .option("query", f"SELECT * FROM {table} WHERE 1 = 0").load().schema)
-    except Exception:
-        exists = False
+    exists = jdbc_table_schema(spark, conn, table) is not None
+    if key and mode == "last_wins":
+        from tidemark.operators.upsert import dedup_last_wins
+        df = dedup_last_wins(df, key, list(order_cols) or [key])
     if not exists or not key:
         w = df.write.format("jdbc").options(**opts).option("dbtable", table)
+        if column_types and not exists:
+            w = w.option("createTableColumnTypes", column_types_option(
+                conn, {c: t for c, t in column_types.items() if c in df.columns}))
         if num_partitions:
             w = w.option("numPartitions", str(num_partitions))
         w.mode("append").save()
         return {"created": not exists, "deleted": 0, "inserted": None}
-    if mode == "last_wins":
-        from tidemark.operators.upsert import dedup_last_wins
-        df = dedup_last_wins(df, key, list(order_cols) or [key])
     stage = staging_table or f"{table}_STAGE"
-    write_jdbc_staging(df, conn, stage, num_partitions=num_partitions)
+    write_jdbc_staging(df, conn, stage, num_partitions=num_partitions, column_types=column_types)
     stmts = upsert_statements(table, stage, key, df.columns, "delete_insert", conn.quote)
     deleted, inserted = execute_jdbc(spark, conn, stmts)
     return {"created": False, "deleted": deleted, "inserted": inserted}

@@ -24,6 +24,20 @@ _DRIVERS = {
 }
 
 
+# Where a database spells a mapped warehouse type differently in DDL
+# (public SQL dialect knowledge); unlisted names are used as they are.
+_DDL_NAMES = {
+    "postgresql": {"TIMESTAMP_TZ": "TIMESTAMPTZ", "FLOAT": "DOUBLE PRECISION"},
+    "mysql": {"TIMESTAMP_TZ": "TIMESTAMP", "FLOAT": "DOUBLE"},
+    "sqlserver": {"TEXT": "NVARCHAR(MAX)", "BOOLEAN": "BIT", "TIMESTAMP": "DATETIME2",
+                  "TIMESTAMP_TZ": "DATETIMEOFFSET"},
+    "oracle": {"TEXT": "CLOB", "BOOLEAN": "NUMBER(1)", "BIGINT": "NUMBER(19)",
+               "VARCHAR(500)": "VARCHAR2(500)", "TIMESTAMP_TZ": "TIMESTAMP WITH TIME ZONE",
+               "FLOAT": "BINARY_DOUBLE"},
+    "derby": {"TEXT": "VARCHAR(32672)", "TIMESTAMP_TZ": "TIMESTAMP", "FLOAT": "DOUBLE"},
+}
+
+
 @dataclass(frozen=True)
 class Connection:
     """One source or destination. ``url`` overrides the URL built from
@@ -60,6 +74,10 @@ class Connection:
             return f"jdbc:oracle:thin:@//{self.host}:{self.port or 1521}/{self.db_name}"
         raise ValueError(f"no JDBC URL for connection type {t!r}")
 
+    def ddl_type(self, warehouse_type: str) -> str:
+        """The warehouse type name as this database spells it in DDL."""
+        return _DDL_NAMES.get(self.db_type, {}).get(warehouse_type.upper(), warehouse_type)
+
     def quote(self, identifier: str) -> str:
         """Identifier quoted for this database (names keep their case)."""
         if self.db_type == "mysql":
