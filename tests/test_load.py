@@ -189,3 +189,13 @@ def test_retried_run_id_supersedes_failed_attempt(spark, tmp):
     run_load(spark, spec, T0, run_id=7, run_log=log)
     st = run_state(spark.read.parquet(log)).first()
     assert st["status"] == "complete" and st["rows_loaded"] == 1
+
+
+def test_load_spec_validation():
+    import pytest
+    src = ParquetSource("/x")
+    with pytest.raises(ValueError):
+        LoadSpec(pipeline_id=1, source=src, source_table="t", target_path="/t", upsert="merge")
+    with pytest.raises(ValueError):
+        LoadSpec(pipeline_id=1, source=src, source_table="t")
+    LoadSpec(pipeline_id=1, source=src, source_table="t", target_path="/t", mode="full")

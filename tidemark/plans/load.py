@@ -73,6 +73,17 @@ class LoadSpec:
     target_connection: Connection | None = None  # a JDBC target table instead
     target_table: str | None = None
 
+    def __post_init__(self):
+        choices = {"mode": ("incremental", "full"),
+                   "upsert": ("delete_insert", "last_wins", "append"),
+                   "mark": ("run_end", "max_seen"), "on_cast_error": ("null", "fail"),
+                   "jdbc_split": ("range", "mod")}
+        for name, allowed in choices.items():
+            if getattr(self, name) not in allowed:
+                raise ValueError(f"{name} must be one of {allowed}, not {getattr(self, name)!r}")
+        if not self.target_path and self.target_connection is None:
+            raise ValueError("a target is needed: target_path or target_connection")
+
 
 @dataclass
 class LoadResult:
