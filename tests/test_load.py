@@ -199,3 +199,20 @@ def test_load_spec_validation():
     with pytest.raises(ValueError):
         LoadSpec(pipeline_id=1, source=src, source_table="t")
     LoadSpec(pipeline_id=1, source=src, source_table="t", target_path="/t", mode="full")
+
+
+def test_small_api_pieces(spark, tmp):
+    from tidemark.operators.runs import recent_for_pipeline
+    from tidemark.plans.load import project_columns, upper_columns
+    vt = VersionedTable(spark, os.path.join(tmp, "t"))
+    vt.ensure(spark.createDataFrame([], "ID long, NAME string").schema)      # K1
+    assert vt.exists() and vt.read().count() == 0 and vt.read().columns == ["ID", "NAME"]
+    vt.ensure(spark.createDataFrame([], "X int").schema)                      # no-op once there
+    assert vt.read().columns == ["ID", "NAME"]
+    df = spark.createDataFrame([(1, "a", 2.0)], "id long, name string, x double")
+    assert upper_columns(project_columns(df, ["name", "id"])).columns == ["NAME", "ID"]   # P1 P2
+    runs = spark.createDataFrame(
+        [(i, 1, "complete", T0 + dt.timedelta(hours=i), None, i) for i in range(40)] +
+        [(99, 2, "complete", T0, None, 1)], RUN_SCHEMA)
+    got = [r["run_id"] for r in recent_for_pipeline(runs, 1).collect()]            # L1
+    assert got == list(range(39, 9, -1))

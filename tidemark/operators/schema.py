@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.exprs import HEAL_ERROR_LIMIT, cut
+from tidemark.functions.exprs import HEAL_ERROR_LIMIT
 from tidemark.functions.types import (
     base_type, canonical_base, map_type, source_type_name, spark_type_for,
 )
@@ -175,10 +175,6 @@ def heal_status(error: str | None) -> str:
     return "auto_resolved" if error is None else "error: " + error[:HEAL_ERROR_LIMIT]
 
 
-def heal_error_status(error_col) -> F.Column:
-    return F.concat(F.lit("error: "), cut(error_col, HEAL_ERROR_LIMIT))
-
-
 def new_drift_events(detected: DataFrame, state: DataFrame,
                      keys=("pipeline_id", "column_name", "change_type")) -> DataFrame:
     """Detected events not already pending for the same column and change."""

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.exprs import ERROR_TEXT_LIMIT, minus_interval, ts_lit
+from tidemark.functions.exprs import ERROR_TEXT_LIMIT, ts_lit
 from tidemark.functions.types import (
     cast_metrics, cast_to_target, source_type_name, target_type_for,
 )
@@ -409,7 +409,3 @@ def resolve_drift(spark: SparkSession, state: DataFrame, drift_id: int, action:
     if resolutions_path:
         res.write.mode("append").parquet(resolutions_path)
     return res
-
-
-def watermark_default(as_of: _dt.datetime) -> F.Column:
-    return minus_interval(ts_lit(as_of), days=R.WATERMARK_LOOKBACK_DAYS)
