@@ -65,3 +65,12 @@ def test_jdbc_upsert_set_based_on_derby(spark):
     assert sorted((r.id, r.name) for r in back.collect()) == [(1, "a"), (2, "b2"), (3, "c"), (4, "d")]
     res = sinks.jdbc_upsert(batch, c, "TGT", "id")  # delete-insert keeps both rows of key 2
     assert sorted(r.name for r in back.where("id = 2").collect()) == ["b1", "b2"]
+
+
+def test_ddl_spelling_per_database():
+    assert Connection("postgresql").ddl_type("TIMESTAMP_TZ") == "TIMESTAMPTZ"
+    assert Connection("oracle").ddl_type("VARCHAR(500)") == "VARCHAR2(500)"
+    assert Connection("sqlserver").ddl_type("BOOLEAN") == "BIT"
+    assert Connection("snowflake").ddl_type("NUMERIC(18,4)") == "NUMERIC(18,4)"
+    opt = sinks.column_types_option(Connection("derby"), {"NAME": "TEXT", "N": "INTEGER"})
+    assert opt == "`NAME` VARCHAR(32672), `N` INTEGER"
