@@ -67,7 +67,8 @@ def main(argv):
     from pyspark.sql import SparkSession
     import __spark_entry__ as E
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false").getOrCreate())
+             .config("spark.ui.enabled", "false")
+             .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "4g")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     qs, sql = E.queries(), E.oracle_sql()
     con = duck(sf_dir)

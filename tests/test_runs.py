@@ -189,3 +189,12 @@ def test_incremental_read_prunes_partitions(spark, tmp):
     plan = inc._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(load_date" in plan and "2024-01-04" in plan
     assert inc.count() == 20
+
+
+def test_fixture_timestamps_do_not_overflow_for_large_keys(spark):
+    from tidemark.plans import views as V
+    cust = spark.createDataFrame([(40_000_000, "c", 1, 0.0, "AUTO")],
+                                 "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    r = V.pipelines(cust).first()
+    assert r["created_at"] == dt.datetime(2023, 1, 1) + dt.timedelta(seconds=40_000_000 * 60)
+    assert V.schedules(cust).first()["created_at"].year > 2023

@@ -54,7 +54,9 @@ def minus_interval(ts: Column, days: int = 0, hours: int = 0, seconds: int = 0)
 
 
 def plus_seconds(ts: Column, seconds: Column) -> Column:
-    return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    """``ts`` plus a number of seconds (any integer width: the interval takes
+    a decimal count of seconds, so large keys do not overflow an int)."""
+    return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
 
 
 def duration_seconds(start: Column | str, end: Column | str) -> Column:

@@ -98,7 +98,7 @@ def pipelines(customer: DataFrame) -> DataFrame:
         F.when(k % 2 == 0, F.lower(seg)).otherwise(F.lit("")).alias("target_schema_name"),
         F.lower(seg).alias("target_table"),
         F.lit(200).alias("volume_alert_upper_pct"), F.lit(50).alias("volume_alert_lower_pct"),
-        plus_seconds(ts_lit("2023-01-01 00:00:00"), (k * 60).cast("int")).alias("created_at"),
+        plus_seconds(ts_lit("2023-01-01 00:00:00"), k * 60).alias("created_at"),
         (k % 7 != 0).alias("is_active"))
 
 
@@ -116,7 +116,7 @@ def connections(nation: DataFrame) -> DataFrame:
         F.when(wh, F.lit("LOAD_WH")).alias("snowflake_warehouse"),
         F.when(wh, F.lit("LOADER")).alias("snowflake_role"),
         F.when(wh & (k % 2 == 0), F.lit("staging")).alias("snowflake_schema"),
-        plus_seconds(ts_lit("2023-01-01 00:00:00"), (k * 86400).cast("int")).alias("created_at"),
+        plus_seconds(ts_lit("2023-01-01 00:00:00"), k * 86400).alias("created_at"),
         (k % 6 != 5).alias("is_active"))
 
 
@@ -132,7 +132,7 @@ def schedules(customer: DataFrame) -> DataFrame:
     return (customer.where(k % 2 == 0)
             .select(k.alias("id"), k.alias("pipeline_id"),
                     F.lit("0 2 * * *").alias("cron_expression"),
-                    plus_seconds(ts_lit("2023-06-01 00:00:00"), (k * 60).cast("int")).alias("created_at")))
+                    plus_seconds(ts_lit("2023-06-01 00:00:00"), k * 60).alias("created_at")))
 
 
 def dependencies(customer: DataFrame) -> DataFrame:

@@ -132,3 +132,15 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str] | None:
         return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
     except Exception:
         return None
+
+
+def is_dir(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder (a table written by Spark) rather than a
+    single file, on the cluster's file system."""
+    try:
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
+    except Exception:
+        return os.path.isdir(path)

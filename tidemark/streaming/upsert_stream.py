@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.upsert import dedup_last_wins
 from tidemark.plans.tables import VersionedTable
-from tidemark.session import checkpoint_dir
+from tidemark.session import checkpoint_dir, is_dir
 
 
 def upsert_batch(spark: SparkSession, target_root: str, key: str | Sequence[str],
@@ -78,8 +78,11 @@ def stream_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(sf_dir, "lineitem.parquet")
     schema = spark.read.parquet(path).schema
     root = os.path.join(checkpoint_dir(spark), "stream_upsert", uuid.uuid4().hex)
-    q = stream_upsert(spark, sf_dir, schema, os.path.join(root, "target"), DUP_KEY, DUP_ORDER,
-                      checkpoint_location=os.path.join(root, "checkpoint"),
-                      glob_filter="lineitem.parquet")
+    # a table folder is streamed as it is; a single file through its folder
+    # with a name filter (a file source watches folders)
+    source, glob = (path, None) if is_dir(spark, path) else (sf_dir, "lineitem.parquet")
+    q = stream_upsert(spark, source, schema, os.path.join(root, "target"), DUP_KEY, DUP_ORDER,
+                      checkpoint_location=os.path.join(root, "checkpoint"), glob_filter=glob)
     q.awaitTermination()
-    return VersionedTable(spark, os.path.join(root, "target")).read()
+    target = VersionedTable(spark, os.path.join(root, "target"))
+    return target.read() if target.exists() else spark.createDataFrame([], schema)
