@@ -37,9 +37,10 @@ def test_key_side_reads_only_the_key(plans):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plans["upsert_delete_insert"]
 
 
-def test_top_n_and_dedup_limit_before_the_shuffle(plans):
-    for name in ("recent_runs", "dedup_last_wins", "upsert_last_wins"):
-        assert "WindowGroupLimit" in plans[name] and "Partial" in plans[name], name
+def test_top_n_and_dedup_reduce_before_the_shuffle(plans):
+    assert "WindowGroupLimit" in plans["recent_runs"] and "Partial" in plans["recent_runs"]
+    for name in ("dedup_last_wins", "upsert_last_wins"):
+        assert "partial_max" in plans[name], name
 
 
 def test_global_aggregates_combine_partially(plans):
