@@ -198,3 +198,18 @@ def test_fixture_timestamps_do_not_overflow_for_large_keys(spark):
     r = V.pipelines(cust).first()
     assert r["created_at"] == dt.datetime(2023, 1, 1) + dt.timedelta(seconds=40_000_000 * 60)
     assert V.schedules(cust).first()["created_at"].year > 2023
+
+
+def test_target_columns_and_parquet_bounds(spark, tmp):
+    import os
+    from tidemark.plans.tables import VersionedTable
+    from tidemark.sources.readers import ParquetSource, key_bounds, target_columns
+    assert target_columns(spark, "t", path=os.path.join(tmp, "none")).count() == 0   # missing
+    vt = VersionedTable(spark, os.path.join(tmp, "t"))
+    vt.write(spark.createDataFrame([(1, "a")], "id long, name string"), 0)
+    cols = [(r["column_name"], r["data_type"]) for r in
+            target_columns(spark, "t", path=vt.root).orderBy("ordinal_position").collect()]
+    assert cols == [("ID", "BIGINT"), ("NAME", "TEXT")]
+    assert target_columns(spark, "t", catalog_table="no_such_table_here").count() == 0
+    spark.createDataFrame([(5,), (2,), (None,)], "k long").write.parquet(os.path.join(tmp, "src", "k.parquet"))
+    assert key_bounds(spark, ParquetSource(os.path.join(tmp, "src")), "k", "k") == (2, 5)
