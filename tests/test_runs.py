@@ -213,3 +213,19 @@ def test_target_columns_and_parquet_bounds(spark, tmp):
     assert target_columns(spark, "t", catalog_table="no_such_table_here").count() == 0
     spark.createDataFrame([(5,), (2,), (None,)], "k long").write.parquet(os.path.join(tmp, "src", "k.parquet"))
     assert key_bounds(spark, ParquetSource(os.path.join(tmp, "src")), "k", "k") == (2, 5)
+
+
+def test_filter_operators(spark):
+    from tidemark.operators import schema as S
+    runs = mk_runs(spark, {1: [1, 2, 3], 2: [4]}, statuses={(1, 1): "failed"})
+    assert R.filter_runs(runs).count() == 4                                   # F6: none given
+    assert R.filter_runs(runs, pipeline_id=1).count() == 3
+    assert R.filter_runs(runs, pipeline_id=1, status="failed").count() == 1
+    assert R.with_status(runs, "complete", "failed").count() == 4             # F4
+    assert R.trailing(runs, "started_at", T0 + dt.timedelta(hours=2), hours=1).count() == 2  # F3
+    log = spark.createDataFrame(
+        [(1, 10, T0, "pending_review"), (2, 10, T0 + dt.timedelta(hours=1), "resolved"),
+         (3, 11, T0, "pending_review")],
+        "id long, pipeline_id long, detected_at timestamp_ntz, status string")
+    assert [r["id"] for r in S.drift_log(log, pipeline_id=10).collect()] == [2, 1]   # F5, newest first
+    assert [r["id"] for r in S.drift_log(log, status="pending_review").collect()] == [3, 1]
