@@ -21,8 +21,9 @@ def active_only(df: DataFrame) -> DataFrame:
 
 def list_connections(connections: DataFrame) -> DataFrame:
     """Connections without credentials (soft-deleted ones included, with
-    their ``is_active``)."""
-    return connections.drop(*SECRET_COLUMNS)
+    their ``is_active``), newest first."""
+    return (connections.drop(*SECRET_COLUMNS)
+            .orderBy(F.col("created_at").desc_nulls_first(), F.col("id").desc_nulls_first()))
 
 
 def source_connections(connections: DataFrame) -> DataFrame:
@@ -146,7 +147,8 @@ def pipeline_overview(pipelines: DataFrame, connections: DataFrame, schedules: D
             .join(last.withColumnRenamed("pipeline_id", "id"), "id", "left")
             .join(lists.withColumnRenamed("pipeline_id", "id"), "id", "left")
             .withColumn("total_runs", F.coalesce("total_runs", F.lit(0).cast("bigint")))
-            .withColumn("depends_on", F.coalesce("depends_on", F.array().cast("array<bigint>"))))
+            .withColumn("depends_on", F.coalesce("depends_on", F.array().cast("array<bigint>")))
+            .orderBy(F.col("created_at").desc_nulls_first(), F.col("id").desc_nulls_first()))
 
 
 def recent_pipelines(pipelines: DataFrame, n: int = 6) -> DataFrame:

@@ -230,7 +230,8 @@ def volume_history(runs: DataFrame, as_of, days: int = WATERMARK_LOOKBACK_DAYS,
             .agg(F.sum("rows_loaded").cast("bigint").alias("rows_loaded"),
                  F.count(F.lit(1)).alias("run_count"),
                  F.max(F.when(F.col("status") == "failed", 1).otherwise(0)).alias("had_failure"),
-                 F.max(F.when(F.col("_anom"), 1).otherwise(0)).alias("had_anomaly")))
+                 F.max(F.when(F.col("_anom"), 1).otherwise(0)).alias("had_anomaly"))
+            .orderBy(*keys))
 
 
 def volume_scale(daily: DataFrame, partition: str | None = "pipeline_id") -> DataFrame:

@@ -270,7 +270,8 @@ def pending_drift(state: DataFrame, pipelines: DataFrame) -> DataFrame:
     """Unresolved events of all pipelines, with the pipeline's name."""
     names = pipelines.select(F.col("id").alias("pipeline_id"), F.col("name").alias("pipeline_name"))
     return (state.where(F.col("status") == "pending_review")
-            .join(names, "pipeline_id", "inner"))
+            .join(names, "pipeline_id", "inner")
+            .orderBy(F.col("detected_at").desc_nulls_first(), F.col("id").desc_nulls_first()))
 
 
 def drift_counts(events: DataFrame) -> DataFrame:
