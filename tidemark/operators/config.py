@@ -14,6 +14,13 @@ SECRET_COLUMNS = ("db_user", "db_password")
 WAREHOUSE_TYPE = "snowflake"
 
 
+def _newest_first(df: DataFrame) -> DataFrame:
+    """Newest first by ``created_at`` (nulls first, as the reference's
+    database orders a descending list), then id; by id alone without it."""
+    cols = [c for c in ("created_at", "id") if c in df.columns]
+    return df.orderBy(*[F.col(c).desc_nulls_first() for c in cols])
+
+
 def active_only(df: DataFrame) -> DataFrame:
     """Rows not soft-deleted (F2)."""
     return df.where(F.col("is_active"))
@@ -22,8 +29,7 @@ def active_only(df: DataFrame) -> DataFrame:
 def list_connections(connections: DataFrame) -> DataFrame:
     """Connections without credentials (soft-deleted ones included, with
     their ``is_active``), newest first."""
-    return (connections.drop(*SECRET_COLUMNS)
-            .orderBy(F.col("created_at").desc_nulls_first(), F.col("id").desc_nulls_first()))
+    return _newest_first(connections.drop(*SECRET_COLUMNS))
 
 
 def source_connections(connections: DataFrame) -> DataFrame:
@@ -148,7 +154,7 @@ def pipeline_overview(pipelines: DataFrame, connections: DataFrame, schedules: D
             .join(lists.withColumnRenamed("pipeline_id", "id"), "id", "left")
             .withColumn("total_runs", F.coalesce("total_runs", F.lit(0).cast("bigint")))
             .withColumn("depends_on", F.coalesce("depends_on", F.array().cast("array<bigint>")))
-            .orderBy(F.col("created_at").desc_nulls_first(), F.col("id").desc_nulls_first()))
+            .transform(_newest_first))
 
 
 def recent_pipelines(pipelines: DataFrame, n: int = 6) -> DataFrame:
