@@ -105,3 +105,13 @@ def test_forest_fast_path_matches_layering(spark):
             v, k = parent[v], k + 1
         return k
     assert all(fast[v] == (depth(v), False) for v in range(1, n + 1))
+
+
+def test_listings_follow_the_reference_order(spark):
+    import datetime as dt
+    c = spark.createDataFrame(
+        [(1, "a", "postgresql", dt.datetime(2024, 1, 1), True),
+         (2, "b", "snowflake", dt.datetime(2024, 3, 1), True),
+         (3, "c", "postgresql", None, False)],
+        "id long, name string, db_type string, created_at timestamp_ntz, is_active boolean")
+    assert [r["id"] for r in C.list_connections(c).collect()] == [3, 2, 1]  # nulls first, then newest
