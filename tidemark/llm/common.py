@@ -155,6 +155,7 @@ def in_blocks(rows: DataFrame, key: str, id_col: str, block: int, name: str) ->
     is one group (key, 0, 0). A larger one is dealt into blocks by a hash of
     the id, and each row goes to every pair of blocks with its own, so any two
     rows of the key meet in some group of at most about ``2 * block`` rows.
+    ``own`` is the row's block; rows of one block meet in the group (b, b).
     """
     rows = saved(rows, f"{name}-rows")
     sizes = saved(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"),
@@ -165,7 +166,7 @@ def in_blocks(rows: DataFrame, key: str, id_col: str, block: int, name: str) ->
             .select(key, id_col, nb.alias("nb"), own.alias("own"))
             .select(key, id_col, "own",
                     F.explode(F.expr("sequence(0, nb - 1)")).alias("other"))
-            .select(key, id_col, F.least("own", "other").alias("bi"),
+            .select(key, id_col, "own", F.least("own", "other").alias("bi"),
                     F.greatest("own", "other").alias("bj")))
 
 
@@ -200,3 +201,42 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         labels = saved(nxt, f"{name}-labels")
         if not int(moved.get.get("n") or 0):
             return labels
+
+
+def links_of(members: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """Adds ``n_links``, ``component_id`` and ``kept`` to class members.
+
+    ``members`` (``_id``, ``class_id``, ``class_size``, ``_linkable``) is a
+    written table. ``found`` (a, b, w): w is not null - class a links to w rows
+    of other classes; else - an edge between classes a and b. Rows that are
+    not linkable stand alone. The last join is keyed by class and joins two
+    scans, so a class that holds a third of all rows is split.
+    """
+    counts = found.filter("w is not null").groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("more"))
+    labels = components(found.filter("w is null").select("a", "b"), f"{name}-groups")
+    per_class = saved(counts.join(labels, "node", "full"), f"{name}-links")
+    can = F.col("_linkable")
+    return (members.join(per_class, members["class_id"] == per_class["node"], "left")
+            .select(*[members[c] for c in members.columns],
+                    F.when(can, F.col("class_size") - 1 + F.coalesce("more", F.lit(0)))
+                    .otherwise(0).cast("long").alias("n_links"),
+                    F.when(can, F.coalesce("label", "class_id")).otherwise(F.col("_id"))
+                    .alias("component_id"))
+            .withColumn("kept", F.col("_id").isNull() | (F.col("_id") == F.col("component_id"))))
+
+
+def spanning(links: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Edges of a spanning forest of a boolean adjacency matrix."""
+    fresh = np.ones(len(links), bool)
+    for s in np.flatnonzero(links.any(axis=1)):
+        if not fresh[s]:
+            continue
+        fresh[s] = False
+        todo = [int(s)]
+        while todo:
+            i = todo.pop()
+            near = np.flatnonzero(links[i] & fresh)
+            fresh[near] = False
+            for j in near.tolist():
+                yield i, j
+            todo.extend(near.tolist())

@@ -202,8 +202,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     empty table gives an empty result. Other columns are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                       text_or_empty(F.col(f"`{text_col}`")).alias("text"))
+    own_id = F.col(f"`{id_col}`").cast("long")
+    rows = docs.select(own_id.alias("doc_id"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // part_bytes), spark.sparkContext.defaultParallelism)
 
@@ -218,7 +218,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             for b in batches:
                 for lo in range(0, len(b), 256):
                     part = b.iloc[lo:lo + 256]
-                    ids = [None if pd.isna(i) else int(i) for i in part["doc_id"]]
+                    ids = [None if null else i for i, null in zip(part["doc_id"].tolist(), part["null"])]
                     yield from zip(ids, enc.encode(part["text"].tolist()))
 
         buffer = []
@@ -226,12 +226,14 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         for piece in pack_stream(stream(), enc, TaskContext.get().partitionId(), enc.sentence_end, window):
             buffer.append(piece)
             if len(buffer) >= 20_000:
-                yield pd.DataFrame(buffer, columns=names).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(buffer, columns=names, dtype=object).astype("Int64")
                 buffer = []
-        yield pd.DataFrame(buffer, columns=names).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(buffer, columns=names, dtype=object).astype("Int64")
 
     return (rows.repartitionByRange(parts, F.col("doc_id"), F.xxhash64("text"))
-            .sortWithinPartitions("doc_id", F.xxhash64("text")).mapInPandas(run, OUT))
+            .sortWithinPartitions("doc_id", F.xxhash64("text"))
+            .select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("null"), "text")
+            .mapInPandas(run, OUT))
 
 
 def op10_window_packing(spark, sf_dir: str) -> DataFrame:
