@@ -9,12 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import saved, table
+from tidemark.llm.jaccard import deduplicated
 from tidemark.llm.mixing import mixed
 from tidemark.llm.packing import packed
 from tidemark.llm.quality import kept_rows
+from tidemark.llm.secrets import redacted
 
 STAGES = [
     ("quality rules", kept_rows),
+    ("n-gram Jaccard join", deduplicated),
+    ("secret scans", redacted),
     ("mixing to target weights", mixed),
     ("packing", packed),
 ]
