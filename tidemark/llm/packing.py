@@ -12,6 +12,8 @@ predecessors are looked up one by one.
 
 from __future__ import annotations
 
+import struct
+import unicodedata
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -31,7 +33,7 @@ WINDOW_COST = 16.0  # of one more window
 GRID = 256  # cuts inside a sentence are tried at multiples of this
 CHUNK = 1 << 18  # tokens that one run of the dynamic programming covers
 PART_BYTES = 32 << 20  # text bytes of one packed run of documents
-CACHED_WORDS, CACHED_PIECES = 400_000, 300_000
+CACHED_WORDS, CACHED_PIECES = 300_000, 800_000
 
 
 class Encoder:
@@ -62,34 +64,62 @@ class Encoder:
                 self.sentence_end[i] = True
 
     def _ids(self, encoding) -> bytes:
-        return np.array(encoding.ids, np.uint32).tobytes()
+        ids = encoding.ids
+        return struct.pack(f"={len(ids)}I", *ids)
+
+    def _pieces(self, word: bytes) -> list[str]:
+        """Pieces of a word. Letters with at most one sign after them need no
+        tokenizer: in composed form, and but for one letter whose lower case
+        depends on its place, lowering is the normaliser's work."""
+        s = word.decode("utf-8", "replace")
+        if s.isascii() or ("\u03a3" not in s and unicodedata.is_normalized("NFC", s)):
+            low = s.lower()
+            if low.isalpha():
+                return [low]
+            if low[-1] in ".,;:!?" and low[:-1].isalpha():
+                return [low[:-1], low[-1]]
+        return self.cut.findall(self.whole.normalizer.normalize_str(s))
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words not remembered."""
-        cuts = [self.cut.findall(self.whole.normalizer.normalize_str(w.decode("utf-8", "replace")))
-                for w in words]
-        new = list({p for c in cuts for p in c if p not in self.known})
-        fresh = dict(zip(new, map(self._ids, self.pieces.encode_batch_fast(new, add_special_tokens=False))))
-        for p in new[:max(0, CACHED_PIECES - len(self.known))]:
-            self.known[p] = fresh[p]
-        known = self.known
-        out = {w: b"".join([known[p] if p in known else fresh[p] for p in c]) for w, c in zip(words, cuts)}
-        for w in words[:max(0, CACHED_WORDS - len(self.words))]:
-            self.words[w] = out[w]
+        """Ids of words not remembered. A word is remembered once its pieces
+        are: words seen a single time take no place."""
+        known, out, late = self.known, {}, []
+        room = CACHED_WORDS - len(self.words)
+        for w in words:
+            pieces = self._pieces(w)
+            try:
+                ids = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
+            except KeyError:
+                late.append((w, pieces))
+                continue
+            out[w] = ids
+            if room > 0:
+                self.words[w] = ids
+                room -= 1
+        if late:
+            new = list({p for _, c in late for p in c if p not in known})
+            fresh = dict(zip(new, map(self._ids, self.pieces.encode_batch_fast(new, add_special_tokens=False))))
+            for w, c in late:
+                out[w] = b"".join([known[p] if p in known else fresh[p] for p in c])
+            for p in new[:max(0, CACHED_PIECES - len(known))]:
+                known[p] = fresh[p]
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         words = [t.encode("utf-8", "replace").split() for t in texts]
-        cache = self.words
-        new = list({w for ws in words for w in ws if w not in cache})
-        learned = self._learn(new) if new else {}
+        get = self.words.get
+        ids = [list(map(get, ws)) for ws in words]
+        new: set[bytes] = set()
+        for ws, got in zip(words, ids):
+            new.update([w for w, v in zip(ws, got) if v is None])
+        learned = self._learn(list(new)) if new else {}
         out = []
-        for t, ws in zip(texts, words):
-            if any(s in t for s in self.special):  # special strings may hold across the rule
-                ids = np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32)
-            else:
-                ids = np.frombuffer(b"".join([cache[w] if w in cache else learned[w] for w in ws]), np.uint32)
-            out.append(ids)
+        for t, ws, got in zip(texts, words, ids):
+            if "<|" in t and any(s in t for s in self.special):  # these may hold across the rule
+                out.append(np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32))
+                continue
+            out.append(np.frombuffer(b"".join([learned[w] if v is None else v for w, v in zip(ws, got)]),
+                                     np.uint32))
         return out
 
 
@@ -118,10 +148,11 @@ def cut_stream(ends: np.ndarray, soft: np.ndarray, total: int, window: int = WIN
             queue.popleft()
         i = queue[0]
         low, frm = best[i] + at[i] + window - j, i
-        for p in powers:
-            i = where.get(j - p, -1)
-            if i >= 0 and best[i] < low:
-                low, frm = best[i], i
+        if not pen[k]:  # after a document, windows of a power of two as well
+            for p in powers:
+                i = where.get(j - p, -1)
+                if i >= 0 and best[i] < low:
+                    low, frm = best[i], i
         best[k], back[k] = low + pen[k] + WINDOW_COST, frm
         key = best[k] + j
         while queue and best[queue[-1]] + at[queue[-1]] >= key:
