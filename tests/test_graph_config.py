@@ -115,3 +115,11 @@ def test_listings_follow_the_reference_order(spark):
          (3, "c", "postgresql", None, False)],
         "id long, name string, db_type string, created_at timestamp_ntz, is_active boolean")
     assert [r["id"] for r in C.list_connections(c).collect()] == [3, 2, 1]  # nulls first, then newest
+
+
+def test_levels_of_a_deep_graph_with_several_prerequisites(spark):
+    n = 70
+    p = pipes(spark, range(1, n + 3))
+    d = deps(spark, [(k, k - 1) for k in range(2, n + 1)] + [(n + 1, 1), (n + 1, 2)])
+    lv = {r["pipeline_id"]: (r["level"], r["in_cycle"]) for r in G.dependency_levels(p, d).collect()}
+    assert lv == {**{k: (k - 1, False) for k in range(1, n + 1)}, n + 1: (2, False), n + 2: (0, False)}

@@ -126,7 +126,12 @@ def test_resolve_drift_and_schema_cache(spark, tmp):
         "id long, pipeline_id long, detected_at timestamp_ntz, column_name string, "
         "change_type string, old_definition string, new_definition string, status string")
     res_path = os.path.join(tmp, "res")
-    resolve_drift(spark, log, 1, "apply_type_change", 9, T0, vt.root, res_path)
+    import pytest
+    for where in (None, vt.root):  # nothing to change, or a value would be lost: refused, nothing recorded
+        with pytest.raises(ValueError):
+            resolve_drift(spark, log, 1, "apply_type_change", 9, T0, where, res_path)
+    assert not os.path.exists(res_path)
+    resolve_drift(spark, log, 1, "apply_type_change", 9, T0, vt.root, res_path, on_cast_error="null")
     assert [r[0] for r in vt.read().collect()] == [1, None]
     try:
         resolve_drift(spark, log, 2, "apply_type_change", 9, T0)
@@ -161,8 +166,10 @@ def test_cast_issues_reported_in_the_same_pass(spark, tmp):
         .write.parquet(os.path.join(src_root, "items.parquet"))
     defs = (("id", "bigint"), ("amount", "numeric"), ("name", "character varying"))
     spec = LoadSpec(pipeline_id=1, source=ParquetSource(src_root), source_table="items",
-                    target_path=os.path.join(tmp, "t"), mode="full", col_defs=defs)
-    r = run_load(spark, spec, T0, run_id=1)
+                    target_path=os.path.join(tmp, "t"), mode="full", col_defs=defs, on_cast_error="null")
+    log = os.path.join(tmp, "log")
+    r = run_load(spark, spec, T0, run_id=1, run_log=log)
+    assert '"amount"' in run_state(spark.read.parquet(log)).first()["cast_issues"]
     assert r.cast_issues == {"amount": {"n_failed": 1, "n_too_long": 0},
                              "name": {"n_failed": 0, "n_too_long": 1}}
     import dataclasses
@@ -216,3 +223,44 @@ def test_small_api_pieces(spark, tmp):
         [(99, 2, "complete", T0, None, 1)], RUN_SCHEMA)
     got = [r["run_id"] for r in recent_for_pipeline(runs, 1).collect()]            # L1
     assert got == list(range(39, 9, -1))
+
+
+def load_twice(spark, tmp, first, first_schema, then, then_schema, **kw):
+    src = os.path.join(tmp, "src")
+    spec = LoadSpec(pipeline_id=1, source=ParquetSource(src), source_table="items",
+                    target_path=os.path.join(tmp, "t"), mode="full", merge_key="id", **kw)
+    write_source(spark, src, first, first_schema)
+    run_load(spark, spec, T0, run_id=1)
+    write_source(spark, src, then, then_schema)
+    return run_load(spark, spec, T0, run_id=2), VersionedTable(spark, spec.target_path).read()
+
+
+def test_type_drift_changes_no_value(spark, tmp):
+    from decimal import Decimal
+    r, t = load_twice(spark, os.path.join(tmp, "a"), [(1, 5)], "id int, x int",
+                      [(2, Decimal("12.75"))], "id int, x decimal(10,2)")
+    assert [(d["column_name"], d["change_type"], d["status"]) for d in r.drift] == [("X", "type_changed", "pending_review")]
+    assert {q["ID"]: q["X"] for q in t.collect()} == {1: Decimal("5"), 2: Decimal("12.75")}
+    _, t = load_twice(spark, os.path.join(tmp, "b"), [(1, 5)], "id int, x int", [(2, 9_000_000_000)], "id int, x bigint")
+    assert {q["ID"]: q["X"] for q in t.collect()} == {1: 5, 2: 9_000_000_000}
+    r, t = load_twice(spark, os.path.join(tmp, "c"), [(1, 5)], "id int, x bigint", [(2, "abc"), (3, "n/a")], "id int, x string")
+    assert r.n_pending == 1 and {q["ID"]: q["X"] for q in t.collect()} == {1: "5", 2: "abc", 3: "n/a"}
+
+
+def test_batch_is_written_once_and_replays_are_skipped(spark, tmp):
+    src = os.path.join(tmp, "src")
+    spec = LoadSpec(pipeline_id=1, source=ParquetSource(src), source_table="items",
+                    target_path=os.path.join(tmp, "t"), mode="full", upsert="append", compact_max_layers=1)
+    write_source(spark, src, [(1, "a", T0)])
+    for run in (1, 2, 3, 4):
+        run_load(spark, spec, T0, run_id=run)
+    run_load(spark, spec, T0, run_id=2)  # replayed after several compactions
+    assert VersionedTable(spark, spec.target_path).read().count() == 4
+
+
+def test_drift_ids_do_not_meet(spark):
+    from tidemark.plans.load import _drift_events
+    rows = [{"table_name": "t", "column_name": f"C{i}", "change_type": "column_added", "old_definition": None,
+             "new_definition": "TEXT", "status": "auto_resolved"} for i in range(10_050)]
+    a = _drift_events(spark, rows, 1, 1, T0).union(_drift_events(spark, rows, 1, 2, T0))
+    assert a.select("id").distinct().count() == 2 * len(rows)

@@ -54,7 +54,7 @@ def test_type_map_and_unmapped(spark):
     got = [r[0] for r in df.select(TY.map_type("t")).collect()]
     assert got == ["INTEGER", "INTEGER", "TEXT", "TEXT", "NUMERIC(18,4)"]
     b = spark.createDataFrame([("VARCHAR(500)",), (" text ",), ("NUMBER(38,0)",)], "t string")
-    assert [r[0] for r in b.select(TY.canonical_base("t")).collect()] == ["VARCHAR", "VARCHAR", "NUMBER"]
+    assert [r[0] for r in b.select(TY.canonical_base("t")).collect()] == ["VARCHAR", "VARCHAR", "NUMBER(38,0)"]
 
 
 def test_cast_report_overflow_and_long_text(spark):
@@ -171,3 +171,13 @@ def test_drift_matches_brute_force(spark, src, tgt):
     got = sorted(((r["column_name"], r["change_type"], r["old_definition"], r["new_definition"],
                    r["status"]) for r in S.detect_drift(s, g, fold_synonyms=False).collect()), key=repr)
     assert got == _model(list(src.items()), list(tgt.items()))
+
+
+def test_types_that_are_and_are_not_the_same(spark):
+    same = [("INTEGER", "NUMBER(38,0)"), ("BIGINT", "number(38, 0)"), ("TEXT", "VARCHAR(500)"), ("NUMERIC(18,4)", "DECIMAL(18,4)"),
+            ("NUMBER", "INTEGER"), ("TIMESTAMP", "TIMESTAMP_NTZ(9)"), ("FLOAT", "DOUBLE PRECISION")]
+    other = [("INTEGER", "NUMERIC(18,4)"), ("NUMERIC(18,4)", "NUMBER(18,2)"), ("NUMERIC(10,4)", "NUMBER(18,4)"),
+             ("TEXT", "INTEGER"), ("DATE", "TIMESTAMP"), ("TIMESTAMP", "TIMESTAMP_TZ"), ("FLOAT", "NUMBER(18,4)")]
+    df = spark.createDataFrame(same + other, "a string, b string")
+    got = [r[0] for r in df.select(TY.canonical_base(F.upper("a")) == TY.canonical_base(F.upper("b"))).collect()]
+    assert got == [True] * len(same) + [False] * len(other)

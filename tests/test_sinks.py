@@ -35,16 +35,6 @@ def test_warehouse_writer_options(spark):
         sinks.warehouse_writer(df, Connection("postgresql"), "d", None, "t")
 
 
-def test_jdbc_staging_on_derby(spark, tmp):
-    c = Connection("derby", url="jdbc:derby:memory:sinks;create=true")
-    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
-    sinks.write_jdbc_staging(df, c, "STAGE")
-    back = spark.read.format("jdbc").options(**c.jdbc_options()).option("dbtable", "STAGE").load()
-    assert back.count() == 2
-    sinks.write_jdbc_staging(df.limit(1), c, "STAGE")
-    assert back.count() == 1
-
-
 def test_log_drift_appends(spark, tmp):
     path = os.path.join(tmp, "drift")
     ev = spark.createDataFrame([("t", "A", "column_added")], "table_name string, column_name string, change_type string")
@@ -53,20 +43,6 @@ def test_log_drift_appends(spark, tmp):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_jdbc_upsert_set_based_on_derby(spark):
-    import uuid
-    c = Connection("derby", url=f"jdbc:derby:memory:u{uuid.uuid4().hex[:8]};create=true")
-    first = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (3, "c", 0)], "id int, name string, seq int")
-    assert sinks.jdbc_upsert(first, c, "TGT", "id")["created"]
-    batch = spark.createDataFrame([(2, "b1", 1), (2, "b2", 2), (4, "d", 1)], "id int, name string, seq int")
-    res = sinks.jdbc_upsert(batch, c, "TGT", "id", mode="last_wins", order_cols=["seq"])
-    assert res["deleted"] == 1 and res["inserted"] == 2
-    back = spark.read.format("jdbc").options(**c.jdbc_options()).option("dbtable", "TGT").load()
-    assert sorted((r.id, r.name) for r in back.collect()) == [(1, "a"), (2, "b2"), (3, "c"), (4, "d")]
-    res = sinks.jdbc_upsert(batch, c, "TGT", "id")  # delete-insert keeps both rows of key 2
-    assert sorted(r.name for r in back.where("id = 2").collect()) == ["b1", "b2"]
-
-
 def test_ddl_spelling_per_database():
     assert Connection("postgresql").ddl_type("TIMESTAMP_TZ") == "TIMESTAMPTZ"
     assert Connection("oracle").ddl_type("VARCHAR(500)") == "VARCHAR2(500)"

@@ -1,41 +1,16 @@
-"""JDBC paths on embedded in-memory Derby (ships with Spark, opens no port)."""
+"""JDBC settings, predicates and statements; no database is started."""
 import datetime as dt
-import uuid
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.plans import sinks
 from tidemark.sources import readers as RD
 from tidemark.sources.connection import Connection
 
 T0 = dt.datetime(2024, 1, 1)
-
-
-@pytest.fixture()
-def derby(spark):
-    c = Connection("derby", url=f"jdbc:derby:memory:t{uuid.uuid4().hex[:8]};create=true")
-    df = spark.createDataFrame([(i, f"n{i}", T0 + dt.timedelta(hours=i)) for i in range(1, 101)],
-                               "id int, name string, updated_at timestamp")
-    (df.write.format("jdbc").options(**c.jdbc_options()).option("dbtable", "SRC")
-     .option("createTableColumnTypes", "name VARCHAR(50)").mode("overwrite").save())
-    return c
-
-
-def test_full_and_incremental_pushdown(spark, derby):
-    assert RD.read_table(spark, derby, "SRC").count() == 100
-    inc = RD.read_incremental(spark, derby, "SRC", "updated_at", T0 + dt.timedelta(hours=48))
-    plan = inc._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(updated_at" in plan
-    assert inc.count() == 53  # the mark itself included
-    # missing watermark column: full scan, no failing query
-    assert RD.read_incremental(spark, derby, "SRC", "modified_at", T0).count() == 100
-
-
-def test_bounds_and_partitioned_read(spark, derby):
-    assert RD.key_bounds(spark, derby, "SRC", "id") == (1, 100)
-    p = RD.read_partitioned(spark, derby, "SRC", "id", 8, wm_col="updated_at",
-                            since=T0 + dt.timedelta(hours=48))
-    assert p.rdd.getNumPartitions() == 8 and p.count() == 53
-    assert RD.read_partitioned(spark, derby, "SRC", None).rdd.getNumPartitions() == 1
+MY = Connection("mysql", host="h", db_name="d")  # its quoting and functions are Spark SQL's too
 
 
 def test_connection_urls_and_warehouse_options():
@@ -61,118 +36,82 @@ def test_catalog_queries_per_database():
     assert "table_schema = 'x''y'" in RD.catalog_query(Connection("postgresql"), "x'y")
 
 
-def test_run_load_from_jdbc_source(spark, derby, tmp):
-    import os
-    from tidemark.operators.runs import run_state
-    from tidemark.plans.load import LoadSpec, run_load
-    from tidemark.plans.tables import VersionedTable
-    target, log = os.path.join(tmp, "target"), os.path.join(tmp, "log")
-    spec = LoadSpec(pipeline_id=4, source=derby, source_table="SRC", target_path=target,
-                    watermark_column="updated_at", merge_key="id", mode="full")
-    r1 = run_load(spark, spec, T0 + dt.timedelta(hours=48), run_id=1, run_log=log)
-    assert r1.rows_loaded == 100
-    # the source changes: ids 95..100 updated, 101 added
-    changed = spark.createDataFrame(
-        [(i, f"new{i}", T0 + dt.timedelta(hours=200)) for i in range(95, 102)],
-        "id int, name string, updated_at timestamp")
-    (changed.write.format("jdbc").options(**derby.jdbc_options()).option("dbtable", "SRC")
-     .mode("append").save())
-    import dataclasses
-    hist = run_state(spark.read.parquet(log))
-    r2 = run_load(spark, dataclasses.replace(spec, mode="incremental", upsert="last_wins",
-                                             order_cols=("updated_at",)),
-                  T0 + dt.timedelta(hours=300), run_id=2, runs=hist, run_log=log)
-    assert r2.rows_loaded == 53 + 7  # ids 48..100 at or after the mark, plus the 7 new rows
-    out = {r["ID"]: r["NAME"] for r in VersionedTable(spark, target).read().collect()}
-    assert len(out) == 101 and out[101] == "new101" and out[95] == "new95" and out[1] == "n1"
-
-
-def test_mock_source_orders_load_types_and_updates(spark, tmp):
-    """The reference's mock `orders` source, loaded and then updated."""
-    import dataclasses
-    import os
-    from decimal import Decimal
-    from tidemark.operators.runs import run_state
-    from tidemark.plans.load import LoadSpec, run_load
-    from tidemark.plans.tables import VersionedTable
-    c = Connection("derby", url=f"jdbc:derby:memory:m{uuid.uuid4().hex[:8]};create=true")
-    schema = ("id int, customer_id int, product_id int, amount decimal(10,2), status string, "
-              "order_date date, updated_at timestamp_ntz, created_at timestamp_ntz")
-    rows = [(i, 100 + i % 10, 200 + i % 10, Decimal(f"{i * 10}.50"), "pending",
-             dt.date(2024, 1, i), T0 + dt.timedelta(days=i), T0) for i in range(1, 16)]
-    (spark.createDataFrame(rows, schema).write.format("jdbc").options(**c.jdbc_options())
-     .option("dbtable", "ORDERS").option("createTableColumnTypes", "status VARCHAR(20)").save())
-    target, log = os.path.join(tmp, "t"), os.path.join(tmp, "log")
-    spec = LoadSpec(pipeline_id=2, source=c, source_table="ORDERS", target_path=target,
-                    watermark_column="updated_at", merge_key="id", mode="full")
-    run_load(spark, spec, T0 + dt.timedelta(days=20), run_id=1, run_log=log)
-    got = VersionedTable(spark, target).read()
-    types = dict(got.dtypes)
-    assert types["AMOUNT"] == "decimal(18,4)" and types["ORDER_DATE"] == "date"
-    assert types["UPDATED_AT"] == "timestamp_ntz" and types["ID"] == "int"
-    # two orders change status; the next run picks up only rows at or after the mark
-    upd = [(3, "shipped", T0 + dt.timedelta(days=25)), (7, "cancelled", T0 + dt.timedelta(days=26))]
-    from tidemark.plans.sinks import execute_jdbc
-    execute_jdbc(spark, c, ['UPDATE ORDERS SET "status" = \'%s\', "updated_at" = '
-                            "TIMESTAMP('%s') WHERE \"id\" = %d" % (s, f"{t:%Y-%m-%d %H:%M:%S}", i)
-                            for i, s, t in upd])
-    hist = run_state(spark.read.parquet(log))
-    r2 = run_load(spark, dataclasses.replace(spec, mode="incremental"), T0 + dt.timedelta(days=30),
-                  run_id=2, runs=hist, run_log=log)
-    assert r2.rows_loaded == 2
-    out = {r["ID"]: r["STATUS"] for r in VersionedTable(spark, target).read().collect()}
-    assert len(out) == 15 and out[3] == "shipped" and out[7] == "cancelled" and out[1] == "pending"
-
-
-def test_mod_split_is_even_for_clustered_keys(spark):
-    c = Connection("derby", url=f"jdbc:derby:memory:k{uuid.uuid4().hex[:8]};create=true")
-    # 900 keys packed near 1, 100 spread up to 1e6: ranges would be uneven
-    ids = list(range(1, 901)) + [10_007 * i for i in range(1, 101)] + [None]
-    (spark.createDataFrame([(i, T0) for i in ids], "id int, updated_at timestamp")
-     .write.format("jdbc").options(**c.jdbc_options()).option("dbtable", "K").save())
-    rng = RD.read_partitioned(spark, c, "K", "id", 8)
-    mod = RD.read_partitioned(spark, c, "K", "id", 8, split="mod")
-    sizes = lambda df: [len(p) for p in df.rdd.glom().collect()]
-    assert max(sizes(rng)) > 800          # one range holds the cluster
-    assert max(sizes(mod)) <= 130 and sum(sizes(mod)) == 1001
-    assert mod.where("id IS NULL").count() == 1
-
-
-def test_load_into_a_database_target_with_drift_heal(spark, tmp):
-    import dataclasses
-    import os
-    from decimal import Decimal
-    from tidemark.operators.runs import run_state
-    from tidemark.plans.load import LoadSpec, run_load
-    from tidemark.plans.sinks import execute_jdbc
-    src = Connection("derby", url=f"jdbc:derby:memory:s{uuid.uuid4().hex[:8]};create=true")
-    dst = Connection("derby", url=f"jdbc:derby:memory:d{uuid.uuid4().hex[:8]};create=true")
-    rows = [(i, Decimal(f"{i}.25"), "new", T0 + dt.timedelta(hours=i)) for i in range(1, 11)]
-    (spark.createDataFrame(rows, "id int, amount decimal(10,2), status string, updated_at timestamp_ntz")
-     .write.format("jdbc").options(**src.jdbc_options()).option("dbtable", "ORDERS")
-     .option("createTableColumnTypes", "status VARCHAR(20)").save())
-    log, drift = os.path.join(tmp, "log"), os.path.join(tmp, "drift")
-    spec = LoadSpec(pipeline_id=9, source=src, source_table="ORDERS", target_connection=dst,
-                    target_table="ORDERS_T", watermark_column="updated_at", merge_key="id",
-                    mode="full", upsert="last_wins", order_cols=("updated_at",))
-    r1 = run_load(spark, spec, T0 + dt.timedelta(days=1), run_id=1, run_log=log)
-    assert r1.rows_loaded == 10 and r1.drift == []
-    tgt = spark.read.format("jdbc").options(**dst.jdbc_options()).option("dbtable", "ORDERS_T")
-    t1 = tgt.load()
-    assert dict(t1.dtypes)["AMOUNT"] == "decimal(18,4)" and t1.count() == 10
-    # the source gains a column and two rows change
-    execute_jdbc(spark, src, ['ALTER TABLE ORDERS ADD COLUMN "coupon" VARCHAR(10)',
-                              'UPDATE ORDERS SET "status" = \'paid\', "coupon" = \'X\', '
-                              "\"updated_at\" = TIMESTAMP('2024-01-05 00:00:00') WHERE \"id\" IN (2, 3)"])
-    hist = run_state(spark.read.parquet(log))
-    r2 = run_load(spark, dataclasses.replace(spec, mode="incremental"), T0 + dt.timedelta(days=10),
-                  run_id=2, runs=hist, run_log=log, drift_log_path=drift)
-    assert r2.rows_loaded == 2
-    assert [(d["column_name"], d["change_type"], d["status"]) for d in r2.drift] == [
-        ("COUPON", "column_added", "auto_resolved")]
-    out = {r["ID"]: (r["STATUS"], r["COUPON"]) for r in tgt.load().collect()}
-    assert len(out) == 10 and out[2] == ("paid", "X") and out[1] == ("new", None)
-    assert spark.read.parquet(drift).count() == 1
+def covered(df, predicates):
+    """Rows that each predicate takes; every row must be taken once."""
+    sizes = [df.where(p).count() for p in predicates]
+    assert sum(sizes) == df.count()
+    return sizes
+
+
+def test_ranges_cover_every_row_once(spark):
+    df = spark.createDataFrame([(i, T0 + dt.timedelta(hours=i)) for i in range(500, 1000)] + [(None, None)], "id int, at timestamp_ntz")
+    sizes = covered(df, RD.split_predicates(MY, "id", T.IntegerType(), "range", {"lo": 500, "hi": 999}, 8))
+    assert len(sizes) == 8 and max(sizes) <= 64  # an increment of new keys is spread over its own range
+    at = {"lo": T0 + dt.timedelta(hours=500), "hi": T0 + dt.timedelta(hours=999)}
+    assert max(covered(df, RD.split_predicates(MY, "at", T.TimestampNTZType(), "range", at, 5))) <= 102
+
+
+def test_remainders_and_hashes_cover_every_row_once(spark):
+    ids = list(range(1, 901)) + [10_007 * i for i in range(1, 101)] + [-5, None]
+    df = spark.createDataFrame([(i, None if i is None else f"key-{i}") for i in ids], "id int, name string")
+    mod = covered(df, RD.split_predicates(MY, "id", T.IntegerType(), "mod", {"lo": -5, "hi": 10 ** 6}, 8))
+    assert max(mod) <= 130 and mod[-1] == 1
+    text = covered(df, RD.split_predicates(MY, "name", T.StringType(), "range", {"lo": "a", "hi": "z"}, 8))
+    assert max(text) <= 200 and text[-1] == 1
+
+
+def test_splits_follow_the_size_of_the_increment():
+    assert RD.split_count(0) == RD.split_count(9_999) == 1 and RD.split_count(50_000) == 5
+    assert RD.split_count(5_000_000) == 8 and RD.split_count(10 ** 9) == 1000
+    assert RD.split_predicates(MY, "id", T.IntegerType(), "range", {"lo": None, "hi": None}, 8) is None
+    assert RD.split_predicates(Connection("other"), "name", T.StringType(), "range", {"lo": "a", "hi": "b"}, 8) is None
+
+
+def test_dialects():
+    ms, ora, pg = (Connection(x, host="h", db_name="d", user="app") for x in ("sqlserver", "oracle", "postgresql"))
+    assert RD.mod_predicates(ms, "id", 2)[0] == 'ABS("id" % 2) = 0' and "MOD" in RD.mod_predicates(ora, "id", 2)[0]
+    assert ms.add_column("T", "C", "TEXT") == 'ALTER TABLE T ADD "C" NVARCHAR(MAX)'
+    assert ora.add_column("T", "C", "TEXT") == 'ALTER TABLE T ADD ("C" CLOB)'
+    assert pg.add_column("T", "C", "FLOAT") == 'ALTER TABLE T ADD COLUMN "C" DOUBLE PRECISION'
+    assert pg.change_type("T", "C", "INTEGER") == 'ALTER TABLE T ALTER COLUMN "C" TYPE INTEGER USING "C"::INTEGER'
+    assert ora.change_type("T", "C", "DATE") == 'ALTER TABLE T MODIFY ("C" DATE)'
+    assert MY.change_type("T", "C", "DATE") == "ALTER TABLE T MODIFY COLUMN `C` DATE"
+    assert ms.change_type("T", "C", "DATE") == 'ALTER TABLE T ALTER COLUMN "C" DATE'
+
+
+def test_a_table_is_missing_only_when_the_catalog_says_so(monkeypatch):
+    asked = []
+
+    class Reader:
+        def __init__(self, answer):
+            self.answer = answer
+        format = options = lambda self, *a, **k: self
+        def option(self, _, query):
+            asked.append(query)
+            return self
+        def load(self):
+            if isinstance(self.answer, Exception):
+                raise self.answer
+            return self
+        def first(self):
+            return self.answer
+
+    class Spark:
+        pass
+    spark = Spark()
+    spark.read = Reader((0,))
+    assert sinks.jdbc_table_schema(spark, MY, "s.t") is None
+    assert asked == ["SELECT COUNT(*) AS n FROM information_schema.tables WHERE UPPER(table_name) = 'T' AND UPPER(table_schema) = 'S'"]
+    spark.read = Reader(RuntimeError("connection refused"))
+    with pytest.raises(RuntimeError):  # not taken for a missing table
+        sinks.jdbc_table_schema(spark, MY, "t")
+    assert "all_tables" in sinks.exists_query(Connection("oracle", user="app"), "t")
+
+
+def test_run_is_noted_in_the_transaction_of_its_rows():
+    got = sinks.apply_statements(MY, "T", "T_STAGE", "id", ["id", "v"], "4:7")
+    assert len(got) == 3 and got[0].startswith("DELETE FROM T") and got[2] == "INSERT INTO T_RUNS (run_tag) VALUES ('4:7')"
+    assert sinks.apply_statements(MY, "T", "T_STAGE", None, ["id"]) == ["INSERT INTO T (`id`) SELECT `id` FROM T_STAGE"]
 
 
 def test_heal_status_text():

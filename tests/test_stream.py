@@ -49,3 +49,18 @@ def test_many_micro_batches_with_compaction(spark, tmp):
                   dedup_last_wins(spark.createDataFrame(everything, SCHEMA), "id", ["seq"]).collect())
     assert got == want
     assert len(vt._epochs()) >= 3  # compacted more than once along the way
+
+
+def test_second_stream_and_new_checkpoint_lose_nothing(spark, tmp):
+    src, other, target = (os.path.join(tmp, x) for x in ("in", "other", "target"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    spark.createDataFrame([(1, "a", 1)], SCHEMA).write.parquet(src)
+    spark.createDataFrame([(2, "b", 1)], SCHEMA).write.parquet(other)
+    for source, ckpt in ((src, "c1"), (other, "c2")):
+        stream_upsert(spark, source, schema, target, "id", ["seq"],
+                      checkpoint_location=os.path.join(tmp, ckpt)).awaitTermination()
+    assert sorted(r.id for r in VersionedTable(spark, target).read().collect()) == [1, 2]
+    spark.createDataFrame([(3, "c", 1)], SCHEMA).write.mode("append").parquet(src)
+    stream_upsert(spark, src, schema, target, "id", ["seq"],
+                  checkpoint_location=os.path.join(tmp, "c3")).awaitTermination()
+    assert sorted(r.id for r in VersionedTable(spark, target).read().collect()) == [1, 2, 3]

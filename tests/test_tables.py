@@ -103,3 +103,34 @@ def test_obsolete_paths_lists_versions_before_the_kept_bases(spark, tmp):
     assert vt.obsolete_paths(keep_bases=2) == [vt.version_path(0), vt.version_path(1)]
     assert vt.obsolete_paths(keep_bases=1) == [vt.version_path(v) for v in (0, 1, 2, 3)]
     assert vt.read().count() == 5
+
+
+def test_replay_is_found_after_any_number_of_compactions(spark, tmp):
+    vt = VersionedTable(spark, os.path.join(tmp, "t"))
+    vt.write(spark.createDataFrame([(1, "a", 0)], SCHEMA), 0, tag="run:1")
+    for i in range(2, 6):
+        vt.write_layer(spark.createDataFrame([(i, "a", 0)], SCHEMA), vt.next_version(), None, tag=f"run:{i}")
+        vt.compact()
+    assert all(vt.has_tag(f"run:{i}") for i in range(1, 6)) and not vt.has_tag("run:6")
+
+
+def test_changed_types_are_widened_on_read(spark, tmp):
+    from decimal import Decimal
+    vt = VersionedTable(spark, os.path.join(tmp, "t"))
+    vt.write(spark.createDataFrame([(1, 5, 7)], "id int, n int, b bigint"), 0)
+    vt.write_layer(spark.createDataFrame([(2, Decimal("12.75"), "abc")], "id bigint, n decimal(18,4), b string"), 1, "id")
+    vt.write_layer(spark.createDataFrame([(9_000_000_000, Decimal("1"), None)], "id bigint, n decimal(18,4), b string"),
+                   2, "id")
+    got = sorted(map(tuple, vt.read().select("id", "n", "b").collect()))
+    assert got == [(1, Decimal("5.0000"), "7"), (2, Decimal("12.7500"), "abc"), (9_000_000_000, Decimal("1.0000"), None)]
+
+
+def test_widest_types():
+    from pyspark.sql import types as T
+    from tidemark.functions.types import widest
+    pairs = [(T.IntegerType(), T.LongType(), T.LongType()), (T.IntegerType(), T.DecimalType(18, 4), T.DecimalType(18, 4)),
+             (T.LongType(), T.DecimalType(10, 2), T.DecimalType(21, 2)), (T.LongType(), T.DoubleType(), T.StringType()),
+             (T.IntegerType(), T.DoubleType(), T.DoubleType()), (T.DateType(), T.TimestampNTZType(), T.TimestampNTZType()),
+             (T.BooleanType(), T.IntegerType(), T.StringType()), (T.DecimalType(38, 0), T.DecimalType(38, 10), T.StringType())]
+    for a, b, want in pairs:
+        assert widest(a, b) == widest(b, a) == want

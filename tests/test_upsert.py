@@ -68,3 +68,11 @@ def test_applying_unique_batch_twice_equals_once(spark, target_rows, batch_map):
                lambda t: U.upsert_last_wins(t, batch, "id", ["seq"])):
         once = fn(target)
         assert rows(fn(once)) == rows(once)
+
+
+def test_ties_are_ordered_and_an_order_is_required(spark):
+    b = spark.createDataFrame([(1, v, 5) for v in "abcdef"], SCHEMA)
+    kept = {tuple(map(tuple, U.dedup_last_wins(b.repartition(n), "id", ["seq"]).collect())) for n in (1, 2, 5)}
+    assert len(kept) == 1
+    with pytest.raises(ValueError):
+        U.dedup_last_wins(b, "id", [])

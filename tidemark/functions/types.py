@@ -48,13 +48,12 @@ _SPARK_TYPES: dict[str, T.DataType] = {
     "FLOAT": T.DoubleType(),
 }
 
-# Warehouse synonyms folded onto one base name before comparing types, so a
-# warehouse that reports NUMBER for INTEGER or VARCHAR for TEXT is not drift.
-# (Public Snowflake type synonyms.)
+# Spellings of one warehouse type (public Snowflake type synonyms): a warehouse
+# that reports NUMBER(38,0) for INTEGER or VARCHAR for TEXT is not drift. A
+# number's precision and scale are part of its type; a text's length is not.
 CANONICAL_BASE: dict[str, str] = {
-    "INTEGER": "NUMBER", "INT": "NUMBER", "BIGINT": "NUMBER", "SMALLINT": "NUMBER",
-    "TINYINT": "NUMBER", "BYTEINT": "NUMBER", "NUMERIC": "NUMBER", "DECIMAL": "NUMBER",
-    "NUMBER": "NUMBER",
+    "INTEGER": "NUMBER(38,0)", "INT": "NUMBER(38,0)", "BIGINT": "NUMBER(38,0)", "SMALLINT": "NUMBER(38,0)",
+    "TINYINT": "NUMBER(38,0)", "BYTEINT": "NUMBER(38,0)",
     "TEXT": "VARCHAR", "STRING": "VARCHAR", "CHAR": "VARCHAR", "CHARACTER": "VARCHAR",
     "VARCHAR": "VARCHAR",
     "FLOAT": "FLOAT", "FLOAT4": "FLOAT", "FLOAT8": "FLOAT", "DOUBLE": "FLOAT",
@@ -63,6 +62,7 @@ CANONICAL_BASE: dict[str, str] = {
     "TIMESTAMP_TZ": "TIMESTAMP_TZ", "TIMESTAMP_LTZ": "TIMESTAMP_LTZ",
     "BOOLEAN": "BOOLEAN", "DATE": "DATE",
 }
+NUMBER_NAMES = ("NUMBER", "NUMERIC", "DECIMAL")
 
 
 def _lit_map(mapping: Mapping[str, str]) -> Column:
@@ -82,9 +82,46 @@ def base_type(type_name: Column | str) -> Column:
 
 
 def canonical_base(type_name: Column | str) -> Column:
-    """Base type with warehouse synonyms folded (unknown names kept as they are)."""
-    b = base_type(type_name)
-    return F.coalesce(_lit_map(CANONICAL_BASE)[b], b)
+    """One name for all spellings of a type: synonyms folded, numbers with
+    their precision and scale (38 and 0 where none are given); unknown names
+    as they are."""
+    c = F.col(type_name) if isinstance(type_name, str) else type_name
+    b = base_type(c)
+    inner = r"\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\)"
+    precision, scale = F.regexp_extract(c, inner, 1), F.regexp_extract(c, inner, 2)
+    number = F.concat(F.lit("NUMBER("), F.when(precision == "", "38").otherwise(precision), F.lit(","),
+                      F.when(scale == "", "0").otherwise(scale), F.lit(")"))
+    return F.when(b.isin(*NUMBER_NAMES), number).otherwise(F.coalesce(_lit_map(CANONICAL_BASE)[b], b))
+
+
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def widest(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds every value of both; text if no other does."""
+    if a == b:
+        return a
+    if type(a) in _DIGITS and type(b) in _DIGITS:
+        return a if _DIGITS[type(a)] >= _DIGITS[type(b)] else b
+    exact = [(t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (_DIGITS.get(type(t)), 0)
+             for t in (a, b)]
+    if all(e[0] is not None for e in exact):
+        whole, scale = max(e[0] for e in exact), max(e[1] for e in exact)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    if T.DoubleType() in (a, b):  # a double holds every integer of up to 15 digits
+        other = b if a == T.DoubleType() else a
+        if isinstance(other, T.FloatType) or _DIGITS.get(type(other), 99) <= 10:
+            return T.DoubleType()
+    if {type(a), type(b)} == {T.DateType, T.TimestampNTZType}:
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def lossless_cast(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Cast to a type from ``widest``."""
+    if isinstance(want, T.StringType) and _is_nested(have):
+        return F.to_json(c)
+    return c.cast(want)
 
 
 def source_type_name(dt: T.DataType) -> str:

@@ -34,18 +34,20 @@ def isolated_pipelines(pipelines: DataFrame, deps: DataFrame) -> DataFrame:
     return pipelines.join(ends, "id", "left_anti")
 
 
-def dependency_levels(pipelines: DataFrame, deps: DataFrame, max_iter: int = 64) -> DataFrame:
+def dependency_levels(pipelines: DataFrame, deps: DataFrame) -> DataFrame:
     """Level of every pipeline: 0 with no prerequisites, else one more than
     its highest prerequisite (the longest chain above it).
 
-    Layers are peeled as in Kahn's algorithm: a pipeline gets its level once
-    all its prerequisites have one. Each round is one join of the edges with
-    the levels found so far plus one aggregate, and appends the new layer to
-    a table in the shared checkpoint folder (the lineage never grows; the
-    layer's size is observed during that write, so a round is one job).
-    Pipelines on or below a cycle never qualify; they are returned with a
-    null level and ``in_cycle`` true. ``max_iter`` bounds the rounds
-    (deeper chains also come back unresolved).
+    Layers are peeled as in Kahn's algorithm. Each round joins the edges with
+    the newest layer only, counts the prerequisites that just got a level and
+    takes them off the count each open pipeline still waits for; those that
+    wait for none are the next layer. A round is one job: the open pipelines
+    are written to the shared checkpoint folder, so the lineage never grows.
+    Rounds go on until one places nothing, however deep
+    the chains are. Pipelines on or below a cycle never qualify; they are
+    returned with a null level and ``in_cycle`` true. Where no pipeline has
+    more than one prerequisite, pointer jumping gives the same levels in
+    about log2(depth) rounds.
     """
     spark = pipelines.sparkSession
     nodes = pipelines.select(F.col("id").alias("pipeline_id"))
@@ -55,38 +57,37 @@ def dependency_levels(pipelines: DataFrame, deps: DataFrame, max_iter: int = 64)
              .join(nodes.withColumnRenamed("pipeline_id", "depends_on_id"),
                    "depends_on_id", "left_semi"))
     edges = materialize(edges, fresh_scratch(spark, "edges"))
-    need = materialize(edges.groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("n_prereq")),
-                       fresh_scratch(spark, "need"))
-    widest = need.agg(F.max("n_prereq").alias("m")).first()["m"]
+    waits = edges.groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("n_open"))
+    opened = materialize(waits, fresh_scratch(spark, "open"))
+    widest = opened.agg(F.max("n_open").alias("m")).first()["m"]
     if widest is None or widest <= 1:
-        return _forest_levels(nodes, edges, max_iter)
+        return _forest_levels(nodes, edges)
     path = fresh_scratch(spark, "levels")
-    roots = nodes.join(need, "pipeline_id", "left_anti").select("pipeline_id", F.lit(0).alias("level"))
-    _, placed = materialize(roots, path, count=True)
-    total = nodes.count()
-    for i in range(max_iter):
-        if placed >= total:
+    # round k holds what was open before it; rows that wait for nothing are level k
+    roots = nodes.join(opened, "pipeline_id", "left_anti").withColumn("n_open", F.lit(0).cast("bigint"))
+    state, level = opened.unionByName(roots), 0
+    while True:
+        at = os.path.join(path, f"level={level}")
+        placed = Observation()
+        (state.observe(placed, F.count_if(F.col("n_open") == 0).alias("n"))
+         .write.mode("overwrite").parquet(at))
+        if not placed.get.get("n"):
             break
-        known = spark.read.parquet(path)
-        reached = (edges.join(known.withColumnRenamed("pipeline_id", "depends_on_id"),
-                              "depends_on_id", "inner")
-                   .groupBy("pipeline_id")
-                   .agg(F.count(F.lit(1)).alias("n_done"), F.max("level").alias("top")))
-        fresh = (reached.join(need, "pipeline_id", "inner")
-                 .where(F.col("n_done") == F.col("n_prereq"))
-                 .join(known, "pipeline_id", "left_anti")
-                 .select("pipeline_id", (F.col("top") + 1).alias("level")))
-        obs = Observation(f"levels-{os.path.basename(path)}-{i}")
-        fresh.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
-        n = int(obs.get.get("n", 0))
-        if n == 0:
-            break
-        placed += n
-    return (nodes.join(spark.read.parquet(path), "pipeline_id", "left")
+        before = spark.read.parquet(at)
+        newest = before.where("n_open = 0").select(F.col("pipeline_id").alias("depends_on_id"))
+        met = (edges.join(newest, "depends_on_id", "left_semi")
+               .groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("n_met")))
+        state = (before.where("n_open > 0").join(met, "pipeline_id", "left")
+                 .select("pipeline_id", (F.col("n_open") - F.coalesce("n_met", F.lit(0))).alias("n_open")))
+        level += 1
+    levels = (spark.read.option("basePath", path)
+              .parquet(*[os.path.join(path, f"level={k}") for k in range(level + 1)])
+              .where("n_open = 0").select("pipeline_id", F.col("level").cast("int").alias("level")))
+    return (nodes.join(levels, "pipeline_id", "left")
             .withColumn("in_cycle", F.col("level").isNull()))
 
 
-def _forest_levels(nodes: DataFrame, edges: DataFrame, max_iter: int) -> DataFrame:
+def _forest_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Levels when every pipeline has at most one prerequisite, by pointer
     jumping: each round replaces a pointer by its target's pointer and adds
     up the distance, so a chain of depth d needs about log2(d) rounds (one
@@ -100,7 +101,7 @@ def _forest_levels(nodes: DataFrame, edges: DataFrame, max_iter: int) -> DataFra
     state, n = materialize(state.withColumn("_open", F.col("ptr").isNotNull()), path, count=True)
     # an acyclic forest of n nodes closes every pointer within log2(n) + 1
     # rounds; pointers still open after that are on or below a cycle
-    rounds = min(max_iter, max(1, math.ceil(math.log2(n + 1))) + 1)
+    rounds = max(1, math.ceil(math.log2(n + 1))) + 1
     for i in range(rounds):
         hop = state.select(F.col("pipeline_id").alias("ptr"), F.col("ptr").alias("_next"),
                            F.col("dist").alias("_d"))

@@ -30,11 +30,6 @@ PAGE_SIZE = 10
 ANOMALY_FEED_SIZE = 6
 # --- end of fixed values -----------------------------------------------------
 
-# Above this many complete runs in one pipeline the volume check switches to
-# the skew-safe plan (a task sorting a million short rows is still cheap).
-MAX_GROUP_ROWS = 1_000_000
-
-
 def _newest() -> list[Column]:
     """Newest first, as the run history is listed: nulls first, like a
     descending order in the reference's database."""
@@ -144,9 +139,7 @@ def recent_for_pipeline(runs: DataFrame, pipeline_id, n: int = RECENT_RUNS_LIMIT
 def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
                    lower_pct: int = VOLUME_LOWER_PCT,
                    thresholds: DataFrame | None = None,
-                   history: int = VOLUME_HISTORY_RUNS, skew_safe: bool | str = "auto",
-                   block_rows: int = DEFAULT_BLOCK_ROWS,
-                   max_group_rows: int = MAX_GROUP_ROWS,
+                   history: int = VOLUME_HISTORY_RUNS, block_rows: int = DEFAULT_BLOCK_ROWS,
                    keep: list[str] | None = None) -> DataFrame:
     """Flag each complete run whose row count is outside the band around the
     mean of the previous ``history`` complete runs of its pipeline.
@@ -156,31 +149,17 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
     flagged. ``thresholds`` (id, volume_alert_upper_pct,
     volume_alert_lower_pct) overrides the bounds per pipeline.
 
-    ``skew_safe=True`` numbers each pipeline's runs with
-    ``group_row_number`` and evaluates the trailing frame in blocks, so a
-    pipeline holding most runs is spread over many tasks; ``False`` uses a
-    plain window partitioned by pipeline. ``"auto"`` (default) counts the
-    complete runs per pipeline first (one partial aggregate over two
-    columns) and takes the skew-safe path when any pipeline has more than
-    ``max_group_rows`` of them, i.e. when one task would hold too much.
+    Runs are numbered by pipeline and day and the trailing frame is evaluated
+    in blocks, so a pipeline holding most runs is spread over many tasks. Runs
+    without a pipeline are a group of their own.
     """
     base_cols = ["run_id", "pipeline_id", "started_at", "rows_loaded"]
     carried = base_cols + [c for c in (keep or []) if c not in base_cols]
     done = runs.where(F.col("status") == "complete").select(*carried)
     rows0 = F.coalesce(F.col("rows_loaded"), F.lit(0))
     aggs = {"history_runs": F.count(F.lit(1)), "avg_prev": F.avg(rows0)}
-    if skew_safe == "auto":
-        top = done.groupBy("pipeline_id").count().agg(F.max("count").alias("m")).first()["m"]
-        skew_safe = top is not None and top > max_group_rows
-    if skew_safe:
-        numbered = group_row_number(done, "pipeline_id", ["started_at", "run_id"])
-        scored = trailing_frame(numbered, "pipeline_id", "rn", history, aggs, block_rows).drop("rn")
-    else:
-        w = (Window.partitionBy("pipeline_id").orderBy("started_at", "run_id")
-             .rowsBetween(-history, -1))
-        scored = done
-        for name, agg in aggs.items():
-            scored = scored.withColumn(name, agg.over(w))
+    numbered = group_row_number(done, "pipeline_id", ["started_at", "run_id"], F.to_date("started_at"))
+    scored = trailing_frame(numbered, "pipeline_id", "rn", history, aggs, block_rows).drop("rn")
     if thresholds is not None:
         th = thresholds.select(F.col("id").alias("pipeline_id"),
                                F.col("volume_alert_upper_pct").alias("_up"),
@@ -319,7 +298,7 @@ def run_durations(runs: DataFrame) -> DataFrame:
 # ------------------------------------------------------ run record fold (K7)
 
 _PATCH_FIELDS = ("status", "rows_loaded", "error_message", "volume_anomaly_flag",
-                 "phase_completed", "max_seen")
+                 "phase_completed", "max_seen", "cast_issues")
 
 
 def run_state(patches: DataFrame, id_col: str = "run_id", seq_col: str = "seq",
@@ -335,10 +314,9 @@ def run_state(patches: DataFrame, id_col: str = "run_id", seq_col: str = "seq",
     fields = [f for f in ("pipeline_id", *_PATCH_FIELDS) if f in patches.columns]
     aggs = [F.min(at_col).alias("started_at"), F.count(F.lit(1)).alias("n_patches")]
     for f in fields:
-        aggs.append(F.max_by(F.col(f), F.when(F.col(f).isNotNull(), seq)).alias(f))
+        # error text is cut before it is shuffled
+        value = cut("error_message", ERROR_TEXT_LIMIT) if f == "error_message" else F.col(f)
+        aggs.append(F.max_by(value, F.when(F.col(f).isNotNull(), seq)).alias(f))
     terminal = F.col("status").isin(*TERMINAL_STATUSES)
     aggs.append(F.max_by(F.col(at_col), F.when(terminal, seq)).alias("ended_at"))
-    out = patches.groupBy(id_col).agg(*aggs)
-    if "error_message" in fields:
-        out = out.withColumn("error_message", cut("error_message", ERROR_TEXT_LIMIT))
-    return out
+    return patches.groupBy(id_col).agg(*aggs)

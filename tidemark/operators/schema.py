@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.exprs import HEAL_ERROR_LIMIT
 from tidemark.functions.types import (
-    base_type, canonical_base, map_type, source_type_name, spark_type_for,
+    base_type, canonical_base, lossless_cast, map_type, source_type_name, spark_type_for, widest,
 )
 
 # --- fixed values: the reference's watermark suggestion rule ----------------
@@ -139,12 +139,13 @@ def detect_drift(source_cols: DataFrame, target_cols: DataFrame,
     (warehouse type names), matched by table and upper-cased name.
 
     column_added   new in the source: status ``auto_resolved`` (healed)
-    type_changed   base types differ: ``pending_review``
+    type_changed   types differ: ``pending_review``
     column_dropped gone from the source: ``pending_review``
 
     A table absent from the target yields no events (first load). With
-    ``fold_synonyms`` warehouse synonyms (TEXT/VARCHAR, INTEGER/NUMBER...)
-    compare equal; without it base names are compared as they are.
+    ``fold_synonyms`` spellings of one type (TEXT/VARCHAR, INTEGER/NUMBER(38,0))
+    compare equal, and numbers differ by precision and scale; without it base
+    names are compared as they are.
     """
     base = canonical_base if fold_synonyms else base_type
     present = target_cols.select("table_name").distinct()
@@ -193,23 +194,43 @@ def heal_target(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def align_batch(batch: DataFrame, target: DataFrame) -> DataFrame:
-    """Batch in the target's column order and types: columns the batch lacks
-    become null, columns it adds stay at the end. Values that the target
-    type cannot hold become null (reported by ``cast_report``)."""
+    """Batch in the target's column order: columns the batch lacks become
+    null, columns it adds stay at the end. A column of another type is cast
+    to the target's where that type holds every value of the batch's; else it
+    keeps its own type, and readers of the target widen the column. No value
+    is changed or lost."""
     have = {f.name: f.dataType for f in batch.schema.fields}
     cols = []
     for f in target.schema.fields:
         if f.name not in have:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif have[f.name] == f.dataType:
-            cols.append(F.col(f.name))
+        elif have[f.name] != f.dataType and widest(have[f.name], f.dataType) == f.dataType:
+            cols.append(lossless_cast(F.col(f.name), have[f.name], f.dataType).alias(f.name))
         else:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+            cols.append(F.col(f.name))
     tnames = set(target.columns)
     cols += [F.col(n) for n in batch.columns if n not in tnames]
     return batch.select(*cols)
 
 
+def cast_loss(df: DataFrame, changes: Mapping[str, str]) -> DataFrame:
+    """For each (column -> warehouse type): values present, values the type
+    cannot hold (``n_failed``) and values it would change, such as cut-off
+    decimals (``n_changed``). One scan."""
+    aggs = []
+    for c, t in changes.items():
+        have, want = df.schema[c].dataType, spark_type_for(t)
+        to = F.col(c).try_cast(want)
+        back = to.cast(have) if not isinstance(have, T.StringType) else to.cast("string")
+        aggs += [F.count_if(F.col(c).isNotNull()).alias(f"{c}__n"),
+                 F.count_if(F.col(c).isNotNull() & to.isNull()).alias(f"{c}__f"),
+                 F.count_if(to.isNotNull() & (back != F.col(c))).alias(f"{c}__d")]
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("new_type"),
+                     F.col(f"{c}__n").alias("n_values"), F.col(f"{c}__f").alias("n_failed"),
+                     F.col(f"{c}__d").alias("n_changed")) for c, t in changes.items()]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def heal_and_align(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     healed = heal_target(target, batch)
     return healed, align_batch(batch, healed)

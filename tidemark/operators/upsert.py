@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -65,31 +65,24 @@ def dedup_last_wins(batch: DataFrame, key: str | Sequence[str],
     """One row per non-null key: the row that sorts first by ``order_cols``
     descending (nulls last). Rows with a null key are all kept.
 
-    The winners are found on the narrow (key, order) columns only: a grouped
-    ``max`` of the order struct, which combines map-side, so a key holding a
-    third of the batch is one row per map task before the shuffle. The wide
-    rows are then picked by a semi join on key and order (null-safe, so null
-    order values still match), which is spread over all join columns rather
-    than the key alone; ties on the order keep one row. At 6M wide rows this
-    ran in 5.3 s against 8.4 s for a ``row_number`` window.
+    One pass: ``row_number() = 1`` lets Catalyst keep one row per key and map
+    task before the shuffle, so a key holding a third of the batch is spread.
+    Rows without a key get a number of their own in its place. Rows that tie
+    on the whole order are told apart by a hash of all their columns, so a
+    rerun keeps the same one. An order is required.
     """
     ks = _keys(key)
-    tmp = [f"_tm_o{i}" for i in range(len(order_cols))]
-    wide = batch.select("*", *[_order_col(c).alias(t) for c, t in zip(order_cols, tmp)])
-    not_null = None
+    if not order_cols:
+        raise ValueError("last-wins needs an order: name the columns that tell which row is last")
+    no_key = F.lit(False)
     for k in ks:
-        c = F.col(k).isNotNull()
-        not_null = c if not_null is None else not_null & c
-    keyed = wide.where(not_null)
-    wk = [f"_tm_k{i}" for i in range(len(ks))]
-    winners = (keyed.groupBy(*ks).agg(F.max(F.struct(*tmp)).alias("_tm_w"))
-               .select(*[F.col(k).alias(w) for k, w in zip(ks, wk)],
-                       *[F.col(f"_tm_w.{t}").alias(f"{t}_w") for t in tmp]))
-    cond = ([F.col(k) == F.col(w) for k, w in zip(ks, wk)]
-            + [F.col(t).eqNullSafe(F.col(f"{t}_w")) for t in tmp])
-    kept = (keyed.join(winners, cond, "left_semi").dropDuplicates(ks).drop(*tmp)
-            .select(*batch.columns))
-    return kept.unionByName(batch.where(~not_null))
+        no_key = no_key | F.col(k).isNull()
+    plain = [f.name for f in batch.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = batch.withColumn("_tm_lone", F.when(no_key, F.monotonically_increasing_id()))
+    order = [_order_col(c).desc_nulls_last() for c in order_cols]
+    w = Window.partitionBy(*ks, "_tm_lone").orderBy(*order, F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
+    return (rows.withColumn("_tm_nth", F.row_number().over(w)).where("_tm_nth = 1")
+            .drop("_tm_lone", "_tm_nth"))
 
 
 def upsert_last_wins(target: DataFrame, batch: DataFrame, key: str | Sequence[str],

@@ -6,14 +6,11 @@ single task. These helpers number the rows of every group in order and
 evaluate short trailing frames without ever putting a whole group in one
 partition:
 
-* ``group_row_number`` range-partitions on (group, order), so a hot group
-  is split across many partitions, takes per-partition positions from
-  ``monotonically_increasing_id`` (consecutive within a sorted partition)
-  and adds the count of the group's rows in earlier partitions, from a
-  small per-(partition, group) table. The partitioned rows are written
-  once to a table in the shared checkpoint folder, so both uses see the
-  same partitions (a second sampling could draw other ranges) and a lost
-  executor re-reads files instead of re-sampling.
+* ``group_row_number`` cuts every group into buckets of a coarse order key
+  (such as the day), counts the rows of each bucket, sums the counts up in
+  order, and numbers the rows inside a bucket: a row's number is its bucket's
+  start plus its place there. No task holds more than one bucket of a group,
+  nothing is written and no job runs while the plan is built.
 * ``trailing_frame`` cuts every group into blocks of ``block_rows``
   consecutive rows and copies the last ``k`` rows of each block into the
   next one, so a frame of the ``k`` previous rows is a window partitioned
@@ -27,30 +24,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import fresh_scratch, materialize
-
 DEFAULT_BLOCK_ROWS = 100_000
 
 
-def group_row_number(df: DataFrame, group: str, order: Sequence[str],
-                     out: str = "rn", num_partitions: int | None = None) -> DataFrame:
+def group_row_number(df: DataFrame, group: str, order: Sequence[str], bucket: Column,
+                     out: str = "rn") -> DataFrame:
     """``df`` with ``out`` = 0-based position of each row in its group by
-    ``order`` (ascending; the order must be unique within a group)."""
-    spark = df.sparkSession
-    keys = [group, *order]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                         .withColumn("_pid", F.spark_partition_id())
-                         .withColumn("_mid", F.monotonically_increasing_id()),
-                         fresh_scratch(spark, "rownum"))
-    segs = (ranged.groupBy("_pid", group)
-            .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
-    # one row per (partition, group): at most #partitions + #groups rows
-    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    segs = segs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    return (ranged.join(segs.select("_pid", group, "_first", "_before"), ["_pid", group])
-            .withColumn(out, (F.col("_before") + F.col("_mid") - F.col("_first")).cast("bigint"))
-            .drop("_pid", "_mid", "_first", "_before"))
+    ``order`` (ascending; the order must be unique within a group). ``bucket``
+    must rise with the first order column. Null groups and buckets are groups
+    and buckets of their own."""
+    rows = df.withColumn("_bkt", bucket)
+    # one row per group and bucket
+    before = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (rows.groupBy(F.col(group).alias("_g"), F.col("_bkt").alias("_b"))
+              .agg(F.count(F.lit(1)).alias("_n"))
+              .select("_g", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    inside = Window.partitionBy(group, "_bkt").orderBy(*order)
+    return (rows.withColumn("_place", F.row_number().over(inside) - 1)
+            .join(starts, F.col(group).eqNullSafe(F.col("_g")) & F.col("_bkt").eqNullSafe(F.col("_b")))
+            .withColumn(out, (F.col("_before") + F.col("_place")).cast("bigint"))
+            .drop("_g", "_b", "_bkt", "_place", "_before"))
 
 
 def trailing_frame(numbered: DataFrame, group: str, rn: str, k: int,

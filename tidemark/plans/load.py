@@ -1,25 +1,27 @@
 """One load of one pipeline, end to end.
 
-high-water mark -> incremental read -> project, upper-case, cast ->
-stage the batch once -> detect and heal drift -> upsert the batch as a new
-layer of the target -> volume check -> run record.
-
-The source is read exactly once: the batch is written to a staging folder
-under the shared checkpoint directory (counted by an ``Observation`` on
-that write), and every later step reads the staged Parquet. A lost
-executor re-runs its tasks against the staged files, never the source.
+high-water mark -> incremental read -> project, upper-case, cast -> detect
+drift from the schemas -> write the batch once, as a new layer of the target,
+counted by an ``Observation`` on that write -> commit -> volume check -> run
+record.
+
+The source is read once and the batch written once: the layer's files lie in
+the target before they are committed, and a batch that fails its checks is
+never committed. For a database target the batch is staged once under the
+shared checkpoint directory and applied from there.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
 import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +37,7 @@ from tidemark.plans.tables import VersionedTable
 from tidemark.session import checkpoint_dir, path_exists
 from tidemark.sources.connection import Connection
 from tidemark.sources.readers import (
-    ParquetSource, read_incremental, read_partitioned, read_table,
+    ParquetSource, declared_columns, read_incremental, read_partitioned, read_table,
 )
 
 
@@ -56,10 +58,10 @@ class LoadSpec:
     source_table: str
     target_path: str = ""              # versioned Parquet target, or:
     watermark_column: str | None = "updated_at"
-    merge_key: str | None = "id"
+    merge_key: str | None = "id"       # used where the source has such a column
     mode: str = "incremental"          # or "full"
     upsert: str = "delete_insert"      # or "last_wins", "append"
-    order_cols: tuple[str, ...] = ()   # last_wins order, descending
+    order_cols: tuple[str, ...] = ()   # last_wins order, descending; by default the mark column
     upper_pct: int = R.VOLUME_UPPER_PCT
     lower_pct: int = R.VOLUME_LOWER_PCT
     col_defs: tuple[tuple[str, str], ...] | None = None
@@ -69,7 +71,7 @@ class LoadSpec:
     mark: str = "run_end"              # or "max_seen": highest watermark value loaded
     compact_max_layers: int = 16       # fold layers into a new base after this many,
     compact_ratio: float = 0.1         # or once they hold this share of the base's rows
-    on_cast_error: str = "null"        # "null": report and load null; "fail": stop before the target
+    on_cast_error: str = "fail"        # "fail": stop before the target; "null": report and load null
     target_connection: Connection | None = None  # a JDBC target table instead
     target_table: str | None = None
 
@@ -83,6 +85,11 @@ class LoadSpec:
                 raise ValueError(f"{name} must be one of {allowed}, not {getattr(self, name)!r}")
         if not self.target_path and self.target_connection is None:
             raise ValueError("a target is needed: target_path or target_connection")
+        if self.upsert == "last_wins" and not (self.order_cols or self.watermark_column):
+            raise ValueError("last_wins needs order_cols or a watermark_column")
+
+    def order(self, name: Callable[[str], str]) -> list[str]:
+        return [name(c) for c in self.order_cols or (self.watermark_column,) if c]
 
 
 @dataclass
@@ -117,6 +124,7 @@ PATCH_SCHEMA = T.StructType([
     T.StructField("volume_anomaly_flag", T.BooleanType()),
     T.StructField("phase_completed", T.IntegerType()),
     T.StructField("max_seen", T.StringType()),
+    T.StructField("cast_issues", T.StringType()),
 ])
 
 
@@ -126,7 +134,7 @@ def _patch_row(run_id: int, seq: int, at: _dt.datetime, pipeline_id: int, fields
         err = err[:ERROR_TEXT_LIMIT]
     return (run_id, seq, at, pipeline_id, fields.get("status"), fields.get("rows_loaded"), err,
             fields.get("volume_anomaly_flag"), fields.get("phase_completed"),
-            fields.get("max_seen"))
+            fields.get("max_seen"), fields.get("cast_issues"))
 
 
 def record_patch(spark: SparkSession, log_path: str | None, run_id: int, seq: int,
@@ -157,11 +165,20 @@ def _source_defs(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, source_type_name(f.dataType)) for f in df.schema.fields]
 
 
+def _declared_defs(spark: SparkSession, spec: LoadSpec, df: DataFrame) -> list[tuple[str, str]]:
+    """Declared column types: a database's own from its column catalog (S6),
+    where it lists the table; else the names of the Spark types."""
+    if isinstance(spec.source, Connection):
+        name = spec.source_table.rpartition(".")
+        listed = declared_columns(spark, spec.source, name[2], name[0] or None)
+        known = {r["column_name"].lower(): r["data_type"] for r in listed}
+        if known:
+            return [(n, known.get(n.lower(), t)) for n, t in _source_defs(df)]
+    return _source_defs(df)
+
+
 def _read_source(spark: SparkSession, spec: LoadSpec) -> DataFrame:
     """The source table, unfiltered (filters are added lazily and pushed down)."""
-    if isinstance(spec.source, Connection) and spec.merge_key:
-        return read_partitioned(spark, spec.source, spec.source_table, spec.merge_key,
-                                spec.jdbc_partitions, split=spec.jdbc_split)
     return read_table(spark, spec.source, spec.source_table)
 
 
@@ -230,8 +247,13 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
         # extract, project, cast, stage once (S2 P1 P2 P3 K10); the row count,
         # the highest watermark value and the values the target types cannot
         # hold are all observed in that same single pass
-        src = read_incremental(spark, spec.source, spec.source_table, wm, since, df=base)
-        defs = list(spec.col_defs) if spec.col_defs else _source_defs(src)
+        if isinstance(spec.source, Connection) and spec.merge_key in base.columns:
+            src = read_partitioned(spark, spec.source, spec.source_table, spec.merge_key,
+                                   spec.jdbc_partitions, wm_col=wm, since=since, split=spec.jdbc_split,
+                                   schema=base.schema)
+        else:
+            src = read_incremental(spark, spec.source, spec.source_table, wm, since, df=base)
+        defs = list(spec.col_defs) if spec.col_defs else _declared_defs(spark, spec, src)
         metrics = [F.count(F.lit(1)).alias("rows")]
         if spec.watermark_column and spec.watermark_column in src.columns:
             metrics.append(F.max(F.col(spec.watermark_column)).cast("string").alias("max_seen"))
@@ -240,22 +262,26 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
         batch = cast_to_target(src.observe(obs, *metrics), defs)
         if spec.upper_case:
             batch = upper_columns(batch)
-        stage = os.path.join(checkpoint_dir(spark), "stage",
-                             f"pipeline={spec.pipeline_id}", f"run={run_id}")
-        batch.write.mode("overwrite").parquet(stage)
-        got = obs.get
-        rows = int(got.get("rows", 0))
-        max_seen = got.get("max_seen")
-        issues = {n: {"n_failed": int(got.get(f"{n}__f", 0)), "n_too_long": int(got.get(f"{n}__l", 0))}
-                  for n, _ in defs
-                  if got.get(f"{n}__f", 0) or got.get(f"{n}__l", 0)}
-        if issues and spec.on_cast_error == "fail":
-            raise ValueError(f"values the target types cannot hold: {issues}")
-        patch(phase_completed=2)
+
+        def observed() -> tuple[int, str | None, dict]:
+            got = obs.get
+            issues = {n: {"n_failed": int(got.get(f"{n}__f", 0)), "n_too_long": int(got.get(f"{n}__l", 0))}
+                      for n, _ in defs if got.get(f"{n}__f", 0) or got.get(f"{n}__l", 0)}
+            if issues:
+                patch(cast_issues=json.dumps(issues, sort_keys=True))
+            if spec.on_cast_error == "fail" and any(i["n_failed"] for i in issues.values()):
+                raise ValueError(f"values the target types cannot hold: {issues}")
+            return int(got.get("rows", 0)), got.get("max_seen"), issues
 
         version = None
         drift_rows: list[dict] = []
         if spec.target_connection is not None:
+            # a database sees only a batch that is whole and checked
+            stage = os.path.join(checkpoint_dir(spark), "stage",
+                                 f"pipeline={spec.pipeline_id}", f"run={run_id}")
+            batch.write.mode("overwrite").parquet(stage)
+            rows, max_seen, issues = observed()
+            patch(phase_completed=2)
             if rows > 0:
                 drift_rows = _load_jdbc_target(spark, spec, spark.read.parquet(stage), defs,
                                                as_of, run_id, drift_log_path)
@@ -268,46 +294,43 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
                               max_seen=max_seen, cast_issues=issues)
         vt = VersionedTable(spark, spec.target_path)
         tag = f"run:{run_id}"
-        if rows > 0 and not vt.has_tag(tag):   # a replayed run is not applied twice
-            staged = spark.read.parquet(stage)
-            key = spec.merge_key.upper() if (spec.merge_key and spec.upper_case) else spec.merge_key
-            latest = vt.latest_version()
-            if latest is not None:
-                current = vt.read()  # lazy: only its schema is used here
-                tname = spec.source_table
-                src_cols = spark.createDataFrame(
-                    [(tname, (n.upper() if spec.upper_case else n), i + 1, t)
-                     for i, (n, t) in enumerate(defs)], S.COLUMNS_SCHEMA)
-                drift = S.detect_drift(src_cols, S.describe_target(current, tname))
+        replayed = vt.has_tag(tag)  # a replayed run is not applied twice
+        upper = (lambda c: c.upper()) if spec.upper_case else (lambda c: c)
+        key = upper(spec.merge_key) if spec.merge_key else None
+        latest = vt.latest_version()
+        drift = None
+        if latest is not None:
+            # drift needs schemas only, so it is known before the batch is written
+            current = vt.read()
+            src_cols = spark.createDataFrame(
+                [(spec.source_table, upper(n), i + 1, t) for i, (n, t) in enumerate(defs)], S.COLUMNS_SCHEMA)
+            drift = S.detect_drift(src_cols, S.describe_target(current, spec.source_table))
+            # Dropped columns become null, added ones travel with the
+            # batch, changed types are widened by readers
+            batch = S.align_batch(batch, current)
+        keyed = spec.upsert != "append" and bool(key) and key in batch.columns
+        if keyed and spec.upsert == "last_wins":
+            batch = U.dedup_last_wins(batch, key, spec.order(upper))
+        # the batch is written once, into the version's folder, and counted on
+        # the way; readers see it only once it is committed
+        nxt = 0 if latest is None else max(latest + 1, run_id)
+        layer_rows = vt.write_files(batch, nxt)
+        rows, max_seen, issues = observed()
+        patch(phase_completed=2)
+        if rows > 0 and not replayed:
+            version = nxt
+            if drift is not None:
                 # bounded by the schema width, not by the data
                 drift_rows = [r.asDict() for r in drift.collect()]
                 if drift_log_path and drift_rows:
-                    events = (drift.withColumn("pipeline_id", F.lit(spec.pipeline_id).cast("bigint"))
-                              .withColumn("detected_at", ts_lit(as_of))
-                              .withColumn("id", F.lit(run_id).cast("bigint") * 10000
-                                          + F.row_number().over(
-                                              Window.orderBy("column_name", "change_type"))))
-                    events = _only_new_drift(spark, events, drift_log_path, spec.pipeline_id)
-                    events.write.mode("append").parquet(drift_log_path)
-                # Dropped columns become null, existing types are kept,
-                # added columns travel with the batch (read unions by name)
-                staged = S.align_batch(staged, current)
-            keyed = spec.upsert != "append" and bool(key) and key in staged.columns
-            layer_rows = rows
-            if keyed and spec.upsert == "last_wins":
-                order = [c.upper() if spec.upper_case else c for c in spec.order_cols] or [key]
-                staged = U.dedup_last_wins(staged, key, order)
-                layer_rows = None  # counted while the deduplicated layer is written
-            nxt = 0 if latest is None else max(latest + 1, run_id)
-            if latest is None:
-                # K1: the first load creates the table with the batch's schema
-                version = vt.write(staged, nxt, layer_rows, as_of, check=False, tag=tag)
-            else:
-                # K3/K4/K5: only the batch is written; reads resolve the keys
-                version = vt.write_layer(staged, nxt, key if keyed else None, layer_rows, as_of,
-                                         check=False, tag=tag)
-                if vt.should_compact(spec.compact_max_layers, spec.compact_ratio):
-                    vt.compact(committed_at=as_of)
+                    events = _drift_events(spark, drift_rows, spec.pipeline_id, run_id, as_of)
+                    _only_new_drift(spark, events, drift_log_path, spec.pipeline_id) \
+                        .write.mode("append").parquet(drift_log_path)
+            # K1: the first load creates the table; K3/K4/K5: later ones add a layer
+            vt.commit_files(version, layer_rows, None if not keyed or latest is None else key,
+                            base=latest is None, committed_at=as_of, tag=tag)
+            if latest is not None and vt.should_compact(spec.compact_max_layers, spec.compact_ratio):
+                vt.compact(committed_at=as_of)
 
         anomaly, pct = volume_check(runs, spec.pipeline_id, rows, spec.upper_pct, spec.lower_pct)
         patch(status="complete", phase_completed=3, rows_loaded=rows,
@@ -337,7 +360,7 @@ def _load_jdbc_target(spark: SparkSession, spec: LoadSpec, staged: DataFrame,
     key = name(spec.merge_key) if spec.merge_key else None
     keyed = spec.upsert != "append" and key is not None and key in staged.columns
     mode = "last_wins" if spec.upsert == "last_wins" else "delete_insert"
-    order = [name(c) for c in spec.order_cols] or ([key] if key else [])
+    order = spec.order(name)
     drift_rows: list[dict] = []
     existing = sinks.jdbc_table_schema(spark, conn, table)
     if existing is not None:
@@ -347,19 +370,14 @@ def _load_jdbc_target(spark: SparkSession, spec: LoadSpec, staged: DataFrame,
         drift_rows = [r.asDict() for r in S.detect_drift(src_cols, tgt).collect()]
         for d in drift_rows:
             if d["change_type"] == "column_added":
-                ddl = (f"ALTER TABLE {table} ADD COLUMN {conn.quote(d['column_name'])} "
-                       f"{conn.ddl_type(d['new_definition'])}")
+                ddl = conn.add_column(table, d["column_name"], d["new_definition"])
                 try:
                     sinks.execute_jdbc(spark, conn, [ddl])
                     d["status"] = S.heal_status(None)
                 except Exception as e:  # the reference logs the failure and goes on
                     d["status"] = S.heal_status(str(e))
         if drift_log_path and drift_rows:
-            events = (spark.createDataFrame(drift_rows, S.DRIFT_SCHEMA)
-                      .withColumn("pipeline_id", F.lit(spec.pipeline_id).cast("bigint"))
-                      .withColumn("detected_at", ts_lit(as_of))
-                      .withColumn("id", F.lit(run_id).cast("bigint") * 10000
-                                  + F.row_number().over(Window.orderBy("column_name", "change_type"))))
+            events = _drift_events(spark, drift_rows, spec.pipeline_id, run_id, as_of)
             _only_new_drift(spark, events, drift_log_path, spec.pipeline_id) \
                 .write.mode("append").parquet(drift_log_path)
         healed = {r["column_name"] for r in drift_rows
@@ -368,10 +386,21 @@ def _load_jdbc_target(spark: SparkSession, spec: LoadSpec, staged: DataFrame,
         have = {f.name.upper() for f in existing.fields} | healed
         staged = staged.select(*[c for c in staged.columns if c.upper() in have])
     sinks.jdbc_upsert(staged, conn, table, key if keyed else None, mode=mode, order_cols=order,
-                      column_types=types)
+                      column_types=types, run_tag=f"{spec.pipeline_id}:{run_id}")
     return drift_rows
 
 
+def _drift_events(spark: SparkSession, rows: list[dict], pipeline_id: int, run_id: int,
+                  as_of: _dt.datetime) -> DataFrame:
+    """Log rows of drift events. An event's id is a hash of what it is about,
+    so ids of different runs and wide tables do not meet."""
+    return (spark.createDataFrame(rows, S.DRIFT_SCHEMA)
+            .withColumn("pipeline_id", F.lit(pipeline_id).cast("bigint"))
+            .withColumn("detected_at", ts_lit(as_of))
+            .withColumn("id", F.xxhash64("pipeline_id", F.lit(run_id).cast("bigint"), "table_name",
+                                         "column_name", "change_type")))
+
+
 def _only_new_drift(spark: SparkSession, events: DataFrame, log_path: str,
                     pipeline_id: int) -> DataFrame:
     """Drop events already pending for the same column and change (Q11)."""
@@ -387,10 +416,14 @@ def _only_new_drift(spark: SparkSession, events: DataFrame, log_path: str,
 
 def resolve_drift(spark: SparkSession, state: DataFrame, drift_id: int, action: str,
                   resolved_by, as_of: _dt.datetime, target_path: str | None = None,
-                  resolutions_path: str | None = None) -> DataFrame:
+                  resolutions_path: str | None = None, target_connection: Connection | None = None,
+                  target_table: str | None = None, on_cast_error: str = "fail") -> DataFrame:
     """Resolve one drift event (D5): ``dismiss``, or ``apply_type_change``
-    (type changes only), which rewrites the target column as a new version
-    first. The resolution is appended to ``resolutions_path`` and returned."""
+    (type changes only), which first changes the column - as a new version of
+    a versioned target, or with ALTER TABLE on a database. Without a target,
+    or where values would be lost (unless ``on_cast_error="null"``), it
+    refuses. Only then is the resolution appended to ``resolutions_path`` and
+    returned."""
     ev = state.where(F.col("id") == drift_id).select("change_type", "column_name",
                                                       "new_definition").first()
     if ev is None:
@@ -402,10 +435,19 @@ def resolve_drift(spark: SparkSession, state: DataFrame, drift_id: int, action:
         if target_path:
             vt = VersionedTable(spark, target_path)
             cur = vt.read()
-            col = next((c for c in cur.columns if c.upper() == ev["column_name"].upper()),
-                       ev["column_name"])
+            col = next((c for c in cur.columns if c.upper() == ev["column_name"].upper()), None)
+            if col is None:
+                raise KeyError(f"the target has no column {ev['column_name']}")
+            loss = S.cast_loss(cur, {col: ev["new_definition"]}).first()
+            if on_cast_error == "fail" and (loss["n_failed"] or loss["n_changed"]):
+                raise ValueError(f"{col} to {ev['new_definition']} would lose values: {loss.asDict()}")
             vt.write(S.apply_type_change(cur, col, ev["new_definition"]), vt.next_version(),
                      None, as_of)
+        elif target_connection is not None and target_table:
+            sinks.execute_jdbc(spark, target_connection, [target_connection.change_type(
+                target_table, ev["column_name"], ev["new_definition"])])
+        else:
+            raise ValueError("apply_type_change needs a target_path, or a target_connection and target_table")
     if resolutions_path:
         res.write.mode("append").parquet(resolutions_path)
     return res

@@ -6,7 +6,7 @@ each statement is self-contained.
 
 from __future__ import annotations
 
-from tidemark.functions.types import CANONICAL_BASE, TYPE_MAP
+from tidemark.functions.types import TYPE_MAP
 from tidemark.operators.schema import WATERMARK_NAMES, WATERMARK_TYPES
 from tidemark.plans.views import TABLES
 
@@ -24,15 +24,6 @@ def _map_type(expr: str) -> str:
     return _case(expr, TYPE_MAP, "'TEXT'")
 
 
-def _base(expr: str) -> str:
-    return f"upper(trim(split_part({expr}, '(', 1)))"
-
-
-def _canon(expr: str) -> str:
-    b = _base(expr)
-    return f"COALESCE({_case(b, CANONICAL_BASE, 'NULL')}, {b})"
-
-
 def _in(values) -> str:
     return "(" + ", ".join(_q(v) for v in values) + ")"
 
@@ -57,7 +48,8 @@ PIPELINES = """pipelines AS (
          CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'analytics' END AS target_database,
          CASE WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE '' END AS target_schema_name,
          lower(c_mktsegment) AS target_table,
-         200 AS volume_alert_upper_pct, 50 AS volume_alert_lower_pct,
+         CAST(150 + c_custkey % 3 * 50 AS INTEGER) AS volume_alert_upper_pct,
+         CAST(50 - c_custkey % 4 * 10 AS INTEGER) AS volume_alert_lower_pct,
          TIMESTAMP '2023-01-01 00:00:00' + to_seconds(c_custkey * 60) AS created_at,
          c_custkey % 7 <> 0 AS is_active
   FROM customer)"""
@@ -173,22 +165,33 @@ sw AS (
                  AND lower(column_name) LIKE '%update%')) AS is_suggested_watermark
   FROM sc)"""
 
-_WAREHOUSE_SPELLING = f"""CASE WHEN {_map_type('data_type')} = 'TEXT' THEN 'VARCHAR(16777216)'
-              WHEN {_map_type('data_type')} = 'FLOAT' THEN 'NUMBER(18,4)'
-              WHEN {_map_type('data_type')} IN ('BIGINT', 'INTEGER') THEN 'NUMBER(38,0)'
-              WHEN {_map_type('data_type')} = 'TIMESTAMP' THEN 'TIMESTAMP_NTZ(9)'
-              ELSE {_map_type('data_type')} END"""
-
-TGT_COLS = f"""tlast AS (
-  SELECT table_name, MAX(ordinal_position) AS last_pos FROM sc
-  WHERE table_name <> 'benchmark' GROUP BY table_name),
-tgt AS (
-  SELECT sc.table_name, upper(sc.column_name) AS column_name, sc.ordinal_position,
-         {_WAREHOUSE_SPELLING} AS data_type
-  FROM sc JOIN tlast ON tlast.table_name = sc.table_name
-  WHERE sc.ordinal_position < tlast.last_pos
-  UNION ALL
-  SELECT table_name, '_LOADED_AT', CAST(last_pos + 1 AS INTEGER), 'TIMESTAMP_NTZ(9)' FROM tlast)"""
+# A column catalog per customer, and its target. Types, their spellings and the
+# names that suggest a mark are written out here, apart from the code's lists.
+_NAMES = "['id','name','updated_at','modified_date','last_update_ts','amount','status','created_at','email']"
+CATALOG = f"""sc AS (
+  SELECT * FROM (
+    SELECT CASE WHEN c_custkey % 11 = 0 THEN 'pg_' ELSE 'tab_' END || CAST(c_custkey AS VARCHAR) AS table_name,
+           {_NAMES}[(c_custkey + i) % 9 + 1] AS column_name, CAST(i AS INTEGER) AS ordinal_position,
+           ['integer','bigint','text','numeric','timestamp without time zone','date','boolean',
+            'double precision'][(c_custkey * 7 + i * 3) % 8 + 1] AS data_type
+    FROM (SELECT c_custkey, unnest(range(1, c_custkey % 6 + 4)) AS i FROM customer))
+  WHERE table_name LIKE 'tab%'),
+sw AS (
+  SELECT *, column_name IN ('updated_at', 'modified_date') OR
+            (column_name = 'last_update_ts' AND data_type IN ('timestamp without time zone', 'date'))
+            AS is_suggested_watermark FROM sc)"""
+CATALOG_TARGET = f"""tgt AS (
+  SELECT 'tab_' || CAST(c_custkey AS VARCHAR) AS table_name,
+         upper({_NAMES}[(c_custkey + i * 2) % 9 + 1]) AS column_name,
+         ['NUMBER(38,0)','VARCHAR(16777216)','NUMBER(18,4)','NUMBER(10,2)','TIMESTAMP_NTZ(9)','DATE','BOOLEAN',
+          'FLOAT'][(c_custkey + i * 5) % 8 + 1] AS data_type
+  FROM (SELECT c_custkey, unnest(range(1, c_custkey % 4 + 5)) AS i FROM customer WHERE c_custkey % 13 <> 0))"""
+_MAPPED = """CASE data_type WHEN 'integer' THEN 'INTEGER' WHEN 'bigint' THEN 'BIGINT' WHEN 'text' THEN 'TEXT'
+  WHEN 'numeric' THEN 'NUMERIC(18,4)' WHEN 'timestamp without time zone' THEN 'TIMESTAMP' WHEN 'date' THEN 'DATE'
+  WHEN 'boolean' THEN 'BOOLEAN' WHEN 'double precision' THEN 'FLOAT' END"""
+_SAME_TYPE = """(new_definition, old_definition) IN (('INTEGER', 'NUMBER(38,0)'), ('BIGINT', 'NUMBER(38,0)'),
+  ('TEXT', 'VARCHAR(16777216)'), ('NUMERIC(18,4)', 'NUMBER(18,4)'), ('TIMESTAMP', 'TIMESTAMP_NTZ(9)'),
+  ('DATE', 'DATE'), ('BOOLEAN', 'BOOLEAN'), ('FLOAT', 'FLOAT'))"""
 
 LOAD_TARGET = "load_target AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00')"
 LOAD_BATCH = """load_batch AS (
@@ -226,6 +229,11 @@ _EXPORT = """SELECT p.id AS pipeline_id, p.name, c.name AS source_connection_nam
   LEFT JOIN connections dc ON dc.id = p.destination_connection_id
   LEFT JOIN latest_sched s ON s.pipeline_id = p.id"""
 
+_EXPORT_JSON = "SELECT pipeline_id, CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in (
+    "name source_connection_name destination_connection_name source_table watermark_column merge_key_column "
+    "target_database target_schema_name target_table cron_expression volume_alert_upper_pct "
+    "volume_alert_lower_pct").split()) + ", 'depends_on_names': CAST([] AS VARCHAR[])}) AS VARCHAR) AS config_json FROM ex"
+
 _VH = f"""vh AS (
   SELECT pipeline_id, CAST(started_at AS DATE) AS run_date,
          CAST(SUM(rows_loaded) AS BIGINT) AS rows_loaded, COUNT(*) AS run_count,
@@ -254,28 +262,38 @@ FROM (
 GROUP BY run_id"""
 
 def _detect_drift() -> str:
-    return _with(SCHEMA_COLS, TGT_COLS, f"""s AS (
-  SELECT table_name, upper(column_name) AS column_name,
-         {_map_type('data_type')} AS new_definition
+    return _with(CATALOG, CATALOG_TARGET, f"""s AS (
+  SELECT table_name, upper(column_name) AS column_name, {_MAPPED} AS new_definition
   FROM sc WHERE table_name IN (SELECT table_name FROM tgt)),
-t AS (SELECT table_name, column_name, upper(data_type) AS old_definition FROM tgt),
+t AS (SELECT table_name, column_name, data_type AS old_definition FROM tgt),
 j AS (
   SELECT COALESCE(s.table_name, t.table_name) AS table_name,
-         COALESCE(s.column_name, t.column_name) AS column_name,
-         t.old_definition, s.new_definition
+         COALESCE(s.column_name, t.column_name) AS column_name, t.old_definition, s.new_definition
   FROM s FULL OUTER JOIN t ON s.table_name = t.table_name AND s.column_name = t.column_name),
 k AS (
   SELECT *, CASE WHEN old_definition IS NULL THEN 'column_added'
                  WHEN new_definition IS NULL THEN 'column_dropped'
-                 WHEN {_canon('old_definition')} <> {_canon('new_definition')} THEN 'type_changed'
-            END AS change_type
-  FROM j)""") + """SELECT table_name, column_name, change_type,
+                 WHEN NOT {_SAME_TYPE} THEN 'type_changed' END AS change_type FROM j)""") + """
+SELECT table_name, column_name, change_type,
        CASE WHEN change_type <> 'column_added' THEN old_definition END AS old_definition,
        CASE WHEN change_type <> 'column_dropped' THEN new_definition END AS new_definition,
        CASE WHEN change_type = 'column_added' THEN 'auto_resolved' ELSE 'pending_review' END AS status
 FROM k WHERE change_type IS NOT NULL"""
 
 
+def _cast_loss() -> str:
+    whole = "o_totalprice >= -2147483648 AND o_totalprice < 2147483648"
+    parts = [("o_custkey", "INTEGER", "o_custkey NOT BETWEEN -2147483648 AND 2147483647", "false"),
+             ("o_totalprice", "INTEGER", f"NOT ({whole})", f"{whole} AND trunc(o_totalprice) <> o_totalprice"),
+             ("o_orderdate", "DATE", "false", "CAST(o_orderdate AS DATE) <> o_orderdate"),
+             ("o_orderpriority", "INTEGER", "NOT regexp_matches(trim(o_orderpriority), '^[+-]?[0-9]+$')",
+              "regexp_matches(trim(o_orderpriority), '^([+]|0[0-9]| )')")]
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, '{t}' AS new_type, COUNT({c}) AS n_values,
+       COUNT(*) FILTER (WHERE {f}) AS n_failed, COUNT(*) FILTER (WHERE {d}) AS n_changed FROM orders"""
+        for c, t, f, d in parts)
+
+
 def _cast_report() -> str:
     parts = []
     defs = [("doc_id", "bigint", "BIGINT", None), ("text", "character varying", "VARCHAR(500)", True),
@@ -358,18 +376,18 @@ WHERE EXISTS (SELECT 1 FROM load_batch b WHERE b.o_orderkey = t.o_orderkey)""",
     "schema_columns": _with(SCHEMA_COLS) + f"""SELECT table_name, column_name, ordinal_position,
        data_type, {_map_type('data_type')} AS target_type FROM sc""",
 
-    "suggest_watermark": _with(SCHEMA_COLS) + "SELECT * FROM sw",
+    "suggest_watermark": _with(CATALOG) + "SELECT * FROM sw",
 
-    "suggest_load_keys": _with(SCHEMA_COLS) + """SELECT table_name,
+    "suggest_load_keys": _with(CATALOG) + """SELECT table_name,
        MIN(CASE WHEN column_name = 'id' THEN column_name END) AS merge_key_column,
        MIN(CASE WHEN is_suggested_watermark THEN column_name END) AS watermark_column
 FROM sw GROUP BY table_name""",
 
-    "schema_tree": _with(SCHEMA_COLS) + """SELECT table_name, CAST(COUNT(*) AS INTEGER) AS n_columns,
+    "schema_tree": _with(CATALOG) + """SELECT table_name, CAST(COUNT(*) AS INTEGER) AS n_columns,
        string_agg(column_name || ':' || data_type, ',' ORDER BY column_name) AS columns
 FROM sc GROUP BY table_name""",
 
-    "schema_summary": _with(SCHEMA_COLS) + """SELECT table_name, COUNT(*) AS n_columns,
+    "schema_summary": _with(CATALOG) + """SELECT table_name, COUNT(*) AS n_columns,
        bool_or(is_suggested_watermark) AS has_watermark
 FROM sw GROUP BY table_name""",
 
@@ -403,14 +421,14 @@ ORDER BY r.started_at DESC NULLS FIRST, r.run_id DESC NULLS FIRST""",
 
     "volume_anomaly": _with(RUNS, PIPELINES, _va(True)) + "SELECT * FROM va",
 
-    "volume_history": _with(RUNS, _va(False), RF, _VH) + "SELECT * FROM vh",
+    "volume_history": _with(RUNS, PIPELINES, _va(True), RF, _VH) + "SELECT * FROM vh",
 
-    "volume_scale": _with(RUNS, _va(False), RF, _VH) + """SELECT *,
+    "volume_scale": _with(RUNS, PIPELINES, _va(True), RF, _VH) + """SELECT *,
        COALESCE(rows_loaded, 0) / peak_rows AS share_of_peak, strftime(run_date, '%m-%d') AS day_label
 FROM (SELECT *, CAST(GREATEST(MAX(COALESCE(rows_loaded, 0)) OVER (PARTITION BY pipeline_id), 1)
                      AS BIGINT) AS peak_rows FROM vh)""",
 
-    "platform_stats": _with(RUNS, PIPELINES, CONNECTIONS, _va(False), RF, DRIFT) + f"""SELECT
+    "platform_stats": _with(RUNS, PIPELINES, CONNECTIONS, _va(True), RF, DRIFT) + f"""SELECT
   (SELECT COUNT(*) FROM pipelines WHERE is_active) AS total_pipelines,
   (SELECT COUNT(*) FROM connections WHERE is_active) AS total_connections,
   (SELECT COUNT(*) FROM rf WHERE started_at >= {AS_OF} - INTERVAL 24 HOUR) AS runs_today,
@@ -420,14 +438,14 @@ FROM (SELECT *, CAST(GREATEST(MAX(COALESCE(rows_loaded, 0)) OVER (PARTITION BY p
     AS anomalies_7d,
   (SELECT COUNT(*) FROM ds WHERE status = 'pending_review') AS drift_pending""",
 
-    "run_status_totals": _with(RUNS, _va(False), RF) + """SELECT pipeline_id, COUNT(*) AS total,
+    "run_status_totals": _with(RUNS, PIPELINES, _va(True), RF) + """SELECT pipeline_id, COUNT(*) AS total,
        COUNT(*) FILTER (WHERE status = 'complete') AS complete,
        COUNT(*) FILTER (WHERE status = 'failed') AS failed,
        COUNT(*) FILTER (WHERE status = 'running') AS running,
        COUNT(*) FILTER (WHERE volume_anomaly_flag) AS anomalies
 FROM rf GROUP BY pipeline_id""",
 
-    "anomaly_feed": _with(RUNS, _va(False), RF) + """SELECT * FROM rf
+    "anomaly_feed": _with(RUNS, PIPELINES, _va(True), RF) + """SELECT * FROM rf
 WHERE volume_anomaly_flag OR status = 'failed'
 ORDER BY started_at DESC NULLS FIRST, run_id DESC NULLS FIRST LIMIT 6""",
 
@@ -533,14 +551,14 @@ WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM tconn)""",
     "run_page_count": _with(RUNS) + """SELECT CAST(ceil(COUNT(*) / 10) AS BIGINT) AS total_pages
 FROM runs WHERE status = 'failed'""",
 
-    "volume_totals": _with(RUNS, _va(False), RF) + f"""SELECT CAST(started_at AS DATE) AS run_date,
+    "volume_totals": _with(RUNS, PIPELINES, _va(True), RF) + f"""SELECT CAST(started_at AS DATE) AS run_date,
        CAST(SUM(rows_loaded) AS BIGINT) AS rows_loaded, COUNT(*) AS run_count,
        MAX(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS had_failure,
        MAX(CASE WHEN volume_anomaly_flag THEN 1 ELSE 0 END) AS had_anomaly
 FROM rf WHERE started_at >= {AS_OF} - INTERVAL 30 DAY
 GROUP BY CAST(started_at AS DATE)""",
 
-    "run_totals": _with(RUNS, _va(False), RF) + """SELECT COUNT(*) AS total,
+    "run_totals": _with(RUNS, PIPELINES, _va(True), RF) + """SELECT COUNT(*) AS total,
        COUNT(*) FILTER (WHERE status = 'complete') AS complete,
        COUNT(*) FILTER (WHERE status = 'failed') AS failed,
        COUNT(*) FILTER (WHERE status = 'running') AS running,
@@ -549,4 +567,38 @@ FROM rf""",
 
     "cached_schema": _with(SCHEMA_COLS) + """SELECT table_name, column_name, ordinal_position,
        data_type, is_suggested_watermark, CAST(1 AS BIGINT) AS connection_id FROM sw""",
+
+    "drift_cast_loss": _cast_loss(),
+
+    "dependency_levels_dag": """WITH RECURSIVE e AS (
+  SELECT c_custkey AS a, c_custkey - 1 AS b FROM customer WHERE c_custkey <= 66 AND c_custkey > 1
+  UNION SELECT c_custkey, c_custkey // 2 FROM customer WHERE c_custkey // 2 > 0
+  UNION SELECT c_custkey, c_custkey // 3 FROM customer WHERE c_custkey // 3 > 0),
+g AS (SELECT a, b FROM e WHERE a IN (SELECT c_custkey FROM customer) AND b IN (SELECT c_custkey FROM customer)),
+lv(id, level) AS (
+  SELECT c_custkey, 0 FROM customer WHERE c_custkey NOT IN (SELECT a FROM g)
+  UNION SELECT g.a, lv.level + 1 FROM lv JOIN g ON g.b = lv.id)
+SELECT c_custkey AS pipeline_id, m.level, m.level IS NULL AS in_cycle FROM customer
+LEFT JOIN (SELECT id, CAST(MAX(level) AS INTEGER) AS level FROM lv GROUP BY id) m ON m.id = c_custkey""",
+
+    "volume_anomaly_unassigned": _with(RUNS.replace("user_id % 10 AS pipeline_id",
+                                                    "CASE WHEN event_id % 17 <> 0 THEN user_id % 10 END AS pipeline_id"),
+                                       PIPELINES, _va(True)) + "SELECT * FROM va",
+
+    "target_columns": """SELECT 'orders' AS table_name, v.c AS column_name, CAST(v.i AS INTEGER) AS ordinal_position,
+       v.t AS data_type FROM (VALUES ('O_ORDERKEY', 1, 'BIGINT'), ('O_CUSTKEY', 2, 'BIGINT'),
+  ('O_ORDERSTATUS', 3, 'TEXT'), ('O_TOTALPRICE', 4, 'FLOAT'), ('O_ORDERDATE', 5, 'TIMESTAMP'),
+  ('O_ORDERPRIORITY', 6, 'TEXT')) v(c, i, t)""",
+
+    "empty_load": _with(LOAD_TARGET) + """SELECT CAST(1 AS BIGINT) AS run_id, CAST(1 AS BIGINT) AS pipeline_id,
+       'complete' AS status, (SELECT COUNT(*) FROM load_target) AS rows_loaded, 3 AS phase_completed,
+       CAST(NULL AS VARCHAR) AS cast_issues
+UNION ALL SELECT 2, 1, 'complete', 0, 3, NULL""",
+
+    "drift_append": _with(DRIFT) + "SELECT * FROM de",
+
+    "recent_for_pipeline": _with(RUNS) + """SELECT * FROM runs WHERE pipeline_id = 3
+ORDER BY started_at DESC NULLS FIRST, run_id DESC NULLS FIRST LIMIT 30""",
+
+    "export_json": _with(PIPELINES, CONNECTIONS, SCHEDULES, f"ex AS ({_EXPORT})") + _EXPORT_JSON,
 }

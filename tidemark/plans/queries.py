@@ -37,7 +37,8 @@ ORDER_TYPE_CHANGES = {
     "o_custkey": "INTEGER", "o_totalprice": "NUMERIC(18,4)",
     "o_orderdate": "DATE", "o_orderpriority": "INTEGER",
 }
-NO_TARGET_TABLE = "benchmark"
+ORDER_LOSSY_CHANGES = {"o_custkey": "INTEGER", "o_totalprice": "INTEGER", "o_orderdate": "DATE",
+                       "o_orderpriority": "INTEGER"}
 FAILED_PAGE = 2
 
 
@@ -50,7 +51,7 @@ def _runs(spark, sf):
 
 
 def _flagged(spark, sf):
-    return R.with_anomaly_flags(_runs(spark, sf))
+    return R.with_anomaly_flags(_runs(spark, sf), thresholds=_pipelines(spark, sf))
 
 
 def _pipelines(spark, sf):
@@ -136,27 +137,56 @@ def schema_columns(spark, sf):
     return _schema_cols(spark, sf).withColumn("target_type", map_type("data_type"))
 
 
+def _catalog(spark, sf):
+    return S.user_tables(V.catalog(_t(spark, sf, "customer")))
+
+
 def suggest_watermark(spark, sf):
-    return S.suggest_watermark(_schema_cols(spark, sf))
+    return S.suggest_watermark(_catalog(spark, sf))
 
 
 def suggest_load_keys(spark, sf):
-    return S.suggest_load_keys(_schema_cols(spark, sf))
+    return S.suggest_load_keys(_catalog(spark, sf))
 
 
 def schema_tree(spark, sf):
-    tree = S.schema_tree(_schema_cols(spark, sf))
+    tree = S.schema_tree(_catalog(spark, sf))
     flat = F.array_join(F.transform("columns", lambda c: F.concat_ws(":", c["name"], c["type"])), ",")
     return tree.select("table_name", F.size("columns").alias("n_columns"), flat.alias("columns"))
 
 
 def schema_summary(spark, sf):
-    return S.schema_summary(_schema_cols(spark, sf))
+    return S.schema_summary(_catalog(spark, sf))
 
 
 def detect_drift(spark, sf):
-    src = _schema_cols(spark, sf)
-    return S.detect_drift(src, V.warehouse_columns(src, NO_TARGET_TABLE))
+    return S.detect_drift(_catalog(spark, sf), V.catalog_target(_t(spark, sf, "customer")))
+
+
+def drift_cast_loss(spark, sf):
+    return S.cast_loss(_t(spark, sf, "orders"), ORDER_LOSSY_CHANGES)
+
+
+def target_columns_q(spark, sf):
+    """Columns of a target as its table reports them."""
+    from tidemark.plans.tables import VersionedTable
+    from tidemark.session import fresh_scratch
+    from tidemark.sources.readers import target_columns
+    root = fresh_scratch(spark, "target_columns")
+    VersionedTable(spark, root).write(upper_columns(V.load_target(_t(spark, sf, "orders"))), 0)
+    return target_columns(spark, "orders", path=root)
+
+
+def drift_append(spark, sf):
+    """The drift log after two appends."""
+    from tidemark.plans.sinks import log_drift
+    from tidemark.session import fresh_scratch
+    path = fresh_scratch(spark, "drift_append")
+    events = V.drift_events(_t(spark, sf, "events"))
+    late = F.col("detected_at") >= V.ts_lit("2024-01-15 00:00:00")
+    log_drift(events.where(~late), path)
+    log_drift(events.where(late), path)
+    return spark.read.parquet(path)
 
 
 def heal_and_align(spark, sf):
@@ -197,6 +227,15 @@ def volume_anomaly(spark, sf):
     return R.volume_anomaly(_runs(spark, sf), thresholds=_pipelines(spark, sf))
 
 
+def volume_anomaly_unassigned(spark, sf):
+    """The check where some runs belong to no pipeline: they are a group."""
+    return R.volume_anomaly(V.unassigned_runs(_t(spark, sf, "events")), thresholds=_pipelines(spark, sf))
+
+
+def recent_for_pipeline(spark, sf):
+    return R.recent_for_pipeline(_runs(spark, sf), 3)
+
+
 def volume_history(spark, sf):
     return R.volume_history(_flagged(spark, sf), V.AS_OF)
 
@@ -246,6 +285,10 @@ def dependency_levels(spark, sf):
     return graph.dependency_levels(_pipelines(spark, sf), _deps(spark, sf))
 
 
+def dependency_levels_dag(spark, sf):
+    return graph.dependency_levels(_pipelines(spark, sf), V.dag(_t(spark, sf, "customer")))
+
+
 def isolated_pipelines(spark, sf):
     return graph.isolated_pipelines(_pipelines(spark, sf), _deps(spark, sf)).select("id", "name")
 
@@ -255,6 +298,10 @@ def export_pipelines(spark, sf):
                                 V.schedules(_t(spark, sf, "customer")))
 
 
+def export_json(spark, sf):
+    return cfg.export_json(export_pipelines(spark, sf))
+
+
 def resolve_connections(spark, sf):
     exported = export_pipelines(spark, sf)
     return cfg.resolve_connections(exported, V.target_connections(_t(spark, sf, "nation")))
@@ -302,6 +349,26 @@ def run_load_q(spark, sf):
     return VersionedTable(spark, target).read()
 
 
+def empty_load(spark, sf):
+    """Run records of a full load and of an incremental one that finds nothing
+    new: it completes with no rows and leaves the target as it is."""
+    import dataclasses
+    import os
+    from tidemark.plans.load import LoadSpec, run_load
+    from tidemark.session import fresh_scratch
+    root = fresh_scratch(spark, "empty_load")
+    V.load_target(_t(spark, sf, "orders")).write.parquet(os.path.join(root, "src", "orders.parquet"))
+    log = os.path.join(root, "runs")
+    spec = LoadSpec(pipeline_id=1, source=ParquetSource(os.path.join(root, "src")), source_table="orders",
+                    target_path=os.path.join(root, "target"), watermark_column="o_orderdate",
+                    merge_key="o_orderkey", mode="full")
+    run_load(spark, spec, V.TARGET_CUTOFF, run_id=1, run_log=log)
+    history = R.run_state(spark.read.parquet(log))
+    run_load(spark, dataclasses.replace(spec, mode="incremental"), V.AS_OF, run_id=2, runs=history, run_log=log)
+    return R.run_state(spark.read.parquet(log)).select("run_id", "pipeline_id", "status", "rows_loaded",
+                                                       "phase_completed", "cast_issues")
+
+
 def cached_schema_q(spark, sf):
     import os
     import uuid
@@ -396,4 +463,12 @@ QUERIES: dict[str, Query] = {
     "run_totals": run_totals,
     "volume_totals": volume_totals,
     "cached_schema": cached_schema_q,
+    "drift_cast_loss": drift_cast_loss,
+    "dependency_levels_dag": dependency_levels_dag,
+    "volume_anomaly_unassigned": volume_anomaly_unassigned,
+    "target_columns": target_columns_q,
+    "empty_load": empty_load,
+    "drift_append": drift_append,
+    "recent_for_pipeline": recent_for_pipeline,
+    "export_json": export_json,
 }

@@ -57,13 +57,29 @@ def column_types_option(conn: Connection, types: dict[str, str]) -> str:
     return ", ".join(f"`{c}` {conn.ddl_type(t)}" for c, t in types.items())
 
 
+def exists_query(conn: Connection, table: str) -> str:
+    """Asks the database's own catalog whether it has a table."""
+    schema, _, name = table.replace('"', "").rpartition(".")
+    name = name.replace("'", "''").upper()
+    where = f"UPPER(table_name) = '{name}'"
+    if conn.db_type == "oracle":
+        owner = schema or conn.schema or conn.user
+        return (f"SELECT COUNT(*) AS n FROM all_tables WHERE {where}"
+                + (f" AND owner = '{owner.upper()}'" if owner else ""))
+    schema = schema or conn.schema
+    return (f"SELECT COUNT(*) AS n FROM information_schema.tables WHERE {where}"
+            + (f" AND UPPER(table_schema) = '{schema.upper()}'" if schema else ""))
+
+
 def jdbc_table_schema(spark, conn: Connection, table: str):
-    """The table's schema, or None when it does not exist (no rows read)."""
-    try:
-        return (spark.read.format("jdbc").options(**conn.jdbc_options())
-                .option("query", f"SELECT * FROM {table} WHERE 1 = 0").load().schema)
-    except Exception:
+    """The table's schema (no rows read), or None when the database's catalog
+    says that it does not exist. Any other failure is raised: a table that
+    cannot be reached just now is not a missing one."""
+    def ask(query):
+        return spark.read.format("jdbc").options(**conn.jdbc_options()).option("query", query).load()
+    if not ask(exists_query(conn, table)).first()[0]:
         return None
+    return ask(f"SELECT * FROM {table} WHERE 1 = 0").schema
 
 
 def write_jdbc_staging(df: DataFrame, conn: Connection, staging_table: str,
@@ -133,9 +149,13 @@ def execute_jdbc(spark, conn: Connection, statements: Sequence[str]) -> list[int
 def jdbc_upsert(df: DataFrame, conn: Connection, table: str, key: str | None,
                 staging_table: str | None = None, mode: str = "delete_insert",
                 order_cols: Sequence[str] = (), num_partitions: int | None = None,
-                column_types: dict[str, str] | None = None) -> dict:
+                column_types: dict[str, str] | None = None, run_tag: str | None = None) -> dict:
     """Upsert a batch into a JDBC table.
 
+    With ``run_tag`` the applied runs are kept in a table of their own: the
+    tag is inserted in the same transaction as the rows, under a primary key,
+    so a run that is replayed changes nothing.
+
     The batch goes to a staging table (parallel inserts); then one
     transaction deletes the target rows whose key is staged and inserts the
     staged rows. ``last_wins`` deduplicates the batch first, so the same two
@@ -144,21 +164,45 @@ def jdbc_upsert(df: DataFrame, conn: Connection, table: str, key: str | None,
     """
     spark = df.sparkSession
     opts = conn.jdbc_options()
+    if run_tag is not None and applied(spark, conn, table, run_tag):
+        return {"created": False, "deleted": 0, "inserted": 0}
     exists = jdbc_table_schema(spark, conn, table) is not None
     if key and mode == "last_wins":
         from tidemark.operators.upsert import dedup_last_wins
-        df = dedup_last_wins(df, key, list(order_cols) or [key])
-    if not exists or not key:
-        w = df.write.format("jdbc").options(**opts).option("dbtable", table)
-        if column_types and not exists:
+        df = dedup_last_wins(df, key, list(order_cols))
+    if not exists:  # created empty: the rows come by the same transaction
+        w = df.limit(0).write.format("jdbc").options(**opts).option("dbtable", table)
+        if column_types:
             w = w.option("createTableColumnTypes", column_types_option(
                 conn, {c: t for c, t in column_types.items() if c in df.columns}))
-        if num_partitions:
-            w = w.option("numPartitions", str(num_partitions))
         w.mode("append").save()
-        return {"created": not exists, "deleted": 0, "inserted": None}
     stage = staging_table or f"{table}_STAGE"
     write_jdbc_staging(df, conn, stage, num_partitions=num_partitions, column_types=column_types)
-    stmts = upsert_statements(table, stage, key, df.columns, "delete_insert", conn.quote)
-    deleted, inserted = execute_jdbc(spark, conn, stmts)
-    return {"created": False, "deleted": deleted, "inserted": inserted}
+    stmts = apply_statements(conn, table, stage, key, df.columns, run_tag)
+    counts = execute_jdbc(spark, conn, stmts)
+    return {"created": not exists, "deleted": counts[0] if key else 0,
+            "inserted": counts[1] if key else counts[0]}
+
+
+def apply_statements(conn: Connection, table: str, stage: str, key: str | None, columns: Sequence[str],
+                     run_tag: str | None = None) -> list[str]:
+    """One transaction: the staged rows replace those of their keys (or are
+    appended without a key) and the run is noted."""
+    cols = ", ".join(conn.quote(c) for c in columns)
+    out = (upsert_statements(table, stage, key, columns, "delete_insert", conn.quote) if key
+           else [f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {stage}"])
+    if run_tag is not None:
+        tag = run_tag.replace("'", "''")
+        out.append(f"INSERT INTO {table}_RUNS (run_tag) VALUES ('{tag}')")
+    return out
+
+
+def applied(spark, conn: Connection, table: str, run_tag: str) -> bool:
+    """Whether the run was applied before; makes the table of runs if needed."""
+    runs = f"{table}_RUNS"
+    if jdbc_table_schema(spark, conn, runs) is None:
+        execute_jdbc(spark, conn, [f"CREATE TABLE {runs} (run_tag VARCHAR(200) NOT NULL PRIMARY KEY)"])
+        return False
+    tag = run_tag.replace("'", "''")
+    return bool(spark.read.format("jdbc").options(**conn.jdbc_options())
+                .option("query", f"SELECT COUNT(*) AS n FROM {runs} WHERE run_tag = '{tag}'").load().first()[0])

@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import zlib
 from collections.abc import Sequence
 
 import uuid
@@ -48,6 +49,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.types import lossless_cast, widest
 from tidemark.session import list_subdirs
 
 COMMITS = "_commits"
@@ -60,12 +62,15 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("key_cols", T.StringType()),
     T.StructField("tag", T.StringType()),
 ])
+TAGS = "_tags"
+TAG_BUCKETS = 64
+TAG_SCHEMA = T.StructType([T.StructField("tag", T.StringType())])
 SEQ = "_tm_seq"
 LAST = "_tm_last"
-# The layers' key set is broadcast to the base's anti join when the commit
-# log proves it has at most this many rows (a hashed relation of ~2M keys is
-# tens of MB); beyond that AQE plans the join from measured sizes.
-BROADCAST_KEY_ROWS = 2_000_000
+
+
+def _tag_bucket(tag: str) -> int:
+    return zlib.crc32(tag.encode()) % TAG_BUCKETS
 
 
 def _keys(key) -> list[str]:
@@ -74,12 +79,22 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def widen_all(parts: list[DataFrame | None]) -> list[DataFrame | None]:
+    """The parts with each column cast to the type that holds all parts' values."""
+    types: dict[str, T.DataType] = {}
+    for p in parts:
+        for f in (p.schema.fields if p is not None else []):
+            types[f.name] = widest(types[f.name], f.dataType) if f.name in types else f.dataType
+    return [p if p is None else p.select(*[
+        F.col(f"`{f.name}`") if f.dataType == types[f.name]
+        else lossless_cast(F.col(f"`{f.name}`"), f.dataType, types[f.name]).alias(f.name)
+        for f in p.schema.fields]) for p in parts]
+
+
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str,
-                 broadcast_key_rows: int = BROADCAST_KEY_ROWS):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.broadcast_key_rows = broadcast_key_rows
 
     # ------------------------------------------------------------ commit log
     # The log is split into epochs, ``_commits/epoch=<n>``: a base starts a new
@@ -139,14 +154,25 @@ class VersionedTable:
             return False
         return any(r["version"] == version for r in self._epoch_rows(older[-1]))
 
-    def has_tag(self, tag: str, epochs_back: int = 2) -> bool:
-        """Whether a recent commit carries ``tag`` (a run or micro-batch id),
-        so a replayed load can be recognised and skipped. A replay follows
-        its failure closely, so the newest epochs are searched."""
-        for e in self._epochs()[-epochs_back:]:
-            if any(r["tag"] == tag for r in self._epoch_rows(e)):
-                return True
-        return False
+    def has_tag(self, tag: str) -> bool:
+        """Whether any commit carries ``tag`` (a run or micro-batch id), so a
+        replayed load can be recognised and skipped, however late. The newest
+        epoch's tags are in its commit rows; when a base opens a new epoch the
+        older ones are first copied to a table of tags, partitioned by a hash,
+        of which one partition is read."""
+        if any(r["tag"] == tag for r in self._active()):
+            return True
+        path = os.path.join(self.root, TAGS, f"bucket={_tag_bucket(tag)}")
+        try:
+            return bool(self.spark.read.schema(TAG_SCHEMA).parquet(path).where(F.col("tag") == tag).take(1))
+        except AnalysisException:
+            return False
+
+    def _keep_tags(self) -> None:
+        rows = [(r["tag"], _tag_bucket(r["tag"])) for r in self._active() if r["tag"] is not None]
+        if rows:
+            (self.spark.createDataFrame(rows, T.StructType([*TAG_SCHEMA.fields, T.StructField("bucket", T.IntegerType())]))
+             .coalesce(1).write.mode("append").partitionBy("bucket").parquet(os.path.join(self.root, TAGS)))
 
     def next_version(self) -> int:
         v = self.latest_version()
@@ -194,8 +220,9 @@ class VersionedTable:
         if len(keysets) > 1:
             raise ValueError(f"layers of {self.root} use different keys: {sorted(keysets)}")
         ks = keysets.pop().split(",") if keysets else []
-        parts = [self.spark.read.parquet(self.version_path(r["version"]))
-                 .withColumn(SEQ, F.lit(int(r["version"])).cast("bigint")) for r in layers]
+        parts = [self.spark.read.parquet(self.version_path(r["version"])) for r in layers]
+        base_df, *parts = widen_all([base_df, *parts])
+        parts = [p.withColumn(SEQ, F.lit(int(r["version"])).cast("bigint")) for p, r in zip(parts, layers)]
         stacked = parts[0]
         for p in parts[1:]:
             stacked = stacked.unionByName(p, allowMissingColumns=True)
@@ -214,9 +241,6 @@ class VersionedTable:
             not_null = not_null & F.col(k).isNotNull()
         last = (stacked.where(F.col(SEQ).isin(*keyed) & not_null)
                 .groupBy(*ks).agg(F.max(SEQ).alias(LAST)))
-        counted = [r["rows"] for r in layers if r["key_cols"]]
-        if all(n is not None for n in counted) and sum(counted) <= self.broadcast_key_rows:
-            last = F.broadcast(last)  # size proven by the commit log: nothing else is shuffled
         if base_df is not None:
             # the base sorts before every layer, so one join resolves all rows
             stacked = base_df.withColumn(SEQ, F.lit(-1).cast("bigint")).unionByName(
@@ -230,6 +254,7 @@ class VersionedTable:
                 tag: str | None = None) -> None:
         if kind == BASE:
             epoch = int(version)
+            self._keep_tags()
         else:
             epochs = self._epochs()
             epoch = epochs[-1] if epochs else int(version)
@@ -270,6 +295,17 @@ class VersionedTable:
         self._commit(version, rows, committed_at, LAYER, ",".join(ks) if ks else None, tag)
         return version
 
+    def write_files(self, df: DataFrame, version: int) -> int:
+        """Write a version's files, uncommitted, and return their row count."""
+        return self._write_counted(df, version, None)
+
+    def commit_files(self, version: int, rows: int, key: str | Sequence[str] | None = None,
+                     base: bool = False, committed_at: _dt.datetime | None = None,
+                     tag: str | None = None) -> None:
+        """Commit files of ``write_files`` as a base or a layer."""
+        ks = _keys(key)
+        self._commit(version, rows, committed_at, BASE if base else LAYER, ",".join(ks) if ks else None, tag)
+
     def obsolete_paths(self, keep_bases: int = 2) -> list[str]:
         """Version folders that no reader needs: everything before the
         ``keep_bases``-th newest base (older bases stay for time travel and

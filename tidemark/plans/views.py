@@ -97,7 +97,8 @@ def pipelines(customer: DataFrame) -> DataFrame:
         F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("analytics")).alias("target_database"),
         F.when(k % 2 == 0, F.lower(seg)).otherwise(F.lit("")).alias("target_schema_name"),
         F.lower(seg).alias("target_table"),
-        F.lit(200).alias("volume_alert_upper_pct"), F.lit(50).alias("volume_alert_lower_pct"),
+        (F.lit(150) + k % 3 * 50).cast("int").alias("volume_alert_upper_pct"),
+        (F.lit(50) - k % 4 * 10).cast("int").alias("volume_alert_lower_pct"),
         plus_seconds(ts_lit("2023-01-01 00:00:00"), k * 60).alias("created_at"),
         (k % 7 != 0).alias("is_active"))
 
@@ -172,26 +173,52 @@ def drift_resolutions(events: DataFrame) -> DataFrame:
                     F.col("user_id").alias("resolved_by")))
 
 
-def warehouse_columns(source_cols: DataFrame, no_target_table: str) -> DataFrame:
-    """Target columns as a warehouse would describe them after an earlier
-    load: each table's last source column not yet added, an extra
-    ``_LOADED_AT`` column the source lacks, types in warehouse spelling
-    (TEXT as VARCHAR(16777216), integers as NUMBER(38,0), FLOAT reported as
-    NUMBER(18,4)). ``no_target_table`` has no target yet."""
-    from tidemark.functions.types import map_type
-    src = source_cols.where(F.col("table_name") != no_target_table)
-    last = src.groupBy("table_name").agg(F.max("ordinal_position").alias("_last"))
-    m = map_type("data_type")
-    spelled = (F.when(m == "TEXT", F.lit("VARCHAR(16777216)"))
-               .when(m == "FLOAT", F.lit("NUMBER(18,4)"))
-               .when(m.isin("BIGINT", "INTEGER"), F.lit("NUMBER(38,0)"))
-               .when(m == "TIMESTAMP", F.lit("TIMESTAMP_NTZ(9)"))
-               .otherwise(m))
-    kept = (src.join(last, "table_name")
-            .where(F.col("ordinal_position") < F.col("_last"))
-            .select("table_name", F.upper("column_name").alias("column_name"),
-                    "ordinal_position", spelled.alias("data_type")))
-    extra = last.select("table_name", F.lit("_LOADED_AT").alias("column_name"),
-                        (F.col("_last") + 1).cast("int").alias("ordinal_position"),
-                        F.lit("TIMESTAMP_NTZ(9)").alias("data_type"))
-    return kept.unionByName(extra)
+CATALOG_NAMES = ("id", "name", "updated_at", "modified_date", "last_update_ts", "amount", "status",
+                 "created_at", "email")
+CATALOG_TYPES = ("integer", "bigint", "text", "numeric", "timestamp without time zone", "date",
+                 "boolean", "double precision")
+TARGET_TYPES = ("NUMBER(38,0)", "VARCHAR(16777216)", "NUMBER(18,4)", "NUMBER(10,2)", "TIMESTAMP_NTZ(9)",
+                "DATE", "BOOLEAN", "FLOAT")
+
+
+def _pick(values, index) -> F.Column:
+    return F.element_at(F.array(*map(F.lit, values)), (index % len(values) + 1).cast("int"))
+
+
+def catalog(customer: DataFrame) -> DataFrame:
+    """A source's column catalog: a table of 3 to 8 columns per customer,
+    every eleventh a system table."""
+    k = F.col("c_custkey")
+    i = F.col("ordinal_position")
+    name = F.when(k % 11 == 0, F.concat(F.lit("pg_"), k.cast("string"))).otherwise(
+        F.concat(F.lit("tab_"), k.cast("string")))
+    return (customer.select(k, name.alias("table_name"),
+                            F.explode(F.sequence(F.lit(1), (k % 6 + 3).cast("int"))).alias("ordinal_position"))
+            .select("table_name", _pick(CATALOG_NAMES, k + i).alias("column_name"), "ordinal_position",
+                    _pick(CATALOG_TYPES, k * 7 + i * 3).alias("data_type")))
+
+
+def catalog_target(customer: DataFrame) -> DataFrame:
+    """The warehouse's columns for the same tables, by a rule of its own: 4 to
+    7 columns, and no target for every thirteenth table."""
+    k = F.col("c_custkey")
+    i = F.col("ordinal_position")
+    return (customer.where(k % 13 != 0)
+            .select(k, F.explode(F.sequence(F.lit(1), (k % 4 + 4).cast("int"))).alias("ordinal_position"))
+            .select(F.concat(F.lit("tab_"), k.cast("string")).alias("table_name"),
+                    F.upper(_pick(CATALOG_NAMES, k + i * 2)).alias("column_name"), "ordinal_position",
+                    _pick(TARGET_TYPES, k + i * 5).alias("data_type")))
+
+
+def dag(customer: DataFrame) -> DataFrame:
+    """Edges of a graph with several prerequisites per pipeline and a chain
+    deeper than 64: to the one before (up to 66), to the half and the third."""
+    k = F.col("c_custkey")
+    ends = F.array_distinct(F.filter(F.array(F.when(k <= 66, k - 1), F.floor(k / 2), F.floor(k / 3)),
+                                     lambda x: x > 0))
+    return customer.select(k.alias("pipeline_id"), F.explode(ends).cast("bigint").alias("depends_on_id"))
+
+
+def unassigned_runs(events: DataFrame) -> DataFrame:
+    """The run history with every seventeenth run of no pipeline."""
+    return runs(events).withColumn("pipeline_id", F.when(F.col("run_id") % 17 != 0, F.col("pipeline_id")))

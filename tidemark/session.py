@@ -63,7 +63,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             # executors could not see a folder on the driver's disk
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")

@@ -78,6 +78,19 @@ class Connection:
         """The warehouse type name as this database spells it in DDL."""
         return _DDL_NAMES.get(self.db_type, {}).get(warehouse_type.upper(), warehouse_type)
 
+    def add_column(self, table: str, column: str, warehouse_type: str) -> str:
+        """ALTER TABLE statement that adds a column."""
+        what = f"{self.quote(column)} {self.ddl_type(warehouse_type)}"
+        form = {"sqlserver": "ADD {}", "oracle": "ADD ({})"}.get(self.db_type, "ADD COLUMN {}")
+        return f"ALTER TABLE {table} " + form.format(what)
+
+    def change_type(self, table: str, column: str, warehouse_type: str) -> str:
+        """ALTER TABLE statement that changes a column's type."""
+        c, t = self.quote(column), self.ddl_type(warehouse_type)
+        form = {"postgresql": f"ALTER COLUMN {c} TYPE {t} USING {c}::{t}", "mysql": f"MODIFY COLUMN {c} {t}",
+                "sqlserver": f"ALTER COLUMN {c} {t}", "oracle": f"MODIFY ({c} {t})"}
+        return f"ALTER TABLE {table} " + form.get(self.db_type, f"ALTER COLUMN {c} SET DATA TYPE {t}")
+
     def quote(self, identifier: str) -> str:
         """Identifier quoted for this database (names keep their case)."""
         if self.db_type == "mysql":

@@ -3,12 +3,13 @@
 The file source's checkpoint replaces the high-water mark: each trigger
 picks up only files not yet processed. ``foreachBatch`` applies a
 last-wins upsert and commits the result as the next target version; the
-version number is derived from the micro-batch id, so a batch replayed
-after a failure finds its version committed and is skipped.
+commit carries the stream's and the micro-batch's id, so a batch replayed
+after a failure is found and skipped.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Sequence
@@ -23,15 +24,22 @@ from tidemark.session import checkpoint_dir, is_dir
 
 def upsert_batch(spark: SparkSession, target_root: str, key: str | Sequence[str],
                  order_cols: Sequence[str], compact_max_layers: int = 16,
-                 compact_ratio: float = 0.1):
-    """The ``foreachBatch`` function: idempotent per batch id.
+                 compact_ratio: float = 0.1, checkpoint_location: str | None = None):
+    """The ``foreachBatch`` function: idempotent per stream and batch id.
+
+    Batch ids restart with every checkpoint, so a batch is known by the id
+    that the stream's checkpoint carries as well as by its number.
 
     Each micro-batch is deduplicated (last wins) and written as one layer
     of the target, so its cost follows the micro-batch, not the table."""
 
+    stream: list[str] = []
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         vt = VersionedTable(spark, target_root)
-        tag = f"batch:{int(batch_id)}"
+        if not stream:
+            stream.append(stream_id(spark, checkpoint_location))
+        tag = f"stream:{stream[0]}:batch:{int(batch_id)}"
         if vt.has_tag(tag):
             return  # replayed micro-batch, already applied
         latest = vt.latest_version()
@@ -46,6 +54,14 @@ def upsert_batch(spark: SparkSession, target_root: str, key: str | Sequence[str]
     return apply
 
 
+def stream_id(spark: SparkSession, checkpoint_location: str | None) -> str:
+    """The id Spark wrote into the checkpoint when the stream first started."""
+    if checkpoint_location is None:
+        raise ValueError("upsert_batch needs the stream's checkpoint_location")
+    text = "".join(r[0] for r in spark.read.text(os.path.join(checkpoint_location, "metadata")).collect())
+    return json.loads(text)["id"]
+
+
 def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType,
                   target_root: str, key: str | Sequence[str], order_cols: Sequence[str],
                   checkpoint_location: str | None = None, available_now: bool = True,
@@ -63,7 +79,7 @@ def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     reader = reader.parquet(source_path)
-    apply = upsert_batch(spark, target_root, key, order_cols, compact_max_layers, compact_ratio)
+    apply = upsert_batch(spark, target_root, key, order_cols, compact_max_layers, compact_ratio, ckpt)
     writer = (reader.writeStream.foreachBatch(apply)
               .option("checkpointLocation", ckpt))
     writer = (writer.trigger(availableNow=True) if available_now
