@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.types import lossless_cast, widest
-from tidemark.session import list_subdirs
+from tidemark.session import list_subdirs, path_exists
 
 COMMITS = "_commits"
 BASE, LAYER = "base", "layer"
@@ -163,6 +163,8 @@ class VersionedTable:
         if any(r["tag"] == tag for r in self._active()):
             return True
         path = os.path.join(self.root, TAGS, f"bucket={_tag_bucket(tag)}")
+        if path_exists(self.spark, path) is False:
+            return False
         try:
             return bool(self.spark.read.schema(TAG_SCHEMA).parquet(path).where(F.col("tag") == tag).take(1))
         except AnalysisException:

@@ -216,7 +216,7 @@ def dag(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     ends = F.array_distinct(F.filter(F.array(F.when(k <= 66, k - 1), F.floor(k / 2), F.floor(k / 3)),
                                      lambda x: x > 0))
-    return customer.select(k.alias("pipeline_id"), F.explode(ends).cast("bigint").alias("depends_on_id"))
+    return customer.select(k.alias("pipeline_id"), F.explode(ends.cast("array<bigint>")).alias("depends_on_id"))
 
 
 def unassigned_runs(events: DataFrame) -> DataFrame:
