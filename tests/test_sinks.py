@@ -29,12 +29,52 @@ def test_warehouse_writer_options(spark):
         sinks.warehouse_writer(df, wh, "analytics", None, "orders", key="id")
     finally:
         df.write.__class__.options = real
-    assert opts["dbtable"] == "ORDERS_STAGE" and opts["sfSchema"] == "RAW"
-    assert opts["postactions"].startswith("DELETE FROM ANALYTICS.RAW.ORDERS WHERE ID IN")
+    assert opts["dbtable"] == "ORDERS_STAGE" and opts["sfSchema"] == "RAW" and "preactions" not in opts
+    assert opts["postactions"].startswith('BEGIN; DELETE FROM ANALYTICS.RAW.ORDERS WHERE "id" IN')
     with pytest.raises(ValueError):
         sinks.warehouse_writer(df, Connection("postgresql"), "d", None, "t")
 
 
+def test_warehouse_plan_of_first_drift_and_append_loads():
+    wh = Connection("snowflake", host="acct")
+    cols = {"ID": "INTEGER", "NAME": "TEXT"}
+    first = sinks.warehouse_plan(wh, "db", None, "t", cols, "ID", None)
+    assert first["preactions"] == 'CREATE TABLE IF NOT EXISTS DB.PUBLIC.T ("ID" INTEGER, "NAME" TEXT)'
+    drift = sinks.warehouse_plan(wh, "db", "s", "t", cols, "ID", ["id"])
+    assert drift["preactions"] == 'ALTER TABLE DB.S.T ADD COLUMN "NAME" TEXT' and drift["dbtable"] == "T_STAGE"
+    assert drift["postactions"].endswith('INSERT INTO DB.S.T ("ID", "NAME") SELECT "ID", "NAME" FROM DB.S.T_STAGE; COMMIT')
+    append = sinks.warehouse_plan(wh, "db", "s", "t", cols, None, ["ID", "NAME"], "4:7")
+    assert "WHERE NOT EXISTS (SELECT 1 FROM DB.S.T_RUNS WHERE run_tag = '4:7')" in append["postactions"]
+
+
+def test_run_load_into_the_warehouse(spark, tmp, monkeypatch):
+    import datetime as dt
+    from tidemark.plans.load import LoadSpec, run_load
+    from tidemark.sources.readers import ParquetSource
+    at = dt.datetime(2024, 1, 1)
+    (spark.createDataFrame([(1, "a", at), (1, "b", at + dt.timedelta(hours=1))], "id int, name string, updated_at timestamp_ntz")
+     .write.parquet(os.path.join(tmp, "items.parquet")))
+    sent = []
+
+    class Writer:
+        def __init__(self, df, have, types, key):
+            self.got = (sorted(map(tuple, df.select("ID", "NAME").collect())), have, types, key)
+        def save(self):
+            sent.append(self.got)
+    monkeypatch.setattr(sinks, "warehouse_writer",
+                        lambda df, conn, db, schema, table, key, types, have, run_tag: Writer(df, have, types, key))
+    monkeypatch.setattr(sinks, "warehouse_columns", lambda *a: have)
+    spec = LoadSpec(pipeline_id=1, source=ParquetSource(tmp), source_table="items", mode="full", upsert="last_wins",
+                    target_connection=Connection("snowflake", host="acct", db_name="db"))
+    have = []
+    run_load(spark, spec, at, run_id=1)
+    assert sent[-1] == ([(1, "b")], None, {"ID": "INTEGER", "NAME": "TEXT", "UPDATED_AT": "TIMESTAMP"}, "ID")
+    have = [("ID", "NUMBER(38,0)", 1), ("OLD", "TEXT", 2), ("UPDATED_AT", "TIMESTAMP_NTZ", 3)]
+    r = run_load(spark, spec, at, run_id=2, drift_log_path=os.path.join(tmp, "drift"))
+    assert sorted((d["column_name"], d["change_type"]) for d in r.drift) == [("NAME", "column_added"), ("OLD", "column_dropped")]
+    assert sent[-1][1] == ["ID", "OLD", "UPDATED_AT"] and spark.read.parquet(os.path.join(tmp, "drift")).count() == 2
+
+
 def test_log_drift_appends(spark, tmp):
     path = os.path.join(tmp, "drift")
     ev = spark.createDataFrame([("t", "A", "column_added")], "table_name string, column_name string, change_type string")

@@ -74,6 +74,8 @@ class LoadSpec:
     on_cast_error: str = "fail"        # "fail": stop before the target; "null": report and load null
     target_connection: Connection | None = None  # a JDBC target table instead
     target_table: str | None = None
+    target_database: str | None = None  # of a warehouse target
+    target_schema: str | None = None
 
     def __post_init__(self):
         choices = {"mode": ("incremental", "full"),
@@ -283,8 +285,8 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
             rows, max_seen, issues = observed()
             patch(phase_completed=2)
             if rows > 0:
-                drift_rows = _load_jdbc_target(spark, spec, spark.read.parquet(stage), defs,
-                                               as_of, run_id, drift_log_path)
+                load = (_load_warehouse_target if spec.target_connection.is_warehouse else _load_jdbc_target)
+                drift_rows = load(spark, spec, spark.read.parquet(stage), defs, as_of, run_id, drift_log_path)
             anomaly, pct = volume_check(runs, spec.pipeline_id, rows, spec.upper_pct,
                                         spec.lower_pct)
             patch(status="complete", phase_completed=3, rows_loaded=rows,
@@ -390,6 +392,37 @@ def _load_jdbc_target(spark: SparkSession, spec: LoadSpec, staged: DataFrame,
     return drift_rows
 
 
+def _load_warehouse_target(spark: SparkSession, spec: LoadSpec, staged: DataFrame,
+                           defs: list[tuple[str, str]], as_of: _dt.datetime, run_id: int,
+                           drift_log_path: str | None) -> list[dict]:
+    """The load's target is a warehouse table: one path for creating it with
+    the mapped types (K1), detecting drift and adding columns (D1 D2), last
+    wins (K4), staging and one set of statements (K2 K3), through the
+    warehouse's Spark connector."""
+    conn = spec.target_connection
+    table = (spec.target_table or spec.source_table).upper()
+    database = spec.target_database or conn.db_name
+    name = (lambda n: n.upper()) if spec.upper_case else (lambda n: n)
+    key = name(spec.merge_key) if spec.merge_key else None
+    keyed = spec.upsert != "append" and key is not None and key in staged.columns
+    have = sinks.warehouse_columns(spark, conn, database, spec.target_schema, table)
+    drift_rows: list[dict] = []
+    if have:
+        src = spark.createDataFrame([(table, name(n), i + 1, t) for i, (n, t) in enumerate(defs)], S.COLUMNS_SCHEMA)
+        tgt = spark.createDataFrame([(table, c, i, t) for c, t, i in have], S.COLUMNS_SCHEMA)
+        drift_rows = [r.asDict() for r in S.detect_drift(src, tgt).collect()]
+    if keyed and spec.upsert == "last_wins":
+        staged = U.dedup_last_wins(staged, key, spec.order(name))
+    sinks.warehouse_writer(staged, conn, database, spec.target_schema, table, key if keyed else None,
+                           types={name(n): target_type_for(t) for n, t in defs},
+                           have=[c for c, _, _ in have] if have else None,
+                           run_tag=f"{spec.pipeline_id}:{run_id}").save()
+    if drift_log_path and drift_rows:
+        _only_new_drift(spark, _drift_events(spark, drift_rows, spec.pipeline_id, run_id, as_of), drift_log_path,
+                        spec.pipeline_id).write.mode("append").parquet(drift_log_path)
+    return drift_rows
+
+
 def _drift_events(spark: SparkSession, rows: list[dict], pipeline_id: int, run_id: int,
                   as_of: _dt.datetime) -> DataFrame:
     """Log rows of drift events. An event's id is a hash of what it is about,

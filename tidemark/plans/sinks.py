@@ -97,28 +97,72 @@ def write_jdbc_staging(df: DataFrame, conn: Connection, staging_table: str,
     df.write.format("jdbc").options(**opts).mode("overwrite").save()
 
 
+def warehouse_columns_query(schema: str, table: str) -> str:
+    return ("SELECT column_name, data_type, ordinal_position, numeric_precision, numeric_scale "
+            f"FROM information_schema.columns WHERE table_schema = '{schema.upper()}' "
+            f"AND table_name = '{table.upper()}'")
+
+
+def warehouse_columns(spark, conn: Connection, database: str, schema: str | None,
+                      table: str) -> list[tuple[str, str, int]]:
+    """(name, type, position) of a warehouse table's columns; none if it is
+    missing. As many rows as the table has columns."""
+    opts = conn.warehouse_options(database, schema, table)
+    opts.pop("dbtable")
+    rows = (spark.read.format(WAREHOUSE_FORMAT).options(**opts)
+            .option("query", warehouse_columns_query(opts["sfSchema"], table)).load().collect())
+    return [(r[0], f"{r[1]}({r[3]},{r[4]})" if r[3] is not None else r[1], int(r[2])) for r in rows]
+
+
+def warehouse_plan(conn: Connection, database: str, schema: str | None, table: str, columns: dict[str, str],
+                   key: str | None = None, have: Sequence[str] | None = None, run_tag: str | None = None,
+                   staging_table: str | None = None) -> dict[str, str]:
+    """Connector options of one load: the batch goes to a staging table, and
+    one set of statements runs around it. ``have`` are the target's columns
+    (None: it is missing). Before: create the target with the mapped types, or
+    add the columns it lacks. After: replace the rows of the staged keys; or,
+    without a key, append unless ``run_tag`` was applied before."""
+    opts = conn.warehouse_options(database, schema, table)
+    fq = f"{opts['sfDatabase']}.{opts['sfSchema']}"
+    target = f"{fq}.{opts['dbtable']}"
+    stage = (staging_table or f"{table}_STAGE").upper()
+    ddl = {c: f"{conn.quote(c)} {t}" for c, t in columns.items()}
+    if have is None:
+        before = [f"CREATE TABLE IF NOT EXISTS {target} ({', '.join(ddl.values())})"]
+    else:
+        known = {c.upper() for c in have}
+        before = [f"ALTER TABLE {target} ADD COLUMN {ddl[c]}" for c in columns if c.upper() not in known]
+    if key:
+        after = upsert_statements(target, f"{fq}.{stage}", key, list(columns), quote=conn.quote)
+    else:
+        cols = ", ".join(conn.quote(c) for c in columns)
+        after = [f"INSERT INTO {target} ({cols}) SELECT {cols} FROM {fq}.{stage}"]
+        if run_tag is not None:
+            runs, tag = f"{target}_RUNS", run_tag.replace("'", "''")
+            before.append(f"CREATE TABLE IF NOT EXISTS {runs} (run_tag VARCHAR(200))")
+            after[0] += f" WHERE NOT EXISTS (SELECT 1 FROM {runs} WHERE run_tag = '{tag}')"
+            after.append(f"INSERT INTO {runs} (run_tag) SELECT '{tag}' "
+                         f"WHERE NOT EXISTS (SELECT 1 FROM {runs} WHERE run_tag = '{tag}')")
+    opts["dbtable"] = stage
+    if before:
+        opts["preactions"] = "; ".join(before)
+    opts["postactions"] = "; ".join(["BEGIN", *after, "COMMIT"])
+    return opts
+
+
 def warehouse_writer(df: DataFrame, conn: Connection, database: str, schema: str | None,
                      table: str, key: str | None = None, staging_table: str | None = None,
-                     mode: str = "append"):
-    """A configured ``DataFrameWriter`` for the warehouse connector.
-
-    Without a key the batch is appended to ``table``. With a key it is
-    written to ``staging_table`` and ``postactions`` apply it to ``table``
-    in one set-based step. The connector jar must be on the classpath;
-    ``.save()`` is left to the caller.
-    """
+                     types: dict[str, str] | None = None, have: Sequence[str] | None = (),
+                     run_tag: str | None = None):
+    """A configured ``DataFrameWriter`` for the warehouse connector: see
+    ``warehouse_plan``. The connector jar must be on the classpath; ``.save()``
+    is left to the caller. With the default ``have`` no DDL is run."""
     if conn.db_type != WAREHOUSE_FORMAT:
         raise ValueError("not a warehouse connection")
-    opts = conn.warehouse_options(database, schema, table)
-    if key:
-        stage = (staging_table or f"{table}_STAGE").upper()
-        fq = f"{opts['sfDatabase']}.{opts['sfSchema']}"
-        stmts = upsert_statements(f"{fq}.{opts['dbtable']}", f"{fq}.{stage}", key.upper(),
-                                  [c.upper() for c in df.columns])
-        opts["dbtable"] = stage
-        opts["postactions"] = "; ".join(stmts)
-        mode = "overwrite"
-    return df.write.format(WAREHOUSE_FORMAT).options(**opts).mode(mode)
+    columns = {c: (types or {}).get(c, "TEXT") for c in df.columns}
+    opts = warehouse_plan(conn, database, schema, table, columns, key,
+                          list(columns) if have == () else have, run_tag, staging_table)
+    return df.write.format(WAREHOUSE_FORMAT).options(**opts).mode("overwrite")
 
 
 def execute_jdbc(spark, conn: Connection, statements: Sequence[str]) -> list[int]:
