@@ -45,13 +45,13 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Regex, Tokenizer, pre_tokenizers
         self.whole = Tokenizer.from_file(path)
         self.pieces = Tokenizer(self.whole.model)
         self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # fixed: the pre-tokenizer's own pattern
-        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.cut = pre_tokenizers.Split(Regex(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"),
+                                        "removed", invert=True)
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.words: dict[bytes, bytes] = {}
         self.known: dict[str, bytes] = {}
@@ -68,17 +68,17 @@ class Encoder:
         return struct.pack(f"={len(ids)}I", *ids)
 
     def _pieces(self, word: bytes) -> list[str]:
-        """Pieces of a word. Letters with at most one sign after them need no
-        tokenizer: in composed form, and but for one letter whose lower case
-        depends on its place, lowering is the normaliser's work."""
+        """Pieces of a word. Latin letters with at most one sign after them
+        need no tokenizer: in composed form, lowering is all the normaliser
+        does to them."""
         s = word.decode("utf-8", "replace")
-        if s.isascii() or ("\u03a3" not in s and unicodedata.is_normalized("NFC", s)):
+        if s.isascii() or (max(s) < "\u0250" and unicodedata.is_normalized("NFC", s)):
             low = s.lower()
             if low.isalpha():
                 return [low]
             if low[-1] in ".,;:!?" and low[:-1].isalpha():
                 return [low[:-1], low[-1]]
-        return self.cut.findall(self.whole.normalizer.normalize_str(s))
+        return [p for p, _ in self.cut.pre_tokenize_str(self.whole.normalizer.normalize_str(s))]
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words not remembered. A word is remembered once its pieces
