@@ -177,6 +177,9 @@ def test_licence_size_bounds_lose_nothing(spark):
 
 def test_secret_spans_and_verdicts(spark):
     import hashlib
+    from pyspark.sql import Observation
+    seen = Observation()  # a session that has observed something still scores
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
     key = lambda i: "AKIA" + hashlib.sha256(str(i).encode()).hexdigest()[:16].upper()
     hexa = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
     rows = list(texts())
@@ -252,9 +255,8 @@ def test_flight_keeps_totals():
 
 def test_flight_keeps_expectations():
     size = np.array([1.0, 5, 9, 2, 7, 3])
-    got = np.mean([mixing.land(mixing.flight(np.full(6, 0.4), size, np.random.default_rng(s)), size)
-                   for s in range(3000)], axis=0)
-    assert np.abs(got - 0.4).max() < 0.12
+    got = np.mean([mixing.flight(np.full(6, 0.4), size, np.random.default_rng(s)) for s in range(3000)], axis=0)
+    assert np.abs(got - 0.4).max() < 0.03
 
 
 def test_mix(spark):

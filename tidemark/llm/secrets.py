@@ -9,13 +9,14 @@ DataFrame functions (and Spark's own random forest) are used.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved, table, text_or_empty
+from tidemark.session import fresh_scratch
 
 FIT_ROWS = 20_000  # labelled findings the forest is trained on, at most
 DICTIONARY_WORDS = 500  # commonest neighbouring words
@@ -161,6 +162,10 @@ def classify(candidates: DataFrame, labelled: DataFrame | None = None, fit_rows:
     vector = VectorAssembler(inputCols=cols, outputCol="_x")
     forest = RandomForestClassifier(featuresCol="_x", labelCol="label", numTrees=TREES, maxDepth=TREE_DEPTH,
                                     seed=seed, featureSubsetStrategy="sqrt").fit(vector.transform(fit))
+    # read back from the shared folder: a fitted model holds its training session
+    path = fresh_scratch(candidates.sparkSession, "secrets-forest")
+    forest.write().save(path)
+    forest = RandomForestClassificationModel.load(path)
     forest = forest.setProbabilityCol("_p").setPredictionCol("").setRawPredictionCol("")
     return (forest.transform(vector.transform(candidates))
             .withColumn("probability", vector_to_array("_p")[1]).drop("_x", "_p"))
