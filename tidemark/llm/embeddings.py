@@ -26,7 +26,7 @@ from tidemark.llm.common import (bounds_of, in_blocks, links_of, mix64, saved, s
 COSINE = 0.95
 RECALL = 0.9999  # of pairs at the threshold
 PROBES = 2  # buckets probed besides a vector's own, per table
-BLOCK = 512
+BLOCK = 256
 SEED = 3
 
 GROUP = ["_key", "bi", "bj"]
