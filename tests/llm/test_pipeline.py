@@ -1,0 +1,108 @@
+"""The pipeline, stage by stage, each against brute force on its own input."""
+
+import hashlib
+import os
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from tidemark.llm import mixing, secrets
+from tidemark.llm.common import saved, table
+
+from .cases import docs, edited, prose
+from .test_documents import TOKENIZER, brute_links, brute_statistics
+
+
+def rows_of(df):
+    return [(r["doc_id"], r["text"], r["source"]) for r in df.select("doc_id", "text", "source").collect()]
+
+
+@pytest.fixture(scope="module")
+def made(spark, tmp_path_factory):
+    """Clean texts, junk, copies and near copies, secrets; and their labels."""
+    root = str(tmp_path_factory.mktemp("sf"))
+    hexa = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    rows = [(i, prose(i, 60 + i % 80), "abc"[i % 3]) for i in range(240)]
+    rows += [(1000 + i, " ".join(w + "%%%" for w in prose(i, 80).split()), "a") for i in range(50)]  # junk
+    rows += [(2000 + i, "spam ham " * 40, "b") for i in range(10)]  # repetition
+    rows += [(3000 + i, rows[i][1], "c") for i in range(20)]  # copies
+    rows += [(4000 + i, edited(rows[100 + i][1], i, 0.01), "a") for i in range(20)]  # near copies
+    rows += [(5000 + i, f'{prose(5000 + i, 40)} token = "{hexa(i)}" {prose(i + 7000, 40)}', "b") for i in range(40)]
+    rows += [(6000, None, "a"), (None, prose(99, 70), None), (6001, "", None)]
+    docs(spark, rows).write.parquet(os.path.join(root, "documents.parquet"))
+    labels = [(i, 1) for i in range(0, 240, 2)] + [(1000 + i, 0) for i in range(0, 50, 2)]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(os.path.join(root, "labels.parquet"))
+    return root, rows, {5000 + i: hexa(i) for i in range(40)}
+
+
+def test_stages_against_brute_force(spark, made):
+    root, rows, planted = made
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    stage = dict(corpus_pipeline.STAGES)
+    given = table(spark, root, "documents")
+
+    kept = saved(stage[names[0]](spark, given, root), "test")
+    got = rows_of(kept)
+    clean = [r for r in rows if r[1] and r[0] != 6001 and not (r[0] and 1000 <= r[0] < 3000)]
+    assert sorted(got, key=repr) == sorted(clean, key=repr)
+    for _, t, _ in got:
+        n, _, _, _, _, again = brute_statistics(t)
+        assert n >= 10 and 100 * again <= 20 * n
+
+    one = saved(stage[names[1]](spark, kept, root), "test")
+    _, edges = brute_links(got)
+    parent = list(range(len(got)))
+
+    def top(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a, b in edges:
+        parent[top(a)] = top(b)
+    least = {}
+    for k, (i, _, _) in enumerate(got):
+        key = top(k) if i is not None else ("no id", k)
+        least[key] = i if i is None else min(i, least.get(key, i))
+    assert sorted(map(repr, (r[0] for r in rows_of(one)))) == sorted(map(repr, least.values()))
+    assert len(rows_of(one)) < len(got) - 30
+
+    hidden = saved(stage[names[2]](spark, one, root), "test")
+    after = {r[0]: r[1] for r in rows_of(hidden)}
+    for i, t, _ in rows_of(one):
+        assert after[i] == (t.replace(planted[i], secrets.MASK) if i in planted else t)
+    assert hidden.filter("n_chars <> length(text)").count() == 0
+
+    mix = saved(stage[names[3]](spark, hidden, root), "test")
+    source, took = Counter(), Counter()
+    for _, t, s in rows_of(hidden):
+        source[s] += len(t.encode().split())
+    copies = Counter()
+    for i, t, s in rows_of(mix):
+        took[s] += len(t.encode().split())
+        copies[i] += 1
+    longest = max(len(t.encode().split()) for _, t, _ in rows_of(hidden))
+    for s, want in mixing.source_targets(list(source.items())).items():
+        assert abs(took[s] - want) <= longest
+    assert max(copies.values()) <= 2
+
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(TOKENIZER)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, mix, root).collect()
+    want = Counter()
+    for i, x, _ in rows_of(mix):
+        want[i] += len(t.encode(x, add_special_tokens=False).ids) + 1
+    have, size = Counter(), Counter()
+    for p in pieces:
+        have[p["doc_id"]] += p["length"]
+        size[p["sequence_id"]] += p["length"]
+    assert have == want and max(size.values()) <= 4096
+    for a, b in zip(names, ("quality rules", "n-gram Jaccard join", "secret scans", "mixing to target weights", "packing")):
+        assert a == b
+
+
+def test_run_applies_all_stages(spark, made):
+    root, _, _ = made
+    out = corpus_pipeline.run(spark, root)
+    assert out.count() > 0 and "sequence_id" in out.columns
