@@ -30,7 +30,7 @@ WIDTH = 5  # words of a shingle
 SIMILARITY = 0.8
 TREES, DEPTH = 32, 8
 RECALL = 0.999
-BLOCK = 512  # rows of a block; two blocks meet in one task
+BLOCK = 256  # rows of a block; two blocks meet in one task
 SEED = 20
 
 GROUP = ["_key", "bi", "bj"]
@@ -78,7 +78,8 @@ def _sign(width: int, trees: int, depth: int, seed: int):
 def _candidates(floor: float):
     """Edges that connect the rows of each group whose signatures agree in a
     share ``floor`` of values, with that share. Pairs already connected inside
-    the group are not compared."""
+    the group are not compared. Rows come by id, so a crowd that meets in many
+    trees gives the same edges, to its smallest id, in each."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in sorted_groups(batches, GROUP):
             edge = bounds_of(f, GROUP)
@@ -212,7 +213,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
                      f"xxhash64(t, substring(_sig, t * {2 * depth} + 1, {2 * used})))")
         met = in_blocks(reps.select("_id", F.explode(key).alias("_key")), "_key", "_id", block, "jaccard-met")
         edges = saved(met.join(reps.select("_id", "_sig"), "_id").repartition(*GROUP)
-                      .sortWithinPartitions(*GROUP).mapInPandas(_candidates(floor), "a long, b long, share double"),
+                      .sortWithinPartitions(*GROUP, "_id")
+                      .mapInPandas(_candidates(floor), "a long, b long, share double"),
                       "jaccard-edges")
         # each link found stands for 1 / (probability to be found) links
         p = 1 - F.pow(1 - F.pow(F.col("share"), F.lit(used)), F.lit(trees))
