@@ -4,12 +4,15 @@ A text's units are its lines, its paragraphs of several lines and the whole.
 Units and templates are normalised alike - runs of ASCII letters and digits,
 lower case - and compared by the Dice coefficient of their sets of word
 bigrams. Dice >= t needs ``t / (2 - t) <= |A| / |B| <= (2 - t) / t``, so most
-templates are passed over by size alone. Only DataFrame functions are used.
+templates are passed over by size alone; texts that lack every word a match
+must share are passed over first. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -63,6 +66,28 @@ def bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
+def anchors(known: dict[str, list[str]], dice: Fraction) -> list[str]:
+    """Words of which every unit that reaches ``dice`` with some template holds
+    one: of a template's n bigrams such a unit shares at least m, so words that
+    leave fewer than m bigrams untouched cannot all be missing. Long words,
+    then those that touch most bigrams, are taken first."""
+    t = dice
+    open_ = {}
+    for name, grams in known.items():
+        least = math.ceil(len(grams) * t / (2 - t))
+        open_[name] = (set(grams), math.ceil(t / 2 * (len(grams) + least)))
+    out: list[str] = []
+    while True:
+        left = [g for g, m in open_.values() if len(g) >= m]
+        if not left:
+            return sorted(out)
+        gain = Counter(w for g in left for b in g for w in set(b.split(" ")))
+        word = max(gain, key=lambda w: (len(w) >= 5, gain[w], len(w), w))
+        out.append(word)
+        for g, _ in open_.values():
+            g.difference_update([b for b in g if word in b.split(" ")])
+
+
 def unit_bigrams(unit: Column) -> Column:
     """The same for a unit of a text normalised but for its line ends."""
     w = F.split(F.trim(F.translate(unit, "\n", " ")), " +")
@@ -83,6 +108,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     num, den = dice.numerator, dice.denominator
     known = {k: b for k, v in sorted(templates.items()) if (b := bigrams(v))}
+    # texts and units that no template can match go before any bigram is made
+    anchored = f"(?i)(?<![a-z0-9])(?:{'|'.join(anchors(known, dice))})(?![a-z0-9])"
+    docs = docs.filter(F.col(f"`{text_col}`").rlike(anchored))
     text = F.lower(F.regexp_replace(text_or_empty(F.col(f"`{text_col}`")), "[^A-Za-z0-9\n]+", " "))
     lines = F.transform(F.split("_text", "\n"), lambda x, i: F.struct(
         F.lit("line").alias("unit"), i.alias("position"), x.alias("body")))
@@ -119,7 +147,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least = -(-min(map(len, known.values())) * num // (2 * den - num))
     # the lambda variable holds a unit's bigrams: they are computed once
     match = F.explode(F.transform(F.array(unit_bigrams(F.col("_u.body"))), matched))
-    return (units.filter(F.length("_u.body") >= 2 * least + 1)
+    return (units.filter((F.length("_u.body") >= 2 * least + 1) & F.col("_u.body").rlike(anchored))
             .select(id_col, "_u.unit", "_u.position", match.alias("_m")).filter("_m.best is not null")
             .select(id_col, "unit", F.col("position").cast("int").alias("position"), "_m.best.license",
                     F.col("_m.n").alias("n_bigrams"), "_m.best.dice"))
