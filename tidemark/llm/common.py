@@ -35,10 +35,30 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def counted(df: DataFrame, name: str, what: Column | None = None) -> tuple[DataFrame, int]:
+    """``saved``, and how many of its rows there are (or fulfil ``what``)."""
+    seen = Observation()
+    count = F.count(F.lit(1)) if what is None else F.count_if(what)
+    out = saved(df.observe(seen, count.alias("n")), name)
+    return out, int(seen.get.get("n") or 0)
+
+
 def partitions_for(spark: SparkSession, at_least: int = 1) -> int:
     return max(at_least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def hashed_sample(df: DataFrame, key: Column, rows: int, order: list[str] | None = None) -> DataFrame:
+    """At most ``rows`` rows of ``df``, those of the smallest hash ``key``
+    (then ``order``), as column ``_hash``. Rows above a share of the hash's
+    range that holds half as many again are left out before the sort, so what
+    meets in one task does not grow with the number of partitions."""
+    total = df.count()
+    share = min(1.0, 1.5 * rows / total) if total else 1.0
+    low = F.col("_hash") / F.lit(2.0 ** 64) + F.lit(0.5)
+    return (df.withColumn("_hash", key).filter(low <= F.lit(share))
+            .orderBy("_hash", *(order or [])).limit(rows))
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
@@ -174,33 +194,41 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of an undirected graph: (node, label) for each node
     of an edge, the label being the smallest node reachable.
 
-    ``edges`` has two long columns. Each round a node takes the smallest of its
-    neighbours' labels and of its label's label; one aggregate with map-side
-    partial minima, joins whose two sides are scans of written tables (a hot
-    node's partition is split), and one count to the driver. Rounds go on until
-    no label changes.
+    ``edges`` has two long columns. Each round every node points to its
+    smallest neighbour (or itself), pointers are followed to their roots, and
+    edges are redrawn between roots: at least half of the nodes of each
+    component go, until no edge is left. Minima are summed up map-side; joins
+    are between scans of written tables, so a hot node's partition is split;
+    counts alone go to the driver.
     """
-    a, b = edges.columns
-    both = saved(edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
-                 .union(edges.select(F.col(b), F.col(a))).filter("src <> dst").distinct(),
-                 f"{name}-edges")
-    labels = saved(both.groupBy("src").agg(F.min("dst").alias("m"))
-                   .select(F.col("src").alias("node"), F.least("src", "m").alias("label")),
-                   f"{name}-labels")
-    while True:
-        near = (both.join(labels.withColumnRenamed("node", "dst"), "dst")
-                .select(F.col("src").alias("node"), "label", F.lit(None).cast("long").alias("old")))
-        jump = (labels.alias("x").join(labels.alias("y"), F.col("x.label") == F.col("y.node"))
-                .select(F.col("x.node").alias("node"), F.col("y.label").alias("label"),
-                        F.col("x.label").alias("old")))
-        moved = Observation()
-        nxt = (near.union(jump).groupBy("node")
-               .agg(F.min("label").alias("label"), F.max("old").alias("old"))
-               .observe(moved, F.count_if(F.col("label") != F.col("old")).alias("n"))
-               .select("node", "label"))
-        labels = saved(nxt, f"{name}-labels")
-        if not int(moved.get.get("n") or 0):
-            return labels
+    a, b = (F.col(c) for c in edges.columns)
+    left, n = counted(edges.filter(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+                      .distinct(), f"{name}-edges")
+    labels: DataFrame | None = None
+    while n:
+        near = left.select(F.col("a").alias("node"), F.col("a").alias("up")).union(
+            left.select(F.col("b"), F.col("a")))
+        roots = saved(near.groupBy("node").agg(F.min("up").alias("up")), f"{name}-roots")
+        while True:
+            far = roots.select(F.col("node").alias("up"), F.col("up").alias("far"))
+            roots, moved = counted(roots.join(far, "up").select("node", "far", (F.col("far") != F.col("up")).alias("m")),
+                                   f"{name}-roots", F.col("m"))
+            roots = roots.select("node", F.col("far").alias("up"))
+            if not moved:
+                break
+        x, y = (roots.select(F.col("node").alias(c), F.col("up").alias(f"{c}_up")) for c in "ab")
+        moved_edges = left.join(x, "a").join(y, "b").filter("a_up <> b_up")
+        left, n = counted(moved_edges.select(F.least("a_up", "b_up").alias("a"), F.greatest("a_up", "b_up").alias("b"))
+                          .distinct(), f"{name}-edges")
+        if labels is None:
+            labels = roots.withColumnRenamed("up", "label")
+        else:
+            to = roots.select(F.col("node").alias("label"), "up")
+            labels = saved(labels.join(to, "label", "left")
+                           .select("node", F.coalesce("up", "label").alias("label")), f"{name}-labels")
+    if labels is None:
+        return edges.sparkSession.createDataFrame([], "node long, label long")
+    return labels
 
 
 def links_of(members: DataFrame, found: DataFrame, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved, table
+from tidemark.llm.common import hashed_sample, saved, table
 
 FIT_PAGES = 2000  # pages the classifier is trained on, at most
 FIT_BLOCKS = 64  # blocks of each that are used
@@ -278,8 +278,8 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fit_p
         seed: int = 4) -> np.ndarray:
     """Weights trained on at most ``fit_pages`` pages, picked by a hash, and
     the first ``FIT_BLOCKS`` blocks of each whose place tells their label."""
-    some = (pages.select(F.xxhash64(F.lit(seed), F.col(f"`{id_col}`")).alias("h"), F.col(f"`{html_col}`").alias("html"))
-            .orderBy("h").limit(fit_pages).select("html"))
+    some = hashed_sample(pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{html_col}`").alias("html")),
+                         F.xxhash64(F.lit(seed), F.col("id")), fit_pages).select("html")
     rows = saved(some.mapInPandas(_training_rows, "x array<double>, y double"), "pages-training").toPandas()
     if not len(rows):
         return np.array(PRIOR)

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved, table
+from tidemark.llm.common import hashed_sample, saved, table
 
 STATS = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 MIN_WORDS = 10
@@ -184,8 +184,8 @@ def fit(labelled: DataFrame, id_col: str, seed: int = 5, fit_rows: int = FIT_ROW
     are bad, the one that rejects most bad rows; 1 (nothing) if there is none.
     Rows that one family rejects do not count for the next.
     """
-    sample = (labelled.select("stats.*", F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"))
-              .orderBy("h", *NAMES).limit(fit_rows).toPandas())
+    sample = hashed_sample(labelled.select(id_col, "stats.*"), F.xxhash64(F.col(id_col), F.lit(seed)), fit_rows,
+                           NAMES).toPandas()
     forests = {k: grow(x, trees, tree_rows, seed + i) for i, (k, x) in enumerate(features(sample).items())}
     model = QualityModel(forests, min(tree_rows, len(sample)), dict.fromkeys(forests, 1.0))
     if not len(sample):

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved, table, text_or_empty
+from tidemark.llm.common import hashed_sample, saved, table, text_or_empty
 from tidemark.session import fresh_scratch
 
 FIT_ROWS = 20_000  # labelled findings the forest is trained on, at most
@@ -152,8 +152,9 @@ def classify(candidates: DataFrame, labelled: DataFrame | None = None, fit_rows:
     labelled = labelled if labelled is not None else candidates.withColumn("label", rule_label(candidates))
     cols = [f"f_{k}" for k in FEATURES]
     rows = labelled.filter("label is not null").select(
-        F.col("label").cast("double").alias("label"), *cols, F.xxhash64(F.lit(seed), "_value", "_before").alias("_h"))
-    parts = [rows.filter(F.col("label") == k).orderBy("_h", *cols).limit(fit_rows) for k in (0.0, 1.0)]
+        F.col("label").cast("double").alias("label"), *cols, "_value", "_before")
+    parts = [hashed_sample(rows.filter(F.col("label") == k), F.xxhash64(F.lit(seed), F.col("_value"), F.col("_before")),
+                           fit_rows, cols).select("label", *cols) for k in (0.0, 1.0)]
     fit = saved(parts[0].union(parts[1]).coalesce(1), "secrets-labelled")
     seen = {r["label"] for r in fit.select("label").distinct().collect()}
     if len(seen) < 2:
