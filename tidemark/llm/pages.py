@@ -271,7 +271,7 @@ def _training_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 xs.append(shape(blocks)[told])
                 ys.append(np.array([blocks[i].place > 0 for i in told], float))
         x, y = np.concatenate(xs), np.concatenate(ys)
-        yield pd.DataFrame({"x": list(x), "y": y})
+        yield pd.DataFrame({"x": pd.Series(list(x), dtype=object), "y": y})
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fit_pages: int = FIT_PAGES,
