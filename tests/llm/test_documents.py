@@ -213,6 +213,40 @@ def test_secret_scan_of_nothing(spark):
     assert secrets.redacted(spark, docs(spark), "").count() == len(texts())
 
 
+def test_long_and_quoted_secrets_are_masked_whole(spark):
+    import hashlib
+    hexa = lambda seed, n: "".join(hashlib.sha1(f"{seed} {i}".encode()).hexdigest() for i in range(n // 40 + 1))[:n]
+    rows = [(2000 + i, f'{prose(i, 6)} token = "{hexa(i, 40)}" {prose(i, 4)} password={hexa(i, 18)} end', "a") for i in range(40)]
+    rows += [(3000 + i, f"{prose(i, 6)} call 4{i:015d} or order {i:017d} {prose(i, 4)}", "a") for i in range(40)]
+    rows += [(6000 + i, f'x password="{hexa(i, 4)},k;{hexa(-i, 3)}-w<{hexa(i + 50, 3)}" y', "a") for i in range(40)]
+    want = {}
+
+    def add(before, value, after):
+        i = 5000 + len(want)
+        want[i] = (before, value, after)
+        rows.append((i, before + value + after, "a"))
+
+    for n in (300, 3000, 100_000):
+        add(f'{prose(n, 5)} token = "', hexa(n, n), f'" {prose(n, 4)}')
+        add(f"{prose(n, 5)} password=", hexa(n + 1, n), f" {prose(n, 4)}")
+        add(f"{prose(n, 5)} ", hexa(n + 2, n), f" {prose(n, 4)}")
+        add(f"{prose(n, 5)} ", "q" * 80 + hexa(n + 3, n), f" {prose(n, 4)}")  # the first digit comes late
+        add(f"{prose(n, 5)} ", f"eyJ{hexa(n, 17)}.eyJ{hexa(n + 1, n)}.{hexa(n + 2, 43)}", f" {prose(n, 4)}")
+        for head in ("xoxb-", "sk_live_", "ghp_", "AIza"):
+            add(f"{prose(n, 5)} ", head + hexa(n + 4, n), f" {prose(n, 4)}")
+    add("x password=\"", "ab,cd;9fgh1234", "\" y")
+    add("x password='", 'a<b>"c9,fgh1234', "' y")
+    add("x password=\"", 'a9\\"b7c;d8e-f6g', '" and user="some" y')
+    rows.append((4000, 'password="a1" then user="b2c3 d4"', "a"))
+    table = docs(spark, rows)
+    out = {}
+    for r in secrets.scan(table, path_col="source").filter("_id between 4000 and 5999").collect():
+        out.setdefault(r["_id"], []).append((r["start"], r["length"], r["is_secret"]))
+    assert out == {i: [(len(b), len(v), True)] for i, (b, v, _) in want.items()}
+    got = {r["doc_id"]: r["text"] for r in secrets.redacted(spark, table, "").collect()}
+    assert all(got[i] == b + secrets.MASK + a for i, (b, _, a) in want.items())
+
+
 # sharding
 
 def test_shards(spark):

@@ -25,28 +25,33 @@ THRESHOLD = 0.5
 NEAR_CHARS = 80  # characters looked at on either side
 MASK = "[SECRET]"
 
-# Formats that providers publish.
+# Formats that providers publish. No pattern ends inside a run of
+# its characters: a longer one is a candidate as a whole, its length a feature.
 FORMATS = (
-    r"AKIA[0-9A-Z]{16}",
-    r"gh[pousr]_[A-Za-z0-9]{36}",
-    r"xox[baprs]-[A-Za-z0-9-]{10,72}",
-    r"sk_live_[A-Za-z0-9]{16,64}",
-    r"AIza[0-9A-Za-z_-]{35}",
-    r"eyJ[A-Za-z0-9_-]{10,2000}\.eyJ[A-Za-z0-9_-]{10,2000}\.[A-Za-z0-9_-]{10,2000}",
+    r"AKIA[0-9A-Z]{16}\w*+",
+    r"gh[pousr]_[A-Za-z0-9]{36}\w*+",
+    r"xox[baprs]-[A-Za-z0-9-]{10}[\w-]*+",
+    r"sk_live_[A-Za-z0-9]{16}\w*+",
+    r"AIza[0-9A-Za-z_-]{35,}+",
+    r"eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+",
     r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,40}PRIVATE KEY-----",
 )
 NAMES = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential)"
 SEPARATOR = r"(?::|=>|=)"
-VALUE = r"""[^\s"'<>,;]{6,200}"""
-ASSIGNMENT = rf"""(?i:\b{NAMES}[\w-]{{0,24}}["']?\s{{0,3}}{SEPARATOR}\s{{0,3}}["']?{VALUE})"""
-GENERIC = r"(?<![A-Za-z0-9+/_=.@-])(?=[A-Za-z_+/-]{0,64}[0-9])[A-Za-z0-9+/_-]{16,200}={0,2}"
+BARE = r"""[^\s"'<>,;]{6,}+"""
+# up to the closing quote of the line, which has no or an even number of backslashes before it
+QUOTED = "|".join(rf"{q}(?!(?:[^{q}\\\n]|\\.){{0,5}}{q})[^\n]{{6,}}?(?={q})(?<=[^\\](?:\\\\){{0,50}})" for q in "\"'")
+VALUE = rf"""(?:{QUOTED}|["']?{BARE})"""
+ASSIGNMENT = rf"""(?i:\b{NAMES}[\w-]{{0,24}}["']?\s{{0,3}}{SEPARATOR}\s{{0,3}}{VALUE})"""
+RUN = r"(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+GENERIC = rf"(?<![A-Za-z0-9+/_=.@-]){RUN}"
 CANDIDATE = "|".join([*(rf"\b{f}" if f[0] != "-" else f for f in FORMATS), ASSIGNMENT, GENERIC])
 FORMAT = "^(?:" + "|".join(FORMATS) + ")$"
-PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|<[a-z]"
+PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|^<[a-z].*>$"
 
 FEATURES = ("length", "log_length", "digits", "uppers", "lowers", "hex", "transitions", "vowel_steps",
             "distinct", "entropy", "dictionary", "path_test", "path_doc", "name_before", "separator_before",
-            "placeholder", "quoted", "near_words", "is_format")
+            "placeholder", "quoted", "near_words", "is_format", "spaces")
 
 
 def share(text: Column, pattern: str) -> Column:
@@ -126,7 +131,8 @@ def with_features(candidates: DataFrame, known: list[str]) -> DataFrame:
         "name_before": named.rlike(f"(?i){NAMES}"), "separator_before": named.rlike(rf"{SEPARATOR}\s*[\"']?$"),
         "placeholder": v.rlike(PLACEHOLDER), "quoted": named.rlike("[\"'`]$"),
         "near_words": F.size(words(F.col("_before"))) + F.size(words(F.col("_after"))),
-        "is_format": F.col("_kind") == "format",
+        # a quoted value can hold a format among other words
+        "is_format": (F.col("_kind") == "format") | v.rlike("|".join(FORMATS)), "spaces": share(v, r"\s"),
     }
     return candidates.withColumns({f"f_{k}": c.cast("double") for k, c in f.items()})
 
@@ -136,9 +142,10 @@ def rule_label(c: DataFrame) -> Column:
     mixed, disorderly value given to a secret-sounding name; 0 for plain
     numbers, placeholders, words and unnamed orderly tokens; else null."""
     mixed = (F.col("f_digits") > 0) & (F.col("f_digits") < 1)
+    token = (F.col("f_spaces") == 0) | F.col("_value").rlike(f"{RUN}|{ASSIGNMENT}")  # words with a number are none
     return (F.when(F.col("f_placeholder") == 1, 0).when(F.col("f_digits") == 1, 0)
             .when(F.col("f_is_format") == 1, 1)
-            .when((F.col("f_name_before") == 1) & mixed & (F.col("f_entropy") >= 2.8), 1)
+            .when((F.col("f_name_before") == 1) & mixed & token & (F.col("f_entropy") >= 2.8), 1)
             .when((F.col("f_dictionary") > 0.5) | (F.col("f_digits") == 0), 0)
             .when((F.col("f_name_before") == 0) & (F.col("f_entropy") < 3.0), 0))
 
