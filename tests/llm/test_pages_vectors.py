@@ -118,6 +118,25 @@ def test_main_text_awkward(spark):
     assert pages.extract(table(spark, [])).count() == 0
 
 
+def test_raw_and_hidden_elements_take_nothing_else():
+    def text(h):
+        return " ".join(b.text for b in pages.blocks_of(f"<article><p>a</p>{h}<p>rest of article</p></article>"))
+    plain = "a rest of article"
+    for h in ("<script>x</SCRIPT>", "<SCRIPT>var x=1</SCRIPT>", "<STYLE>p{}</STYLE>", "<Style>p{}</style >", "<script/>x</script>",
+              '<svg width="1"/>', "<svg><path d=1></svg>", "<SVG><text>t</text></svg>", "<svg width=1>", "<svg><path d=1/>",
+              "<select><option>x</select>", "<select><option>x", "<button>x", "<BUTTON><div>x</div></Button>",
+              "<button>x<button>y", "<noscript><p>x</p></div></noscript>", "<template><p>x</p></template>",
+              "<noscript>", "<title>t</Title>", "<button/>", "</button>", "</svg>"):
+        assert text(h) == plain, h
+    assert text("<p>one <svg><path/></svg>two <button>go</button>three</p>") == "a one two three rest of article"
+    assert text("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>") == "a so x=1 holds rest of article"
+    assert text("<object data=x><p>fallback</p></object>") == "a fallback rest of article"
+    assert text("<math><mi>x</mi>") == text("<object>x") == "a x rest of article"
+    assert text("<script-box>kept</script-box>") == "a kept rest of article"
+    assert text("<script>never ends") == "a"
+    assert [b.text for b in pages.blocks_of("<div><p>a<svg><g></p>b</div>c")] == ["a", "b", "c"]
+
+
 # embeddings
 
 VECTORS = "vec_id long, embedding array<float>, label int, _keys string, class_id int, _w int"

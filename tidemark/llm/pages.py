@@ -36,8 +36,8 @@ MAX_SHAPE_COST = 4.0
 _ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 _TOKEN = re.compile(
     r"<!--(?:>|->|[\s\S]*?(?:--!?>|\Z))"
-    rf"|<(script|style|noscript|template|textarea|select|iframe|svg|math|object|title|button)\b{_ATTRIBUTES}>"
-    r"[\s\S]*?(?:</\1\s*>|\Z)"
+    rf"|<((?i:script|style|textarea|title|iframe|xmp|noembed|noframes))(?=[\s/>]){_ATTRIBUTES}>"
+    r"[\s\S]*?(?:</(?i:\1)(?=[\s/>])[^>]*+>|\Z)"
     rf"|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>"
     r"|<[!?/][^>]*>?"
     r"|<[a-zA-Z][^>]*>?")
@@ -45,7 +45,15 @@ _NAMED = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'
 
 # Elements that do not end a block, and elements without an end tag.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s "
-             "samp small span strike strong sub sup time tt u var wbr".split())
+             "samp small span strike strong sub sup time tt u var wbr object "
+             "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts "
+             "mstyle mspace mpadded mphantom menclose mtable mtr mtd semantics".split())
+# Elements whose text is no text of the page. They stand inside a block as inline elements do.
+HIDDEN = set("svg select button noscript template annotation annotation-xml".split())
+_HIDDEN = re.compile(rf"<(/?)({'|'.join(sorted(HIDDEN))})(?=[\s/>])", re.I)
+# a start tag of these ends a hidden element that has no end tag of its own
+BREAKOUT = set("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form "
+               "h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tr ul".split())
 VOID = set("area base br col embed frame hr img input link meta param source track wbr".split())
 CLOSED_BY_SAME = set("p li dt dd option tr td th".split())
 AWAY_TAGS = set("nav footer aside form menu dialog".split())
@@ -68,13 +76,30 @@ class Block:
         self.parent, self.section, self.heading = parent, section, heading
 
 
+def closed_starts(page: str) -> set[int]:
+    """Where hidden elements start that end before the next of their kind."""
+    open_: dict[str, int] = {}
+    out = set()
+    for m in _HIDDEN.finditer(page):
+        tag = m[2].lower()
+        if not m[1]:
+            open_[tag] = m.start()
+        elif tag in open_:
+            out.add(open_.pop(tag))
+    return out
+
+
 def blocks_of(page: str) -> list[Block]:
     """Blocks in page order. ``place``: -1 inside a boilerplate element, 1
     inside an article or main element, else 0; the innermost decides, but
-    nothing inside boilerplate is an article again."""
+    nothing inside boilerplate is an article again. The text of ``HIDDEN``
+    elements is left out; one without an end tag ends with its parent or at
+    the next block."""
     out: list[Block] = []
-    # open elements: (tag, number, place, section number, in a link, heading)
-    stack = [("", 0, 0, 0, False, False)]
+    # open elements: (tag, number, place, section number, in a link, heading,
+    # hidden: 2 up to an end tag, 1 without one)
+    stack = [("", 0, 0, 0, False, False, 0)]
+    closed = closed_starts(page)
     parts: list[str] = []
     linked = number = at = 0
 
@@ -83,7 +108,7 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                _, _, place, section, _, heading = stack[-1]
+                _, _, place, section, _, heading, _ = stack[-1]
                 k = len(stack) - 1
                 while k and stack[k][0] in INLINE:
                     k -= 1
@@ -92,7 +117,7 @@ def blocks_of(page: str) -> list[Block]:
             linked = 0
 
     for m in _TOKEN.finditer(page):
-        if m.start() > at:
+        if m.start() > at and not stack[-1][6]:
             piece = page[at:m.start()]
             parts.append(piece)
             if stack[-1][4]:
@@ -108,27 +133,35 @@ def blocks_of(page: str) -> list[Block]:
         if m[2]:  # an end tag closes back to its start tag, if there is one
             k = len(stack) - 1
             while k and stack[k][0] != tag:
-                if inline and stack[k][0] not in INLINE:
+                # nothing ends from inside a hidden element that has an end tag
+                if inline and stack[k][0] not in INLINE or stack[k][6] == 2 and stack[k - 1][6] != 2:
                     k = 0
                     break
                 k -= 1
-            if not inline:
-                flush()
+            if not inline and tag not in HIDDEN and stack[-1][6] < 2 and (k or not stack[-1][6]):
+                while stack[-1][6] and len(stack) > k + 1:
+                    stack.pop()
+                if not stack[-1][6]:
+                    flush()
             if k:
                 del stack[k:]
             continue
-        if not inline:
+        if stack[-1][6] == 1 and (tag in BREAKOUT or tag in ("select", "button")):
+            while stack[-1][6]:
+                stack.pop()
+        inside = inline or tag in HIDDEN or stack[-1][6] > 0
+        if not inside:
             flush()
         if tag in VOID:
             continue
-        if not inline:
+        if not inside:
             while stack[-1][0] in INLINE:  # inline elements left open end with their block
                 stack.pop()
             if stack[-1][0] == tag and tag in CLOSED_BY_SAME or stack[-1][0] == "p":
                 stack.pop()
         number += 1
-        _, _, place, section, link, heading = stack[-1]
-        if not inline:
+        _, _, place, section, link, heading, hidden = stack[-1]
+        if not inside:
             names = " ".join(x.strip("\"'") for x in _NAMED.findall(m[4])) if m[4] else ""
             names = "" if tag in ("html", "body", "main") else NOT_OWN.sub("", names)
             away = bool(names) and AWAY_WORDS.search(names) is not None
@@ -141,8 +174,11 @@ def blocks_of(page: str) -> list[Block]:
                 section = number
         if m[4].endswith("/") and not inline:
             continue
-        stack.append((tag, number, place, section, link or tag == "a", heading or tag in ("h1", "h2", "h3", "h4")))
-    if at < len(page):
+        if tag in HIDDEN and not hidden:
+            hidden = 2 if m.start() in closed else 1
+        stack.append((tag, number, place, section, link or tag == "a", heading or tag in ("h1", "h2", "h3", "h4"),
+                      hidden))
+    if at < len(page) and not stack[-1][6]:
         parts.append(page[at:])
     flush()
     return out
