@@ -137,6 +137,37 @@ def test_raw_and_hidden_elements_take_nothing_else():
     assert [b.text for b in pages.blocks_of("<div><p>a<svg><g></p>b</div>c")] == ["a", "b", "c"]
 
 
+def test_names_do_not_outweigh_shape_and_ties():
+    weights = np.array(pages.PRIOR)
+    say = lambda k, n=40: f"{prose(k, n)} end."
+    chrome = ('<nav><a href=1>Home</a> <a href=2>About</a></nav><div class="ad">Buy this now, it is cheap.</div>',
+              "<footer><p>" + say(90) + "</p></footer>")
+    cookies = "<div>Cookies here</div>"
+
+    def check(body, want, before="", after=""):
+        got = pages.main_text(f"<html><body>{chrome[0]}{before}{body}{after}{chrome[1]}</body></html>", weights)
+        assert got.split() == want.split(), body
+
+    for name in ('id="related-work"', 'id="search-strategy"', 'class="social-impact"', 'id="legal-analysis"', 'id="discussion"'):
+        check(f"<article><h1>Title here</h1><p>{say(1)}</p><section {name}><h2>Some heading</h2><p>{say(2)}</p><p>{say(3)}</p>"
+              f"</section><p>{say(4)}</p></article>", f"Title here {say(1)} Some heading {say(2)} {say(3)} {say(4)}", cookies)
+    check(f'<article class="legal-analysis"><h2 id="discussion">About it</h2><p>{say(1)}</p><h3 id="recommendations">Advice</h3>'
+          f'<p id="notice">{say(2)}</p></article>', f"About it {say(1)} Advice {say(2)}", cookies)
+    # still boilerplate: short or linked parts of an article, whole elements outside of it
+    check(f'<article><p>{say(1)}</p><div class="share-buttons"><a href=1>Share it</a></div><div class="social"><a href=2>Like '
+          f'this</a></div><p>{say(2)}</p><aside><p>{say(3)}</p></aside></article>', f"{say(1)} {say(2)}", cookies,
+          f'<div class="related"><article><p>{say(5)}</p></article></div><section id="comments"><p>{say(6)}</p></section>')
+    # without an article, prose among prose outweighs the name of its element, a short notice does not
+    blocks = pages.blocks_of(f'<body><div id="discussion"><p>{say(1)}</p></div><div id="notice">Cookies</div></body>')
+    strong = np.array([0.0, 5.0, -20.0, 0, 0, 0, 0])
+    assert all(abs(b.pull) < pages.MAX_SHAPE_COST + 2 * (pages.NEXT_TIE + pages.PARENT_TIE + pages.SECTION_TIE) for b in blocks)
+    ring = [pages.Block(say(k), 0, -1 if k == 1 else 0, -pages.NAME_COST if k == 1 else 0.0, 1, 1, False) for k in range(3)]
+    assert pages.labels_of(ring, strong) == [True, True, True]
+    assert pages.labels_of(ring, -strong) == [False, False, False]
+    assert pages.main_text(f"<body><nav>a</nav><div><p>{say(1)}</p><p>{say(2)}</p></div><div><a href=3>Cookie notice</a></div></body>", weights).split() == \
+        f"{say(1)} {say(2)}".split()
+
+
 # embeddings
 
 VECTORS = "vec_id long, embedding array<float>, label int, _keys string, class_id int, _w int"

@@ -29,7 +29,9 @@ from tidemark.llm.common import hashed_sample, saved, table
 
 FIT_PAGES = 2000  # pages the classifier is trained on, at most
 FIT_BLOCKS = 64  # blocks of each that are used
-PLACE_COST = 12.0  # what an ancestor's tag or name says
+PLACE_COST = 12.0  # what an ancestor's tag says
+NAME_COST = 6.0  # what its name says: classifier and ties together can outweigh it
+INNER_NAME_COST, PART_COST = 2.5, 1.5  # a boilerplate name inside an article, as a whole or as part of another
 NEXT_TIE, PARENT_TIE, SECTION_TIE = 0.6, 0.8, 0.4
 MAX_SHAPE_COST = 4.0
 
@@ -41,7 +43,7 @@ _TOKEN = re.compile(
     rf"|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>"
     r"|<[!?/][^>]*>?"
     r"|<[a-zA-Z][^>]*>?")
-_NAMED = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_NAMED = re.compile(r"""(?<![\w-])(class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
 # Elements that do not end a block, and elements without an end tag.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s "
@@ -52,8 +54,8 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 HIDDEN = set("svg select button noscript template annotation annotation-xml".split())
 _HIDDEN = re.compile(rf"<(/?)({'|'.join(sorted(HIDDEN))})(?=[\s/>])", re.I)
 # a start tag of these ends a hidden element that has no end tag of its own
-BREAKOUT = set("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form "
-               "h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tr ul".split())
+BREAKOUT = set("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer "
+               "form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tr ul".split())
 VOID = set("area base br col embed frame hr img input link meta param source track wbr".split())
 CLOSED_BY_SAME = set("p li dt dd option tr td th".split())
 AWAY_TAGS = set("nav footer aside form menu dialog".split())
@@ -65,17 +67,50 @@ AWAY_WORDS = re.compile(
     r"toolbar|pagination|pager|search|skip-link|copyright|legal|disclaimer|alert|toc)(?![a-z])", re.I)
 ARTICLE_WORDS = re.compile(r"(?<![a-z])(?:article|articlebody|article-body|post-content|entry-content|main|content|"
                            r"story|post|entry|post-body)(?![a-z])", re.I)
+OWN_WORDS = set("h1 h2 h3 h4 h5 h6 p".split())  # elements whose ids are made from their text
 NOT_OWN = re.compile(r"(?:has|with|no|without|hide|show)[-_][a-z-]+", re.I)  # of a page with or without the part
 
 
 class Block:
-    __slots__ = ("text", "linked", "place", "parent", "section", "heading")
+    __slots__ = ("text", "linked", "place", "pull", "parent", "section", "heading")
 
-    def __init__(self, text, linked, place, parent, section, heading):
-        self.text, self.linked, self.place = text, linked, place
+    def __init__(self, text, linked, place, pull, parent, section, heading):
+        self.text, self.linked, self.place, self.pull = text, linked, place, pull
         self.parent, self.section, self.heading = parent, section, heading
 
 
+def place_of(tag: str, attributes: str, place: int, pull: float) -> tuple[int, float]:
+    """Place and pull of an element inside one of ``place`` and ``pull``."""
+    if place < 0 and pull <= -PLACE_COST:
+        return place, pull
+    if tag in AWAY_TAGS or tag == "header" and place < 1 and pull >= 0:
+        return -1, -PLACE_COST
+    names = ""
+    if attributes and tag not in ("html", "body", "main"):
+        # generated ids of headings and paragraphs say what they are about
+        own = tag in OWN_WORDS
+        names = NOT_OWN.sub("", " ".join(v.strip("\"'") for k, v in _NAMED.findall(attributes)
+                                        if not (own and k.lower() == "id")))
+    away = bool(names) and AWAY_WORDS.search(names) is not None
+    wanted = bool(names) and ARTICLE_WORDS.search(names) is not None
+    whole = away and any(AWAY_WORDS.fullmatch(x) for x in names.split())
+    article = tag in ("article", "main")
+    if away and not wanted:
+        if article and not whole and place >= 0 and pull >= 0:
+            return 1, PLACE_COST
+        if place > 0:
+            return 0, -INNER_NAME_COST if whole else -PART_COST
+        if place == 0 and pull < 0:
+            return 0, min(pull, -INNER_NAME_COST if whole else -PART_COST)
+        return -1, -NAME_COST
+    if place >= 0 and pull >= 0:
+        if article:
+            return 1, PLACE_COST
+        if wanted and not away:
+            return 1, max(pull, NAME_COST)
+    return place, pull
+
+
 def closed_starts(page: str) -> set[int]:
     """Where hidden elements start that end before the next of their kind."""
     open_: dict[str, int] = {}
@@ -92,13 +127,15 @@ def closed_starts(page: str) -> set[int]:
 def blocks_of(page: str) -> list[Block]:
     """Blocks in page order. ``place``: -1 inside a boilerplate element, 1
     inside an article or main element, else 0; the innermost decides, but
-    nothing inside boilerplate is an article again. The text of ``HIDDEN``
+    nothing inside boilerplate is an article again. ``pull``: what that adds
+    to the log odds of being content; below 0 at place 0 for what has a
+    boilerplate name inside an article. The text of ``HIDDEN``
     elements is left out; one without an end tag ends with its parent or at
     the next block."""
     out: list[Block] = []
-    # open elements: (tag, number, place, section number, in a link, heading,
-    # hidden: 2 up to an end tag, 1 without one)
-    stack = [("", 0, 0, 0, False, False, 0)]
+    # open elements: (tag, number, (place, pull), section number, in a link,
+    # heading, hidden: 2 up to an end tag, 1 without one)
+    stack = [("", 0, (0, 0.0), 0, False, False, 0)]
     closed = closed_starts(page)
     parts: list[str] = []
     linked = number = at = 0
@@ -112,7 +149,7 @@ def blocks_of(page: str) -> list[Block]:
                 k = len(stack) - 1
                 while k and stack[k][0] in INLINE:
                     k -= 1
-                out.append(Block(text, min(linked, len(text)), place, stack[k][1], section, heading))
+                out.append(Block(text, min(linked, len(text)), *place, stack[k][1], section, heading))
             parts.clear()
             linked = 0
 
@@ -162,14 +199,7 @@ def blocks_of(page: str) -> list[Block]:
         number += 1
         _, _, place, section, link, heading, hidden = stack[-1]
         if not inside:
-            names = " ".join(x.strip("\"'") for x in _NAMED.findall(m[4])) if m[4] else ""
-            names = "" if tag in ("html", "body", "main") else NOT_OWN.sub("", names)
-            away = bool(names) and AWAY_WORDS.search(names) is not None
-            wanted = bool(names) and ARTICLE_WORDS.search(names) is not None
-            if tag in AWAY_TAGS or tag == "header" and place < 1 or away and not wanted:
-                place = -1
-            elif place >= 0 and (tag in ("article", "main") or wanted and not away):
-                place = 1
+            place = place_of(tag, m[4], *place)
             if tag in SECTIONS:
                 section = number
         if m[4].endswith("/") and not inline:
@@ -272,7 +302,8 @@ def labels_of(blocks: list[Block], weights: np.ndarray) -> list[bool]:
     gain = []
     for b, s in zip(blocks, score.tolist()):
         # a page that marks its article says the rest is not
-        gain.append(s + PLACE_COST * (b.place if b.place or not has_article else -0.5))
+        outside = has_article and (b.place < 0 or b.place == 0 and b.pull == 0)
+        gain.append(s + b.pull - (PLACE_COST / 2 if outside else 0.0))
     ties: dict[tuple[int, int], float] = {}
     last_parent: dict[int, int] = {}
     last_section: dict[int, int] = {}
