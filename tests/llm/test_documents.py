@@ -173,6 +173,34 @@ def test_licence_size_bounds_lose_nothing(spark):
         assert (best >= 0.8 and abs(got[i] - best) < 1e-12) or (best < 0.8 and i not in got)
 
 
+def test_embedded_licences(spark):
+    words = lambda t: __import__("re").sub("[^A-Za-z0-9]+", " ", t).lower().split()
+    apache = licences.TEMPLATES["Apache-2.0 header"].replace(" You may obtain", "\n\nYou may obtain").replace(
+        " Unless", "\n\nUnless").replace(" you may not", "\nyou may not")
+    gpl = licences.TEMPLATES["GPL-3.0 header"].replace(" This program is distributed", "\n\nThis program is distributed")
+    rows = [(1, f"{prose(1, 50)}\n\n{apache}\n\n{prose(2, 300)}", "a"), (2, f"{prose(3, 9)}\n{gpl}\n\n{prose(4, 300)}", "a"),
+            (3, "The code is released under the MIT License.", "a"),
+            (4, "Copyright 2020 Example Ltd. Released under the MIT License.", "a"),
+            (5, f"{prose(5, 200)} this is licensed under CC BY-NC 4.0, and so on {prose(6, 90)} released under the MIT license {prose(7, 9)}", "a"),
+            (6, f"{prose(8, 40)} {licences.TEMPLATES['MIT text'].replace('any person', 'anyone')} {prose(9, 40)}", "a"),
+            (7, "Some prose.\nReleased under the MIT License.\nMore prose", "a"), (8, licences.TEMPLATES["MIT text"], "a"),
+            (9, "released under the rule of license and MIT", "a"), (None, "We have it released under the MIT License.", "a"), *texts()]
+    got = {}
+    for r in licences.embedded(docs(spark, rows)).collect():
+        got.setdefault(r["doc_id"], []).append((r["license"], r["position"], r["n_bigrams"], round(r["dice"], 9)))
+    assert {k: [x[0] for x in sorted(v, key=lambda x: x[1])] for k, v in got.items()} == {
+        1: ["Apache-2.0 header"], 2: ["GPL-3.0 header"], 3: ["MIT"], 4: ["MIT"], 5: ["CC-BY-NC-4.0", "MIT"], 6: ["MIT text"],
+        None: ["MIT"]}
+    for i, t, _ in rows[:9]:  # the best of all windows of any size
+        for name, at, n, dice in got.get(i, []):
+            tpl, w = set(licences.bigrams(licences.TEMPLATES[name])), words(t)
+            b = [f"{x} {y}" for x, y in zip(w, w[1:])]
+            assert dice == max(
+                round(2 * len(tpl & g) / (len(tpl) + len(g)), 9) for s in range(len(b)) for e in range(s + 1, min(len(b), s + 170) + 1)
+                for g in [set(b[s:e])] if len(g) >= len(tpl) * 2 / 3)
+    assert licences.embedded(empty(spark)).count() == 0
+
+
 # secret scans
 
 def test_secret_spans_and_verdicts(spark):

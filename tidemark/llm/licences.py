@@ -1,6 +1,7 @@
 """Licence scans: units of text against licence templates by Dice coefficient.
 
-A text's units are its lines, its paragraphs of several lines and the whole.
+A text's units are its lines, its paragraphs of several lines and the whole;
+besides, notices inside or across these are found in windows of its words.
 Units and templates are normalised alike - runs of ASCII letters and digits,
 lower case - and compared by the Dice coefficient of their sets of word
 bigrams. Dice >= t needs ``t / (2 - t) <= |A| / |B| <= (2 - t) / t``, so most
@@ -95,6 +96,36 @@ def unit_bigrams(unit: Column) -> Column:
                                        lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
+def anchored_by(known: dict[str, list[str]], dice: Fraction) -> str:
+    return f"(?i)(?<![a-z0-9])(?:{'|'.join(anchors(known, dice))})(?![a-z0-9])"
+
+
+def template_literal(known: dict[str, list[str]]) -> Column:
+    """Templates as one literal: their number and size are those of this module."""
+    return F.array(*[F.struct(F.lit(name).alias("license"), F.lit(-i).alias("order"),
+                              F.lit(len(grams)).alias("n"), F.array(*map(F.lit, grams)).alias("grams"))
+                     for i, (name, grams) in enumerate(known.items())])
+
+
+def matcher(literal: Column, dice: Fraction):
+    """Function of a unit's bigrams: their number and the best template."""
+    num, den = dice.numerator, dice.denominator
+
+    def matched(b: Column) -> Column:
+        n = F.size(b)
+        fitting = F.filter(literal, lambda t: (n * (2 * den - num) >= t["n"] * num)
+                           & (n * num <= t["n"] * (2 * den - num)))
+        shared = F.transform(fitting, lambda t: F.struct(
+            F.size(F.array_intersect(b, t["grams"])).alias("shared"), (n + t["n"]).alias("both"),
+            t["order"].alias("order"), t["license"].alias("license")))
+        hits = F.filter(shared, lambda x: 2 * x["shared"] * den >= num * x["both"])
+        best = F.array_max(F.transform(hits, lambda x: F.struct(
+            (2.0 * x["shared"] / x["both"]).alias("dice"), x["order"].alias("order"),
+            x["license"].alias("license"))))
+        return F.struct(n.alias("n"), best.alias("best"))
+    return matched
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          templates: dict[str, str] = TEMPLATES, dice: Fraction = DICE) -> DataFrame:
     """The best template of each unit that reaches ``dice`` with any: (id,
@@ -109,7 +140,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     num, den = dice.numerator, dice.denominator
     known = {k: b for k, v in sorted(templates.items()) if (b := bigrams(v))}
     # texts and units that no template can match go before any bigram is made
-    anchored = f"(?i)(?<![a-z0-9])(?:{'|'.join(anchors(known, dice))})(?![a-z0-9])"
+    anchored = anchored_by(known, dice)
     docs = docs.filter(F.col(f"`{text_col}`").rlike(anchored))
     text = F.lower(F.regexp_replace(text_or_empty(F.col(f"`{text_col}`")), "[^A-Za-z0-9\n]+", " "))
     lines = F.transform(F.split("_text", "\n"), lambda x, i: F.struct(
@@ -125,37 +156,99 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select(id_col, F.explode(F.concat(
                  lines, F.when(several, paras).otherwise(none),
                  F.when(F.col("_text").contains("\n"), whole).otherwise(none))).alias("_u")))
-    # templates as one literal: their number and size are those of this module
-    literal = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(-i).alias("order"),
-                                 F.lit(len(grams)).alias("n"), F.array(*map(F.lit, grams)).alias("grams"))
-                        for i, (name, grams) in enumerate(known.items())])
-
-    def matched(b: Column) -> Column:
-        n = F.size(b)
-        fitting = F.filter(literal, lambda t: (n * (2 * den - num) >= t["n"] * num)
-                           & (n * num <= t["n"] * (2 * den - num)))
-        shared = F.transform(fitting, lambda t: F.struct(
-            F.size(F.array_intersect(b, t["grams"])).alias("shared"), (n + t["n"]).alias("both"),
-            t["order"].alias("order"), t["license"].alias("license")))
-        hits = F.filter(shared, lambda x: 2 * x["shared"] * den >= num * x["both"])
-        best = F.array_max(F.transform(hits, lambda x: F.struct(
-            (2.0 * x["shared"] / x["both"]).alias("dice"), x["order"].alias("order"),
-            x["license"].alias("license"))))
-        return F.struct(n.alias("n"), best.alias("best"))
-
     # a unit with fewer bigrams than any bound has too few characters as well
     least = -(-min(map(len, known.values())) * num // (2 * den - num))
     # the lambda variable holds a unit's bigrams: they are computed once
-    match = F.explode(F.transform(F.array(unit_bigrams(F.col("_u.body"))), matched))
+    match = F.explode(F.transform(F.array(unit_bigrams(F.col("_u.body"))),
+                                  matcher(template_literal(known), dice)))
     return (units.filter((F.length("_u.body") >= 2 * least + 1) & F.col("_u.body").rlike(anchored))
             .select(id_col, "_u.unit", "_u.position", match.alias("_m")).filter("_m.best is not null")
             .select(id_col, "unit", F.col("position").cast("int").alias("position"), "_m.best.license",
                     F.col("_m.n").alias("n_bigrams"), "_m.best.dice"))
 
 
+def pairs_of(words: Column) -> Column:
+    """Word bigrams, in order, of an array of structs with a word ``w``."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n),
+                      lambda a, b: F.concat(a["w"], F.lit(" "), b["w"]))
+
+
+def embedded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             templates: dict[str, str] = TEMPLATES, dice: Fraction = DICE) -> DataFrame:
+    """Notices that are no unit of their own: in a sentence or a running
+    paragraph, or over several lines or paragraphs of a longer text. Columns
+    as of ``scan``; ``unit`` is "window" and ``position`` its first word.
+
+    Windows of consecutive words begin and end with a bigram of the template:
+    others only add to the size. They have at most as many bigrams, repeats
+    counted, as the bound on sizes allows. Of windows that overlap, that of the
+    largest template by its Dice coefficient stays. Windows inside a line, a
+    paragraph or a document that matches as a whole are left to ``scan``.
+    """
+    num, den = dice.numerator, dice.denominator
+    known = {k: b for k, v in sorted(templates.items()) if (b := bigrams(v))}
+    raw = {k: len(re.sub("[^A-Za-z0-9]+", " ", templates[k]).split()) - 1 for k in known}
+    literal = F.array(*[F.struct(
+        F.lit(k).alias("license"), F.lit(-i).alias("order"), F.lit(len(g)).alias("n"),
+        F.lit(-(-len(g) * num // (2 * den - num))).alias("least"),
+        F.lit(raw[k] * (2 * den - num) // num).alias("most"), F.array(*map(F.lit, g)).alias("grams"))
+        for i, (k, g) in enumerate(known.items())])
+    text = F.lower(F.regexp_replace(text_or_empty(F.col(f"`{text_col}`")), "[^A-Za-z0-9\n]+", " "))
+    words = F.flatten(F.transform(F.split(text, "\n *\n"), lambda x, p: F.flatten(F.transform(
+        F.split(x, "\n"), lambda y, q: F.transform(F.filter(F.split(y, " +"), lambda z: z != ""), lambda z: F.struct(
+            z.alias("w"), p.alias("paragraph"), q.alias("line")))))))
+    rows = (docs.filter(F.col(f"`{text_col}`").rlike(anchored_by(known, dice)))
+            .select(F.col(f"`{id_col}`").alias(id_col), words.alias("_w"))
+            .withColumn("_b", pairs_of(F.col("_w"))))
+
+    def hits(t: Column) -> Column:
+        return F.filter(F.transform(F.col("_b"), lambda b, i: F.when(F.array_contains(t["grams"], b), i)),
+                        lambda i: i.isNotNull())
+
+    def windows(t: Column, h: Column) -> Column:
+        ends = F.flatten(F.transform(h, lambda s, k: F.transform(
+            F.filter(F.slice(h, k + t["least"], t["most"]), lambda e: e - s < t["most"]),
+            lambda e: F.struct(s.alias("s"), e.alias("e")))))
+
+        def scored(c: Column, g: Column) -> Column:
+            n, shared = F.size(g), F.size(F.array_intersect(g, t["grams"]))
+            d = 2.0 * shared / (n + t["n"])
+            return F.struct((d * t["n"]).alias("weight"), t["order"].alias("order"), (-c["s"]).alias("first"), c["s"], c["e"],
+                            t["license"].alias("license"), n.alias("n"), d.alias("dice"),
+                            (2 * shared * den >= num * (n + t["n"])).alias("hit"))
+        return F.filter(F.flatten(F.transform(ends, lambda c: F.transform(
+            F.array(F.array_distinct(F.slice(F.col("_b"), c["s"] + 1, c["e"] - c["s"] + 1))),
+            lambda g: scored(c, g)))), lambda x: x["hit"])
+
+    found = F.flatten(F.transform(literal, lambda t: F.flatten(F.transform(F.array(hits(t)), lambda h: windows(t, h)))))
+    rows = rows.withColumn("_f", found).filter(F.size("_f") > 0)
+    # windows that share a word overlap; the first taken is the best
+    best = F.aggregate(F.reverse(F.array_sort("_f")), F.filter("_f", lambda _: F.lit(False)), lambda got, x: F.when(
+        F.exists(got, lambda y: (x["s"] <= y["e"] + 1) & (y["s"] <= x["e"] + 1)), got)
+        .otherwise(F.concat(got, F.array(x))))
+    rows = rows.select(id_col, "_w", F.explode(best).alias("_x"))
+    matched = matcher(template_literal(known), dice)
+    a, z = F.get("_w", F.col("_x.s")), F.get("_w", F.col("_x.e") + 1)
+
+    def covers(*same: str) -> Column:
+        inside = F.lit(True)
+        for c in same:
+            inside = inside & (a[c] == z[c])
+        unit = F.filter("_w", lambda x: F.forall(F.array(*[x[c] == a[c] for c in same]) if same else F.array(F.lit(True)),
+                                                 lambda y: y))
+        whole = F.transform(F.array(F.array_distinct(pairs_of(unit))), matched)
+        return F.when(inside, F.get(whole, F.lit(0))["best"].isNotNull()).otherwise(False)
+
+    return (rows.filter(~covers("paragraph", "line")).filter(~covers("paragraph")).filter(~covers())
+            .select(id_col, F.lit("window").alias("unit"), F.col("_x.s").cast("int").alias("position"), "_x.license",
+                    F.col("_x.n").alias("n_bigrams"), "_x.dice"))
+
+
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
     """Licence notices in all documents."""
-    return scan(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return scan(docs).unionByName(embedded(docs))
 
 
 def oracle(templates: dict[str, str] = TEMPLATES, dice: Fraction = DICE) -> str:
