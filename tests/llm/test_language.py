@@ -1,0 +1,93 @@
+"""The byte network: gradients, held-out accuracy, awkward rows."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import language
+
+from .cases import DOCS, docs, empty, texts
+
+STEMS = {"aa": ["ka", "no", "ti", "shi", "ro"], "bb": ["schw", "eit", "ung", "ber", "ö"], "cc": ["ção", "mente", "ar", "los", "que"]}
+
+
+def speech(lang, seed, n):
+    r = random.Random(f"{lang}{seed}")
+    return " ".join("".join(r.choice(STEMS[lang]) for _ in range(r.randint(1, 3))) for _ in range(n))
+
+
+@pytest.mark.parametrize("padded", [0, 2])
+def test_gradients_match_differences(padded):
+    rng = np.random.default_rng(0)
+    p = {k: v.astype(np.float64) for k, v in language.start(3, 4, 1).items()}
+    x = rng.integers(0, 256, (7, 5)).astype(np.int16)
+    x[7 - padded:, :2] = language.PAD
+    y = np.array([0, 1, 2, 0, 1])
+    _, g = language.gradients(p, x, y)
+    for k in p:
+        for i in rng.choice(p[k].size, 12):
+            at = np.unravel_index(i, p[k].shape)
+            old = p[k][at]
+            loss = []
+            for e in (1e-6, -1e-6):
+                p[k][at] = old + e
+                loss.append(language.gradients(p, x, y)[0])
+            p[k][at] = old
+            assert g[k][at] == pytest.approx((loss[0] - loss[1]) / 2e-6, abs=1e-6)
+
+
+def test_padding_leaves_no_state():
+    p = language.start(3, 8, 2)
+    x = language.windows_of("çx abc".encode(), 12).T
+    h = language.read(x[::-1], p["wb"], p["ub"], p["bb"])
+    assert np.abs(h[:5]).max() < 1e-6
+    cut = language.read(np.ascontiguousarray(x[:7][::-1]), p["wb"], p["ub"], p["bb"])
+    assert np.allclose(h[5:], cut, atol=1e-5)
+
+
+def test_pooling_does_not_depend_on_batches(monkeypatch):
+    names, p = language.train([speech(la, 1, 200).encode() for la in STEMS], list(STEMS), steps=5)
+    data = [speech("aa", 3, n).encode() for n in (0, 1, 3, 400, 7, 2000)] + [b"", b"x" * 96, b"y" * 97]
+    want = language.pooled(p, data)
+    assert np.allclose(want.sum(axis=1), [float(len(t) > 0) for t in data])
+    monkeypatch.setattr(language, "AT_ONCE", 3)
+    assert np.allclose(language.pooled(p, data), want, atol=1e-6)
+    by_byte = language.label(p, language.windows_of(data[3]).T)
+    real = language.windows_of(data[3]).T != language.PAD
+    assert np.allclose((by_byte * real[:, None, :]).sum(axis=(0, 2)) / len(data[3]), want[3], atol=1e-5)
+
+
+def labelled(n):
+    return [(i, speech(la, i, 3 + i % 60), la) for i in range(n) for la in [sorted(STEMS)[i % 3]]]
+
+
+def test_held_out_documents(spark):
+    rows = labelled(900)
+    # labels of held-out documents are wrong: nothing may be learnt from them
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i, _, _ in rows}
+    full = [(i, t, "zz" if held[i] else la, "s", 0, 5, "x", 1, 0.5, "clash", "k") for i, t, la in rows]
+    out = {r["doc_id"]: r for r in language.identify(spark.createDataFrame(full, DOCS)).collect()}
+    assert {i: r["held_out"] for i, r in out.items()} == held and sum(held.values()) > 150
+    right = [out[i]["lang_pred"] == la for i, _, la in rows if held[i]]
+    assert sum(right) >= 0.97 * len(right)
+    assert all(0 < r["score"] <= 1 for r in out.values())
+
+
+def test_awkward_documents(spark):
+    rows = [(r[0], r[1], "x", 0) for r in texts()]
+    extra = [(i, t, la, "s", 0, 5, "x", 1, 0.5, "clash", "k") for i, t, la in
+             [(501, "12 34 !? \n", "aa"), (502, "ß", None), (503, speech("bb", 9, 30_000), "bb"), (503, speech("bb", 9, 30_000), "bb")]]
+    df = docs(spark).unionByName(spark.createDataFrame(extra, DOCS))
+    got = language.identify(df).collect()
+    by = {r["doc_id"]: r for r in got}
+    assert len(got) == len(rows) + 4
+    for i in (1, 2, 3, 501):
+        assert (by[i]["lang_pred"], by[i]["score"]) == ("und", 0.0)
+    assert by[502]["lang_pred"] in ("en", "bb") and by[503]["lang_pred"] == "bb"
+    assert not any(r["held_out"] for r in got if r["doc_id"] is None)
+    assert language.identify(empty(spark)).count() == 0
+    none = language.identify(docs(spark).withColumn("lang", F.lit(None).cast("string")))
+    assert {r["lang_pred"] for r in none.collect()} == {"und"}

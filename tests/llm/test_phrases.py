@@ -1,0 +1,103 @@
+"""Phrase collocations against brute force, over many small shards."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidemark.llm import phrases
+
+from .cases import DOCS, docs, empty, texts
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least, top):
+    """(lang, text) -> {(lang, rank): (phrase, a, l, r, n, score, left, right)}."""
+    out = {}
+    for lang in sorted({la or "und" for la, _ in rows}):
+        f, n = Counter(), 0
+        for la, t in rows:
+            if (la or "und") == lang:
+                for piece in re.split(r"[.,;:!?\x0A-\x0D]", (t or "").translate(LOWER)):
+                    w = re.findall(r"[^\x20\x09]+", piece)
+                    n += len(w)
+                    f.update(tuple(w[i:i + k]) for k in range(1, 5) for i in range(len(w) - k + 1))
+        cand = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        best = []
+        for p, a in cand.items():
+            longer = [(q, b) for q, b in cand.items() if len(q) > len(p)
+                      and any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1))]
+            if any(100 * b >= 80 * a for _, b in longer):
+                continue
+            score, k = min((2000000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+            left = max([b for q, b in longer if q[1:] == p], default=0)
+            right = max([b for q, b in longer if q[:-1] == p], default=0)
+            best.append((-score, -a, " ".join(p).encode(), a, f[p[:k]], f[p[k:]], left, right))
+        for rank, (s, _, p, a, lo, r, left, right) in enumerate(sorted(best)[:top], 1):
+            out[lang, rank] = (p.decode(), a, lo, r, n, -s, left, right)
+    return out
+
+
+def babble(seed, n):
+    r = random.Random(seed)
+    word = [r.choice(["a", "B", "c d", "c d e", "f", "É", "g h i j", "x\ty", "same same"]) for _ in range(n)]
+    return "".join(w + r.choice([" ", " ", " ", "  ", ". ", ", ", "\n"]) for w in word)
+
+
+def got(df, **kw):
+    return {(r["lang"], r["rank"]): (r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"], r["left"], r["right"])
+            for r in phrases.collocations(df, **kw).collect()}
+
+
+@pytest.mark.parametrize("shard_words, slice_bytes", [(4_000_000, 1 << 22), (60, 40), (7, 9)])
+def test_phrases_match_brute_force(spark, monkeypatch, shard_words, slice_bytes):
+    rows = [("en" if i % 3 else None, babble(i, 5 + 12 * i)) for i in range(14)] + [("de", "same " * 90), ("en", None),
+                                                                                    ("fr", ""), (None, " . ")]
+    df = spark.createDataFrame([(1, t, la, "s", 0, 5, "x", 1, 0.5, "clash", "k") for la, t in rows], DOCS)
+    deal = phrases._deal
+
+    def small(*a):  # the slice size travels with the function
+        phrases.SLICE_BYTES = slice_bytes
+        return deal(*a)
+    monkeypatch.setattr(phrases, "_deal", small)
+    want = brute(rows, 6, 25)
+    assert len(want) > 30 and got(df.coalesce(1), least=6, top=25, shard_words=shard_words) == want
+
+
+def test_phrases_of_awkward_documents(spark):
+    assert got(empty(spark)) == {}
+    rows = texts()
+    want = brute([("en", t) for _, t, _ in rows], 20, None)
+    assert want and got(docs(spark), least=20, top=None) == want
+
+
+def test_intervals_stay_in_step():
+    """Extensions hold the same occurrences in both indexes."""
+    rng = np.random.default_rng(3)
+    seq = np.r_[0, rng.integers(0, 5, 400), 0]
+    index, rows = phrases.BiIndex.build(seq)
+    back = phrases.BiIndex.order(seq[::-1].copy())
+    word, lo, n = index.words()
+    phrase = word[None, :]
+    for side in (phrases.RIGHT, phrases.LEFT, phrases.RIGHT):
+        parent, more, lo, n = index.extend(side, lo, n)
+        old = phrase[:, parent]
+        phrase = np.vstack([old, more] if side == phrases.RIGHT else [more, old])
+        d = len(phrase)
+        seen = Counter(tuple(seq[i:i + d]) for i in range(len(seq) - d + 1) if seq[i:i + d].all())
+        assert {tuple(p): c for p, c in zip(phrase.T.tolist(), n.tolist())} == seen
+        for p, (a, b), c in zip(phrase.T, lo.T, n):
+            assert all((seq[x:x + d] == p).all() for x in rows[a:a + c])
+            assert all((seq[::-1][x:x + d] == p[::-1]).all() for x in back[b:b + c])
+
+
+def test_large_vocabularies_sort_alike():
+    rng = np.random.default_rng(1)
+    seq = np.r_[0, rng.integers(0, 4, 300) * 60_000, 0]
+    small = np.unique(seq, return_inverse=True)[1]
+    a, b = phrases.BiIndex.build(seq)[0], phrases.BiIndex.build(small)[0]
+    pick = lambda i: {tuple(x) for x in zip(*[v.tolist() for v in i.extend(phrases.LEFT, *i.words()[1:])[1:2]])}
+    assert len(pick(a)) == len(pick(b)) and np.array_equal(a.words()[2], b.words()[2])
