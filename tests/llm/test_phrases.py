@@ -52,7 +52,7 @@ def got(df, **kw):
             for r in phrases.collocations(df, **kw).collect()}
 
 
-@pytest.mark.parametrize("shard_words, slice_bytes", [(4_000_000, 1 << 22), (60, 40), (7, 9)])
+@pytest.mark.parametrize("shard_words, slice_bytes", [(2_000_000, 1 << 22), (60, 40), (7, 9)])
 def test_phrases_match_brute_force(spark, monkeypatch, shard_words, slice_bytes):
     rows = [("en" if i % 3 else None, babble(i, 5 + 12 * i)) for i in range(14)] + [("de", "same " * 90), ("en", None),
                                                                                     ("fr", ""), (None, " . ")]

@@ -30,7 +30,7 @@ DEPTH = 4  # words of the longest phrase
 LEAST = 30  # occurrences of a candidate
 TOP = 2000  # phrases reported per language
 INSIDE = (80, 100)  # a candidate goes if a longer one has this share of its occurrences
-SHARD_WORDS = 4_000_000  # words and piece ends of a shard, about
+SHARD_WORDS = 2_000_000  # words and piece ends of a shard, about
 SLICE_BYTES = 4 << 20  # bytes of a text that are split at a time
 
 _END = 0xFF  # no byte of UTF-8: stands for an end of a piece
@@ -149,13 +149,13 @@ class BiIndex:
     def order(seq: np.ndarray) -> np.ndarray:
         """Positions of a cyclic sequence sorted by their next ``DEPTH`` words."""
         m = int(seq.max(initial=0)) + 1
-        at = [np.roll(seq, -k).astype(np.int64) for k in range(DEPTH)]
         if m ** DEPTH < 1 << 63:
-            key = at[0]
-            for w in at[1:]:
-                key = key * m + w
-            return np.argsort(key)
-        return np.lexsort(at[::-1])
+            key = seq.astype(np.int64)
+            for k in range(1, DEPTH):
+                key *= m
+                key += np.roll(seq, -k)
+            return np.argsort(key).astype(np.int32)
+        return np.lexsort([np.roll(seq, -k) for k in range(DEPTH - 1, -1, -1)]).astype(np.int32)
 
     @classmethod
     def build(cls, seq: np.ndarray) -> tuple[BiIndex, np.ndarray]:
@@ -184,12 +184,13 @@ class BiIndex:
         """
         if self._from[side] is None:
             self._from[side] = np.argsort(self.bwt[side], kind="stable").astype(np.int32)
-        size = int(n.sum())
+        at = np.arange(int(n.sum()), dtype=np.int32)
+        at += np.repeat((lo[side] - np.cumsum(n) + n).astype(np.int32), n)
         mark = np.full(len(self.first), -1, np.int32)
-        within = np.arange(size) - np.repeat(np.cumsum(n) - n, n)
-        mark[np.repeat(lo[side], n) + within] = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        mark[at] = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        del at
         parent = mark[self._from[side]]
-        rows = np.flatnonzero(parent >= 0)
+        rows = np.flatnonzero(parent >= 0).astype(np.int32)
         parent, word = parent[rows], self.first[rows]
         new = np.flatnonzero(np.r_[True, (parent[1:] != parent[:-1]) | (word[1:] != word[:-1])]) if len(rows) \
             else np.empty(0, np.int64)
@@ -310,7 +311,7 @@ def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", leas
         return _deal(shard_words, TaskContext.get().partitionId(), batches)
 
     path = fresh_scratch(spark, "phrase-shards")
-    rows.mapInPandas(deal, _SHARDS).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    rows.mapInPandas(deal, _SHARDS).write.option("compression", "zstd").parquet(path)
     kinds = spark.read.schema(_SHARDS).parquet(path)
     shards = kinds.filter("kind = 'ids'").select("shard", "lang", "ids", "skip", "n")
     words = kinds.filter("kind = 'word'").select("shard", "lang", "word", "id", "n")
@@ -323,7 +324,7 @@ def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", leas
                   "phrase-marks")
     path = fresh_scratch(spark, "phrase-indexes")
     (shards.join(marks, "shard").select("shard", "ids", "skip", "kept", "gids")
-     .mapInPandas(_index, _INDEX).write.option("compression", "zstd").partitionBy("kind").parquet(path))
+     .mapInPandas(_index, _INDEX).write.option("compression", "zstd").parquet(path))
     kinds = spark.read.schema(_INDEX).parquet(path)
     indexes = kinds.filter("kind = 'index'").select("shard", F.col("k").alias("size"), "left", "right", "gids", "heads")
     seen = kinds.filter("kind = 'pair'").select("shard", "k", "g1", "g2", "n")
