@@ -81,19 +81,20 @@ def _slices(text: str) -> Iterator[bytes]:
     yield data[lo:] if lo else data
 
 
-_SHARDS = "kind string, shard long, lang string, ids binary, skip int, word string, id int, n long"
+_SHARDS = "kind string, shard long, lang string, ids binary, skip int, word string, id int, uid long, n long"
 
 
 def _deal(shard_words: int, part: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Shards of one partition's documents: a row of kind ``ids`` with the word
-    ids in order, rows of kind ``word`` with each word and its count."""
+    ids in order, rows of kind ``word`` with each word and its count (``uid``
+    is unlike any other). Shards of several languages are open at a time."""
     open_: dict[str, _Shard] = {}
-    seq = part << 32
+    seq, uid = part << 32, part << 40
 
     def give(lang: str, inside: bool) -> Iterator[pd.DataFrame]:
         """Gives out a shard. If a piece goes on, its last words are
         repeated at the start of the next shard, which does not count them."""
-        nonlocal seq
+        nonlocal seq, uid
         shard = open_.pop(lang)
         ids = np.concatenate(shard.parts)
         if inside:
@@ -109,13 +110,15 @@ def _deal(shard_words: int, part: int, batches: Iterator[pd.DataFrame]) -> Itera
         counted[0] = 0
         yield pd.DataFrame({"kind": ["ids"], "shard": [seq], "lang": [lang],
                             "ids": [ids.astype("<i4").tobytes()], "skip": [shard.skip], "word": [None],
-                            "id": [0], "n": [int(counted.sum())]})
+                            "id": [0], "uid": [0], "n": [int(counted.sum())]})
         words = [w.decode("utf-8", "replace") for w in shard.ids]
         for lo in range(1, len(words), 100_000):
             got = words[lo:lo + 100_000]
             yield pd.DataFrame({"kind": "word", "shard": seq, "lang": lang, "ids": None, "skip": 0, "word": got,
-                                "id": np.arange(lo, lo + len(got), dtype=np.int32), "n": counted[lo:lo + len(got)]})
+                                "id": np.arange(lo, lo + len(got), dtype=np.int32), "uid": uid + np.arange(lo, lo + len(got)),
+                                "n": counted[lo:lo + len(got)]})
         seq += 1
+        uid += len(words)
 
     for b in batches:
         for lang, text in zip(b["lang"].tolist(), b["text"].tolist()):
@@ -125,7 +128,7 @@ def _deal(shard_words: int, part: int, batches: Iterator[pd.DataFrame]) -> Itera
                 if shard.size >= shard_words:
                     yield from give(lang, True)
             open_.setdefault(lang, _Shard()).end()
-            if sum(s.size for s in open_.values()) >= shard_words:
+            if sum(s.size for s in open_.values()) >= 3 * shard_words:
                 yield from give(max(open_, key=lambda k: open_[k].size), False)
     for lang in sorted(open_):
         yield from give(lang, False)
@@ -314,13 +317,17 @@ def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", leas
     rows.mapInPandas(deal, _SHARDS).write.option("compression", "zstd").parquet(path)
     kinds = spark.read.schema(_SHARDS).parquet(path)
     shards = kinds.filter("kind = 'ids'").select("shard", "lang", "ids", "skip", "n")
-    words = kinds.filter("kind = 'word'").select("shard", "lang", "word", "id", "n")
+    words = kinds.filter("kind = 'word'").select("shard", "lang", "word", "id", "uid", "n")
     totals = saved(shards.groupBy("lang").agg(F.sum("n").alias("n")).filter("n > 0"), "phrase-totals")
 
-    known = saved(words.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-                  .withColumn("gid", F.monotonically_increasing_id()), "phrase-words")
-    marks = saved(words.join(known.select("lang", "word", "gid"), ["lang", "word"])
-                  .groupBy("shard").agg(F.collect_list("id").alias("kept"), F.collect_list("gid").alias("gids")),
+    # a word has a row a shard; one shuffle gives each row the word's total
+    # and one uid for all of them
+    same = Window.partitionBy("lang", "word")
+    frequent = saved(words.select("*", F.sum("n").over(same).alias("total"), F.min("uid").over(same).alias("gid"))
+                     .filter(F.col("total") >= least).drop("uid", "n"), "phrase-words")
+    known = saved(frequent.groupBy("gid").agg(F.first("lang").alias("lang"), F.first("word").alias("word"),
+                                              F.first("total").alias("n")), "phrase-known")
+    marks = saved(frequent.groupBy("shard").agg(F.collect_list("id").alias("kept"), F.collect_list("gid").alias("gids")),
                   "phrase-marks")
     path = fresh_scratch(spark, "phrase-indexes")
     (shards.join(marks, "shard").select("shard", "ids", "skip", "kept", "gids")
@@ -329,9 +336,11 @@ def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", leas
     indexes = kinds.filter("kind = 'index'").select("shard", F.col("k").alias("size"), "left", "right", "gids", "heads")
     seen = kinds.filter("kind = 'pair'").select("shard", "k", "g1", "g2", "n")
 
-    pairs = saved(seen.groupBy("g1", "g2").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrase-pairs")
-    marks = saved(seen.join(pairs.select("g1", "g2"), ["g1", "g2"])
-                  .groupBy("shard").agg(F.collect_list("k").alias("pairs")), "phrase-marks")
+    of_pair = Window.partitionBy("g1", "g2")
+    frequent = saved(seen.withColumn("total", F.sum("n").over(of_pair)).filter(F.col("total") >= least).drop("n"),
+                     "phrase-pairs")
+    pairs = frequent.groupBy("g1", "g2").agg(F.first("total").alias("n"))
+    marks = saved(frequent.groupBy("shard").agg(F.collect_list("k").alias("pairs")), "phrase-marks")
     longer = saved(indexes.join(marks, "shard").select("size", "left", "right", "gids", "heads", "pairs")
                    .mapInPandas(_longer, _PHRASES).groupBy("g1", "g2", "g3", "g4").agg(F.sum("n").alias("n"))
                    .filter(F.col("n") >= least), "phrase-longer")
