@@ -12,14 +12,12 @@ predecessors are looked up one by one.
 
 from __future__ import annotations
 
-import struct
 import unicodedata
 import zlib
 from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +30,10 @@ INNER_CUT = 64.0  # of any other cut inside a document
 WINDOW_COST = 16.0  # of one more window
 GRID = 256  # cuts inside a sentence are tried at multiples of this
 CHUNK = 1 << 18  # tokens that one run of the dynamic programming covers
-PART_BYTES = 32 << 20  # text bytes of one packed run of documents
-CACHED_WORDS, CACHED_PIECES = 300_000, 800_000
+PART_BYTES = 16 << 20  # text bytes of one packed run of documents
+CACHED_WORDS, CACHED_PIECES = 250_000, 400_000  # some 60 MB a worker
+JOINED = 500  # pieces encoded as one text
+TEXTS = 128  # texts encoded together
 
 
 class Encoder:
@@ -47,8 +47,10 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Regex, Tokenizer, pre_tokenizers
         self.whole = Tokenizer.from_file(path)
+        # pieces hold no white space: many are encoded as one text, cut at word ends
         self.pieces = Tokenizer(self.whole.model)
-        self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         # fixed: the pre-tokenizer's own pattern
         self.cut = pre_tokenizers.Split(Regex(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"),
                                         "removed", invert=True)
@@ -58,14 +60,27 @@ class Encoder:
         stops = set(".!?")
         size = self.whole.get_vocab_size()
         self.sentence_end = np.zeros(size, bool)
+        self.word_end = np.zeros(size, bool)
         for token, i in self.whole.get_vocab().items():
             body = token.removesuffix("</w>")
+            self.word_end[i] = body != token
             if body and body != token and set(body) & stops and not any(c.isalnum() for c in body):
                 self.sentence_end[i] = True
 
-    def _ids(self, encoding) -> bytes:
-        ids = encoding.ids
-        return struct.pack(f"={len(ids)}I", *ids)
+    def _ids_of(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces. The last id of each, and no other, ends a word."""
+        out: dict[str, bytes] = {}
+        runs = [pieces[lo:lo + JOINED] for lo in range(0, len(pieces), JOINED)]
+        for run, enc in zip(runs, self.pieces.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
+            ids = np.array(enc.ids, np.uint32)
+            data, ends = ids.tobytes(), ((np.flatnonzero(self.word_end[ids]) + 1) * 4).tolist()
+            if len(ends) != len(run):
+                raise ValueError("a piece was split")
+            lo = 0
+            for p, hi in zip(run, ends):
+                out[p] = data[lo:hi]
+                lo = hi
+        return out
 
     def _pieces(self, word: bytes) -> list[str]:
         """Pieces of a word. Latin letters with at most one sign after them
@@ -80,46 +95,45 @@ class Encoder:
                 return [low[:-1], low[-1]]
         return [p for p, _ in self.cut.pre_tokenize_str(self.whole.normalizer.normalize_str(s))]
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words not remembered. A word is remembered once its pieces
-        are: words seen a single time take no place."""
-        known, out, late = self.known, {}, []
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """Puts ids of words not remembered into ``words``; returns those that
+        are to be forgotten again: what has no room, and words whose pieces
+        were not known (those seen a single time take no place)."""
+        known, late, forget = self.known, [], []
         room = CACHED_WORDS - len(self.words)
         for w in words:
             pieces = self._pieces(w)
             try:
-                ids = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
+                self.words[w] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
             except KeyError:
                 late.append((w, pieces))
                 continue
-            out[w] = ids
             if room > 0:
-                self.words[w] = ids
                 room -= 1
+            else:
+                forget.append(w)
         if late:
             new = list({p for _, c in late for p in c if p not in known})
-            fresh = dict(zip(new, map(self._ids, self.pieces.encode_batch_fast(new, add_special_tokens=False))))
+            fresh = self._ids_of(new)
             for w, c in late:
-                out[w] = b"".join([known[p] if p in known else fresh[p] for p in c])
+                self.words[w] = b"".join([known[p] if p in known else fresh[p] for p in c])
+                forget.append(w)
             for p in new[:max(0, CACHED_PIECES - len(known))]:
                 known[p] = fresh[p]
-        return out
+        return forget
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         words = [t.encode("utf-8", "replace").split() for t in texts]
-        get = self.words.get
-        ids = [list(map(get, ws)) for ws in words]
-        new: set[bytes] = set()
-        for ws, got in zip(words, ids):
-            new.update([w for w, v in zip(ws, got) if v is None])
-        learned = self._learn(list(new)) if new else {}
+        known = self.words
+        forget = self._learn([w for w in set().union(*words) if w not in known])
         out = []
-        for t, ws, got in zip(texts, words, ids):
+        for t, ws in zip(texts, words):
             if "<|" in t and any(s in t for s in self.special):  # these may hold across the rule
                 out.append(np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32))
                 continue
-            out.append(np.frombuffer(b"".join([learned[w] if v is None else v for w, v in zip(ws, got)]),
-                                     np.uint32))
+            out.append(np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32))
+        for w in forget:
+            del known[w]
         return out
 
 
@@ -232,39 +246,43 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     separate documents. A null or empty text is the single id ``END_ID``. An
     empty table gives an empty result. Other columns are not read.
     """
-    spark = docs.sparkSession
     own_id = F.col(f"`{id_col}`").cast("long")
     rows = docs.select(own_id.alias("doc_id"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size // part_bytes), spark.sparkContext.defaultParallelism)
+    parts = max(1, -(-size // part_bytes))  # by the data alone: any cluster packs alike
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = [c.split() for c in OUT.split(", ")]
+
+    def run(batches):
         import os
 
+        import pyarrow as pa
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         enc = worker_state("encoder", lambda: Encoder(tokenizer))
+        schema = pa.schema([(name, pa.int64()) for name, _ in kinds])
 
         def stream():
             for b in batches:
-                for lo in range(0, len(b), 256):
-                    part = b.iloc[lo:lo + 256]
-                    ids = [None if null else i for i, null in zip(part["doc_id"].tolist(), part["null"])]
-                    yield from zip(ids, enc.encode(part["text"].tolist()))
+                for lo in range(0, b.num_rows, TEXTS):
+                    part = b.slice(lo, TEXTS)
+                    yield from zip(part["doc_id"].to_pylist(), enc.encode(part["text"].to_pylist()))
+
+        def table_of(pieces: list[tuple]):
+            columns = zip(*pieces) if pieces else [()] * len(kinds)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
         buffer = []
-        names = [c.split()[0] for c in OUT.split(", ")]
         for piece in pack_stream(stream(), enc, TaskContext.get().partitionId(), enc.sentence_end, window):
             buffer.append(piece)
-            if len(buffer) >= 20_000:
-                yield pd.DataFrame(buffer, columns=names, dtype=object).astype("Int64")
+            if len(buffer) >= 10_000:
+                yield table_of(buffer)
                 buffer = []
-        yield pd.DataFrame(buffer, columns=names, dtype=object).astype("Int64")
+        yield table_of(buffer)
 
     return (rows.repartitionByRange(parts, F.col("doc_id"), F.xxhash64("text"))
             .sortWithinPartitions("doc_id", F.xxhash64("text"))
-            .select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("null"), "text")
-            .mapInPandas(run, OUT))
+            .mapInArrow(run, OUT))
 
 
 def op10_window_packing(spark, sf_dir: str) -> DataFrame:
