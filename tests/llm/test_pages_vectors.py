@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import embeddings, pages, warc
@@ -137,6 +138,40 @@ def test_raw_and_hidden_elements_take_nothing_else():
     assert [b.text for b in pages.blocks_of("<div><p>a<svg><g></p>b</div>c")] == ["a", "b", "c"]
 
 
+def paragraphs(n):
+    return "".join(f"<p>Paragraph {i} tells a part of the story, at some length, and ends as it should.</p>" for i in range(n))
+
+
+@pytest.mark.parametrize("page", [
+    "<form id=aspnetForm><nav><a>Home</a></nav><article>{}</article><footer>Legal</footer></form>",
+    "<form><nav><a>Home</a></nav><div>{}</div><footer>Legal</footer></form>",
+    "<body><div class='page no-js login-page'><nav><a>Home</a></nav><div>{}</div><footer>Legal</footer></div></body>",
+    "<body><div class='site-wrapper has_menu banner'><nav><a>Home</a></nav><div>{}</div><footer>Legal</footer></div></body>",
+    "<body><nav><a>Home</a></nav><div class='search-result-detail'>{}</div><footer>Legal</footer></body>"])
+def test_wrappers_keep_their_article(page):
+    for body in (paragraphs(6), "<h1>The headline of it</h1>" + paragraphs(6)):
+        text = pages.main_text(page.format(body), np.array(pages.PRIOR))
+        assert text.count("Paragraph") == 6 and "Home" not in text and "Legal" not in text
+
+
+def test_long_comments_and_boxes_go():
+    comments = "".join(f"<article class='comment-body'><p>Reader {i} writes a long comment, as readers do, and on it goes.</p></article>"
+                       for i in range(40))
+    page = (f"<body><div class='cookie-box'><p>We use cookies here, please accept them all and read on.</p></div><div><h1>Head</h1>"
+            f"{paragraphs(5)}</div><div class='comments'>{comments}</div><form class='search'><p>Search all of our long site here.</p></form></body>")
+    text = pages.main_text(page, np.array(pages.PRIOR))
+    assert text.count("Paragraph") == 5 and "Reader" not in text and "cookies" not in text and "Search" not in text
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 100_000])
+def test_any_number_of_blocks(n):
+    page = "".join("<p>" + "word " * (1 + i * 7919 % 23) + ("text, and so it ends." if i % 3 or n < 5 else "") + "</p>" for i in range(n))
+    blocks = pages.blocks_of(page)
+    assert len(blocks) == n and pages.shape(blocks).shape == (n, pages.N_SHAPE)
+    text = pages.main_text(page, np.array(pages.PRIOR))
+    assert text.count("ends") > 0.6 * n if n < 5 else len(text) > 1_000_000
+
+
 def test_names_do_not_outweigh_shape_and_ties():
     weights = np.array(pages.PRIOR)
     say = lambda k, n=40: f"{prose(k, n)} end."

@@ -30,8 +30,10 @@ from tidemark.llm.common import hashed_sample, saved, table
 FIT_PAGES = 2000  # pages the classifier is trained on, at most
 FIT_BLOCKS = 64  # blocks of each that are used
 PLACE_COST = 12.0  # what an ancestor's tag says
+FORM_COST = 11.0  # what a form says: an article inside one is an article again
 NAME_COST = 6.0  # what its name says: classifier and ties together can outweigh it
-INNER_NAME_COST, PART_COST = 2.5, 1.5  # a boilerplate name inside an article, as a whole or as part of another
+INNER_NAME_COST, PART_COST = 2.5, 1.5  # a boilerplate name inside an article; one that is part of another name
+WRAPPER_SHARE = 0.5  # of a page's text: a form or a name around more of it says nothing
 NEXT_TIE, PARENT_TIE, SECTION_TIE = 0.6, 0.8, 0.4
 MAX_SHAPE_COST = 4.0
 
@@ -58,7 +60,7 @@ BREAKOUT = set("address article aside blockquote body center dd details div dl d
                "form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tr ul".split())
 VOID = set("area base br col embed frame hr img input link meta param source track wbr".split())
 CLOSED_BY_SAME = set("p li dt dd option tr td th".split())
-AWAY_TAGS = set("nav footer aside form menu dialog".split())
+AWAY_TAGS = set("nav footer aside menu dialog".split())
 SECTIONS = set("article main section div body nav footer aside header form table ul ol".split())
 AWAY_WORDS = re.compile(
     r"(?<![a-z])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|side-bar|menu|navbar|nav|navigation|"
@@ -71,6 +73,11 @@ OWN_WORDS = set("h1 h2 h3 h4 h5 h6 p".split())  # elements whose ids are made fr
 NOT_OWN = re.compile(r"(?:has|with|no|without|hide|show)[-_][a-z-]+", re.I)  # of a page with or without the part
 
 
+# Parts of a name that leave the meaning of the others as it is.
+FILLERS = set("area bar body block bottom box card col column container content form header inner item items left link links "
+              "list main message outer panel right row section site text title top wrap wrapper".split())
+
+
 class Block:
     __slots__ = ("text", "linked", "place", "pull", "parent", "section", "heading")
 
@@ -79,30 +86,51 @@ class Block:
         self.parent, self.section, self.heading = parent, section, heading
 
 
-def place_of(tag: str, attributes: str, place: int, pull: float) -> tuple[int, float]:
-    """Place and pull of an element inside one of ``place`` and ``pull``."""
+def away_name(names: str) -> str:
+    """Whether a class, id or role speaks of boilerplate: "" no, "part" if one
+    does in part (``login-page``), "whole" if nothing else is said but
+    ``FILLERS`` (``cookie-box``)."""
+    out = ""
+    for name in names.split():
+        if AWAY_WORDS.search(name) is None:
+            continue
+        if AWAY_WORDS.fullmatch(name):
+            return "whole"
+        if all(x.lower() in FILLERS or not x or x.isdigit() or AWAY_WORDS.fullmatch(x) for x in re.split("[-_]+", name)):
+            return "whole"
+        out = "part"
+    return out
+
+
+def place_of(tag: str, attributes: str, place: int, pull: float, wrapper: bool = False) -> tuple[int, float]:
+    """Place and pull of an element inside one of ``place`` and ``pull``.
+    ``wrapper``: it holds most of the page's text, so a form or a name that
+    speaks of boilerplate says nothing."""
+    article = tag in ("article", "main")
     if place < 0 and pull <= -PLACE_COST:
         return place, pull
     if tag in AWAY_TAGS or tag == "header" and place < 1 and pull >= 0:
         return -1, -PLACE_COST
+    if tag == "form" and not wrapper:
+        return -1, -FORM_COST
     names = ""
     if attributes and tag not in ("html", "body", "main"):
         # generated ids of headings and paragraphs say what they are about
         own = tag in OWN_WORDS
         names = NOT_OWN.sub("", " ".join(v.strip("\"'") for k, v in _NAMED.findall(attributes)
                                         if not (own and k.lower() == "id")))
-    away = bool(names) and AWAY_WORDS.search(names) is not None
+    away = "" if wrapper or not names else away_name(names)
     wanted = bool(names) and ARTICLE_WORDS.search(names) is not None
-    whole = away and any(AWAY_WORDS.fullmatch(x) for x in names.split())
-    article = tag in ("article", "main")
-    if away and not wanted:
-        if article and not whole and place >= 0 and pull >= 0:
+    if article and place < 0 and away != "whole" and (pull == -FORM_COST or pull >= -PART_COST):
+        return 1, PLACE_COST
+    if away == "whole" or away and not wanted:
+        if article and away != "whole" and place >= 0 and pull >= 0:
             return 1, PLACE_COST
         if place > 0:
-            return 0, -INNER_NAME_COST if whole else -PART_COST
+            return 0, -INNER_NAME_COST if away == "whole" else -PART_COST
         if place == 0 and pull < 0:
-            return 0, min(pull, -INNER_NAME_COST if whole else -PART_COST)
-        return -1, -NAME_COST
+            return 0, min(pull, -INNER_NAME_COST if away == "whole" else -PART_COST)
+        return -1, min(pull, -NAME_COST if away == "whole" else -PART_COST)
     if place >= 0 and pull >= 0:
         if article:
             return 1, PLACE_COST
@@ -111,6 +139,26 @@ def place_of(tag: str, attributes: str, place: int, pull: float) -> tuple[int, f
     return place, pull
 
 
+def settle(blocks: list[Block], elements: list[tuple[str, str, int]]) -> None:
+    """Place and pull of each block, from its elements inwards. ``elements``:
+    (tag, attributes, parent) by number; parents come first."""
+    held = [0] * len(elements)
+    for b in blocks:
+        held[b.parent] += len(b.text)
+    first = [e[0] in ("h1", "article", "main") for e in elements]  # where an article begins, if the page tells
+    told = any(first)
+    for k in range(len(elements) - 1, 0, -1):
+        held[elements[k][2]] += held[k]
+        first[elements[k][2]] |= first[k]
+    places = [(0, 0.0)] * len(elements)
+    for k in range(1, len(elements)):
+        tag, attributes, parent = elements[k]
+        wrapper = held[k] > WRAPPER_SHARE * held[0] and (first[k] or not told)
+        places[k] = place_of(tag, attributes, *places[parent], wrapper)
+    for b in blocks:
+        b.place, b.pull = places[b.parent]
+
+
 def closed_starts(page: str) -> set[int]:
     """Where hidden elements start that end before the next of their kind."""
     open_: dict[str, int] = {}
@@ -127,15 +175,16 @@ def closed_starts(page: str) -> set[int]:
 def blocks_of(page: str) -> list[Block]:
     """Blocks in page order. ``place``: -1 inside a boilerplate element, 1
     inside an article or main element, else 0; the innermost decides, but
-    nothing inside boilerplate is an article again. ``pull``: what that adds
+    nothing inside boilerplate other than a form is an article again. ``pull``: what that adds
     to the log odds of being content; below 0 at place 0 for what has a
     boilerplate name inside an article. The text of ``HIDDEN``
     elements is left out; one without an end tag ends with its parent or at
     the next block."""
     out: list[Block] = []
-    # open elements: (tag, number, (place, pull), section number, in a link,
+    # open elements: (tag, number, block element, section number, in a link,
     # heading, hidden: 2 up to an end tag, 1 without one)
-    stack = [("", 0, (0, 0.0), 0, False, False, 0)]
+    stack = [("", 0, 0, 0, False, False, 0)]
+    elements = [("", "", 0)]  # block elements by number: (tag, attributes, parent)
     closed = closed_starts(page)
     parts: list[str] = []
     linked = number = at = 0
@@ -145,11 +194,8 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                _, _, place, section, _, heading, _ = stack[-1]
-                k = len(stack) - 1
-                while k and stack[k][0] in INLINE:
-                    k -= 1
-                out.append(Block(text, min(linked, len(text)), *place, stack[k][1], section, heading))
+                _, _, element, section, _, heading, _ = stack[-1]
+                out.append(Block(text, min(linked, len(text)), 0, 0.0, element, section, heading))
             parts.clear()
             linked = 0
 
@@ -197,20 +243,22 @@ def blocks_of(page: str) -> list[Block]:
             if stack[-1][0] == tag and tag in CLOSED_BY_SAME or stack[-1][0] == "p":
                 stack.pop()
         number += 1
-        _, _, place, section, link, heading, hidden = stack[-1]
+        _, _, element, section, link, heading, hidden = stack[-1]
         if not inside:
-            place = place_of(tag, m[4], *place)
+            elements.append((tag, m[4], element))
+            element = len(elements) - 1
             if tag in SECTIONS:
                 section = number
         if m[4].endswith("/") and not inline:
             continue
         if tag in HIDDEN and not hidden:
             hidden = 2 if m.start() in closed else 1
-        stack.append((tag, number, place, section, link or tag == "a", heading or tag in ("h1", "h2", "h3", "h4"),
+        stack.append((tag, number, element, section, link or tag == "a", heading or tag in ("h1", "h2", "h3", "h4"),
                       hidden))
     if at < len(page) and not stack[-1][6]:
         parts.append(page[at:])
     flush()
+    settle(out, elements)
     return out
 
 
@@ -222,7 +270,9 @@ def shape(blocks: list[Block]) -> np.ndarray:
     stops = np.array([b.text.count(".") + b.text.count("!") + b.text.count("?") for b in blocks], float)
     linked = np.array([b.linked for b in blocks], float) / chars
     size = np.log1p(words)
-    mean = np.convolve(size, [0.5, 0.0, 0.5], "same") if n > 1 else size
+    mean = size.copy()  # of a block's neighbours, half of one at either end of the page
+    if n > 1:
+        mean = np.r_[0.0, size[:-1]] / 2 + np.r_[size[1:], 0.0] / 2
     return np.column_stack([np.ones(n), size, linked, np.minimum(stops / words, 1.0), mean,
                             np.array([b.text[-1] in ".!?:;\"'" for b in blocks], float),
                             np.array([b.heading for b in blocks], float)])
@@ -251,48 +301,89 @@ def train(x: np.ndarray, y: np.ndarray, pull: float = 0.1, steps: int = 50) -> n
 def minimum_cut(gain: list[float], ties: list[tuple[int, int, float]]) -> list[bool]:
     """Labels that minimise the cost: labelling i true costs ``-gain[i]``
     relative to false, a tie between different labels its weight. Nodes of
-    positive gain are sources of as much, the others sinks; flow is pushed
-    along shortest paths until none is left, and what sources still reach is
-    true."""
+    positive gain are sources of as much, the others sinks; what sources still
+    reach under the largest flow is true.
+
+    A node whose gain outweighs all of its ties is decided, and its ties are
+    gains of their other ends from then on; flow is sought for what is left.
+    """
     n = len(gain)
     left = list(gain)
+    around: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+    bound = [0.0] * n
+    for a, b, w in ties:
+        around[a].append((b, w))
+        around[b].append((a, w))
+        bound[a] += w
+        bound[b] += w
+    label: list[bool | None] = [None] * n
+    todo = list(range(n))
+    while todo:
+        i = todo.pop()
+        if label[i] is not None or not (left[i] > bound[i] + 1e-9 or left[i] <= -bound[i]):
+            continue
+        label[i] = left[i] > 0
+        for j, w in around[i]:
+            if label[j] is None:
+                left[j] += w if label[i] else -w
+                bound[j] -= w
+                todo.append(j)
+    open_ = [i for i in range(n) if label[i] is None]
+    if open_:
+        at = {i: k for k, i in enumerate(open_)}
+        inner = [(at[a], at[b], w) for a, b, w in ties if a in at and b in at]
+        for i, seen in zip(open_, reached([left[i] for i in open_], inner)):
+            label[i] = seen
+    return [bool(x) for x in label]
+
+
+def reached(left: list[float], ties: list[tuple[int, int, float]]) -> list[bool]:
+    """What sources reach under the largest flow, found level by level: flow
+    is pushed along all shortest paths before distances are measured anew."""
+    n, least = len(left), 1e-12
     near: list[list[list]] = [[] for _ in range(n)]  # [node, residual, place of the reverse]
     for a, b, w in ties:
         near[a].append([b, w, len(near[b])])
         near[b].append([a, w, len(near[a]) - 1])
-    if not any(g > 0 for g in left):
-        return [False] * n
     while True:
-        came: list = [None] * n
-        seen = [g > 1e-12 for g in left]
-        queue = deque(i for i in range(n) if seen[i])
-        end = -1
-        while queue and end < 0:
+        level = [0 if g > least else -1 for g in left]
+        queue = deque(i for i in range(n) if not level[i])
+        ends = False
+        while queue:
             i = queue.popleft()
-            for k, (j, r, _) in enumerate(near[i]):
-                if r > 1e-12 and not seen[j]:
-                    seen[j], came[j] = True, (i, k)
-                    if left[j] < -1e-12:
-                        end = j
-                        break
+            for j, r, _ in near[i]:
+                if r > least and level[j] < 0:
+                    level[j] = level[i] + 1
+                    ends = ends or left[j] < -least
                     queue.append(j)
-        if end < 0:
-            return seen
-        push, j = -left[end], end
-        while came[j] is not None:
-            i, k = came[j]
-            push = min(push, near[i][k][1])
-            j = i
-        push = min(push, left[j])
-        left[j] -= push
-        left[end] += push
-        j = end
-        while came[j] is not None:
-            i, k = came[j]
-            edge = near[i][k]
-            edge[1] -= push
-            near[j][edge[2]][1] += push
-            j = i
+        if not ends:
+            return [x >= 0 for x in level]
+        arc = [0] * n
+        for s in range(n):
+            while not level[s] and left[s] > least:
+                path: list[tuple[int, list]] = []
+                i = s
+                while i >= 0 and left[i] >= -least:  # on to a node that takes flow, or back
+                    if arc[i] < len(near[i]):
+                        edge = near[i][arc[i]]
+                        if edge[1] > least and level[edge[0]] == level[i] + 1:
+                            path.append((i, edge))
+                            i = edge[0]
+                        else:
+                            arc[i] += 1
+                    elif path:
+                        i = path.pop()[0]
+                        arc[i] += 1
+                    else:
+                        i = -1
+                if i < 0:
+                    break
+                push = min(left[s], -left[i], *(e[1] for _, e in path))
+                left[s] -= push
+                left[i] += push
+                for _, e in path:
+                    e[1] -= push
+                    near[e[0]][e[2]][1] += push
 
 
 def labels_of(blocks: list[Block], weights: np.ndarray) -> list[bool]:
@@ -333,7 +424,7 @@ def _training_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         xs, ys = [np.empty((0, N_SHAPE))], [np.empty(0)]
         for page in f["html"]:
             blocks = blocks_of(page or "")
-            told = [i for i, b in enumerate(blocks) if b.place][:FIT_BLOCKS]
+            told = [i for i, b in enumerate(blocks) if b.place and abs(b.pull) >= NAME_COST][:FIT_BLOCKS]
             if told:
                 xs.append(shape(blocks)[told])
                 ys.append(np.array([blocks[i].place > 0 for i in told], float))
