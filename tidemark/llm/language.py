@@ -25,7 +25,7 @@ from tidemark.llm.common import saved, table
 HIDDEN = 8  # states of each direction
 WINDOW = 96  # bytes
 PAD = 256  # stands after a text's last byte; empties the state
-FIT_DOCS = 1500  # documents of a language that are learnt from, at most
+FIT_DOCS = 1000  # documents of a language that are learnt from, at most; Spark limits such groups before the shuffle
 FIT_TOTAL = 24_000  # of all languages
 FIT_CHARS = 480  # characters taken from each, at a random place
 BATCH, STEPS, RATE = 384, 150, 0.02

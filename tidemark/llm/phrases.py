@@ -31,6 +31,7 @@ LEAST = 30  # occurrences of a candidate
 TOP = 2000  # phrases reported per language
 INSIDE = (80, 100)  # a candidate goes if a longer one has this share of its occurrences
 SHARD_WORDS = 2_000_000  # words and piece ends of a shard, about
+RANK_PARTS = 64  # parts in which a language's phrases are ranked before all are
 SLICE_BYTES = 4 << 20  # bytes of a text that are split at a time
 
 _END = 0xFF  # no byte of UTF-8: stands for an end of a piece
@@ -396,9 +397,12 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     score = F.expr("cast((cast(a as decimal(20,0)) * 2000000) div (cast(l as decimal(20,0)) + r) as long)")
     best = (cuts.withColumn("score", score).groupBy("lang", "phrase", "a", "left", "right")
             .agg(F.min(F.struct("score", "k", "l", "r")).alias("_c")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = (best.select("lang", "phrase", "a", "left", "right", "_c.*")
-              .withColumn("rank", F.row_number().over(order)))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    ranked = best.select("lang", "phrase", "a", "left", "right", "_c.*")
+    if top is not None:  # the best of each of many parts of a language first
+        parted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))).orderBy(*order)
+        ranked = ranked.withColumn("rank", F.row_number().over(parted)).filter(F.col("rank") <= top)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if top is not None:
         ranked = ranked.filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
