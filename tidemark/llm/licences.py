@@ -185,6 +185,13 @@ def embedded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted, as the bound on sizes allows. Of windows that overlap, that of the
     largest template by its Dice coefficient stays. Windows inside a line, a
     paragraph or a document that matches as a whole are left to ``scan``.
+
+    Bigrams that no template has are passed over by one look-up each; windows
+    are sought in stretches where a template's bigrams stand close enough, a
+    single pass to the right from each. The work grows with the text.
+
+    Null and empty texts match nothing; repeated notices and rows are reported
+    each; an empty table gives an empty result; other columns are not read.
     """
     num, den = dice.numerator, dice.denominator
     known = {k: b for k, v in sorted(templates.items()) if (b := bigrams(v))}
@@ -194,35 +201,85 @@ def embedded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.lit(-(-len(g) * num // (2 * den - num))).alias("least"),
         F.lit(raw[k] * (2 * den - num) // num).alias("most"), F.array(*map(F.lit, g)).alias("grams"))
         for i, (k, g) in enumerate(known.items())])
+    every = sorted({b for g in known.values() for b in g})
+    fewest = min(-(-len(g) * num // (2 * den - num)) for g in known.values())
     text = F.lower(F.regexp_replace(text_or_empty(F.col(f"`{text_col}`")), "[^A-Za-z0-9\n]+", " "))
     words = F.flatten(F.transform(F.split(text, "\n *\n"), lambda x, p: F.flatten(F.transform(
         F.split(x, "\n"), lambda y, q: F.transform(F.filter(F.split(y, " +"), lambda z: z != ""), lambda z: F.struct(
             z.alias("w"), p.alias("paragraph"), q.alias("line")))))))
-    rows = (docs.filter(F.col(f"`{text_col}`").rlike(anchored_by(known, dice)))
-            .select(F.col(f"`{id_col}`").alias(id_col), words.alias("_w"))
-            .withColumn("_b", pairs_of(F.col("_w"))))
 
-    def hits(t: Column) -> Column:
-        return F.filter(F.transform(F.col("_b"), lambda b, i: F.when(F.array_contains(t["grams"], b), i)),
-                        lambda i: i.isNotNull())
+    def once(c: Column) -> Column:
+        """Computed a single time, whatever reads it: no filter passes a generator."""
+        return F.explode(F.array(c))
 
-    def windows(t: Column, h: Column) -> Column:
-        ends = F.flatten(F.transform(h, lambda s, k: F.transform(
-            F.filter(F.slice(h, k + t["least"], t["most"]), lambda e: e - s < t["most"]),
-            lambda e: F.struct(s.alias("s"), e.alias("e")))))
-
-        def scored(c: Column, g: Column) -> Column:
-            n, shared = F.size(g), F.size(F.array_intersect(g, t["grams"]))
+    hits = F.filter(F.transform("_b", lambda b, i: F.struct(b.alias("b"), i.alias("i"))), lambda x: x["b"].isin(every))
+    rows = (docs.filter(F.col(f"`{text_col}`").rlike(anchored_by(known, dice)))
+            .select(F.col(f"`{id_col}`").alias(id_col), once(words).alias("_w"))
+            .select(id_col, "_w", once(pairs_of(F.col("_w"))).alias("_b"))
+            .select(id_col, "_w", "_b", once(hits).alias("_h")).filter(F.size("_h") >= fewest))
+
+    def bound(c: Column, f) -> Column:
+        """``f`` of a value computed once."""
+        return F.flatten(F.transform(F.array(c), f))
+
+    def stretches(t: Column, at: Column) -> Column:
+        """(first, last) of runs of at least ``least`` of the positions ``at``
+        that are less than a window's length apart from one to the next."""
+        def step(a: Column, i: Column) -> Column:
+            near = (a["n"] > 0) & (i - a["last"] < t["most"])
+            return F.struct(
+                F.when(near | (a["n"] < t["least"]), a["done"])
+                .otherwise(F.concat(a["done"], F.array(F.struct(a["first"].alias("first"), a["last"].alias("last"))))).alias("done"),
+                F.when(near, a["first"]).otherwise(i).alias("first"), i.alias("last"),
+                F.when(near, a["n"] + 1).otherwise(F.lit(1)).alias("n"))
+        none = F.expr("cast(array() as array<struct<first: int, last: int>>)")
+        start = F.struct(none.alias("done"), F.lit(0).alias("first"), F.lit(0).alias("last"), F.lit(0).alias("n"))
+        # a position out of reach closes the last run
+        return F.aggregate(F.concat(at, F.array(F.lit(2 ** 31 - 1))), start, step, lambda a: a["done"])
+
+    def marked(t: Column, r: Column) -> Column:
+        """For each bigram of a stretch: whether the template has it, and how
+        far back it stood before (0: not within a window's length)."""
+        part = F.slice("_b", r["first"] + 1, r["last"] - r["first"] + 1)
+        return bound(part, lambda g: F.transform(g, lambda b, i: F.struct(
+            F.array_contains(t["grams"], b).alias("hit"),
+            F.array_position(F.reverse(F.slice(g, F.greatest(i - t["most"], F.lit(0)) + 1, F.least(i, t["most"]))), b)
+            .cast("int").alias("back"))))
+
+    def windows(t: Column, first: Column, x: Column) -> Column:
+        """Windows from each hit of a stretch: going right, a bigram that did
+        not stand in the window before adds to its size, and to what it shares."""
+        kind = "array<struct<s: int, e: int, n: int, shared: int>>"
+
+        def step(a: Column, y: Column, s: Column) -> Column:
+            fresh = (y["back"] == 0) | (a["p"] - y["back"] < s)
+            n = a["n"] + fresh.cast("int")
+            shared = a["shared"] + (fresh & y["hit"]).cast("int")
             d = 2.0 * shared / (n + t["n"])
-            return F.struct((d * t["n"]).alias("weight"), t["order"].alias("order"), (-c["s"]).alias("first"), c["s"], c["e"],
-                            t["license"].alias("license"), n.alias("n"), d.alias("dice"),
-                            (2 * shared * den >= num * (n + t["n"])).alias("hit"))
-        return F.filter(F.flatten(F.transform(ends, lambda c: F.transform(
-            F.array(F.array_distinct(F.slice(F.col("_b"), c["s"] + 1, c["e"] - c["s"] + 1))),
-            lambda g: scored(c, g)))), lambda x: x["hit"])
-
-    found = F.flatten(F.transform(literal, lambda t: F.flatten(F.transform(F.array(hits(t)), lambda h: windows(t, h)))))
-    rows = rows.withColumn("_f", found).filter(F.size("_f") > 0)
+            # one around a better one of the same start is never the best of those it overlaps
+            good = y["hit"] & (2 * shared * den >= num * (n + t["n"])) & (d >= a["best"])
+            return F.struct((a["p"] + 1).alias("p"), n.alias("n"), shared.alias("shared"),
+                            F.when(good, d).otherwise(a["best"]).alias("best"),
+                            F.when(good, F.concat(a["out"], F.array(F.struct(
+                                (first + s).alias("s"), (first + a["p"]).alias("e"), n.alias("n"), shared.alias("shared")))))
+                            .otherwise(a["out"]).alias("out"))
+
+        def of(v: Column, s: Column) -> Column:
+            start = F.struct(s.alias("p"), F.lit(0).alias("n"), F.lit(0).alias("shared"), F.lit(0.0).alias("best"),
+                             F.expr(f"cast(array() as {kind})").alias("out"))
+            return F.when(v["hit"], F.aggregate(F.slice(x, s + 1, t["most"]), start, lambda a, y: step(a, y, s),
+                                                lambda a: a["out"])).otherwise(F.expr(f"cast(array() as {kind})"))
+        return F.transform(F.flatten(F.transform(x, of)), lambda c: F.struct(
+            (2.0 * c["shared"] / (c["n"] + t["n"]) * t["n"]).alias("weight"), t["order"].alias("order"),
+            (-c["s"]).alias("first"), c["s"].alias("s"), c["e"].alias("e"), t["license"].alias("license"), c["n"].alias("n"),
+            (2.0 * c["shared"] / (c["n"] + t["n"])).alias("dice")))
+
+    def of_template(t: Column) -> Column:
+        at = F.transform(F.filter("_h", lambda x: F.array_contains(t["grams"], x["b"])), lambda x: x["i"])
+        return F.flatten(F.transform(stretches(t, at), lambda r: bound(marked(t, r), lambda x: windows(t, r["first"], x))))
+
+    found = F.flatten(F.transform(literal, of_template))
+    rows = rows.select(id_col, "_w", once(found).alias("_f")).filter(F.size("_f") > 0)
     # windows that share a word overlap; the first taken is the best
     best = F.aggregate(F.reverse(F.array_sort("_f")), F.filter("_f", lambda _: F.lit(False)), lambda got, x: F.when(
         F.exists(got, lambda y: (x["s"] <= y["e"] + 1) & (y["s"] <= x["e"] + 1)), got)
