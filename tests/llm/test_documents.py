@@ -435,3 +435,45 @@ def test_encoder_equals_tokenizer():
         assert e.encode([x])[0].tolist() == t.encode(x, add_special_tokens=False).ids
 
     same()
+
+
+@pytest.mark.parametrize("text, value", [
+    ("https://x.io/a?sig=9f8a7c6b5d4e3f2a1b0c9d8e7f6a5b4c&b=1", "9f8a7c6b5d4e3f2a1b0c9d8e7f6a5b4c"),
+    ("AUTH=9f8a7c6b5d4e3f2a1b0c9d8e7f6a5b4c", "9f8a7c6b5d4e3f2a1b0c9d8e7f6a5b4c"),
+    ("SIGNING=Zx81kfOqpLm42QwErTy77", "Zx81kfOqpLm42QwErTy77"),
+    ("host.9f8a7c6b5d4e3f2a1b0c9d8e7f6a5b4c", "9f8a7c6b5d4e3f2a1b0c9d8e7f6a5b4c"),
+    ("password: hunter2;Zx81kfOqp9 and on", "hunter2;Zx81kfOqp9"),
+    ("password: hunter2Zx81, and on", "hunter2Zx81"),
+    ("secret = 'Zx81kfOqp\n  Lm42QwErTy77' done", "Zx81kfOqp\n  Lm42QwErTy77"),
+    ("token" + "_of_ours" * 9 + " =    Zx81kfOqpLm4", "Zx81kfOqpLm4")])
+def test_candidates_are_whole(spark, text, value):
+    got = secrets.found(docs(spark, [(1, text, "a")]), "doc_id", "text", None).collect()
+    assert [(r["_value"], r["_end"] - len(value)) for r in got] == [(value, text.index(value))]
+
+
+def test_forest_on_held_out_labelled_findings(spark):
+    """Labels come from how a value was made, not from a rule on its looks."""
+    import random
+    r = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+    def made(i):
+        if i % 2:
+            v = "".join(r.choice(letters if i % 4 == 1 else "0123456789abcdef") for _ in range(r.choice([20, 24, 32, 40])))
+            v = v[:-1] + "7"
+            return 1, r.choice([f"api_key = {v}", f"the header AUTH={v} was sent", f"signed with {v} by us", f'secret: "{v}"'])
+        words = [prose(r.randrange(10 ** 6), 1).strip(". ") for _ in range(4)]
+        return 0, r.choice([f"see page_{'_'.join(words)}_{i % 90} of it", f"file {'/'.join(words)}/v{i % 9} is there",
+                            f"on {2000 + i % 30}-01-02/2030-01-{10 + i % 9} they met", f"token = {words[0]}{words[1]}-{words[2]}1"])
+    rows = [(i, *made(i)) for i in range(1200)]
+    df = docs(spark, [(i, t, "a") for i, _, t in rows])
+    c = secrets.found(df, "doc_id", "text", None)
+    c = secrets.saved(secrets.with_features(c, secrets.dictionary(c)), "test-findings")
+    truth = spark.createDataFrame([(i, k) for i, k, _ in rows], "_id long, label int")
+    labelled = c.join(truth, "_id")
+    got = (secrets.classify(c.filter("_id >= 600"), labelled.filter("_id < 600")).join(truth, "_id")
+           .select("label", (F.col("probability") >= secrets.THRESHOLD).alias("hit")).collect())
+    hit = sum(x["hit"] for x in got)
+    right = sum(x["hit"] and x["label"] == 1 for x in got)
+    assert sum(x["label"] for x in got) >= 290
+    assert right >= 0.95 * hit and right >= 0.95 * sum(x["label"] for x in got)

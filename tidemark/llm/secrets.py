@@ -38,13 +38,16 @@ FORMATS = (
 )
 NAMES = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential)"
 SEPARATOR = r"(?::|=>|=)"
-BARE = r"""[^\s"'<>,;]{6,}+"""
-# up to the closing quote of the line, which has no or an even number of backslashes before it
-QUOTED = "|".join(rf"{q}(?!(?:[^{q}\\\n]|\\.){{0,5}}{q})[^\n]{{6,}}?(?={q})(?<=[^\\](?:\\\\){{0,50}})" for q in "\"'")
+# a comma or semicolon inside is part of the value, one at its end is not
+BARE = r"""(?=[^\s"'<>]{6})[^\s"'<>,;]++(?:[,;]++[^\s"'<>,;]++)*+"""
+# up to the closing quote of the line, which has no or an even number of backslashes before it; else of the paragraph
+QUOTED = "|".join(rf"{q}(?!(?:[^{q}\\\n]|\\.){{0,5}}{q})[^\n]{{6,}}?(?={q})(?<=[^\\](?:\\\\){{0,50}})"
+                  rf"|{q}(?![^{q}]*?\n[ \t\r]*\n)[^{q}]{{6,}}+(?={q})" for q in "\"'")
 VALUE = rf"""(?:{QUOTED}|["']?{BARE})"""
-ASSIGNMENT = rf"""(?i:\b{NAMES}[\w-]{{0,24}}["']?\s{{0,3}}{SEPARATOR}\s{{0,3}}{VALUE})"""
+HEAD = rf"""{NAMES}[\w-]*+["']?\s*+{SEPARATOR}\s*+"""
+ASSIGNMENT = rf"""(?i:\b{HEAD}{VALUE})"""
 RUN = r"(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
-GENERIC = rf"(?<![A-Za-z0-9+/_=.@-]){RUN}"
+GENERIC = rf"(?<![A-Za-z0-9+/_-]){RUN}"
 CANDIDATE = "|".join([*(rf"\b{f}" if f[0] != "-" else f for f in FORMATS), ASSIGNMENT, GENERIC])
 FORMAT = "^(?:" + "|".join(FORMATS) + ")$"
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|^<[a-z].*>$"
@@ -78,7 +81,7 @@ def found(docs: DataFrame, id_col: str, text_col: str, path_col: str | None) ->
            .select("_id", "_doc", "_path", "_at", "_m", F.get("_ends", F.col("_at")).alias("_end"),
                    F.right(F.get("_between", F.col("_at")), F.lit(NEAR_CHARS)).alias("_before"),
                    F.left(F.get("_between", F.col("_at") + 1), F.lit(NEAR_CHARS)).alias("_after")))
-    held = F.regexp_extract("_m", rf"""(?s)^(?i:{NAMES}[\w-]{{0,24}}["']?\s{{0,3}}{SEPARATOR}\s{{0,3}}["']?)(.*)$""", 1)
+    held = F.regexp_extract("_m", rf"""(?s)^(?i:{HEAD}["']?)(.*)$""", 1)
     is_format = F.col("_m").rlike(FORMAT)
     value = F.when(is_format | (held == ""), F.col("_m")).otherwise(held)
     return (one.withColumn("_value", value)
