@@ -31,7 +31,7 @@ WINDOW_COST = 16.0  # of one more window
 GRID = 256  # cuts inside a sentence are tried at multiples of this
 CHUNK = 1 << 18  # tokens that one run of the dynamic programming covers
 PART_BYTES = 16 << 20  # text bytes of one packed run of documents
-CACHED_WORDS, CACHED_PIECES = 250_000, 400_000  # some 60 MB a worker
+CACHED_WORDS, CACHED_PIECES = 120_000, 160_000  # some 30 MB a worker
 JOINED = 500  # pieces encoded as one text
 TEXTS = 128  # texts encoded together
 
