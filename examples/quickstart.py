@@ -53,18 +53,6 @@ def main(sf_dir: str, work: str) -> None:
     R.run_durations(runs).show(truncate=False)
     print("target rows:", VersionedTable(spark, spec.target_path).read().count())
 
-    # the same pipeline into a database table (the reference's warehouse
-    # path); embedded Derby stands in for the warehouse here
-    from tidemark import Connection
-    db = Connection("derby", url="jdbc:derby:memory:quickstart;create=true")
-    to_db = LoadSpec(pipeline_id=2, source=src, source_table="orders", target_connection=db,
-                     target_table="ORDERS", watermark_column="o_orderdate",
-                     merge_key="o_orderkey", mode="full")
-    r3 = run_load(spark, to_db, dt.datetime(2024, 1, 31), run_id=3)
-    loaded = spark.read.format("jdbc").options(**db.jdbc_options()).option("dbtable", "ORDERS").load()
-    print("database target:", r3.rows_loaded, "rows loaded,", loaded.count(), "in the table;",
-          "types:", dict(loaded.dtypes))
-
 
 if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"

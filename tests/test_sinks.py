@@ -90,3 +90,90 @@ def test_ddl_spelling_per_database():
     assert Connection("snowflake").ddl_type("NUMERIC(18,4)") == "NUMERIC(18,4)"
     opt = sinks.column_types_option(Connection("derby"), {"NAME": "TEXT", "N": "INTEGER"})
     assert opt == "`NAME` VARCHAR(32672), `N` INTEGER"
+
+
+def drift(column, change, status="pending_review"):
+    return {"table_name": "T", "column_name": column, "change_type": change, "old_definition": "INTEGER",
+            "new_definition": "NUMERIC(18,4)", "status": status}
+
+
+def test_a_target_that_cannot_take_the_batch_ends_the_load(spark):
+    from pyspark.sql import types as T
+    from tidemark.plans.load import refuse_losses
+    staged = spark.createDataFrame([], "ID int, X decimal(18,4), N int, S string")
+    target = T.StructType([T.StructField("ID", T.IntegerType()), T.StructField("x", T.IntegerType()),
+                           T.StructField("N", T.LongType()), T.StructField("S", T.StringType())])
+    refuse_losses([], staged, target)
+    refuse_losses([drift("Y", "column_added", "auto_resolved"), drift("Z", "column_dropped")], staged, target)
+    refuse_losses([drift("N", "type_changed")], staged, target)  # the column is wider
+    for bad in (drift("Y", "column_added", "error: no privilege"), drift("X", "type_changed"), drift("x", "type_changed")):
+        with pytest.raises(ValueError):
+            refuse_losses([bad], staged, target)
+    with pytest.raises(ValueError):  # a type that is not known holds nothing for sure
+        refuse_losses([drift("X", "type_changed")], staged, T.StructType([]))
+
+
+def test_database_load_stops_before_any_row(spark, tmp, monkeypatch):
+    """A failed ADD COLUMN and a type change both end the load with the drift
+    in the log and no statement on rows."""
+    import datetime as dt
+    from pyspark.sql import types as T
+    from tidemark.plans import load as L
+    from tidemark.sources.readers import ParquetSource
+    applied, ddl = [], []
+
+    def execute(_, conn, statements):
+        ddl.extend(statements)
+        if any("ADD COLUMN" in s for s in statements):
+            raise RuntimeError("permission denied")
+    monkeypatch.setattr(sinks, "execute_jdbc", execute)
+    monkeypatch.setattr(sinks, "jdbc_upsert", lambda *a, **k: applied.append(a))
+    for n, (have, why) in enumerate([("ID int, NAME string", "permission"), ("ID int, NAME string, AMOUNT int", "types")]):
+        schema = spark.createDataFrame([], have).schema
+        monkeypatch.setattr(sinks, "jdbc_table_schema", lambda *a, s=schema: s)
+        root = os.path.join(tmp, str(n))
+        (spark.createDataFrame([(1, "a", 12.75)], "id int, name string, amount double")
+         .write.parquet(os.path.join(root, "items.parquet")))
+        spec = L.LoadSpec(pipeline_id=1, source=ParquetSource(root), source_table="items", mode="full", merge_key="id",
+                          target_connection=Connection("postgresql", host="h", db_name="d"))
+        with pytest.raises(ValueError):
+            L.run_load(spark, spec, dt.datetime(2024, 1, 1), run_id=n, drift_log_path=os.path.join(root, "drift"))
+        assert spark.read.parquet(os.path.join(root, "drift")).count() == 1 and not applied
+    monkeypatch.setattr(sinks, "jdbc_table_schema", lambda *a: spark.createDataFrame([], "ID int, NAME string, AMOUNT double").schema)
+    L.run_load(spark, spec, dt.datetime(2024, 1, 1), run_id=9)
+    assert len(applied) == 1 and applied[0][0].columns == ["ID", "NAME", "AMOUNT"]
+
+
+def test_keyed_replay_on_the_warehouse_changes_nothing():
+    wh = Connection("snowflake", host="acct")
+    got = sinks.warehouse_plan(wh, "db", "s", "t", {"ID": "INTEGER"}, "ID", ["ID"], "4:7")
+    fresh = "NOT EXISTS (SELECT 1 FROM DB.S.T_RUNS WHERE run_tag = '4:7')"
+    begin, delete, insert, note, commit = got["postactions"].split("; ")
+    assert delete.endswith(f"IS NOT NULL) AND {fresh}") and insert.endswith(f"WHERE {fresh}") and note.endswith(fresh)
+    assert "CREATE TABLE IF NOT EXISTS DB.S.T_RUNS" in got["preactions"]
+
+
+def test_type_change_on_database_and_warehouse(spark, monkeypatch):
+    import datetime as dt
+    from tidemark.plans.load import resolve_drift
+    log = spark.createDataFrame([(1, 1, dt.datetime(2024, 1, 1), "AMOUNT", "type_changed", "TEXT", "INTEGER", "pending_review")],
+                                "id long, pipeline_id long, detected_at timestamp_ntz, column_name string, "
+                                "change_type string, old_definition string, new_definition string, status string")
+    done = []
+    monkeypatch.setattr(sinks, "execute_jdbc", lambda s, c, st: done.append(("db", st)))
+    monkeypatch.setattr(sinks, "execute_warehouse", lambda s, c, st: done.append(("wh", st)))
+    for conn in (Connection("postgresql", host="h"), Connection("snowflake", host="a", db_name="d")):
+        monkeypatch.setattr(sinks, "read_column", lambda s, *a: s.createDataFrame([("1",), ("x",)], "AMOUNT string"))
+        with pytest.raises(ValueError):
+            resolve_drift(spark, log, 1, "apply_type_change", 9, dt.datetime(2024, 1, 2), target_connection=conn, target_table="T")
+        monkeypatch.setattr(sinks, "read_column", lambda s, *a: s.createDataFrame([("1",), (None,)], "AMOUNT string"))
+        resolve_drift(spark, log, 1, "apply_type_change", 9, dt.datetime(2024, 1, 2), target_connection=conn, target_table="T")
+    assert [k for k, _ in done] == ["db", "wh"] and 'ALTER COLUMN "AMOUNT"' in done[1][1][0]
+
+
+def test_types_that_warehouse_columns_hold():
+    from pyspark.sql import types as T
+    from tidemark.functions.types import held_type
+    assert held_type("NUMBER(10,2)") == T.DecimalType(10, 2) and held_type("INTEGER") == T.DecimalType(38, 0)
+    assert held_type("NUMBER") == T.DecimalType(38, 0) and held_type("VARCHAR(500)") == T.StringType()
+    assert held_type("double precision") == T.DoubleType() and held_type("GEOGRAPHY") is None

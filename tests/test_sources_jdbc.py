@@ -118,3 +118,38 @@ def test_heal_status_text():
     from tidemark.operators.schema import heal_status
     assert heal_status(None) == "auto_resolved"
     assert heal_status("x" * 300) == "error: " + "x" * 200
+
+
+@pytest.mark.parametrize("kind, names", [
+    ("mysql", ("int", "datetime", "double", "varchar", "tinyint")), ("sqlserver", ("int", "datetime2", "float", "nvarchar", "bit")),
+    ("oracle", ("number", "timestamp(6)", "binary_double", "varchar2", "char")),
+    ("postgresql", ("integer", "timestamp without time zone", "double precision", "character varying", "boolean"))])
+def test_native_names_map_as_the_types_they_are_read_as(spark, monkeypatch, kind, names):
+    from tidemark.functions.types import target_type_for
+    from tidemark.plans import load as L
+    df = spark.createDataFrame([], "a int, b timestamp_ntz, c double, d string, e boolean")
+    listed = [{"column_name": c.upper(), "data_type": t} for c, t in zip(df.columns, names)]
+    monkeypatch.setattr(L, "declared_columns", lambda *a: listed)
+    spec = L.LoadSpec(pipeline_id=1, source=Connection(kind, host="h", db_name="d"), source_table="s.t", target_path="/t", mode="full")
+    got = [target_type_for(t) for _, t in L._declared_defs(spark, spec, df)]
+    text = "VARCHAR(500)" if names[3] in ("varchar", "character varying") else "TEXT"
+    assert got == ["INTEGER", "TIMESTAMP", "FLOAT", text, "BOOLEAN"]
+
+
+def test_literals_per_database():
+    import datetime as dt
+    from tidemark.sources.readers import _sql_literal, split_predicates
+    from pyspark.sql import types as T
+    d, t = dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5)
+    assert _sql_literal(d, "sqlserver") == "CAST('2024-01-02' AS date)" and _sql_literal(d, "mysql") == "DATE '2024-01-02'"
+    assert _sql_literal(t, "sqlserver") == "CAST('2024-01-02T03:04:05.000000' AS datetime2)"
+    got = split_predicates(Connection("sqlserver", host="h"), "K", T.DateType(), "range",
+                           {"lo": d, "hi": dt.date(2024, 2, 2), "n": 9}, 3)
+    assert len(got) == 3 and all("CAST('2024-" in p and "DATE '" not in p for p in got)
+
+
+def test_a_table_of_another_schema_is_not_ours():
+    from tidemark.plans.sinks import exists_query
+    assert "UPPER(table_schema) = 'SHOP'" in exists_query(Connection("mysql", db_name="shop"), "t")
+    assert "UPPER(table_schema) = 'DBO'" in exists_query(Connection("sqlserver"), "t")
+    assert "UPPER(table_schema) = 'X'" in exists_query(Connection("postgresql"), "x.t")

@@ -164,6 +164,23 @@ def spark_type_for(target_type: str) -> T.DataType:
     return _SPARK_TYPES.get(target_type.upper(), T.StringType())
 
 
+_HELD = {"VARCHAR": T.StringType(), "FLOAT": T.DoubleType(), "TIMESTAMP_NTZ": T.TimestampNTZType(),
+         "TIMESTAMP_TZ": T.TimestampType(), "TIMESTAMP_LTZ": T.TimestampType(), "BOOLEAN": T.BooleanType(),
+         "DATE": T.DateType()}
+
+
+def held_type(type_name: str) -> T.DataType | None:
+    """Spark type of the values that a warehouse column of a reported type
+    holds; None for a type that is not known."""
+    name, _, inner = type_name.upper().partition("(")
+    name = name.strip()
+    if name in NUMBER_NAMES:
+        digits = [int(x) for x in inner.rstrip(") ").split(",") if x.strip().isdigit()]
+        return T.DecimalType(digits[0] if digits else 38, digits[1] if len(digits) > 1 else 0)
+    canonical = CANONICAL_BASE.get(name, name)
+    return T.DecimalType(38, 0) if canonical == "NUMBER(38,0)" else _HELD.get(canonical)
+
+
 def target_type_for(source_type: str) -> str:
     return TYPE_MAP.get(source_type, DEFAULT_TARGET_TYPE)
 

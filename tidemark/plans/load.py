@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.exprs import ERROR_TEXT_LIMIT, ts_lit
 from tidemark.functions.types import (
-    cast_metrics, cast_to_target, source_type_name, target_type_for,
+    TYPE_MAP, cast_metrics, cast_to_target, held_type, source_type_name, target_type_for, widest,
 )
 from tidemark.operators import runs as R
 from tidemark.operators import schema as S
@@ -168,14 +168,15 @@ def _source_defs(df: DataFrame) -> list[tuple[str, str]]:
 
 
 def _declared_defs(spark: SparkSession, spec: LoadSpec, df: DataFrame) -> list[tuple[str, str]]:
-    """Declared column types: a database's own from its column catalog (S6),
-    where it lists the table; else the names of the Spark types."""
+    """Declared column types: a database's own from its column catalog
+    where the type map knows the name; else the names of the Spark types that
+    the database's own types are read as."""
     if isinstance(spec.source, Connection):
         name = spec.source_table.rpartition(".")
         listed = declared_columns(spark, spec.source, name[2], name[0] or None)
         known = {r["column_name"].lower(): r["data_type"] for r in listed}
         if known:
-            return [(n, known.get(n.lower(), t)) for n, t in _source_defs(df)]
+            return [(n, name if (name := known.get(n.lower(), t)) in TYPE_MAP else t) for n, t in _source_defs(df)]
     return _source_defs(df)
 
 
@@ -295,7 +296,7 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
             return LoadResult(run_id, "complete", rows, anomaly, pct, since, None, drift_rows,
                               max_seen=max_seen, cast_issues=issues)
         vt = VersionedTable(spark, spec.target_path)
-        tag = f"run:{run_id}"
+        tag = f"run:{spec.pipeline_id}:{run_id}"  # pipelines may number their runs alone
         replayed = vt.has_tag(tag)  # a replayed run is not applied twice
         upper = (lambda c: c.upper()) if spec.upper_case else (lambda c: c)
         key = upper(spec.merge_key) if spec.merge_key else None
@@ -354,7 +355,11 @@ def _load_jdbc_target(spark: SparkSession, spec: LoadSpec, staged: DataFrame,
     missing (K1); otherwise detect drift against its columns and add new
     ones with ALTER TABLE, recording ``auto_resolved`` or the error cut to
     200 characters (D1 D2); then stage the batch and apply it in one
-    transaction (K3/K4/K5)."""
+    transaction (K3/K4/K5).
+
+    A column that could not be added, or one whose type in the table does not
+    hold every value of the new type, ends the load before any row is applied:
+    the database would drop or round values. The drift is in the log then."""
     conn = spec.target_connection
     table = spec.target_table or spec.source_table.upper()
     name = (lambda n: n.upper()) if spec.upper_case else (lambda n: n)
@@ -382,16 +387,29 @@ def _load_jdbc_target(spark: SparkSession, spec: LoadSpec, staged: DataFrame,
             events = _drift_events(spark, drift_rows, spec.pipeline_id, run_id, as_of)
             _only_new_drift(spark, events, drift_log_path, spec.pipeline_id) \
                 .write.mode("append").parquet(drift_log_path)
-        healed = {r["column_name"] for r in drift_rows
-                  if r["change_type"] == "column_added" and r["status"] == "auto_resolved"}
-        # columns the table lacks and could not take are left out of the insert
-        have = {f.name.upper() for f in existing.fields} | healed
-        staged = staged.select(*[c for c in staged.columns if c.upper() in have])
+        refuse_losses(drift_rows, staged, existing)
     sinks.jdbc_upsert(staged, conn, table, key if keyed else None, mode=mode, order_cols=order,
                       column_types=types, run_tag=f"{spec.pipeline_id}:{run_id}")
     return drift_rows
 
 
+def refuse_losses(drift_rows: list[dict], staged: DataFrame, target: T.StructType) -> None:
+    """Raise if the target cannot take the staged batch whole: a column that
+    was to be added and was not, or a changed type that is wider than, or
+    unlike, the target's own (``target`` lists the types that are known)."""
+    lost = [r["column_name"] for r in drift_rows
+            if r["change_type"] == "column_added" and r["status"] not in ("auto_resolved", "pending_review")]
+    if lost:
+        raise ValueError(f"columns that the target lacks could not be added: {lost}")
+    held = {f.name.upper(): f.dataType for f in target.fields}
+    mine = {f.name.upper(): f.dataType for f in staged.schema.fields}
+    changed = [r["column_name"] for r in drift_rows if r["change_type"] == "type_changed"]
+    unlike = [c for c in changed if c.upper() in mine and (
+        c.upper() not in held or widest(held[c.upper()], mine[c.upper()]) != held[c.upper()])]
+    if unlike:
+        raise ValueError(f"types that the target's columns cannot hold, change them first: {unlike}")
+
+
 def _load_warehouse_target(spark: SparkSession, spec: LoadSpec, staged: DataFrame,
                            defs: list[tuple[str, str]], as_of: _dt.datetime, run_id: int,
                            drift_log_path: str | None) -> list[dict]:
@@ -411,15 +429,17 @@ def _load_warehouse_target(spark: SparkSession, spec: LoadSpec, staged: DataFram
         src = spark.createDataFrame([(table, name(n), i + 1, t) for i, (n, t) in enumerate(defs)], S.COLUMNS_SCHEMA)
         tgt = spark.createDataFrame([(table, c, i, t) for c, t, i in have], S.COLUMNS_SCHEMA)
         drift_rows = [r.asDict() for r in S.detect_drift(src, tgt).collect()]
+        if drift_log_path and drift_rows:  # in the log even if the load ends here
+            _only_new_drift(spark, _drift_events(spark, drift_rows, spec.pipeline_id, run_id, as_of), drift_log_path,
+                            spec.pipeline_id).write.mode("append").parquet(drift_log_path)
+        held = {c.upper(): held_type(t) for c, t, _ in have}
+        refuse_losses(drift_rows, staged, T.StructType([T.StructField(c, t) for c, t in held.items() if t is not None]))
     if keyed and spec.upsert == "last_wins":
         staged = U.dedup_last_wins(staged, key, spec.order(name))
     sinks.warehouse_writer(staged, conn, database, spec.target_schema, table, key if keyed else None,
                            types={name(n): target_type_for(t) for n, t in defs},
                            have=[c for c, _, _ in have] if have else None,
                            run_tag=f"{spec.pipeline_id}:{run_id}").save()
-    if drift_log_path and drift_rows:
-        _only_new_drift(spark, _drift_events(spark, drift_rows, spec.pipeline_id, run_id, as_of), drift_log_path,
-                        spec.pipeline_id).write.mode("append").parquet(drift_log_path)
     return drift_rows
 
 
@@ -453,7 +473,8 @@ def resolve_drift(spark: SparkSession, state: DataFrame, drift_id: int, action:
                   target_table: str | None = None, on_cast_error: str = "fail") -> DataFrame:
     """Resolve one drift event (D5): ``dismiss``, or ``apply_type_change``
     (type changes only), which first changes the column - as a new version of
-    a versioned target, or with ALTER TABLE on a database. Without a target,
+    a versioned target, or with ALTER TABLE on a database or warehouse, whose
+    own values are read and tested before. Without a target,
     or where values would be lost (unless ``on_cast_error="null"``), it
     refuses. Only then is the resolution appended to ``resolutions_path`` and
     returned."""
@@ -477,8 +498,16 @@ def resolve_drift(spark: SparkSession, state: DataFrame, drift_id: int, action:
             vt.write(S.apply_type_change(cur, col, ev["new_definition"]), vt.next_version(),
                      None, as_of)
         elif target_connection is not None and target_table:
-            sinks.execute_jdbc(spark, target_connection, [target_connection.change_type(
-                target_table, ev["column_name"], ev["new_definition"])])
+            change = target_connection.change_type(target_table, ev["column_name"], ev["new_definition"])
+            if on_cast_error == "fail":
+                loss = S.cast_loss(sinks.read_column(spark, target_connection, target_table, ev["column_name"]),
+                                   {ev["column_name"]: ev["new_definition"]}).first()
+                if loss["n_failed"] or loss["n_changed"]:
+                    raise ValueError(f"{ev['column_name']} to {ev['new_definition']} would lose values: {loss.asDict()}")
+            if target_connection.is_warehouse:
+                sinks.execute_warehouse(spark, target_connection, [change])
+            else:
+                sinks.execute_jdbc(spark, target_connection, [change])
         else:
             raise ValueError("apply_type_change needs a target_path, or a target_connection and target_table")
     if resolutions_path:

@@ -66,7 +66,8 @@ def exists_query(conn: Connection, table: str) -> str:
         owner = schema or conn.schema or conn.user
         return (f"SELECT COUNT(*) AS n FROM all_tables WHERE {where}"
                 + (f" AND owner = '{owner.upper()}'" if owner else ""))
-    schema = schema or conn.schema
+    # unnamed, the schema is the one that the database itself would look in
+    schema = schema or conn.schema or {"mysql": conn.db_name, "sqlserver": "dbo", "postgresql": "public"}.get(conn.db_type)
     return (f"SELECT COUNT(*) AS n FROM information_schema.tables WHERE {where}"
             + (f" AND UPPER(table_schema) = '{schema.upper()}'" if schema else ""))
 
@@ -120,8 +121,9 @@ def warehouse_plan(conn: Connection, database: str, schema: str | None, table: s
     """Connector options of one load: the batch goes to a staging table, and
     one set of statements runs around it. ``have`` are the target's columns
     (None: it is missing). Before: create the target with the mapped types, or
-    add the columns it lacks. After: replace the rows of the staged keys; or,
-    without a key, append unless ``run_tag`` was applied before."""
+    add the columns it lacks. After: replace the rows of the staged keys, or
+    append without a key; with ``run_tag``, only if that was not applied
+    before, so a replay changes nothing, rows without a key included."""
     opts = conn.warehouse_options(database, schema, table)
     fq = f"{opts['sfDatabase']}.{opts['sfSchema']}"
     target = f"{fq}.{opts['dbtable']}"
@@ -137,12 +139,12 @@ def warehouse_plan(conn: Connection, database: str, schema: str | None, table: s
     else:
         cols = ", ".join(conn.quote(c) for c in columns)
         after = [f"INSERT INTO {target} ({cols}) SELECT {cols} FROM {fq}.{stage}"]
-        if run_tag is not None:
-            runs, tag = f"{target}_RUNS", run_tag.replace("'", "''")
-            before.append(f"CREATE TABLE IF NOT EXISTS {runs} (run_tag VARCHAR(200))")
-            after[0] += f" WHERE NOT EXISTS (SELECT 1 FROM {runs} WHERE run_tag = '{tag}')"
-            after.append(f"INSERT INTO {runs} (run_tag) SELECT '{tag}' "
-                         f"WHERE NOT EXISTS (SELECT 1 FROM {runs} WHERE run_tag = '{tag}')")
+    if run_tag is not None:
+        runs, tag = f"{target}_RUNS", run_tag.replace("'", "''")
+        before.append(f"CREATE TABLE IF NOT EXISTS {runs} (run_tag VARCHAR(200))")
+        fresh = f"NOT EXISTS (SELECT 1 FROM {runs} WHERE run_tag = '{tag}')"
+        after = [f"{s} {'AND' if s.startswith('DELETE') else 'WHERE'} {fresh}" for s in after]
+        after.append(f"INSERT INTO {runs} (run_tag) SELECT '{tag}' WHERE {fresh}")
     opts["dbtable"] = stage
     if before:
         opts["preactions"] = "; ".join(before)
@@ -165,6 +167,24 @@ def warehouse_writer(df: DataFrame, conn: Connection, database: str, schema: str
     return df.write.format(WAREHOUSE_FORMAT).options(**opts).mode("overwrite")
 
 
+def read_column(spark, conn: Connection, table: str, column: str) -> DataFrame:
+    """One column of a target table, for what a type change would do to it."""
+    query = f"SELECT {conn.quote(column)} FROM {table}"
+    if conn.is_warehouse:
+        opts = conn.warehouse_options(conn.db_name, None, table.rpartition(".")[2])
+        opts.pop("dbtable")
+        return spark.read.format(WAREHOUSE_FORMAT).options(**opts).option("query", query).load()
+    return spark.read.format("jdbc").options(**conn.jdbc_options()).option("query", query).load()
+
+
+def execute_warehouse(spark, conn: Connection, statements: Sequence[str]) -> None:
+    """Run statements on the warehouse through its connector, which runs them
+    before an empty batch is written to a table of its own."""
+    opts = conn.warehouse_options(conn.db_name, None, "TIDEMARK_STATEMENTS")
+    opts["preactions"] = "; ".join(statements)
+    (spark.createDataFrame([], "done boolean").write.format(WAREHOUSE_FORMAT).options(**opts).mode("overwrite").save())
+
+
 def execute_jdbc(spark, conn: Connection, statements: Sequence[str]) -> list[int]:
     """Run statements in one transaction on the database (rolled back on
     error); returns the update counts. Only SQL text crosses the driver."""
