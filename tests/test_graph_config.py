@@ -123,3 +123,33 @@ def test_levels_of_a_deep_graph_with_several_prerequisites(spark):
     d = deps(spark, [(k, k - 1) for k in range(2, n + 1)] + [(n + 1, 1), (n + 1, 2)])
     lv = {r["pipeline_id"]: (r["level"], r["in_cycle"]) for r in G.dependency_levels(p, d).collect()}
     assert lv == {**{k: (k - 1, False) for k in range(1, n + 1)}, n + 1: (2, False), n + 2: (0, False)}
+
+
+def test_levels_match_longest_paths_on_random_graphs(spark, monkeypatch):
+    """Chains, layers, diamonds and cycles against a plain fixpoint; long
+    chains beside branches take about log2 of their length rounds."""
+    import random
+    from tidemark.operators import graph
+    r = random.Random(6)
+    for case in range(4):
+        n = 60
+        edges = {(r.randrange(1, n), r.randrange(n)) for _ in range(70)} if case == 3 else set()
+        if case < 3:
+            edges = {(i, i - 1) for i in range(1, 50)} | {(i, r.randrange(i)) for i in range(2, n) if r.random() < 0.3 * case}
+            edges |= {(55, 54), (55, 10), (58, 59), (59, 58), (57, 58)} if case else {(55, 3), (55, 9)}
+        edges |= {(5, 99), (98, 5)}  # ends that are no pipelines
+        want, known = {}, True
+        while known:
+            known = {i: max([want[p] + 1 for k, p in edges if k == i and p < n], default=0) for i in range(n)
+                     if i not in want and all(p in want for k, p in edges if k == i and p < n)}
+            want.update(known)
+        nodes = spark.createDataFrame([(i,) for i in range(n)], "id long")
+        got = graph.dependency_levels(nodes, spark.createDataFrame(sorted(edges), "pipeline_id long, depends_on_id long"))
+        rows = {q["pipeline_id"]: (q["level"], q["in_cycle"]) for q in got.collect()}
+        assert rows == {i: (want.get(i), i not in want) for i in range(n)}
+    written = []
+    real = graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, path, **k: written.append(path) or real(df, path, **k))
+    chain = [(i, i - 1) for i in range(1, 200)] + [(150, 20), (90, 3)]
+    got = graph.dependency_levels(spark.range(200), spark.createDataFrame(chain, "pipeline_id long, depends_on_id long"))
+    assert got.agg({"level": "max"}).first()[0] == 199 and len(written) <= 14

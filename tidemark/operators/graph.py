@@ -38,16 +38,18 @@ def dependency_levels(pipelines: DataFrame, deps: DataFrame) -> DataFrame:
     """Level of every pipeline: 0 with no prerequisites, else one more than
     its highest prerequisite (the longest chain above it).
 
-    Layers are peeled as in Kahn's algorithm. Each round joins the edges with
-    the newest layer only, counts the prerequisites that just got a level and
-    takes them off the count each open pipeline still waits for; those that
-    wait for none are the next layer. A round is one job: the open pipelines
-    are written to the shared checkpoint folder, so the lineage never grows.
-    Rounds go on until one places nothing, however deep
-    the chains are. Pipelines on or below a cycle never qualify; they are
-    returned with a null level and ``in_cycle`` true. Where no pipeline has
-    more than one prerequisite, pointer jumping gives the same levels in
-    about log2(depth) rounds.
+    An open pipeline's level is the largest of a number known so far and of
+    ``level(h) + w`` over the prerequisites ``h`` it still waits for. Each
+    round puts in what is known of those: one that waits for none has its
+    level; one that waits for a single other is replaced by that one, further
+    up, which halves chains. So a chain of any length takes about log2 of it
+    rounds, branching layers one each; several ways to the same prerequisite
+    become the longest. Every round settles at least the pipelines that wait
+    for none, so one that settles nothing is the last: what is left lies on or
+    below a cycle and comes back with a null level and ``in_cycle`` true.
+    Rounds are written to the shared checkpoint folder, so the lineage never
+    grows. Where no pipeline has more than one prerequisite, pointer jumping
+    gives the same levels.
     """
     spark = pipelines.sparkSession
     nodes = pipelines.select(F.col("id").alias("pipeline_id"))
@@ -57,32 +59,40 @@ def dependency_levels(pipelines: DataFrame, deps: DataFrame) -> DataFrame:
              .join(nodes.withColumnRenamed("pipeline_id", "depends_on_id"),
                    "depends_on_id", "left_semi"))
     edges = materialize(edges, fresh_scratch(spark, "edges"))
-    waits = edges.groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("n_open"))
-    opened = materialize(waits, fresh_scratch(spark, "open"))
-    widest = opened.agg(F.max("n_open").alias("m")).first()["m"]
+    widest = edges.groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"]
     if widest is None or widest <= 1:
         return _forest_levels(nodes, edges)
     path = fresh_scratch(spark, "levels")
-    # round k holds what was open before it; rows that wait for nothing are level k
-    roots = nodes.join(opened, "pipeline_id", "left_anti").withColumn("n_open", F.lit(0).cast("bigint"))
-    state, level = opened.unionByName(roots), 0
+    none = F.lit(None).cast(edges.schema["depends_on_id"].dataType)
+    # what a pipeline waits for (h, w) and, with a null h, what it knows
+    open_ = (edges.select("pipeline_id", F.col("depends_on_id").alias("h"), F.lit(1).cast("bigint").alias("w"))
+             .union(nodes.distinct().select("pipeline_id", none.alias("h"), F.lit(0).cast("bigint").alias("w"))))
+    rounds = 0
     while True:
-        at = os.path.join(path, f"level={level}")
-        placed = Observation()
-        (state.observe(placed, F.count_if(F.col("n_open") == 0).alias("n"))
-         .write.mode("overwrite").parquet(at))
-        if not placed.get.get("n"):
+        at = os.path.join(path, f"round={rounds}")
+        settled = Observation()
+        # of each open pipeline: how many it waits for, what it knows, and the one if there is one
+        (open_.groupBy("pipeline_id").agg(F.count("h").alias("k"), F.max(F.when(F.col("h").isNull(), F.col("w"))).alias("known"),
+                                          F.max("h").alias("up"), F.max(F.when(F.col("h").isNotNull(), F.col("w"))).alias("dist"))
+         .observe(settled, F.count_if(F.col("k") == 0).alias("n")).write.mode("overwrite").parquet(at))
+        if not settled.get.get("n"):
             break
-        before = spark.read.parquet(at)
-        newest = before.where("n_open = 0").select(F.col("pipeline_id").alias("depends_on_id"))
-        met = (edges.join(newest, "depends_on_id", "left_semi")
-               .groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("n_met")))
-        state = (before.where("n_open > 0").join(met, "pipeline_id", "left")
-                 .select("pipeline_id", (F.col("n_open") - F.coalesce("n_met", F.lit(0))).alias("n_open")))
-        level += 1
-    levels = (spark.read.option("basePath", path)
-              .parquet(*[os.path.join(path, f"level={k}") for k in range(level + 1)])
-              .where("n_open = 0").select("pipeline_id", F.col("level").cast("int").alias("level")))
+        info = spark.read.parquet(at)
+        # one that waits for a single settled one is as good as settled: no edge leads to a settled pipeline
+        done = info.where("k = 0").select(F.col("pipeline_id").alias("up"), F.col("known").alias("top"))
+        of = info.where("k < 2").join(done, "up", "left").select(
+            F.col("pipeline_id").alias("h"), F.when(F.col("top").isNotNull(), 0).otherwise(F.col("k")).alias("k"),
+            F.greatest("known", F.col("top") + F.col("dist")).alias("known"), "up", "dist")
+        still = open_.join(info.where("k = 0").select("pipeline_id"), "pipeline_id", "left_anti")
+        moved = still.join(of, "h", "left").select(
+            "pipeline_id", F.explode(F.when(F.col("k").isNull(), F.array(F.struct("h", "w"))).otherwise(F.array_compact(F.array(
+                F.struct(none.alias("h"), (F.col("w") + F.col("known")).alias("w")),
+                F.when(F.col("k") == 1, F.struct(F.col("up").alias("h"), (F.col("w") + F.col("dist")).alias("w"))))))).alias("e"))
+        open_ = materialize(moved.select("pipeline_id", "e.h", "e.w").groupBy("pipeline_id", "h").agg(F.max("w").alias("w")),
+                            fresh_scratch(spark, "open"))
+        rounds += 1
+    levels = (spark.read.parquet(*[os.path.join(path, f"round={k}") for k in range(rounds + 1)])
+              .where("k = 0").select("pipeline_id", F.col("known").cast("int").alias("level")))
     return (nodes.join(levels, "pipeline_id", "left")
             .withColumn("in_cycle", F.col("level").isNull()))
 
