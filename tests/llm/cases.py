@@ -40,3 +40,18 @@ def docs(spark, rows=None):
 
 def empty(spark):
     return docs(spark, [])
+
+
+def shared_targets(sizes, weights=(3.0, 1.0, 2.0), budget=1.5, most=2.0):
+    """Targets by the definition: share by weight, hold sources at their most,
+    share what is left among the others, until none is above."""
+    size = dict(sorted(sizes, key=lambda s: (s[0] is None, s[0] or "")))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(size)}
+    held = {}
+    while True:
+        free = [s for s in size if s not in held]
+        left, share = budget * sum(size.values()) - sum(held.values()), sum(weight[s] for s in free)
+        over = [s for s in free if left * weight[s] / share > most * size[s]]
+        if not over:
+            return held | {s: left * weight[s] / share for s in free}
+        held |= {s: most * size[s] for s in over}

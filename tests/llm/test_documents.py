@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import jaccard, licences, mixing, packing, quality, secrets, sharding
 from tidemark.llm.common import WordHashes, shingles_of
 
-from .cases import docs, edited, empty, prose, texts
+from .cases import docs, edited, empty, prose, shared_targets, texts
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -298,10 +298,40 @@ def test_shards(spark):
 
 # mixing
 
-def test_targets():
-    t = mixing.source_targets([("b", 100), (None, 100), ("a", 100), ("z", 0)])
+def targets_of(spark, sizes, **more):
+    out = mixing.source_targets(spark.createDataFrame(sizes, "_p string, _source_size long"), **more).collect()
+    assert sorted((str(r["_p"]), r["_source_size"]) for r in out) == sorted((str(p), n) for p, n in sizes)
+    return {r["_p"]: r["_target"] for r in out}
+
+
+def test_targets(spark):
+    t = targets_of(spark, [("b", 100), (None, 100), ("a", 100), ("z", 0)])
     assert t["z"] == 0 and abs(sum(t.values()) - 450) < 1e-9 and max(t.values()) <= 200
-    assert mixing.source_targets([]) == {}
+    assert targets_of(spark, []) == {}
+    assert targets_of(spark, [("a", 0), (None, 0)]) == {"a": 0.0, None: 0.0}
+    assert targets_of(spark, [("a", 10), ("b", 30)], budget=3.0) == {"a": 20.0, "b": 60.0}
+
+
+def test_targets_of_many_sources_are_those_of_the_definition(spark):
+    for seed, many in ((1, 5), (2, 40), (3, 3000)):
+        r = np.random.default_rng(seed)
+        names = [None, "", "\U0001f600", "\uffee", *(f"s{i}" for i in range(many))]
+        sizes = [(s, int(n)) for s, n in zip(names, r.pareto(0.7, len(names)) * 100)]
+        assert targets_of(spark, sizes) == pytest.approx(shared_targets(sizes))
+        assert targets_of(spark, sizes[::-1]) == targets_of(spark, sizes)
+
+
+def test_every_source_of_the_mix_comes_near_its_target(spark):
+    rows = texts() + [(7000 + i, prose(i, 5 + i % 60), "abcd"[i % 4]) for i in range(600)]
+    size, took = Counter(), Counter()
+    for r in mixing.mix(docs(spark, rows)).collect():
+        size[r["_row"]["source"]] += r["_size"]
+        took[r["_row"]["source"]] += r["_copies"] * r["_size"]
+    longest = Counter()
+    for (_, _, s, *_), n in zip(rows, sizes(rows)):
+        longest[s] = max(longest[s], n)
+    for s, want in shared_targets(list(size.items())).items():
+        assert abs(took[s] - want) <= longest[s], s
 
 
 def test_flight_keeps_totals():

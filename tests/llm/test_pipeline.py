@@ -7,10 +7,10 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import mixing, secrets
+from tidemark.llm import secrets
 from tidemark.llm.common import saved, table
 
-from .cases import docs, edited, prose
+from .cases import docs, edited, prose, shared_targets
 from .test_documents import TOKENIZER, brute_links, brute_statistics
 
 
@@ -83,7 +83,7 @@ def test_stages_against_brute_force(spark, made):
         took[s] += len(t.encode().split())
         copies[i] += 1
     longest = max(len(t.encode().split()) for _, t, _ in rows_of(hidden))
-    for s, want in mixing.source_targets(list(source.items())).items():
+    for s, want in shared_targets(list(source.items())).items():
         assert abs(took[s] - want) <= longest
     assert max(copies.values()) <= 2
 

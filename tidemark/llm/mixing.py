@@ -26,7 +26,6 @@ from tidemark.llm.common import WORD_PATTERN, saved, table, text_or_empty
 
 WEIGHTS = (3.0, 1.0, 2.0)
 GROUP_ROWS = 20_000  # rows flown together in one group
-MAX_SOURCES = 100_000  # one total of each goes through the driver
 
 
 def word_count(text: str | Column) -> Column:
@@ -34,25 +33,51 @@ def word_count(text: str | Column) -> Column:
     return F.regexp_count(text_or_empty(text), F.lit(WORD_PATTERN)).cast("long")
 
 
-def source_targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, budget: float = 1.5,
-                   max_copies: float = 2.0) -> dict[str | None, float]:
-    """Target per source: ``budget`` times all sizes shared by weight; what
-    exceeds ``max_copies`` times a source's size is shared again by weight
-    among the others until none is above. Sources are ordered by code point,
-    null last; weights repeat."""
-    order = sorted(sizes, key=lambda s: (s[0] is None, s[0] or ""))
-    size = {s: n for s, n in order}
-    weight = {s: weights[i % len(weights)] for i, (s, _) in enumerate(order)}
-    total = budget * sum(size.values())
-    fixed: dict[str | None, float] = {}
+def ranked_sources(sizes: DataFrame) -> DataFrame:
+    """(_p, _source_size), one row per source -> the same with ``_rank`` (long,
+    from 0, by code point, null last). Ranges of names are numbered apart and
+    shifted by the counts of the ranges before, so sources may be many."""
+    by_name = F.col("_p").asc_nulls_last()
+    placed = saved(sizes.repartitionByRange(by_name).withColumn("_part", F.spark_partition_id()),
+                   "mix-sources")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
+              .select(F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")))
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(by_name)) - 1
+    return (placed.withColumn("_nth", nth).join(starts, F.col("_part") == F.col("_of"))
+            .select("_p", "_source_size", (F.col("_start") + F.col("_nth")).cast("long").alias("_rank")))
+
+
+def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = 1.5, max_copies: float = 2.0) -> DataFrame:
+    """(_p, _source_size) -> the same with ``_target``: ``budget`` times all
+    sizes shared by weight; what exceeds ``max_copies`` times a source's size
+    is shared again by weight among the others until none is above. Sources
+    are ordered by code point, null last; weights repeat. An empty table gives
+    an empty result; sources of size 0 have target 0.
+
+    What a unit of weight is worth only rises from round to round, so that
+    number says which sources are at their most; each round sums the sources
+    of each weight in one aggregate and nothing else reaches the driver.
+    """
+    which = F.pmod("_rank", F.lit(len(weights))).cast("int")
+    ranked = saved(ranked_sources(sizes).withColumn("_which", which), "mix-ranked")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("_which") + 1)
+    most = F.lit(max_copies) * F.col("_source_size")
+    worth, full = 0.0, -1
     while True:
-        free = [s for s in size if s not in fixed]
-        share = sum(weight[s] for s in free)
-        rest = total - sum(fixed.values())
-        over = [s for s in free if rest * weight[s] / share > max_copies * size[s]]
-        if not over:
-            return fixed | {s: rest * weight[s] / share for s in free}
-        fixed |= {s: max_copies * size[s] for s in over}
+        over = weight * F.lit(worth) > most if worth else F.lit(False)
+        sums = (ranked.groupBy("_which")
+                .agg(F.sum("_source_size").alias("all"), F.sum(F.when(over, F.col("_source_size"))).alias("full"),
+                     F.count_if(over).alias("n_full"), F.count_if(~over).alias("n_free"))
+                .orderBy("_which").collect())  # one row per weight
+        rest = budget * sum(r["all"] for r in sums) - max_copies * sum(r["full"] or 0 for r in sums)
+        share = sum(weights[r["_which"]] * r["n_free"] for r in sums)
+        now = sum(r["n_full"] for r in sums)
+        if now == full or not share:
+            break
+        full, worth = now, max(worth, rest / share)
+    part = F.lit(rest) * weight / F.lit(share) if share else most
+    return ranked.select("_p", "_source_size", F.when(over, most).otherwise(F.least(part, most)).alias("_target"))
 
 
 def flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -149,7 +174,7 @@ def draw(units: DataFrame, seed: int, group_rows: int) -> DataFrame:
         last = most <= group_rows
         group = F.pmod(F.xxhash64(units["_key"], F.lit(seed - 1 - level)),
                        F.ceil(F.col("_n") / F.lit(group_rows))).cast("int")
-        dealt = (units.join(F.broadcast(counts), units["_src"].eqNullSafe(counts["_src"]))
+        dealt = (units.join(counts, units["_src"].eqNullSafe(counts["_src"]))
                  .select(units["*"], group.alias("_g"),
                          F.xxhash64(units["_key"], units["_size"], F.lit(seed + level)).alias("_order")))
         flown = saved(dealt.groupBy("_src", "_g").applyInPandas(_fly(last, seed + level), _FLOWN),
@@ -172,10 +197,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     of size 0 count as documents and take no words. Repeated rows are separate
     documents, numbered by a streaming window over their key. An empty table
     gives an empty result. Other columns, whatever their names, travel inside
-    ``_row``. One total per source goes through the driver; more than
-    ``MAX_SOURCES`` sources are refused.
+    ``_row``. Sources may be as many as the rows.
     """
-    spark = docs.sparkSession
     ids = [F.col(f"`{c}`") for c in (id_col, source_col, text_col)]
     key = F.xxhash64(*[v for c in ids for v in (c.isNull(), c)])
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("_row"),
@@ -184,14 +207,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     if carry and text_col not in carry:  # narrow rows: read the texts only once
         rows = saved(rows, "mix-rows")
     narrow = saved(rows.select("_key", "_src", "_size"), "mix-sizes") if not carry else rows
-    totals = narrow.groupBy("_src").agg(F.sum("_size")).limit(MAX_SOURCES + 1).collect()
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    sizes = [(r[0], int(r[1])) for r in totals]
-    targets = source_targets(sizes, weights, budget, max_copies)
-    plan = F.broadcast(spark.createDataFrame(
-        [(s, n, targets[s], min(max_copies, targets[s] / n) if n else 0.0) for s, n in sizes],
-        "_p string, _source_size long, _target double, _e double"))
+    sizes = narrow.groupBy(F.col("_src").alias("_p")).agg(F.sum("_size").alias("_source_size"))
+    often = F.least(F.lit(float(max_copies)), F.col("_target") / F.col("_source_size"))
+    plan = saved(source_targets(sizes, weights, budget, max_copies)
+                 .withColumn("_e", F.when(F.col("_source_size") > 0, often).otherwise(F.lit(0.0))),
+                 "mix-plan")
     whole = F.floor(F.col("_e") + F.lit(1e-9))
     units = (narrow.join(plan, F.col("_src").eqNullSafe(F.col("_p")))
              .select("_key", "_src", "_size", (F.col("_e") - whole).alias("_x"))
