@@ -412,6 +412,68 @@ def stream_upsert(spark, sf):
     return stream_upsert_table(spark, sf)
 
 
+# ------------------------------------------------- targets and files laid out
+
+BUCKETS = 16
+
+
+def _bucketed(spark, df, key):
+    """A bucketed target below the checkpoint folder, under a name of its own."""
+    import uuid
+    from tidemark.plans.buckets import BucketedTarget
+    from tidemark.session import fresh_scratch
+    return BucketedTarget.create(df, "target_" + uuid.uuid4().hex, key, BUCKETS, fresh_scratch(spark, "bucketed"))
+
+
+def bucketed_upsert(spark, sf):
+    """A load of orders into a target in folders by key hash, replayed once."""
+    orders = _t(spark, sf, "orders")
+    target = _bucketed(spark, V.load_target(orders), "o_orderkey")
+    for _ in range(2):
+        target.upsert(V.load_batch(orders), "load-1")
+    return target.read()
+
+
+def bucketed_last_wins(spark, sf):
+    """Line items: two runs into a target in folders by key hash, the last row
+    of each order wins; the first run is replayed after the second."""
+    li = _t(spark, sf, "lineitem")
+    target = _bucketed(spark, li.limit(0), V.DUP_KEY)
+    runs = {"first": li.where(F.col("l_shipdate") < V.ts_lit(V.LINE_TARGET_BEFORE)),
+            "second": li.where(F.col("l_shipdate") >= V.ts_lit(V.LINE_BATCH_SINCE))}
+    for name in ("first", "second", "first"):
+        target.upsert(runs[name], name, V.DUP_ORDER)
+    return target.read()
+
+
+def key_bounds_footers(spark, sf):
+    from tidemark.plans.layout import footer_bounds
+    return footer_bounds(spark, ParquetSource(sf).path("orders"), "o_orderkey")
+
+
+def _clustered(spark, df, by, **how):
+    from tidemark.plans.layout import write_clustered
+    from tidemark.session import fresh_scratch
+    path = fresh_scratch(spark, "clustered")
+    write_clustered(df, path, by, **how)
+    return spark.read.parquet(path)
+
+
+def incremental_scan_clustered(spark, sf):
+    """The incremental scan over orders laid out by their mark."""
+    orders = _clustered(spark, _t(spark, sf, "orders"), ["o_orderdate", "o_orderkey"])
+    return upper_columns(read_incremental(spark, ParquetSource(sf), "orders", "o_orderdate",
+                                          V.BATCH_SINCE, df=orders))
+
+
+def match_keys_skipping(spark, sf):
+    """Key matching over a target laid out by key with Bloom filters."""
+    from tidemark.plans.layout import match_keys_pruned
+    orders = _t(spark, sf, "orders")
+    target = _clustered(spark, V.load_target(orders), "o_orderkey", bloom="o_orderkey")
+    return match_keys_pruned(target, V.load_batch(orders), "o_orderkey")
+
+
 QUERIES: dict[str, Query] = {
     "incremental_scan": incremental_scan,
     "key_bounds": key_bounds,
@@ -471,4 +533,9 @@ QUERIES: dict[str, Query] = {
     "drift_append": drift_append,
     "recent_for_pipeline": recent_for_pipeline,
     "export_json": export_json,
+    "bucketed_upsert": bucketed_upsert,
+    "bucketed_last_wins": bucketed_last_wins,
+    "key_bounds_footers": key_bounds_footers,
+    "incremental_scan_clustered": incremental_scan_clustered,
+    "match_keys_skipping": match_keys_skipping,
 }
