@@ -10,17 +10,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.upsert import _keys, distinct_keys, match_keys
 from tidemark.plans.buckets import _setting
+from tidemark.sources.readers import _since_lit, watermark_filter
 
 PUSHED_KEYS = 1000  # keys of a batch that go into the scan's filter one by one
 _V1 = "spark.sql.sources.useV1SourceList"
 _AGGREGATES = "spark.sql.parquet.aggregatePushdown"
 
 
+def _number(col: str) -> str:
+    """Name of the column that holds a timestamp without zone as a number."""
+    return f"_{col}_us"
+
+
+def _micros(at: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), at)
+
+
+def since_mark(df: DataFrame, mark: str, since) -> DataFrame:
+    """``watermark_filter`` over a table of ``write_clustered``, without the
+    number column it may have. The mark itself is included."""
+    if _number(mark) not in df.columns:
+        return watermark_filter(df, mark, since)
+    least = _micros(_since_lit(since).cast("timestamp_ntz"))
+    return watermark_filter(df.where(F.col(_number(mark)) >= least), mark, since).drop(_number(mark))
+
+
 def write_clustered(df: DataFrame, path: str, by: str | Sequence[str], files: int | None = None,
                     bloom: str | None = None, bloom_keys: int = 1_000_000, mode: str = "errorifexists") -> None:
     """Writes ``df`` in ranges of ``by``, sorted within each file: a filter on
@@ -28,8 +48,14 @@ def write_clustered(df: DataFrame, path: str, by: str | Sequence[str], files: in
     ``bloom`` each row group also gets a Bloom filter of that column, sized for
     ``bloom_keys`` distinct values. Ranges are cut by sampling, so a value
     holding a third of all rows makes one large file; give further columns
-    (the key) in ``by`` to split it. Nulls come first."""
+    (the key) in ``by`` to split it. Nulls come first.
+
+    Spark compares no footer statistics of timestamps without zone, so a first
+    column of that type is also written as microseconds, ``_<column>_us``;
+    read with ``since_mark``, which filters on that number and drops it."""
     by = _keys(by)
+    if df.schema[by[0]].dataType == T.TimestampNTZType():
+        df = df.withColumn(_number(by[0]), _micros(F.col(by[0])))
     ranged = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
     w = ranged.sortWithinPartitions(*by).write.mode(mode)
     if bloom:

@@ -603,11 +603,14 @@ ORDER BY started_at DESC NULLS FIRST, run_id DESC NULLS FIRST LIMIT 30""",
     "export_json": _with(PIPELINES, CONNECTIONS, SCHEDULES, f"ex AS ({_EXPORT})") + _EXPORT_JSON,
 }
 
-# Queries that reach the same rows by another layout of the files.
+# Queries that reach the same rows by another layout of the files, or by a kept summary.
 ORACLE_SQL |= {
     "bucketed_upsert": ORACLE_SQL["upsert_delete_insert"],
     "bucketed_last_wins": ORACLE_SQL["upsert_last_wins"],
     "key_bounds_footers": ORACLE_SQL["key_bounds"],
     "incremental_scan_clustered": ORACLE_SQL["incremental_scan"],
     "match_keys_skipping": ORACLE_SQL["match_keys"],
+    "run_totals_kept": ORACLE_SQL["run_totals"],
+    "run_status_totals_kept": ORACLE_SQL["run_status_totals"],
+    "volume_history_kept": ORACLE_SQL["volume_history"],
 }

@@ -461,9 +461,35 @@ def _clustered(spark, df, by, **how):
 
 def incremental_scan_clustered(spark, sf):
     """The incremental scan over orders laid out by their mark."""
+    from tidemark.plans.layout import since_mark
     orders = _clustered(spark, _t(spark, sf, "orders"), ["o_orderdate", "o_orderkey"])
-    return upper_columns(read_incremental(spark, ParquetSource(sf), "orders", "o_orderdate",
-                                          V.BATCH_SINCE, df=orders))
+    return upper_columns(since_mark(orders, "o_orderdate", V.BATCH_SINCE))
+
+
+def _kept_summary(spark, sf):
+    """A summary made of the runs before the last days, and brought in line
+    with all of them: late runs, and runs that had been running."""
+    from tidemark.plans.summary import RunSummary, days_of
+    from tidemark.session import fresh_scratch, materialize
+    runs = materialize(_flagged(spark, sf), fresh_scratch(spark, "flagged-runs"))
+    late = (F.col("started_at") >= V.ts_lit(V.AS_OF) - F.expr("interval 3 days")) | (F.col("run_id") % 97 == 0)
+    summary = RunSummary(spark, fresh_scratch(spark, "run-summary"))
+    summary.refresh(runs.where(~late))
+    summary.refresh(runs, days_of(runs.where(late)))
+    return summary, runs
+
+
+def run_totals_kept(spark, sf):
+    return _kept_summary(spark, sf)[0].totals()
+
+
+def run_status_totals_kept(spark, sf):
+    return _kept_summary(spark, sf)[0].totals(by_pipeline=True)
+
+
+def volume_history_kept(spark, sf):
+    summary, runs = _kept_summary(spark, sf)
+    return summary.history(runs, V.AS_OF)
 
 
 def match_keys_skipping(spark, sf):
@@ -538,4 +564,7 @@ QUERIES: dict[str, Query] = {
     "key_bounds_footers": key_bounds_footers,
     "incremental_scan_clustered": incremental_scan_clustered,
     "match_keys_skipping": match_keys_skipping,
+    "run_totals_kept": run_totals_kept,
+    "run_status_totals_kept": run_status_totals_kept,
+    "volume_history_kept": volume_history_kept,
 }
