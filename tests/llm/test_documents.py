@@ -133,6 +133,16 @@ def test_jaccard_awkward_rows(spark):
     assert ids.count(15) == 1 and ids.count(None) == 2 and 8 not in ids and 7 in ids
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_a_corpus_whose_links_are_all_missed_is_searched_on(spark, seed):
+    base = prose(40 + seed, 400)
+    words = base.split(" ")
+    words[100] = words[300] = "changed"
+    rows = [(1, base, "a"), (2, " ".join(words), "a"), (3, prose(77, 300), "a")]
+    out = jaccard.similar(docs(spark, rows), trees=2, depth=8, recall=0.95, seed=seed).collect()
+    assert {r["_id"]: r["n_links"] for r in out} == {1: 1, 2: 1, 3: 0}
+
+
 def test_prefixes_shorten_until_recall(spark):
     base = [prose(k, 60) for k in range(30)]
     rows = [(k, b, "a") for k, b in enumerate(base)] + [(100 + k, edited(b, k, 0.03), "a") for k, b in enumerate(base)]

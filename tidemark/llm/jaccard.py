@@ -216,11 +216,13 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
                       .sortWithinPartitions(*GROUP, "_id")
                       .mapInPandas(_candidates(floor), "a long, b long, share double"),
                       "jaccard-edges")
-        # each link found stands for 1 / (probability to be found) links
+        # each link found, counted once, stands for 1 / (probability to be found) links
         p = 1 - F.pow(1 - F.pow(F.col("share"), F.lit(used)), F.lit(trees))
         n, all_n = (edges.filter(F.col("share") >= similarity)
+                    .groupBy("a", "b").agg(F.max("share").alias("share"))
                     .agg(F.count(F.lit(1)), F.sum(1 / p)).first())
-        if not n or n / all_n >= recall:
+        # without any link, prefixes are shortened until one at the threshold would be found
+        if (n / all_n if n else recall_of(similarity, trees, used)) >= recall:
             break
 
     clusters = components(edges.select("a", "b"), "jaccard-clusters")
