@@ -224,3 +224,19 @@ def test_filter_operators(spark):
         "id long, pipeline_id long, detected_at timestamp_ntz, status string")
     assert [r["id"] for r in S.drift_log(log, pipeline_id=10).collect()] == [2, 1]   # F5, newest first
     assert [r["id"] for r in S.drift_log(log, status="pending_review").collect()] == [3, 1]
+
+
+def test_a_hot_day_is_split_with_the_same_flags(spark):
+    import datetime as dt
+    import random
+    from tidemark.operators import runs as R
+    rnd = random.Random(8)
+    at = dt.datetime(2024, 1, 5)
+    rows = [(i, rnd.choice([0, 0, 0, 1, None]), "complete" if rnd.random() < 0.8 else "failed",
+             at if i % 3 else at + dt.timedelta(hours=rnd.randrange(200)),
+             rnd.choice([None, 0, 10, 100, 1000])) for i in range(3000)]
+    runs = spark.createDataFrame(rows, "run_id long, pipeline_id long, status string, started_at timestamp_ntz, "
+                                       "rows_loaded long").repartition(5)
+    plain, split = (sorted(map(repr, R.volume_anomaly(runs, block_rows=50, split_days=s).collect()))
+                    for s in (False, True))
+    assert plain == split and any("volume_anomaly_flag=True" in r for r in split)

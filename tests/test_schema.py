@@ -181,3 +181,26 @@ def test_types_that_are_and_are_not_the_same(spark):
     df = spark.createDataFrame(same + other, "a string, b string")
     got = [r[0] for r in df.select(TY.canonical_base(F.upper("a")) == TY.canonical_base(F.upper("b"))).collect()]
     assert got == [True] * len(same) + [False] * len(other)
+
+
+def test_drift_by_fingerprints_compares_changed_tables_only(spark):
+    from tidemark.operators.schema import detect_drift, detect_drift_changed, drifted_tables
+    cols = "table_name string, column_name string, ordinal_position int, data_type string"
+    src = spark.createDataFrame([
+        ("same", "a", 1, "integer"), ("same", "b", 2, "text"),
+        ("typed", "a", 1, "integer"), ("more", "a", 1, "text"), ("more", "b", 2, "text"),
+        ("twice", "x", 1, "text"), ("twice", "X", 2, "integer"),
+        ("null", None, 1, "text"), ("null", "q", 2, None), ("new", "a", 1, "text"), (None, "a", 1, "text")], cols)
+    tgt = spark.createDataFrame([
+        ("same", "B", 1, "VARCHAR(16777216)"), ("same", "A", 2, "NUMBER(38,0)"),
+        ("typed", "A", 1, "NUMBER(10,2)"), ("more", "A", 1, "TEXT"),
+        ("twice", "X", 1, "VARCHAR(16777216)"), ("twice", "X", 2, "NUMBER(38,0)"),
+        ("null", None, 1, "TEXT"), ("null", "Q", 2, None), ("gone", "A", 1, "TEXT"), (None, "A", 1, "TEXT")], cols)
+    for fold in (True, False):
+        key = repr
+        want = sorted(map(tuple, detect_drift(src, tgt, fold).where("table_name is not null").collect()), key=key)
+        got = sorted(map(tuple, detect_drift_changed(src, tgt, fold).collect()), key=key)
+        assert got == want and len(got) > 4
+    found = {r["table_name"]: (r["n_source"], r["n_target"], r["drifted"]) for r in drifted_tables(src, tgt).collect()}
+    assert found == {"same": (2, 2, False), "typed": (1, 1, True), "more": (2, 1, True), "twice": (2, 2, True),
+                     "null": (2, 2, True), "gone": (0, 1, True)}

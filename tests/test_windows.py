@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.windows import group_row_number, trailing_frame
+from tidemark.operators.windows import group_row_number, range_row_number, ranged, trailing_frame
 
 
 def skewed(spark, n=20000):
@@ -44,3 +44,25 @@ def test_trailing_frame_blocks_match_window(spark):
     sizes = (numbered.withColumn("b", F.floor(F.col("rn") / 50)).groupBy("g", "b").count()
              .agg(F.max("count")).first()[0])
     assert sizes <= 50
+
+
+def test_ranges_number_like_a_window_and_split_one_moment(spark):
+    # group 0 holds 90% of the rows, a third of all rows are of one time
+    df = skewed(spark, 6000).withColumn("ts", F.when(F.col("rid") % 3 == 0, 17).otherwise(F.col("ts")))
+    df = df.unionByName(df.limit(5).withColumn("g", F.lit(None).cast("int")).withColumn("rid", F.col("rid") + 10000))
+    order = ["ts", "rid"]
+    dealt = ranged(df, ["g", *order], partitions=12)
+    got = range_row_number(dealt, ["g"], order)
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)) - 1)
+    assert sorted(map(tuple, got.select("rid", "rn").collect())) == sorted(map(tuple, ref.select("rid", "rn").collect()))
+    assert dealt.groupBy("_part").count().agg(F.max("count")).first()[0] < 2 * 6005 / 12
+
+
+def test_ranges_without_a_group(spark):
+    df = skewed(spark, 500)
+    order = [F.col("ts").desc(), F.col("rid").desc()]
+    got = range_row_number(ranged(df, order, partitions=5), [], order)
+    ref = df.withColumn("rn", F.row_number().over(Window.orderBy(*order)) - 1)
+    assert sorted(map(tuple, got.select("rid", "rn").collect())) == sorted(map(tuple, ref.select("rid", "rn").collect()))
+    empty = df.limit(0)
+    assert range_row_number(ranged(empty, order), [], order).collect() == []

@@ -13,7 +13,9 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.windows import DEFAULT_BLOCK_ROWS, group_row_number, trailing_frame
+from tidemark.operators.windows import (
+    DEFAULT_BLOCK_ROWS, group_row_number, range_row_number, ranged, trailing_frame,
+)
 from tidemark.functions.exprs import (
     ERROR_TEXT_LIMIT, TERMINAL_STATUSES, cut, duration_seconds, minus_interval,
     month_day, ts_lit,
@@ -140,7 +142,7 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
                    lower_pct: int = VOLUME_LOWER_PCT,
                    thresholds: DataFrame | None = None,
                    history: int = VOLUME_HISTORY_RUNS, block_rows: int = DEFAULT_BLOCK_ROWS,
-                   keep: list[str] | None = None) -> DataFrame:
+                   keep: list[str] | None = None, split_days: bool = False) -> DataFrame:
     """Flag each complete run whose row count is outside the band around the
     mean of the previous ``history`` complete runs of its pipeline.
 
@@ -152,13 +154,22 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
     Runs are numbered by pipeline and day and the trailing frame is evaluated
     in blocks, so a pipeline holding most runs is spread over many tasks. Runs
     without a pipeline are a group of their own.
+
+    With ``split_days`` the runs are dealt into ranges of (pipeline, start, id)
+    by quantiles and written once, so that a day, or a moment, holding most runs
+    is spread over many tasks too; the flags are the same. Without it nothing is
+    written, and the runs of one pipeline and day are numbered by one task.
     """
     base_cols = ["run_id", "pipeline_id", "started_at", "rows_loaded"]
     carried = base_cols + [c for c in (keep or []) if c not in base_cols]
     done = runs.where(F.col("status") == "complete").select(*carried)
     rows0 = F.coalesce(F.col("rows_loaded"), F.lit(0))
     aggs = {"history_runs": F.count(F.lit(1)), "avg_prev": F.avg(rows0)}
-    numbered = group_row_number(done, "pipeline_id", ["started_at", "run_id"], F.to_date("started_at"))
+    order = ["started_at", "run_id"]
+    if split_days:
+        numbered = range_row_number(ranged(done, ["pipeline_id", *order]), ["pipeline_id"], order).drop("_part")
+    else:
+        numbered = group_row_number(done, "pipeline_id", order, F.to_date("started_at"))
     scored = trailing_frame(numbered, "pipeline_id", "rn", history, aggs, block_rows).drop("rn")
     if thresholds is not None:
         th = thresholds.select(F.col("id").alias("pipeline_id"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,6 +171,44 @@ def detect_drift(source_cols: DataFrame, target_cols: DataFrame,
             .select(*DRIFT_COLUMNS))
 
 
+def table_fingerprints(columns: DataFrame, definition: Column) -> DataFrame:
+    """One row per table: number of columns and an order-free fingerprint of
+    their upper-cased names and types (``definition``), 128 bits of exclusive
+    or. ``plain`` is false where names repeat or a name or type is null:
+    fingerprints of such tables say nothing."""
+    named = columns.select("table_name", F.upper("column_name").alias("_c"), definition.alias("_d"))
+    bits = [F.bit_xor(F.xxhash64(F.lit(seed), F.col("_c"), F.col("_d"))) for seed in (1, 2)]
+    whole = F.count_if(F.col("_c").isNull() | F.col("_d").isNull()) == 0
+    # a table's names are as many as its columns
+    return (named.groupBy("table_name")
+            .agg(F.count(F.lit(1)).alias("n_columns"), F.struct(*[b.alias(f"b{i}") for i, b in enumerate(bits)])
+                 .alias("fingerprint"),
+                 (whole & (F.size(F.collect_set("_c")) == F.count(F.lit(1)))).alias("plain")))
+
+
+def drifted_tables(source_cols: DataFrame, target_cols: DataFrame, fold_synonyms: bool = True) -> DataFrame:
+    """Per table that the target has: numbers of columns on both sides and
+    whether its columns must be compared (``drifted``). Tables without a name
+    are left out, as they match nothing."""
+    base = canonical_base if fold_synonyms else base_type
+    src, tgt = (table_fingerprints(df, base(kind)) for df, kind in (
+        (source_cols, map_type("data_type")), (target_cols, F.upper("data_type"))))
+    s, t = F.col("s.fingerprint"), F.col("t.fingerprint")
+    same = (s == t) & (F.col("s.n_columns") == F.col("t.n_columns")) & F.col("s.plain") & F.col("t.plain")
+    return (tgt.alias("t").where(F.col("t.table_name").isNotNull()).join(src.alias("s"), "table_name", "left")
+            .select("table_name", F.coalesce("s.n_columns", F.lit(0)).alias("n_source"),
+                    F.col("t.n_columns").alias("n_target"), (~F.coalesce(same, F.lit(False))).alias("drifted")))
+
+
+def detect_drift_changed(source_cols: DataFrame, target_cols: DataFrame, fold_synonyms: bool = True) -> DataFrame:
+    """``detect_drift``, comparing the columns of those tables only whose
+    fingerprints differ: each catalog is reduced to a row per table before it
+    is shuffled, and the join of columns follows the change."""
+    changed = drifted_tables(source_cols, target_cols, fold_synonyms).where("drifted").select("table_name")
+    return detect_drift(source_cols.join(changed, "table_name", "left_semi"),
+                        target_cols.join(changed, "table_name", "left_semi"), fold_synonyms)
+
+
 def heal_status(error: str | None) -> str:
     """Status of an add-column heal: resolved, or the error cut to 200."""
     return "auto_resolved" if error is None else "error: " + error[:HEAL_ERROR_LIMIT]

@@ -11,6 +11,11 @@ partition:
   order, and numbers the rows inside a bucket: a row's number is its bucket's
   start plus its place there. No task holds more than one bucket of a group,
   nothing is written and no job runs while the plan is built.
+* ``ranged`` deals rows into ranges of (group, order) by Spark's sampled
+  quantiles and writes them once; ``range_row_number`` numbers the rows of a
+  group from the counts of its ranges. Ranges are cut inside a day, and inside
+  rows of one time, so a bucket of the coarse key holding a third of all rows
+  is spread as evenly as any other.
 * ``trailing_frame`` cuts every group into blocks of ``block_rows``
   consecutive rows and copies the last ``k`` rows of each block into the
   next one, so a frame of the ``k`` previous rows is a window partitioned
@@ -24,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import fresh_scratch, materialize
+
 DEFAULT_BLOCK_ROWS = 100_000
 
 
@@ -46,6 +53,39 @@ def group_row_number(df: DataFrame, group: str, order: Sequence[str], bucket: Co
             .drop("_g", "_b", "_bkt", "_place", "_before"))
 
 
+def ranged(df: DataFrame, order: Sequence[str | Column], partitions: int | None = None,
+           part: str = "_part") -> DataFrame:
+    """``df`` written once under the checkpoint folder, dealt into ranges of
+    ``order`` by sampled quantiles, with the number of its range as ``part``
+    (rising with ``order``; as many ranges as ``partitions``, by default as
+    shuffles have). Rows equal in all of ``order`` share a range, so it should
+    end with an id. Written because ranges sampled anew need not be the same."""
+    dealt = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    return materialize(dealt.withColumn(part, F.spark_partition_id()), fresh_scratch(df.sparkSession, "ranged"))
+
+
+def range_row_number(dealt: DataFrame, group: Sequence[str], order: Sequence[str | Column],
+                     out: str = "rn", part: str = "_part") -> DataFrame:
+    """``dealt``, a result of ``ranged`` by ``order`` (with or without the
+    columns of ``group`` in front), with ``out`` = 0-based position of each row
+    in its group by ``order``. A window holds a group's rows of one range; the
+    counts summed up in order are one row per group and range. Null groups are
+    groups of their own; without ``group`` all rows are one."""
+    keys = [F.col(g) for g in group]
+    before = (Window.partitionBy(*[f"_g{i}" for i in range(len(keys))]).orderBy("_p")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    starts = (dealt.groupBy(F.col(part).alias("_p"), *[k.alias(f"_g{i}") for i, k in enumerate(keys)])
+              .agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    inside = Window.partitionBy(part, *keys).orderBy(*order)
+    same = F.col(part) == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & k.eqNullSafe(F.col(f"_g{i}"))
+    return (dealt.withColumn("_place", F.row_number().over(inside) - 1).join(starts, same)
+            .withColumn(out, (F.col("_before") + F.col("_place")).cast("bigint"))
+            .drop("_p", "_place", "_before", *[f"_g{i}" for i in range(len(keys))]))
+
+
 def trailing_frame(numbered: DataFrame, group: str, rn: str, k: int,
                    aggs: dict[str, Column], block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Evaluate ``aggs`` (name -> aggregate column) over the ``k`` rows

@@ -614,3 +614,29 @@ ORACLE_SQL |= {
     "run_status_totals_kept": ORACLE_SQL["run_status_totals"],
     "volume_history_kept": ORACLE_SQL["volume_history"],
 }
+
+
+def _page_bounds(scope: str, by: str) -> str:
+    own = [c if c in by else f"CAST(NULL AS {t}) AS {c}" for c, t in (("pipeline_id", "BIGINT"), ("status", "VARCHAR"))]
+    within = f"PARTITION BY {by} " if by else ""
+    return f"""SELECT '{scope}' AS scope, {", ".join(own)}, page, COUNT(*) AS n_runs, MAX(epoch_us(started_at)) AS newest_us,
+       MIN(epoch_us(started_at)) AS oldest_us
+FROM (SELECT *, (ROW_NUMBER() OVER ({within}ORDER BY started_at DESC, run_id DESC) - 1) // 10 AS page FROM runs)
+GROUP BY {by + ", " if by else ""}page"""
+
+
+# Pages by an index, drift by fingerprints, runs of a hot day.
+ORACLE_SQL |= {
+    "run_page_indexed": ORACLE_SQL["run_page"],
+    "run_page_bounds": _with(RUNS) + "\nUNION ALL ".join(
+        _page_bounds(*s) for s in (("all", ""), ("status", "status"), ("pipeline", "pipeline_id"),
+                                   ("both", "pipeline_id, status"))),
+    "detect_drift_changed": ORACLE_SQL["detect_drift"],
+    "drifted_tables": _with(CATALOG, CATALOG_TARGET, f"ev AS ({_detect_drift()})") + """
+SELECT t.table_name, (SELECT COUNT(*) FROM sc WHERE sc.table_name = t.table_name) AS n_source,
+       COUNT(*) AS n_target, t.table_name IN (SELECT table_name FROM ev) AS drifted
+FROM tgt t GROUP BY t.table_name""",
+    "volume_anomaly_hot_day": _with(
+        RUNS.replace("ts AS started_at", "CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-15 12:00:00' "
+                     "ELSE ts END AS started_at"), PIPELINES, _va(True)) + "SELECT * FROM va",
+}

@@ -500,6 +500,39 @@ def match_keys_skipping(spark, sf):
     return match_keys_pruned(target, V.load_batch(orders), "o_orderkey")
 
 
+def volume_anomaly_hot_day(spark, sf):
+    """The check where a third of all runs start at one moment."""
+    return R.volume_anomaly(V.hot_day_runs(_t(spark, sf, "events")), thresholds=_pipelines(spark, sf),
+                            split_days=True)
+
+
+# ------------------------------------------------------ pages and fingerprints
+
+def _pages(spark, sf):
+    from tidemark.plans.pages import RunPages
+    from tidemark.session import fresh_scratch
+    pages = RunPages(spark, fresh_scratch(spark, "run-pages"))
+    pages.build(_runs(spark, sf))
+    return pages
+
+
+def run_page_indexed(spark, sf):
+    return _pages(spark, sf).page(FAILED_PAGE, status="failed")
+
+
+def run_page_bounds(spark, sf):
+    """Every page of the history, of each status, each pipeline, and of both."""
+    return _pages(spark, sf).index()
+
+
+def detect_drift_changed(spark, sf):
+    return S.detect_drift_changed(_catalog(spark, sf), V.catalog_target(_t(spark, sf, "customer")))
+
+
+def drifted_tables(spark, sf):
+    return S.drifted_tables(_catalog(spark, sf), V.catalog_target(_t(spark, sf, "customer")))
+
+
 QUERIES: dict[str, Query] = {
     "incremental_scan": incremental_scan,
     "key_bounds": key_bounds,
@@ -567,4 +600,9 @@ QUERIES: dict[str, Query] = {
     "run_totals_kept": run_totals_kept,
     "run_status_totals_kept": run_status_totals_kept,
     "volume_history_kept": volume_history_kept,
+    "volume_anomaly_hot_day": volume_anomaly_hot_day,
+    "run_page_indexed": run_page_indexed,
+    "run_page_bounds": run_page_bounds,
+    "detect_drift_changed": detect_drift_changed,
+    "drifted_tables": drifted_tables,
 }

@@ -222,3 +222,12 @@ def dag(customer: DataFrame) -> DataFrame:
 def unassigned_runs(events: DataFrame) -> DataFrame:
     """The run history with every seventeenth run of no pipeline."""
     return runs(events).withColumn("pipeline_id", F.when(F.col("run_id") % 17 != 0, F.col("pipeline_id")))
+
+
+HOT_MOMENT = _dt.datetime(2024, 1, 15, 12, 0, 0)
+
+
+def hot_day_runs(events: DataFrame) -> DataFrame:
+    """The run history with a third of all runs starting at one moment."""
+    return runs(events).withColumn("started_at", F.when(F.col("run_id") % 3 == 0, ts_lit(HOT_MOMENT))
+                                   .otherwise(F.col("started_at")))
