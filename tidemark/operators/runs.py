@@ -171,6 +171,15 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
     else:
         numbered = group_row_number(done, "pipeline_id", order, F.to_date("started_at"))
     scored = trailing_frame(numbered, "pipeline_id", "rn", history, aggs, block_rows).drop("rn")
+    return judge_volume(scored, upper_pct, lower_pct, thresholds)
+
+
+def judge_volume(scored: DataFrame, upper_pct: int = VOLUME_UPPER_PCT, lower_pct: int = VOLUME_LOWER_PCT,
+                 thresholds: DataFrame | None = None) -> DataFrame:
+    """``scored`` runs (with ``history_runs`` and ``avg_prev``) with their share
+    of the mean, ``pct``, and ``volume_anomaly_flag``."""
+    base_cols = ["run_id", "pipeline_id", "started_at", "rows_loaded"]
+    extra = [c for c in scored.columns if c not in (*base_cols, "history_runs", "avg_prev")]
     if thresholds is not None:
         th = thresholds.select(F.col("id").alias("pipeline_id"),
                                F.col("volume_alert_upper_pct").alias("_up"),
@@ -186,9 +195,7 @@ def volume_anomaly(runs: DataFrame, upper_pct: int = VOLUME_UPPER_PCT,
         "volume_anomaly_flag",
         outside_band(F.col("rows_loaded"), F.when(F.col("history_runs") > 0, F.col("avg_prev")),
                      lo, up))
-    extra = [c for c in carried if c not in base_cols]
-    return out.select(*base_cols, "history_runs", "avg_prev", "pct", "volume_anomaly_flag",
-                      *extra)
+    return out.select(*base_cols, "history_runs", "avg_prev", "pct", "volume_anomaly_flag", *extra)
 
 
 def with_anomaly_flags(runs: DataFrame, **kwargs) -> DataFrame:

@@ -625,8 +625,10 @@ FROM (SELECT *, (ROW_NUMBER() OVER ({within}ORDER BY started_at DESC, run_id DES
 GROUP BY {by + ", " if by else ""}page"""
 
 
-# Pages by an index, drift by fingerprints, runs of a hot day.
+# Pages by an index, drift by fingerprints, runs of a hot day, stateful streams.
 ORACLE_SQL |= {
+    "run_state_stream": ORACLE_SQL["run_state"],
+    "volume_anomaly_stream": ORACLE_SQL["volume_anomaly"],
     "run_page_indexed": ORACLE_SQL["run_page"],
     "run_page_bounds": _with(RUNS) + "\nUNION ALL ".join(
         _page_bounds(*s) for s in (("all", ""), ("status", "status"), ("pipeline", "pipeline_id"),

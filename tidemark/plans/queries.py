@@ -533,6 +533,40 @@ def drifted_tables(spark, sf):
     return S.drifted_tables(_catalog(spark, sf), V.catalog_target(_t(spark, sf, "customer")))
 
 
+# ------------------------------------------------------------ stateful streams
+
+SLICES = 3
+STREAM_DAYS = 45
+
+
+def _streamed(spark, df, by, changes, keys):
+    """What a stream has made of ``df``, which arrives out of order in scheduled
+    runs of ``SLICES`` slices by a hash of ``by``; the first arrives twice."""
+    from tidemark.session import fresh_scratch
+    from tidemark.streaming.run_stream import ChangeLog, run_stream
+    root = fresh_scratch(spark, "run-stream")
+    for i in [*range(SLICES), 0]:
+        df.where(F.pmod(F.xxhash64(by), F.lit(SLICES)) == i).write.mode("append").parquet(f"{root}/in")
+        made = changes(spark.readStream.schema(df.schema).parquet(f"{root}/in"))
+        log = ChangeLog(spark, f"{root}/log", made.schema)
+        run_stream(made, log, f"{root}/checkpoint").awaitTermination()
+    return log.read(keys)
+
+
+def run_state_stream(spark, sf):
+    from tidemark.streaming.run_stream import fold_patches
+    return _streamed(spark, V.run_patches(_t(spark, sf, "events")), "seq", fold_patches, ["run_id"])
+
+
+def volume_anomaly_stream(spark, sf):
+    """The check from a stream that holds ``STREAM_DAYS`` of runs a pipeline;
+    pipelines with later ones are computed from the run table."""
+    from tidemark.streaming.run_stream import trailing_history, volume_from
+    runs = _runs(spark, sf)
+    kept = _streamed(spark, runs, "started_at", lambda s: trailing_history(s, STREAM_DAYS), ["run_id"])
+    return volume_from(kept, runs, _pipelines(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "incremental_scan": incremental_scan,
     "key_bounds": key_bounds,
@@ -605,4 +639,6 @@ QUERIES: dict[str, Query] = {
     "run_page_bounds": run_page_bounds,
     "detect_drift_changed": detect_drift_changed,
     "drifted_tables": drifted_tables,
+    "run_state_stream": run_state_stream,
+    "volume_anomaly_stream": volume_anomaly_stream,
 }
