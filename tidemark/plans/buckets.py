@@ -72,16 +72,17 @@ class BucketedTarget:
 
     @classmethod
     def create(cls, df: DataFrame, name: str, key: str | Sequence[str], buckets: int,
-               path: str | None = None) -> BucketedTarget:
+               path: str | None = None, exist_ok: bool = False) -> BucketedTarget:
         """A new target holding ``df``. With ``path`` its tables are external,
         in folders below it; else in the warehouse. Choose ``buckets`` so that
-        a folder is what one task can rewrite (some 100 MB)."""
+        a folder is what one task can rewrite (some 100 MB). With ``exist_ok``
+        tables that are there already stay as they are (``df`` should be empty)."""
         if {BUCKET, RUN} & set(df.columns):
             raise ValueError(f"{BUCKET} and {RUN} are the target's own columns")
         out = cls(df.sparkSession, name, key, buckets)
 
         def put(rows: DataFrame, table: str, part: str, bucketed: bool = False) -> None:
-            w = rows.write.format("parquet").partitionBy(part)
+            w = rows.write.format("parquet").partitionBy(part).mode("ignore" if exist_ok else "errorifexists")
             if bucketed:
                 w = w.bucketBy(buckets, *out.key)
             if path:
@@ -102,6 +103,9 @@ class BucketedTarget:
         cols = [F.col(f"`{c}`") for c in self.columns()]
         return self.spark.table(self.name).select(*cols).unionAll(self.spark.table(self.unkeyed).select(*cols))
 
+    def exists(self) -> bool:
+        return all(self.spark.catalog.tableExists(t) for t in (self.name, self.unkeyed, self.runs))
+
     def applied(self, run: str) -> bool:
         return not self.spark.table(self.runs).where(F.col(RUN) == run).isEmpty()
 
@@ -140,13 +144,16 @@ class BucketedTarget:
         kept = match_keys(old, distinct_keys(batch, self.key), self.key, "left_anti")
         return kept.select(*old.columns).unionAll(self._dealt(batch).select(*old.columns))
 
-    def upsert(self, batch: DataFrame, run: str, order_cols: Sequence[Column | str] | None = None) -> list[int]:
+    def upsert(self, batch: DataFrame, run: str, order_cols: Sequence[Column | str] | None = None,
+               written: bool = False) -> list[int]:
         """Applies a batch as run ``run`` and returns the folders rewritten.
 
         Without ``order_cols`` all batch rows replace the target rows of their
         key (delete-insert); with them the last batch row of each key does.
         Rows without a whole key never match and are added. A run already
-        applied changes nothing. An empty batch rewrites no folder.
+        applied changes nothing. An empty batch rewrites no folder. A batch is
+        written once before it is applied, unless it is a table already
+        (``written``) and taken as it is.
         """
         if not run:
             raise ValueError("a run needs a name")
@@ -154,7 +161,9 @@ class BucketedTarget:
             return []
         if order_cols is not None:
             batch = dedup_last_wins(batch, self.key, order_cols)
-        staged = materialize(self._fit(batch), fresh_scratch(self.spark, "bucket-batch"))
+        staged = self._fit(batch)
+        if not written or order_cols is not None:
+            staged = materialize(staged, fresh_scratch(self.spark, "bucket-batch"))
         # one number per folder at most
         touched = sorted(r[0] for r in self._dealt(staged).select(BUCKET).distinct().collect())
         with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):

@@ -7,8 +7,8 @@ record.
 
 The source is read once and the batch written once: the layer's files lie in
 the target before they are committed, and a batch that fails its checks is
-never committed. For a database target the batch is staged once under the
-shared checkpoint directory and applied from there.
+never committed. For a database target, or one in folders by key hash, the
+batch is staged once under the shared checkpoint directory and applied from there.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from tidemark.operators import runs as R
 from tidemark.operators import schema as S
 from tidemark.operators import upsert as U
 from tidemark.plans import sinks
+from tidemark.plans.buckets import BucketedTarget
 from tidemark.plans.tables import VersionedTable
 from tidemark.session import checkpoint_dir, path_exists
 from tidemark.sources.connection import Connection
@@ -57,6 +58,8 @@ class LoadSpec:
     source: Connection | ParquetSource
     source_table: str
     target_path: str = ""              # versioned Parquet target, or:
+    buckets: int | None = None         # a target in so many folders by key hash, as catalog table
+                                       # ``target_table`` (below ``target_path``, if given)
     watermark_column: str | None = "updated_at"
     merge_key: str | None = "id"       # used where the source has such a column
     mode: str = "incremental"          # or "full"
@@ -85,8 +88,13 @@ class LoadSpec:
         for name, allowed in choices.items():
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}, not {getattr(self, name)!r}")
-        if not self.target_path and self.target_connection is None:
-            raise ValueError("a target is needed: target_path or target_connection")
+        if self.buckets is not None:
+            if not self.target_table or self.target_connection is not None:
+                raise ValueError("buckets need a target_table of the catalog")
+            if self.buckets < 1 or self.upsert == "append" or not self.merge_key:
+                raise ValueError("buckets need a merge_key and an upsert by it")
+        elif not self.target_path and self.target_connection is None:
+            raise ValueError("a target is needed: target_path, target_connection or buckets")
         if self.upsert == "last_wins" and not (self.order_cols or self.watermark_column):
             raise ValueError("last_wins needs order_cols or a watermark_column")
 
@@ -278,15 +286,16 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
 
         version = None
         drift_rows: list[dict] = []
-        if spec.target_connection is not None:
-            # a database sees only a batch that is whole and checked
+        if spec.target_connection is not None or spec.buckets is not None:
+            # the target sees only a batch that is whole and checked
             stage = os.path.join(checkpoint_dir(spark), "stage",
                                  f"pipeline={spec.pipeline_id}", f"run={run_id}")
             batch.write.mode("overwrite").parquet(stage)
             rows, max_seen, issues = observed()
             patch(phase_completed=2)
             if rows > 0:
-                load = (_load_warehouse_target if spec.target_connection.is_warehouse else _load_jdbc_target)
+                load = (_load_bucketed_target if spec.target_connection is None else
+                        _load_warehouse_target if spec.target_connection.is_warehouse else _load_jdbc_target)
                 drift_rows = load(spark, spec, spark.read.parquet(stage), defs, as_of, run_id, drift_log_path)
             anomaly, pct = volume_check(runs, spec.pipeline_id, rows, spec.upper_pct,
                                         spec.lower_pct)
@@ -347,6 +356,42 @@ def run_load(spark: SparkSession, spec: LoadSpec, as_of: _dt.datetime, run_id: i
         raise
 
 
+def _load_bucketed_target(spark: SparkSession, spec: LoadSpec, staged: DataFrame,
+                          defs: list[tuple[str, str]], as_of: _dt.datetime, run_id: int,
+                          drift_log_path: str | None) -> list[dict]:
+    """The load's target lies in folders by key hash: the first load creates it
+    (K1); later ones log the drift, add new columns (D1 D2) and rewrite the
+    folders of the batch's keys (K3/K4). A replayed run changes nothing. A
+    column whose type in the target does not hold every value of the new type
+    ends the load before any row is applied; the drift is in the log then."""
+    name = (lambda n: n.upper()) if spec.upper_case else (lambda n: n)
+    key = name(spec.merge_key)
+    if key not in staged.columns:
+        raise ValueError(f"the source has no column {spec.merge_key} to deal its rows by")
+    target = BucketedTarget(spark, spec.target_table, key, spec.buckets)
+    run = f"run:{spec.pipeline_id}:{run_id}"  # pipelines may number their runs alone
+    drift_rows: list[dict] = []
+    if not target.exists():
+        BucketedTarget.create(staged.limit(0), spec.target_table, key, spec.buckets, spec.target_path or None,
+                              exist_ok=True)
+    elif target.applied(run):
+        return drift_rows
+    else:
+        current = target.read()
+        src_cols = spark.createDataFrame(
+            [(spec.source_table, name(n), i + 1, t) for i, (n, t) in enumerate(defs)], S.COLUMNS_SCHEMA)
+        # bounded by the schema width, not by the data
+        drift_rows = [r.asDict() for r in S.detect_drift(
+            src_cols, S.describe_target(current, spec.source_table)).collect()]
+        if drift_log_path and drift_rows:
+            events = _drift_events(spark, drift_rows, spec.pipeline_id, run_id, as_of)
+            _only_new_drift(spark, events, drift_log_path, spec.pipeline_id).write.mode("append").parquet(
+                drift_log_path)
+        staged = S.align_batch(staged, current)
+    target.upsert(staged, run, spec.order(name) if spec.upsert == "last_wins" else None, written=True)
+    return drift_rows
+
+
 def _load_jdbc_target(spark: SparkSession, spec: LoadSpec, staged: DataFrame,
                       defs: list[tuple[str, str]], as_of: _dt.datetime, run_id: int,
                       drift_log_path: str | None) -> list[dict]:

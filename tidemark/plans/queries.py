@@ -168,13 +168,10 @@ def drift_cast_loss(spark, sf):
 
 
 def target_columns_q(spark, sf):
-    """Columns of a target as its table reports them."""
-    from tidemark.plans.tables import VersionedTable
-    from tidemark.session import fresh_scratch
+    """Columns of a target as the catalog reports them."""
     from tidemark.sources.readers import target_columns
-    root = fresh_scratch(spark, "target_columns")
-    VersionedTable(spark, root).write(upper_columns(V.load_target(_t(spark, sf, "orders"))), 0)
-    return target_columns(spark, "orders", path=root)
+    target = _bucketed(spark, upper_columns(V.load_target(_t(spark, sf, "orders"))), "O_ORDERKEY")
+    return target_columns(spark, "orders", catalog_table=target.name)
 
 
 def drift_append(spark, sf):
@@ -329,8 +326,8 @@ def run_load_q(spark, sf):
     import dataclasses
     import os
     import uuid
+    from tidemark.plans.buckets import BucketedTarget
     from tidemark.plans.load import LoadSpec, run_load
-    from tidemark.plans.tables import VersionedTable
     from tidemark.session import scratch_path
     root = scratch_path(spark, os.path.join("run_load", uuid.uuid4().hex))
     orders = _t(spark, sf, "orders")
@@ -338,15 +335,15 @@ def run_load_q(spark, sf):
     V.load_target(orders).write.parquet(os.path.join(first, "orders.parquet"))
     orders.withColumn("o_orderstatus", F.lit(V.BATCH_STATUS)) \
         .write.parquet(os.path.join(later, "orders.parquet"))
-    target, log = os.path.join(root, "target"), os.path.join(root, "runs")
+    log = os.path.join(root, "runs")
     spec = LoadSpec(pipeline_id=1, source=ParquetSource(first), source_table="orders",
-                    target_path=target, watermark_column="o_orderdate",
-                    merge_key="o_orderkey", mode="full")
+                    target_path=os.path.join(root, "target"), target_table="load_" + uuid.uuid4().hex,
+                    buckets=BUCKETS, watermark_column="o_orderdate", merge_key="o_orderkey", mode="full")
     run_load(spark, spec, V.BATCH_SINCE, run_id=1, run_log=log)
     history = R.run_state(spark.read.parquet(log))
     run_load(spark, dataclasses.replace(spec, source=ParquetSource(later), mode="incremental"),
              V.AS_OF, run_id=2, runs=history, run_log=log)
-    return VersionedTable(spark, target).read()
+    return BucketedTarget(spark, spec.target_table, "O_ORDERKEY", BUCKETS).read()
 
 
 def empty_load(spark, sf):
@@ -354,14 +351,15 @@ def empty_load(spark, sf):
     new: it completes with no rows and leaves the target as it is."""
     import dataclasses
     import os
+    import uuid
     from tidemark.plans.load import LoadSpec, run_load
     from tidemark.session import fresh_scratch
     root = fresh_scratch(spark, "empty_load")
     V.load_target(_t(spark, sf, "orders")).write.parquet(os.path.join(root, "src", "orders.parquet"))
     log = os.path.join(root, "runs")
     spec = LoadSpec(pipeline_id=1, source=ParquetSource(os.path.join(root, "src")), source_table="orders",
-                    target_path=os.path.join(root, "target"), watermark_column="o_orderdate",
-                    merge_key="o_orderkey", mode="full")
+                    target_path=os.path.join(root, "target"), target_table="load_" + uuid.uuid4().hex,
+                    buckets=BUCKETS, watermark_column="o_orderdate", merge_key="o_orderkey", mode="full")
     run_load(spark, spec, V.TARGET_CUTOFF, run_id=1, run_log=log)
     history = R.run_state(spark.read.parquet(log))
     run_load(spark, dataclasses.replace(spec, mode="incremental"), V.AS_OF, run_id=2, runs=history, run_log=log)

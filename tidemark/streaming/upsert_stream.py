@@ -18,9 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators.upsert import dedup_last_wins
+from tidemark.plans.buckets import BucketedTarget
 from tidemark.plans.tables import VersionedTable
 from tidemark.session import checkpoint_dir, is_dir
 
+BUCKETS = 16  # folders of the query's target
+
 
 def upsert_batch(spark: SparkSession, target_root: str, key: str | Sequence[str],
                  order_cols: Sequence[str], compact_max_layers: int = 16,
@@ -54,6 +57,23 @@ def upsert_batch(spark: SparkSession, target_root: str, key: str | Sequence[str]
     return apply
 
 
+def bucketed_batch(target: BucketedTarget, order_cols: Sequence[str], checkpoint_location: str):
+    """The ``foreachBatch`` function for a target in folders by key hash: a
+    micro-batch is a run of the target, known by the stream's id and its
+    number, and rewrites the folders of its keys only."""
+
+    stream: list[str] = []
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        # the stream's own session plans the writes
+        into = BucketedTarget(batch.sparkSession, target.name, target.key, target.buckets)
+        if not stream:
+            stream.append(stream_id(into.spark, checkpoint_location))
+        into.upsert(batch, f"stream:{stream[0]}:batch:{int(batch_id)}", order_cols)
+
+    return apply
+
+
 def stream_id(spark: SparkSession, checkpoint_location: str | None) -> str:
     """The id Spark wrote into the checkpoint when the stream first started."""
     if checkpoint_location is None:
@@ -63,23 +83,26 @@ def stream_id(spark: SparkSession, checkpoint_location: str | None) -> str:
 
 
 def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType,
-                  target_root: str, key: str | Sequence[str], order_cols: Sequence[str],
+                  target_root: str | BucketedTarget, key: str | Sequence[str], order_cols: Sequence[str],
                   checkpoint_location: str | None = None, available_now: bool = True,
                   processing_time: str | None = None, glob_filter: str | None = None,
                   max_files_per_trigger: int | None = None, compact_max_layers: int = 16,
                   compact_ratio: float = 0.1):
-    """Start the stream. With ``available_now`` it processes what is there
+    """Start the stream into a versioned target at ``target_root``, or into a
+    ``BucketedTarget`` by its own key. With ``available_now`` it processes what is there
     and stops (a scheduled run); otherwise it triggers every
     ``processing_time``. Returns the StreamingQuery."""
-    ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams",
-                                               os.path.basename(target_root.rstrip("/")))
+    bucketed = isinstance(target_root, BucketedTarget)
+    name = target_root.name if bucketed else os.path.basename(target_root.rstrip("/"))
+    ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", name)
     reader = spark.readStream.schema(schema)
     if glob_filter:
         reader = reader.option("pathGlobFilter", glob_filter)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     reader = reader.parquet(source_path)
-    apply = upsert_batch(spark, target_root, key, order_cols, compact_max_layers, compact_ratio, ckpt)
+    apply = (bucketed_batch(target_root, order_cols, ckpt) if bucketed else
+             upsert_batch(spark, target_root, key, order_cols, compact_max_layers, compact_ratio, ckpt))
     writer = (reader.writeStream.foreachBatch(apply)
               .option("checkpointLocation", ckpt))
     writer = (writer.trigger(availableNow=True) if available_now
@@ -97,8 +120,9 @@ def stream_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a table folder is streamed as it is; a single file through its folder
     # with a name filter (a file source watches folders)
     source, glob = (path, None) if is_dir(spark, path) else (sf_dir, "lineitem.parquet")
-    q = stream_upsert(spark, source, schema, os.path.join(root, "target"), DUP_KEY, DUP_ORDER,
+    target = BucketedTarget.create(spark.createDataFrame([], schema), f"stream_{uuid.uuid4().hex}", DUP_KEY, BUCKETS,
+                                   os.path.join(root, "target"))
+    q = stream_upsert(spark, source, schema, target, DUP_KEY, DUP_ORDER,
                       checkpoint_location=os.path.join(root, "checkpoint"), glob_filter=glob)
     q.awaitTermination()
-    target = VersionedTable(spark, os.path.join(root, "target"))
-    return target.read() if target.exists() else spark.createDataFrame([], schema)
+    return target.read()
