@@ -81,3 +81,26 @@ def test_pipeline_keeps_columns_and_runs(spark):
         assert docs.dtypes == want, name
     n = p.STAGES[-1][1](spark, docs, SF).count()
     assert n and p.run(spark, SF).count() > 0
+
+
+def test_equal_sets_of_ids_are_compared_once(spark):
+    import itertools
+    import random
+    rnd = random.Random(5)
+    rows = [(k, i) for k in range(40) for i in rnd.sample(range(9), rnd.choice([1, 2, 2, 3]))]
+    rows += [(100 + k, i) for k in range(3) for i in range(50, 80)]
+    df = spark.createDataFrame(rows, "_key long, _id long")
+
+    def met(once):
+        groups = {}
+        for r in common.in_blocks(df, "_key", "_id", 8, "t", once=once).collect():
+            groups.setdefault((r["_key"], r["bi"], r["bj"]), set()).add(r["_id"])
+        return groups, {p for g in groups.values() for p in itertools.combinations(sorted(g), 2)}
+
+    (every, pairs), (few, same) = met(False), met(True)
+    assert pairs == same and len(few) < len(every)
+    sets = {}
+    for k, i in rows:
+        sets.setdefault(k, set()).add(i)
+    want = {min(k for k in sets if sets[k] == s) for s in sets.values() if len(s) > 1}
+    assert {k for k, _, _ in few} == want

@@ -168,7 +168,7 @@ def with_class(df: DataFrame, id_col: str, key_cols: list[str], name: str) -> Da
                     F.coalesce(many["class_size"], F.lit(1)).cast("long").alias("class_size")))
 
 
-def in_blocks(rows: DataFrame, key: str, id_col: str, block: int, name: str) -> DataFrame:
+def in_blocks(rows: DataFrame, key: str, id_col: str, block: int, name: str, once: bool = False) -> DataFrame:
     """Spread each key's rows over pairs of blocks.
 
     ``rows`` is (key, id). Keys of one row go. A key of at most ``block`` rows
@@ -176,10 +176,18 @@ def in_blocks(rows: DataFrame, key: str, id_col: str, block: int, name: str) ->
     the id, and each row goes to every pair of blocks with its own, so any two
     rows of the key meet in some group of at most about ``2 * block`` rows.
     ``own`` is the row's block; rows of one block meet in the group (b, b).
+
+    With ``once`` keys that hold the same ids (by a 128-bit digest; each id is
+    in a key once) are compared once, under the smallest of them: what meets
+    under the others meets there.
     """
     rows = saved(rows, f"{name}-rows")
-    sizes = saved(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"),
+    ids = [F.bit_xor(F.xxhash64(F.col(id_col), F.lit(salt))).alias(f"_x{salt}") for salt in (11, 13)]
+    sizes = saved(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *(ids if once else [])).filter("n > 1"),
                   f"{name}-sizes")
+    if once:
+        sizes = saved(sizes.groupBy("n", "_x11", "_x13").agg(F.min(key).alias(key)).select(key, "n"),
+                      f"{name}-sets")
     nb = F.ceil(F.col("n") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), nb).cast("int")
     return (rows.join(sizes, key)

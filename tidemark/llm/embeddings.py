@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import (bounds_of, in_blocks, links_of, mix64, saved, sorted_groups, spanning,
                                  table, with_class)
@@ -121,7 +122,7 @@ def unit(v) -> np.ndarray | None:
     return x / np.linalg.norm(x)
 
 
-def _hash(tables: int, hashes: int, probes: int, seed: int):
+def _hash(tables: int, hashes: int, probes: int, seed: int, stored: type):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         for f in batches:
@@ -138,11 +139,13 @@ def _hash(tables: int, hashes: int, probes: int, seed: int):
                 "_id": f["_id"].to_numpy(), "_null": f["_null"].to_numpy(),
                 "_c1": np.array([c & (2 ** 64 - 1) for c in same], np.uint64).view(np.int64),
                 "_c2": np.array([c >> 64 for c in same], np.uint64).view(np.int64),
-                "_linkable": [r is not None for r in raw], "_vec": raw, "_keys": keys})
+                "_linkable": [r is not None for r in raw],
+                "_vec": [None if u is None else np.asarray(v, stored).tobytes() for u, v in zip(units, f["_vec"])],
+                "_keys": keys})
     return run
 
 
-def _linked(cosine: float):
+def _linked(cosine: float, stored: type):
     """Links of each group, as (a, null, w) and edges (a, b, null). A pair that
     shares several buckets is counted in that of the smallest key."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,7 +154,7 @@ def _linked(cosine: float):
             got = []
             for s, e in zip(edge[:-1], edge[1:]):
                 g = f.iloc[s:e]
-                x = np.array([np.frombuffer(v) for v in g["_vec"]])
+                x = np.array([unit(np.frombuffer(v, stored)) for v in g["_vec"]])
                 link = np.triu(x @ x.T >= cosine, 1)
                 own = g["own"].to_numpy()
                 if g["bi"].iloc[0] != g["bj"].iloc[0]:
@@ -196,19 +199,26 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     rows = vectors.select(F.coalesce(own_id, F.lit(0)).alias("_id"), own_id.isNull().alias("_null"),
                           F.col(f"`{vec_col}`").alias("_vec"))
     n, dim = rows.agg(F.count(F.lit(1)), F.max(F.size("_vec"))).first()
+    # single precision is kept as given: half the bytes, and the same unit vector
+    kind = vectors.schema[vec_col].dataType
+    stored = np.float32 if isinstance(kind, T.ArrayType) and kind.elementType == T.FloatType() else np.float64
     tables, hashes = plan(max(1, dim or 1), max(1, n), cosine, recall, probes, seed)
-    hashed = rows.mapInPandas(_hash(tables, hashes, probes, seed), HASHED)
+    hashed = rows.mapInPandas(_hash(tables, hashes, probes, seed, stored), HASHED)
     lone = F.when(~F.col("_linkable"), F.xxhash64(F.col("_id"), F.lit(seed)))
     hashed = saved(hashed.select(F.when(~F.col("_null"), F.col("_id")).alias("_id"),
                                  F.coalesce(lone, "_c1").alias("_c1"), F.coalesce(lone, "_c2").alias("_c2"),
                                  "_linkable", "_vec", "_keys"), "vectors-hashed")
-    members = saved(with_class(hashed, "_id", ["_c1", "_c2"], "vectors"), "vectors-members")
-    reps = saved(members.filter("_linkable and _id = class_id").dropDuplicates(["_id"])
-                 .select("_id", "_vec", "_keys", F.col("class_size").alias("_w")), "vectors-reps")
-    met = in_blocks(reps.select("_id", F.explode("_keys").alias("_key")), "_key", "_id", block, "vectors-met")
+    members = saved(with_class(hashed.drop("_vec", "_keys"), "_id", ["_c1", "_c2"], "vectors"), "vectors-members")
+    # a vector of each class: ids, digests and weights are found first, then joined to the vectors once
+    first = (members.filter("_linkable and _id = class_id").dropDuplicates(["_id"])
+             .select("_id", "_c1", "_c2", F.col("class_size").alias("_w")))
+    reps = saved(hashed.filter("_linkable").join(first, ["_id", "_c1", "_c2"]).dropDuplicates(["_id"])
+                 .select("_id", "_vec", "_keys", "_w"), "vectors-reps")
+    met = in_blocks(reps.select("_id", F.explode("_keys").alias("_key")), "_key", "_id", block, "vectors-met",
+                    once=True)
     found = saved(met.join(reps, "_id").repartition(*GROUP).sortWithinPartitions(*GROUP, "_id")
-                  .mapInPandas(_linked(cosine), "a long, b long, w long"), "vectors-found")
-    return links_of(members.drop("_vec", "_keys", "_c1", "_c2"), found, "vectors")
+                  .mapInPandas(_linked(cosine, stored), "a long, b long, w long"), "vectors-found")
+    return links_of(members.drop("_c1", "_c2"), found, "vectors")
 
 
 def op3_cross_polytope(spark, sf_dir: str) -> DataFrame:

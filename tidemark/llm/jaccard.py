@@ -211,7 +211,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     for used in range(depth, 0, -1):
         key = F.expr(f"transform(sequence(0, {trees - 1}), t -> "
                      f"xxhash64(t, substring(_sig, t * {2 * depth} + 1, {2 * used})))")
-        met = in_blocks(reps.select("_id", F.explode(key).alias("_key")), "_key", "_id", block, "jaccard-met")
+        met = in_blocks(reps.select("_id", F.explode(key).alias("_key")), "_key", "_id", block, "jaccard-met",
+                        once=True)
         edges = saved(met.join(reps.select("_id", "_sig"), "_id").repartition(*GROUP)
                       .sortWithinPartitions(*GROUP, "_id")
                       .mapInPandas(_candidates(floor), "a long, b long, share double"),
