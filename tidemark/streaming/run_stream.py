@@ -81,6 +81,8 @@ def _update(history: int, lateness_us: int | None):
                 del new[i]
         state.update(([v[0] for v in new.values()], list(new), [v[1] for v in new.values()],
                       [v[2] for v in new.values()], open_from))
+        if not out:
+            return
         yield pd.DataFrame({
             "_key": pd.array([key[0]] * len(out), "Int64"),
             **{name: pd.array([o[j] for o in out], kind) for j, (name, kind) in enumerate((
