@@ -477,6 +477,41 @@ def test_encoder_equals_tokenizer():
     same()
 
 
+def test_encoder_cuts_as_the_tokenizer(monkeypatch):
+    """Signs, digits, quotes, letters of two bytes and marks side by side; small
+    memories, several texts at once, long ones in parts."""
+    from hypothesis import given, settings, strategies as st
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(packing, "CACHED", 6)
+    monkeypatch.setattr(packing, "RECENT", 5)
+    monkeypatch.setattr(packing, "BATCH", 24)
+    t, e = Tokenizer.from_file(TOKENIZER), packing.Encoder(TOKENIZER)
+    marks = "abTsS'rRelLvVdDmM.,;:!?-_<=>|#$07²½ªß×÷éÉñÑÿŁłŉŸǅİıйЙёЁ̸́̇̌’‘“”…—·ΣσςJj漢\u00a0\u0085\u2028\x1c\x00\x7f \n\t\v"
+
+    @settings(max_examples=600, deadline=None)
+    @given(st.lists(st.text(st.sampled_from(marks), max_size=40), max_size=5))
+    def same(xs):
+        assert [i.tolist() for i in e.encode(xs)] == [t.encode(x, add_special_tokens=False).ids for x in xs]
+
+    same()
+    xs = ["", "<|endoftext|>a b <|startoftext|> c" * 3, "x" * 60 + " " + "y." * 40, "", "don't 12'34 l'été'S"]
+    assert [i.tolist() for i in e.encode(xs)] == [t.encode(x, add_special_tokens=False).ids for x in xs]
+    assert len(e.known) <= 6 and len(e.recent) <= 5
+
+
+def test_case_signs_and_numbers_make_no_new_words(monkeypatch):
+    """Words that differ in case, signs or numbers alone are cut and encoded once."""
+    e = packing.Encoder(TOKENIZER)
+    cut, encoded = [], []
+    pieces, ids_of = e._pieces, e._ids_of
+    monkeypatch.setattr(e, "_pieces", lambda w: cut.append(w) or pieces(w))
+    monkeypatch.setattr(e, "_ids_of", lambda p: encoded.extend(p) or ids_of(p))
+    words = ["".join("abcdefghij"[int(c)] for c in str(k)) for k in range(1000, 1500)]
+    text = " ".join(f"{w} {w.title()}, ({w.upper()}) {w}{k}, {w}-{w}... {w}: {k}!" for k, w in enumerate(words))
+    e.encode([text, text])
+    assert len(cut) < 30 and len(encoded) < 530
+
+
 @pytest.mark.parametrize("text, value", [
     ("https://x.io/a?sig=9f8a7c6b5d4e3f2a1b0c9d8e7f6a5b4c&b=1", "9f8a7c6b5d4e3f2a1b0c9d8e7f6a5b4c"),
     ("AUTH=9f8a7c6b5d4e3f2a1b0c9d8e7f6a5b4c", "9f8a7c6b5d4e3f2a1b0c9d8e7f6a5b4c"),

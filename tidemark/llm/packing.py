@@ -12,10 +12,11 @@ predecessors are looked up one by one.
 
 from __future__ import annotations
 
-import unicodedata
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,17 +32,43 @@ WINDOW_COST = 16.0  # of one more window
 GRID = 256  # cuts inside a sentence are tried at multiples of this
 CHUNK = 1 << 18  # tokens that one run of the dynamic programming covers
 PART_BYTES = 16 << 20  # text bytes of one packed run of documents
-CACHED_WORDS, CACHED_PIECES = 120_000, 160_000  # some 30 MB a worker
+CACHED, RECENT = 150_000, 100_000  # words remembered, and words met once: some 35 MB a worker
 JOINED = 500  # pieces encoded as one text
-TEXTS = 128  # texts encoded together
+BATCH = 2 << 20  # text bytes (of a long text: characters) encoded together
+
+# The normaliser composes, lowers and joins white space. In texts without these
+# characters (Latin, Cyrillic and common signs remain) lowering is all it does.
+OTHER = re.compile("[^\\x00-\u012f\u0131-\u024f\u0400-\u045f\u2010-\u2027]")
+SPACE = re.compile(r"[\x09-\x0d\x20]")
+# Kinds of bytes, and the pairs between which the pre-tokenizer always cuts.
+# "'" may start a piece with the letters after it; REST may combine.
+KINDS = WHITE, LETTER, DIGIT, SIGN, QUOTE, REST = range(6)
+KIND = np.full(256, REST, np.uint8)
+KIND[33:127] = SIGN
+KIND[list(b" \t\n\v\f\r")] = WHITE
+KIND[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = LETTER
+KIND[list(b"0123456789")] = DIGIT
+KIND[ord("'")] = QUOTE
+PAIR = np.zeros(1 << 16, bool)  # letters of two bytes that stay one when lowered
+PAIR[[int.from_bytes(c.encode(), "big") for c in map(chr, [*range(0xC0, 0x180), *range(0x400, 0x460)])
+      if c.isalpha() and len(c.lower()) == 1]] = True
+CUT = np.zeros((len(KINDS), len(KINDS)), bool)
+CUT[WHITE, LETTER:] = True
+CUT[LETTER, [DIGIT, SIGN, QUOTE]] = True
+CUT[DIGIT, [LETTER, DIGIT, SIGN, QUOTE]] = True
+CUT[SIGN, [LETTER, DIGIT]] = True
+CUT[QUOTE, DIGIT] = True
+CUT = CUT.ravel()
 
 
 class Encoder:
     """Token ids of whole texts, equal to the tokenizer's own.
 
     This tokenizer never merges across white space, nor across the pieces its
-    pre-tokenizer cuts, so ids of words are remembered (up to fixed numbers of
-    words and pieces) and only unseen pieces go through the tokenizer's model.
+    pre-tokenizer cuts, so texts are cut into words wherever that is certain
+    from two bytes, ids of words are remembered, and only unseen pieces go
+    through the tokenizer's model. A piece is a word cut into itself. ``known``
+    keeps words met again (up to ``CACHED``), ``recent`` those met once.
     """
 
     def __init__(self, path: str):
@@ -55,8 +82,8 @@ class Encoder:
         self.cut = pre_tokenizers.Split(Regex(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"),
                                         "removed", invert=True)
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.words: dict[bytes, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
         stops = set(".!?")
         size = self.whole.get_vocab_size()
         self.sentence_end = np.zeros(size, bool)
@@ -67,11 +94,12 @@ class Encoder:
             if body and body != token and set(body) & stops and not any(c.isalnum() for c in body):
                 self.sentence_end[i] = True
 
-    def _ids_of(self, pieces: list[str]) -> dict[str, bytes]:
+    def _ids_of(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Ids of pieces. The last id of each, and no other, ends a word."""
-        out: dict[str, bytes] = {}
+        out: dict[bytes, bytes] = {}
         runs = [pieces[lo:lo + JOINED] for lo in range(0, len(pieces), JOINED)]
-        for run, enc in zip(runs, self.pieces.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
+        for run, enc in zip(runs, self.pieces.encode_batch_fast([b" ".join(r).decode() for r in runs],
+                                                                add_special_tokens=False)):
             ids = np.array(enc.ids, np.uint32)
             data, ends = ids.tobytes(), ((np.flatnonzero(self.word_end[ids]) + 1) * 4).tolist()
             if len(ends) != len(run):
@@ -82,61 +110,79 @@ class Encoder:
                 lo = hi
         return out
 
-    def _pieces(self, word: bytes) -> list[str]:
-        """Pieces of a word. Latin letters with at most one sign after them
-        need no tokenizer: in composed form, lowering is all the normaliser
-        does to them."""
-        s = word.decode("utf-8", "replace")
-        if s.isascii() or (max(s) < "\u0250" and unicodedata.is_normalized("NFC", s)):
-            low = s.lower()
-            if low.isalpha():
-                return [low]
-            if low[-1] in ".,;:!?" and low[:-1].isalpha():
-                return [low[:-1], low[-1]]
-        return [p for p, _ in self.cut.pre_tokenize_str(self.whole.normalizer.normalize_str(s))]
-
-    def _learn(self, words: list[bytes]) -> list[bytes]:
-        """Puts ids of words not remembered into ``words``; returns those that
-        are to be forgotten again: what has no room, and words whose pieces
-        were not known (those seen a single time take no place)."""
-        known, late, forget = self.known, [], []
-        room = CACHED_WORDS - len(self.words)
-        for w in words:
-            pieces = self._pieces(w)
-            try:
-                self.words[w] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
-            except KeyError:
-                late.append((w, pieces))
-                continue
-            if room > 0:
-                room -= 1
-            else:
-                forget.append(w)
-        if late:
-            new = list({p for _, c in late for p in c if p not in known})
-            fresh = self._ids_of(new)
-            for w, c in late:
-                self.words[w] = b"".join([known[p] if p in known else fresh[p] for p in c])
-                forget.append(w)
-            for p in new[:max(0, CACHED_PIECES - len(known))]:
-                known[p] = fresh[p]
-        return forget
+    def _pieces(self, word: bytes) -> list[bytes]:
+        """Pieces of a word. Lowered letters alone need no tokenizer."""
+        s = word.decode()
+        if s.isalpha() and s.islower() and not OTHER.search(s):
+            return [word]
+        return [p.encode() for p, _ in self.cut.pre_tokenize_str(self.whole.normalizer.normalize_str(s))]
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct words, none of them in ``known``."""
+        known, recent = self.known, self.recent
+        again = {w: recent[w] for w in words if w in recent}
+        new = [w for w in words if w not in recent]
+        cut = {w: self._pieces(w) for w in new if not (w.isalpha() and w.islower())}  # bytes: of ASCII
+        pieces = {p for c in cut.values() for p in c if p not in known and p not in recent}
+        pieces.update([w for w in new if w not in cut])
+        fresh = self._ids_of(list(pieces))
+        for w, c in cut.items():
+            fresh[w] = b"".join([fresh.get(p) or known.get(p) or recent[p] for p in c])
+        known.update(islice(again.items(), max(0, CACHED - len(known))))
+        if len(recent) + len(fresh) > RECENT:
+            recent.clear()
+        recent.update(islice(fresh.items(), RECENT))
+        return again | fresh
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        words = [t.encode("utf-8", "replace").split() for t in texts]
-        known = self.words
-        forget = self._learn([w for w in set().union(*words) if w not in known])
-        out = []
-        for t, ws in zip(texts, words):
+        """Ids of texts; long ones go through in parts."""
+        if max(map(len, texts), default=0) <= BATCH:
+            return self._encode(texts)
+        return [np.concatenate([self._encode([p])[0] for p in parts_of(t)]) for t in texts]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Words of all texts are cut in one buffer and numbered by Arrow; ids
+        are looked up once for each distinct word."""
+        import pyarrow as pa
+        rows = [(t if OTHER.search(t) else t.lower()).encode("utf-8", "replace") for t in texts]
+        buf = np.frombuffer(b"\n".join([b"", *rows, b""]), np.uint8)
+        kind = KIND[buf]
+        kind[1:][PAIR[buf[:-1].astype(np.uint16) << 8 | buf[1:]]] = LETTER  # the last byte of one
+        start = CUT[kind[:-1] * len(KINDS) + kind[1:]]  # of the bytes after the first
+        inner = kind[1:] != WHITE
+        body, at = buf[1:][inner], np.flatnonzero(start)
+        edges = np.append(np.flatnonzero(start[inner]), len(body)).astype(np.int32)
+        words = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(body)])
+        coded = words.dictionary_encode()
+        distinct, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        ids = list(map(self.known.get, distinct))
+        new = [w for w, x in zip(distinct, ids) if x is None]
+        if new:
+            fresh = self._learn(new)
+            ids = [fresh[w] if x is None else x for w, x in zip(distinct, ids)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(sizes) - sizes
+        pool = np.frombuffer(b"".join(ids), np.uint32)
+        size = sizes[code]
+        end = np.append(0, np.cumsum(size))
+        tokens = pool[np.repeat(first[code] - end[:-1], size) + np.arange(end[-1])]
+        cuts = end[np.searchsorted(at, np.cumsum([len(r) + 1 for r in rows]))].tolist()
+        out = [tokens[lo:hi] for lo, hi in zip([0, *cuts], cuts)]
+        for k, t in enumerate(texts):
             if "<|" in t and any(s in t for s in self.special):  # these may hold across the rule
-                out.append(np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32))
-                continue
-            out.append(np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32))
-        for w in forget:
-            del known[w]
+                out[k] = np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32)
         return out
 
 
+def parts_of(text: str) -> Iterator[str]:
+    """A long text cut before white space, over which no token reaches."""
+    lo = 0
+    while len(text) - lo > BATCH and (space := SPACE.search(text, lo + BATCH)):
+        yield text[lo:space.start()]
+        lo = space.start()
+    yield text[lo:]
+
+
 def cut_stream(ends: np.ndarray, soft: np.ndarray, total: int, window: int = WINDOW) -> list[int]:
     """Cut positions (ascending, the last is ``total``) of a stream of
     ``total`` tokens. ``ends``: positions after documents; ``soft``: positions
@@ -144,13 +190,12 @@ def cut_stream(ends: np.ndarray, soft: np.ndarray, total: int, window: int = WIN
     window always fits."""
     if total <= 0:
         return []
-    grid = np.arange(GRID, total, GRID)
-    pos = np.unique(np.concatenate([[0], grid, soft, ends, [total]])).astype(np.int64)
-    pos = pos[(pos >= 0) & (pos <= total)]
-    cost = np.full(len(pos), INNER_CUT)
-    cost[np.isin(pos, soft)] = SENTENCE_CUT
-    cost[np.isin(pos, ends)] = 0.0
-    cost[-1] = 0.0
+    cost = np.full(total + 1, -1.0)
+    cost[::GRID] = INNER_CUT
+    cost[soft] = SENTENCE_CUT
+    cost[ends] = cost[0] = cost[total] = 0.0
+    pos = np.flatnonzero(cost >= 0)
+    cost = cost[pos]
     where = {p: k for k, p in enumerate(pos.tolist())}
     powers = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
     at, pen = pos.tolist(), cost.tolist()
@@ -257,6 +302,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         import os
 
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         enc = worker_state("encoder", lambda: Encoder(tokenizer))
@@ -264,8 +310,10 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
         def stream():
             for b in batches:
-                for lo in range(0, b.num_rows, TEXTS):
-                    part = b.slice(lo, TEXTS)
+                ends = np.cumsum(pc.binary_length(b["text"]).to_numpy())
+                runs = np.flatnonzero(np.diff(ends // BATCH)) + 1
+                for lo, hi in zip([0, *runs.tolist()], [*runs.tolist(), b.num_rows]):
+                    part = b.slice(lo, hi - lo)
                     yield from zip(part["doc_id"].to_pylist(), enc.encode(part["text"].to_pylist()))
 
         def table_of(pieces: list[tuple]):
